@@ -3,7 +3,8 @@
 ``Window.orderBy`` with no partition (or a partition on a hot key) sends every row to one task.
 Here the rows are range-partitioned on (group, order) so a hot group is split across tasks; each
 task computes local running totals, and a small per-(partition, group) total table supplies the
-offsets. The offset table has at most (#groups + #partitions) rows.
+offsets. The offset table has at most (#groups + #partitions) rows. Cost: one range shuffle,
+one checkpoint write, one hash shuffle on (partition, group) for the local window.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from handoff.session import ensure_checkpoint_dir
+
 _PID = "__pid"
 
 
@@ -47,6 +50,11 @@ def running_totals(
     parted = staged.repartitionByRange(n, *[F.col(g) for g in group_by], *order_cols).withColumn(
         _PID, F.spark_partition_id()
     )
+    # The local sums and the offsets are two reads of ``parted``; adaptive execution may coalesce
+    # the range shuffle differently for each read, so the partition ids are pinned by writing
+    # ``parted`` once to the shared checkpoint folder (reliable: survives a lost executor).
+    ensure_checkpoint_dir(df.sparkSession)
+    parted = parted.checkpoint(eager=True)
     local_w = Window.partitionBy(_PID, *group_by).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

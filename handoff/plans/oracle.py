@@ -394,11 +394,15 @@ def e11():
     return SNAP + ", cr AS (" + _contract_rows() + ")\nSELECT name, dtype, role, null_count, min, max FROM cr"
 
 
+def _canon(x):
+    return f"regexp_replace(regexp_replace(CAST(CAST(round({x}, 6) AS DECIMAL(38,6)) AS VARCHAR), '0+$', ''), '\\.$', '.0')"
+
+
 def e12():
     return SNAP + (", cr AS (" + _contract_rows() + ")\n"
                    "SELECT 'cashback' AS name, f.field, f.committed, f.fresh FROM (\n"
-                   "SELECT 'min' AS field, CAST(min(cashback) AS VARCHAR) AS committed, CAST(min(cashback * 100) AS VARCHAR) AS fresh FROM snap\n"
-                   "UNION ALL SELECT 'max', CAST(max(cashback) AS VARCHAR), CAST(max(cashback * 100) AS VARCHAR) FROM snap) f "
+                   f"SELECT 'min' AS field, {_canon('min(cashback)')} AS committed, {_canon('min(cashback * 100)')} AS fresh FROM snap\n"
+                   f"UNION ALL SELECT 'max', {_canon('max(cashback)')}, {_canon('max(cashback * 100)')} FROM snap) f "
                    "WHERE f.committed IS DISTINCT FROM f.fresh")
 
 
