@@ -8,7 +8,16 @@ from __future__ import annotations
 
 import difflib
 
-from handoff.plans.views import RAW_SQL, SNAPSHOT_CONFIG as CFG, SNAPSHOT_SQL, TENURE_EDGES, TENURE_LABELS
+from handoff.plans.views import (
+    LINE_SCORES_SQL,
+    RAW_SQL,
+    RUNLOG_SQL,
+    SCORES_SQL,
+    SNAPSHOT_CONFIG as CFG,
+    SNAPSHOT_SQL,
+    TENURE_EDGES,
+    TENURE_LABELS,
+)
 
 R = 6
 SNAP = "WITH " + SNAPSHOT_SQL
@@ -557,6 +566,230 @@ def f14():
     return "WITH rep AS (" + inner + ")\nSELECT \"check\", \"column\", hint FROM rep WHERE NOT passed"
 
 
+# ---------------------------------------------------------------- H
+RECENCY_EDGES = (-1, 3, 7, 14, float("inf"))
+RECENCY_LABELS = ("0-3", "4-7", "8-14", "15+")
+FEATURES = [c for c, _ in SNAP_COLS if _role(c) == "feature"]
+ENG = ["cashback_per_order", "orders_per_tenure_month", "coupon_rate", "recency_bucket"]
+
+
+def h1():
+    return "SELECT * FROM (VALUES " + ", ".join(f"({i}, {lit(c)})" for i, c in enumerate(FEATURES)) + ") AS t(position, name)"
+
+
+def h2():
+    kind = {c: ("categorical" if SNAP_TYPES[c] == "string" else "numeric") for c in FEATURES}
+    return "SELECT * FROM (VALUES " + ", ".join(f"({lit(c)}, {lit(kind[c])})" for c in FEATURES) + ") AS t(name, kind)"
+
+
+def h3():
+    off = [f"{c} ({_role(c)})" for c, _ in SNAP_COLS if _role(c) in ("id", "target", "protected")]
+    return "SELECT * FROM (VALUES " + ", ".join(f"({lit(o)})" for o in off) + ") AS t(offender)"
+
+
+def _eng_cte():
+    return (", eng AS (SELECT *, cashback / NULLIF(order_count, 0) AS cashback_per_order, "
+            "order_count / (tenure_months + 1) AS orders_per_tenure_month, coupon_used / NULLIF(order_count, 0) AS coupon_rate, "
+            f"{_bucket('days_since_last', RECENCY_EDGES, RECENCY_LABELS)} AS recency_bucket FROM snap)\n")
+
+
+def h4():
+    return SNAP + _eng_cte() + ("SELECT customer_id, " + ", ".join(r(c) + f" AS {c}" for c in ENG[:3])
+                                + ", recency_bucket FROM eng")
+
+
+def h9():
+    cols = ["customer_id", *FEATURES, *ENG, "churned"]
+    types = dict(SNAP_COLS)
+    sel = ", ".join(r(c) + f" AS {c}" if (types.get(c) == "double" or c in ENG[:3]) else c for c in cols)
+    return SNAP + _eng_cte() + f"SELECT {sel} FROM eng"
+
+
+# ---------------------------------------------------------------- K
+SC = SNAP + ",\n" + SCORES_SQL + "\n"
+LSC = "WITH " + LINE_SCORES_SQL + "\n"
+
+
+def _cm(src, group="", rounded=True):
+    rr = r if rounded else (lambda x: x)
+    gsel = f"{group}, " if group else ""
+    gby = f" GROUP BY {group}" if group else ""
+    return (f"SELECT {gsel}tp, fp, fn, tn, {rr('CASE WHEN tp+fp+fn+tn = 0 THEN 0 ELSE (tp+tn)/(tp+fp+fn+tn) END')} AS accuracy, "
+            f"{rr('CASE WHEN tp+fp = 0 THEN 0 ELSE tp/(tp+fp) END')} AS precision, "
+            f"{rr('CASE WHEN tp+fn = 0 THEN 0 ELSE tp/(tp+fn) END')} AS recall, "
+            f"{rr('CASE WHEN 2*tp+fp+fn = 0 THEN 0 ELSE 2*tp/(2*tp+fp+fn) END')} AS f1 FROM ("
+            f"SELECT {gsel}count(*) FILTER (WHERE y = 1 AND proba >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND proba >= 0.5) AS fp, "
+            f"count(*) FILTER (WHERE y = 1 AND proba < 0.5) AS fn, count(*) FILTER (WHERE y = 0 AND proba < 0.5) AS tn FROM {src}{gby}) z")
+
+
+def k1():
+    return SC + "SELECT customer_id, CAST(proba >= 0.5 AS INTEGER) AS predicted FROM sc"
+
+
+def k2():
+    return SC + _cm("sc")
+
+
+def _auc(src, g, rounded=True):
+    rr = r if rounded else (lambda x: x)
+    return (f"SELECT {g}, {rr('sum(pos * (cneg - neg + neg / 2.0)) / (sum(pos) * sum(neg))')} AS roc_auc FROM ("
+            f"SELECT *, sum(neg) OVER (PARTITION BY {g} ORDER BY s ROWS UNBOUNDED PRECEDING) AS cneg FROM ("
+            f"SELECT {g}, proba AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg "
+            f"FROM {src} GROUP BY {g}, proba) a) b GROUP BY {g}")
+
+
+def _ap(src, g, rounded=True):
+    rr = r if rounded else (lambda x: x)
+    return (f"SELECT {g}, {rr('sum(pos * tp / alls) / sum(pos)')} AS pr_auc FROM ("
+            f"SELECT *, sum(pos) OVER (PARTITION BY {g} ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp, "
+            f"sum(pos + neg) OVER (PARTITION BY {g} ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS alls FROM ("
+            f"SELECT {g}, proba AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg "
+            f"FROM {src} GROUP BY {g}, proba) a) b GROUP BY {g}")
+
+
+def k3():
+    return SC + _auc("sc", "fold")
+
+
+def k3l():
+    return LSC + _auc("lsc", "group_a")
+
+
+def k4():
+    return SC + _ap("sc", "fold")
+
+
+def k4l():
+    return LSC + _ap("lsc", "group_b")
+
+
+def _fold_long():
+    metrics = ["roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy"]
+    cm = _cm("sc", "fold", rounded=False)
+    auc = _auc("sc", "fold", rounded=False)
+    ap = _ap("sc", "fold", rounded=False)
+    wide = f"SELECT * FROM ({cm}) c JOIN ({auc}) a USING (fold) JOIN ({ap}) p USING (fold)"
+    return "SELECT 'pseudo' AS variant, fold, m.metric, m.value FROM (" + wide + ") w, LATERAL (VALUES " + ", ".join(
+        f"('{m}', CAST(w.{m} AS DOUBLE))" for m in metrics) + ") AS m(metric, value)"
+
+
+def k5():
+    return SC + f"SELECT variant, metric, {r('avg(value)')} AS mean, {r('stddev_pop(value)')} AS std FROM ({_fold_long()}) x GROUP BY variant, metric"
+
+
+def _patop(src, key):
+    return (f"SELECT {r('avg(CAST(y AS DOUBLE))')} AS precision_at_top, CAST(max(k) AS INTEGER) AS k FROM ("
+            f"SELECT y, row_number() OVER (ORDER BY proba DESC, {key}) AS rk, "
+            f"greatest(1, round_even(0.1 * count(*) OVER (), 0)) AS k FROM {src}) x WHERE rk <= k")
+
+
+def k6():
+    return SC + _patop("sc", "customer_id")
+
+
+def k6l():
+    return LSC + _patop("lsc", "line_id")
+
+
+def _baseline():
+    return ("SELECT 'majority' AS strategy, maj AS predicted_class, "
+            "CASE WHEN maj = 1 THEN rate ELSE 1 - rate END AS accuracy, CASE WHEN maj = 1 THEN rate ELSE 0.0 END AS precision, "
+            "CASE WHEN maj = 1 THEN 1.0 ELSE 0.0 END AS recall, CASE WHEN maj = 1 THEN 2 * rate / (rate + 1) ELSE 0.0 END AS f1, "
+            "0.5 AS roc_auc, rate AS pr_auc, rate AS precision_at_top10 FROM ("
+            "SELECT CASE WHEN pos > n - pos THEN 1 ELSE 0 END AS maj, pos / n AS rate FROM ("
+            "SELECT CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS n FROM sc) a) b")
+
+
+def k7():
+    cols = ["strategy", "predicted_class", "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "precision_at_top10"]
+    return SC + "SELECT " + ", ".join(c if c in ("strategy", "predicted_class") else r(c) + f" AS {c}" for c in cols) + f" FROM ({_baseline()}) x"
+
+
+def _fair(attrs):
+    parts = [f"SELECT {lit(a)} AS attribute, CAST({a} AS VARCHAR) AS grp, y, CAST(proba >= 0.5 AS INTEGER) AS p FROM sc WHERE {a} IS NOT NULL"
+             for a in attrs]
+    return ("SELECT attribute, grp AS \"group\", count(*) AS n, "
+            f"{r('CASE WHEN count(*) FILTER (WHERE y = 1) = 0 THEN 0 ELSE count(*) FILTER (WHERE y = 1 AND p = 1) / count(*) FILTER (WHERE y = 1) END')} AS recall, "
+            f"{r('CASE WHEN count(*) FILTER (WHERE p = 1) = 0 THEN 0 ELSE count(*) FILTER (WHERE y = 1 AND p = 1) / count(*) FILTER (WHERE p = 1) END')} AS precision, "
+            f"{r('avg(CAST(p AS DOUBLE))')} AS positive_rate FROM (" + union(parts) + ") x GROUP BY attribute, grp")
+
+
+def k8():
+    return SC + _fair(["nation", "segment"])
+
+
+def k11():
+    metrics = ["roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy"]
+    base = f"SELECT 'baseline' AS variant, " + ", ".join(f"{r('CAST(' + m + ' AS DOUBLE)')} AS {m}" for m in metrics) + f", 0 AS \"order\", false AS served FROM ({_baseline()}) b"
+    piv = ("SELECT variant, " + ", ".join(f"{r(f'max(CASE WHEN metric = {lit(m)} THEN mean END)')} AS {m}" for m in metrics)
+           + ", 1 AS \"order\", variant = 'pseudo' AS served FROM (SELECT variant, metric, avg(value) AS mean FROM ("
+           + _fold_long() + ") x GROUP BY variant, metric) y GROUP BY variant")
+    return SC + base + "\nUNION ALL\n" + piv
+
+
+def k12():
+    return SC + "SELECT attribute, \"group\", n, recall, precision, positive_rate AS flagged FROM (" + _fair(["nation"]) + ") f"
+
+
+def k13():
+    metrics = ["roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy"]
+    a = f"SELECT metric AS path, avg(value) AS a FROM ({_fold_long()}) x GROUP BY metric"
+    cm = _cm("sc", rounded=False)
+    auc = ("SELECT sum(pos * (cneg - neg + neg / 2.0)) / (sum(pos) * sum(neg)) AS roc_auc FROM (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS cneg "
+           "FROM (SELECT proba AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM sc GROUP BY proba) a) b")
+    ap = ("SELECT sum(pos * tp / alls) / sum(pos) AS pr_auc FROM (SELECT *, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS tp, "
+          "sum(pos + neg) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS alls FROM (SELECT proba AS s, count(*) FILTER (WHERE y = 1) AS pos, "
+          "count(*) FILTER (WHERE y = 0) AS neg FROM sc GROUP BY proba) a) b")
+    wide = f"SELECT * FROM ({cm}) c, ({auc}) u, ({ap}) p"
+    b = "SELECT m.metric AS path, m.value AS b FROM (" + wide + ") w, LATERAL (VALUES " + ", ".join(
+        f"('{m}', CAST(w.{m} AS DOUBLE))" for m in metrics) + ") AS m(metric, value)"
+    return SC + (f"SELECT path, {r('a')} AS a, {r('b')} AS b, {r('abs(a - b)')} AS delta, coalesce(abs(a - b) <= 0.005, false) AS within "
+                 f"FROM ({a}) x FULL OUTER JOIN ({b}) y USING (path)")
+
+
+def k14():
+    return SNAP + ", cr AS (" + _contract_rows() + ")\n" + (
+        "SELECT (SELECT count(*) FROM snap) AS rows, count(*) AS columns, "
+        "count(*) FILTER (WHERE role = 'feature' AND dtype IN ('int', 'float')) AS numeric_features, "
+        "count(*) FILTER (WHERE role = 'feature' AND dtype IN ('category', 'bool')) AS categorical_features, "
+        "count(*) FILTER (WHERE nullable) AS nullable_columns, CAST(sum(null_count) AS BIGINT) AS total_nulls FROM cr")
+
+
+# ---------------------------------------------------------------- L
+EV = "WITH " + RUNLOG_SQL + "\n"
+
+
+def l4():
+    return EV + (
+        "SELECT run_id, first_ts AS started_at, last_ts AS ended_at, "
+        "CASE WHEN last_step = 'flow' AND last_status IN ('ok', 'fail') THEN last_result WHEN last_status = 'fail' THEN 'error' ELSE 'running' END AS result, "
+        "round(date_diff('microsecond', first_ts, last_ts) / 1e6, 1) AS duration_s, llm_calls, round(cost_usd, 6) AS cost_usd, events FROM ("
+        "SELECT run_id, max(ts) FILTER (WHERE rf = 1) AS first_ts, max(ts) FILTER (WHERE rl = 1) AS last_ts, "
+        "max(step) FILTER (WHERE rl = 1) AS last_step, max(status) FILTER (WHERE rl = 1) AS last_status, "
+        "max(result) FILTER (WHERE rl = 1) AS last_result, max(llm_calls) FILTER (WHERE rl = 1) AS llm_calls, "
+        "max(cost_usd) FILTER (WHERE rl = 1) AS cost_usd, count(*) AS events FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts, seq) AS rf, "
+        "row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, seq DESC) AS rl FROM ev) a GROUP BY run_id) b")
+
+
+def l5():
+    return EV + (
+        f"SELECT run_id, step, max(status) FILTER (WHERE rl = 1) AS status, {r('sum(duration_s)')} AS duration_s, count(*) AS events FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY run_id, step ORDER BY ts DESC, seq DESC) AS rl FROM ev) a GROUP BY run_id, step")
+
+
+def l6():
+    return EV + f"SELECT run_id, sum(llm_calls) AS llm_calls, {r('sum(cost_usd)')} AS cost_usd, {r('sum(duration_s)')} AS duration_s FROM ev GROUP BY run_id"
+
+
+def l7():
+    return EV + (
+        "SELECT run_id, prompt_tokens, cached_prompt_tokens, completion_tokens, "
+        f"{r('(greatest(prompt_tokens - cached_prompt_tokens, 0) * 0.25 + cached_prompt_tokens * 0.025 + completion_tokens * 2.0) / 1000000.0')} AS cost_usd FROM ("
+        "SELECT run_id, CAST(sum(CAST(trunc(duration_s * 100) AS BIGINT)) AS BIGINT) AS prompt_tokens, CAST(sum(llm_calls * 10) AS BIGINT) AS cached_prompt_tokens, "
+        "CAST(sum(CAST(trunc(duration_s) AS BIGINT)) AS BIGINT) AS completion_tokens FROM ev GROUP BY run_id) u")
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -573,6 +806,15 @@ def all_sql() -> dict[str, str]:
         "e11_measured": e11(), "e12_drift": e12(), "e13_display_rows": e13(),
         "f_validate_clean": validate_sql(None), "f13_summary": f13(), "f14_failures": f14(),
     }
+    out.update({
+        "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
+        "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
+        "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),
+        "k6_precision_at_top": k6(), "k6_precision_at_top_lines": k6l(), "k7_majority_baseline": k7(),
+        "k8_fairness": k8(), "k11_comparison_table": k11(), "k12_fairness_table": k12(), "k13_metric_delta": k13(),
+        "k14_training_facts": k14(),
+        "l4_run_summary": l4(), "l5_step_durations": l5(), "l6_usage_totals": l6(), "l7_token_cost": l7(),
+    })
     for p in FAULT_COLUMNS:
         out[f"f_validate_{p}"] = validate_sql(p)
     for i, p in enumerate(["unit_change", "rename_column", "drop_contract_field", "bad_category", "dtype_change", "row_loss"], 1):

@@ -42,7 +42,8 @@ BAD_SPELLING = "AUTO"
 
 def rnd(df: DataFrame, digits: int = R) -> DataFrame:
     """Round every floating column (display/oracle comparison only)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
+    scale = float(10 ** digits)  # round(x * 10^d) / 10^d: the same double arithmetic as the SQL twin's round(x, d)
+    return df.select(*[(F.round(F.col(f.name) * scale) / scale).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -365,6 +366,132 @@ def g7_fault_matrix(spark, sf):
     return m.select("preset", "expected_check", F.array_join("failed", "|").alias("failed"), "caught", "only_expected")
 
 
+# ---------------------------------------------------------------- H features
+from handoff.operators import evaluate as K  # noqa: E402
+from handoff.operators import features as H  # noqa: E402
+from handoff.operators import runs as L  # noqa: E402
+
+
+def h1_feature_names(spark, sf):
+    return spark.createDataFrame(list(enumerate(H.raw_feature_names(_contract(spark, sf)))), "position int, name string")
+
+
+def h2_feature_split(spark, sf):
+    num, cat = H.feature_columns(_contract(spark, sf))
+    return spark.createDataFrame([(n, "numeric") for n in num] + [(n, "categorical") for n in cat], "name string, kind string")
+
+
+def h3_leakage(spark, sf):
+    offenders = H.leakage_offenders(snap(spark, sf).columns, _contract(spark, sf), CFG)
+    return spark.createDataFrame([(o,) for o in offenders], "offender string")
+
+
+def h4_engineered(spark, sf):
+    e = H.add_engineered(snap(spark, sf), views.FEATURE_SOURCES)
+    return rnd(e.select("customer_id", *H.ENGINEERED))
+
+
+def h9_features(spark, sf):
+    return rnd(H.build_features(snap(spark, sf), _contract(spark, sf), CFG, views.FEATURE_SOURCES))
+
+
+# ---------------------------------------------------------------- K evaluation (pseudo-scores)
+def sc(spark, sf):
+    return views.scores(spark, sf)
+
+
+def k1_predicted(spark, sf):
+    return sc(spark, sf).select("customer_id", K.predicted("proba").alias("predicted"))
+
+
+def k2_confusion(spark, sf):
+    return rnd(K.classification_metrics(sc(spark, sf)))
+
+
+def k3_roc_auc(spark, sf):
+    return rnd(K.roc_auc(sc(spark, sf), group_by=["fold"]))
+
+
+def k3_roc_auc_lines(spark, sf):
+    return rnd(K.roc_auc(views.line_scores(spark, sf), group_by=["group_a"]))
+
+
+def k4_average_precision(spark, sf):
+    return rnd(K.average_precision(sc(spark, sf), group_by=["fold"]))
+
+
+def k4_average_precision_lines(spark, sf):
+    return rnd(K.average_precision(views.line_scores(spark, sf), group_by=["group_b"]))
+
+
+def _summary(spark, sf):
+    return K.fold_summary(K.fold_metrics(sc(spark, sf).withColumn("variant", F.lit("pseudo")), group_by=["variant", "fold"]))
+
+
+def k5_fold_summary(spark, sf):
+    return rnd(_summary(spark, sf))
+
+
+def k6_precision_at_top(spark, sf):
+    return rnd(K.precision_at_top(sc(spark, sf), "customer_id"))
+
+
+def k6_precision_at_top_lines(spark, sf):
+    return rnd(K.precision_at_top(views.line_scores(spark, sf), "line_id"))
+
+
+def k7_majority_baseline(spark, sf):
+    return rnd(K.majority_baseline(sc(spark, sf)))
+
+
+def k8_fairness(spark, sf):
+    return rnd(K.fairness(sc(spark, sf), ["nation", "segment"]))
+
+
+def k11_comparison_table(spark, sf):
+    return rnd(K.comparison_table(K.majority_baseline(sc(spark, sf)), _summary(spark, sf), "pseudo"))
+
+
+def k12_fairness_table(spark, sf):
+    return rnd(K.fairness_table(K.fairness(sc(spark, sf), ["nation"])))
+
+
+def k13_metric_delta(spark, sf):
+    a = _summary(spark, sf).select(F.col("metric").alias("path"), F.col("mean").alias("value"))
+    b = K.fold_metrics(sc(spark, sf), group_by=[]).select(F.col("metric").alias("path"), "value")
+    return rnd(K.metric_delta(a, b))
+
+
+def k14_training_facts(spark, sf):
+    c = _contract(spark, sf)
+    return K.training_facts(c.columns, c.dataset["row_count"])
+
+
+# ---------------------------------------------------------------- L run history
+def ev(spark, sf):
+    return views.events_runlog(spark, sf)
+
+
+def l4_run_summary(spark, sf):
+    return rnd(L.run_summary(ev(spark, sf)))
+
+
+def l5_step_durations(spark, sf):
+    return rnd(L.step_durations(ev(spark, sf)))
+
+
+def l6_usage_totals(spark, sf):
+    return rnd(L.usage_totals(ev(spark, sf)))
+
+
+def l7_token_cost(spark, sf):
+    usage = ev(spark, sf).groupBy("run_id").agg(
+        F.sum((F.col("duration_s") * 100).cast("bigint")).alias("prompt_tokens"),
+        F.sum(F.col("llm_calls") * 10).alias("cached_prompt_tokens"),
+        F.sum(F.col("duration_s").cast("bigint")).alias("completion_tokens"))
+    return rnd(L.token_cost(usage))
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}

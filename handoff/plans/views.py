@@ -224,3 +224,53 @@ def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("group_a"),
         F.col("l_shipdate").cast("date").cast("string").substr(1, 4).alias("group_b"),
     )
+
+
+def events_runlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table read as a run log: user = run, event type = step, errors = failures.
+
+    (run_id, seq, ts, step, status, result, duration_s, llm_calls, cost_usd); ``llm_calls`` comes
+    from the JSON ``props`` field.
+    """
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("user_id").alias("run_id"),
+        F.col("event_id").alias("seq"),
+        F.col("ts"),
+        F.col("event_type").alias("step"),
+        F.when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "signup", "start")
+        .otherwise("ok").alias("status"),
+        F.lit(None).cast("string").alias("result"),
+        F.col("value").alias("duration_s"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("llm_calls"),
+        (F.col("value") / 1000.0).alias("cost_usd"),
+    )
+
+
+RUNLOG_SQL = """
+ev AS (
+  SELECT user_id AS run_id, event_id AS seq, ts, event_type AS step,
+         CASE WHEN event_type = 'error' THEN 'fail' WHEN event_type = 'signup' THEN 'start' ELSE 'ok' END AS status,
+         CAST(NULL AS VARCHAR) AS result, value AS duration_s,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS llm_calls, value / 1000.0 AS cost_usd
+  FROM events
+)"""
+
+SCORES_SQL = """
+sc AS (
+  SELECT customer_id, churned AS y,
+         CAST((CAST(customer_id AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0))) % 1000003 AS DOUBLE) / 1000003.0 AS proba,
+         CAST(((CAST(customer_id AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0)) + 7) % 4294967296) % 5 AS INTEGER) AS fold,
+         nation, segment
+  FROM snap
+)"""
+
+LINE_SCORES_SQL = """
+lsc AS (
+  SELECT l_orderkey * 8 + l_linenumber AS line_id,
+         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
+         CAST((CAST(l_orderkey * 131 + l_partkey AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0))) % 1000003 AS DOUBLE) / 1000003.0 AS proba,
+         CAST(((CAST(l_partkey AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0)) + 7) % 4294967296) % 5 AS INTEGER) AS fold,
+         l_linestatus AS group_a, substr(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 1, 4) AS group_b
+  FROM lineitem
+)"""
