@@ -790,6 +790,27 @@ def l7():
         "CAST(sum(CAST(trunc(duration_s) AS BIGINT)) AS BIGINT) AS completion_tokens FROM ev GROUP BY run_id) u")
 
 
+# ---------------------------------------------------------------- A (round trips)
+def a2():
+    return "SELECT trim(p_name) AS name, coalesce(trim(p_type), '') AS description FROM part WHERE trim(p_name) <> ''"
+
+
+def a4():
+    return SNAP + "\nSELECT " + _round_cols(SNAP_COLS) + " FROM snap"
+
+
+def a7():
+    return EV + f"SELECT run_id, seq, ts, step, status, {r('duration_s')} AS duration_s, llm_calls, {r('cost_usd')} AS cost_usd FROM ev"
+
+
+def a11():
+    return "SELECT 'region' AS name, 'not listed' AS problem"
+
+
+def e14():
+    return "SELECT CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS committed, CAST(NULL AS VARCHAR) AS fresh WHERE false"
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -807,6 +828,8 @@ def all_sql() -> dict[str, str]:
         "f_validate_clean": validate_sql(None), "f13_summary": f13(), "f14_failures": f14(),
     }
     out.update({
+        "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
+        "a11_verify_manifest": a11(), "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
         "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
         "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),

@@ -492,6 +492,73 @@ def l7_token_cost(spark, sf):
     return rnd(L.token_cost(usage))
 
 
+# ---------------------------------------------------------------- A sources (round trips through storage)
+from handoff.sources import artifacts as A  # noqa: E402
+from handoff.sources import tables as T  # noqa: E402
+from handoff.sources.fingerprint import fingerprint  # noqa: E402
+
+
+def a2_dictionary(spark, sf):
+    """A dictionary sheet derived from ``part``: a header line holding the marker, then one line per part."""
+    part = t(spark, sf, "part")
+    header = spark.range(1).select(F.lit(-1).cast("long").alias("line"), F.lit(None).cast("string").alias("c0"),
+                                   F.lit("Variable").alias("c1"), F.lit("Discerption").alias("c2"))
+    body = part.select(F.col("p_partkey").alias("line"), F.lit(None).cast("string").alias("c0"),
+                       F.col("p_name").alias("c1"), F.col("p_type").alias("c2"))
+    return T.locate_header(header.unionByName(body), "Variable", "line")
+
+
+def a4_write_table(spark, sf):
+    path = A.scratch_path(spark, "clean-table")
+    T.write_table(snap(spark, sf), path, CFG.primary_key)
+    return rnd(spark.read.parquet(path))
+
+
+def a5_contract_roundtrip(spark, sf):
+    path = A.scratch_path(spark, "contract")
+    A.write_contract(_contract(spark, sf), path)
+    c = A.read_contract(spark, path)
+    return c.columns.select("name", "position", "dtype", "role", "unit", "nullable", "null_count",
+                            F.array_join("allowed_values", "|").alias("allowed_values"), "min", "max")
+
+
+def a7_read_events(spark, sf):
+    path = A.scratch_path(spark, "events")
+    ev(spark, sf).select(F.col("run_id").cast("string").alias("run_id"), "seq", "ts", "step", "status", "duration_s",
+                         "llm_calls", "cost_usd").write.mode("overwrite").option(
+        "timestampNTZFormat", A.TS_FORMAT).json(path)
+    got = A.read_events(spark, f"{path}/*.json")
+    return rnd(got.select(F.col("run_id").cast("long").alias("run_id"), "seq", "ts", "step", "status", "duration_s",
+                          "llm_calls", "cost_usd"))
+
+
+def a8_file_digests(spark, sf):
+    return A.file_digests(spark, f"{sf}/*.parquet").select("name", "bytes", "sha256")
+
+
+def a9_fingerprint(spark, sf):
+    return fingerprint(t(spark, sf, "lineitem"))
+
+
+def a10_manifest(spark, sf):
+    names = ["customer", "orders", "lineitem", "nation"]
+    return A.manifest(spark, {n: f"{n}.parquet" for n in names}, f"{sf}/*.parquet").select("name", "sha256", "bytes")
+
+
+def a11_verify_manifest(spark, sf):
+    names = ["customer", "orders", "lineitem", "nation"]
+    listed = A.manifest(spark, {n: f"{n}.parquet" for n in names}, f"{sf}/*.parquet")
+    return A.verify_manifest(listed, A.file_digests(spark, f"{sf}/*.parquet"), required=names + ["region"])
+
+
+def e14_contract_roundtrip_diff(spark, sf):
+    path = A.scratch_path(spark, "contract")
+    c = _contract(spark, sf)
+    A.write_contract(c, path)
+    back = E.measured_fields(A.read_contract(spark, path))
+    return E.contract_drift(E.measured_fields(c), back)
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}
