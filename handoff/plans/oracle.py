@@ -811,6 +811,44 @@ def e14():
     return "SELECT CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS committed, CAST(NULL AS VARCHAR) AS fresh WHERE false"
 
 
+# ---------------------------------------------------------------- I / J (relational parts)
+NUM_IN = ["tenure_months", "region_key", "account_balance", "order_count", "coupon_used", "days_since_last", "cashback",
+          "returned", "cashback_per_order", "orders_per_tenure_month", "coupon_rate"]
+CAT_IN = ["segment", "payment_mode", "recency_bucket"]
+
+
+def _knuth(key, seed):
+    return f"((CAST({key} AS DECIMAL(20,0)) * CAST(2654435761 AS DECIMAL(10,0)) + {seed}) % 4294967296)"
+
+
+def i1():
+    parts = [f"SELECT {f} AS train_fold, {lit(c)} AS {q('column')}, {r(f'quantile_cont({c}, 0.5)')} AS median "
+             f"FROM fe WHERE fold <> {f} AND {c} IS NOT NULL" for f in range(5) for c in NUM_IN]
+    return SNAP + _eng_cte() + f", fe AS (SELECT *, CAST({_knuth('customer_id', 7)} % 5 AS INTEGER) AS fold FROM eng)\n" + union(parts)
+
+
+def i2():
+    parts = [f"SELECT {lit(c)} AS {q('column')}, {r('m')} AS median, {r(f'avg(coalesce({c}, m))')} AS mean, "
+             f"{r(f'stddev_pop(coalesce({c}, m))')} AS std FROM eng, (SELECT quantile_cont({c}, 0.5) AS m FROM eng) x GROUP BY m"
+             for c in NUM_IN]
+    return SNAP + _eng_cte() + union(parts)
+
+
+def i3():
+    parts = [f"SELECT {lit(c)} AS {q('column')}, mode FROM (SELECT CAST({c} AS VARCHAR) AS mode, count(*) AS n FROM eng "
+             f"WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, mode LIMIT 1)" for c in CAT_IN]
+    return SNAP + _eng_cte() + union(parts)
+
+
+def j1():
+    return SNAP + (f"\nSELECT customer_id, churned, CAST((row_number() OVER (PARTITION BY churned ORDER BY "
+                   f"{_knuth('customer_id', 42)}, customer_id) - 1) % 5 AS INTEGER) AS fold FROM snap")
+
+
+def j9():
+    return SC + f"SELECT customer_id, y, {r('proba')} AS proba, nation FROM sc"
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -829,7 +867,8 @@ def all_sql() -> dict[str, str]:
     }
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
-        "a11_verify_manifest": a11(), "e14_contract_roundtrip_diff": e14(),
+        "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
+        "j1_folds": j1(), "j9_attach_protected": j9(), "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
         "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
         "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),

@@ -559,6 +559,148 @@ def e14_contract_roundtrip_diff(spark, sf):
     return E.contract_drift(E.measured_fields(c), back)
 
 
+# ---------------------------------------------------------------- I / J / K9 training (pyspark.ml)
+from handoff.plans import train as J  # noqa: E402
+
+
+@lru_cache(maxsize=4)
+def _features(spark, sf):
+    c = _contract(spark, sf)
+    fe = H.build_features(snap(spark, sf), c, CFG, views.FEATURE_SOURCES)
+    num, cat = H.feature_columns(c)
+    return fe.checkpoint(), num + list(H.ENGINEERED_NUMERIC), cat + list(H.ENGINEERED_CATEGORICAL)
+
+
+def _with_pseudo_fold(df):
+    return df.withColumn("fold", F.pmod(knuth_hash(F.col(CFG.primary_key), 7), F.lit(5)).cast("int"))
+
+
+def i1_fold_medians(spark, sf):
+    fe, num, _ = _features(spark, sf)
+    return rnd(J.fold_medians(_with_pseudo_fold(fe), num))
+
+
+def i2_standardise(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    st = J.fit_prep(fe, num, [])
+    return rnd(spark.createDataFrame([(c, st.medians[c], st.means[c], st.stds[c]) for c in num],
+                                     "column string, median double, mean double, std double"))
+
+
+def i3_most_frequent(spark, sf):
+    fe, _, cat = _features(spark, sf)
+    modes = J.most_frequent(fe, cat)
+    return spark.createDataFrame(sorted(modes.items()), "column string, mode string")
+
+
+def i4_encoded_width(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    st = J.fit_prep(fe, num, cat)
+    model = Pipeline_fit(J.encoder_stages(num, cat), J.apply_prep(fe, st))
+    out = model.transform(J.apply_prep(fe, st))
+    from pyspark.ml.functions import vector_to_array
+    return out.select(CFG.primary_key, F.size(vector_to_array("features")).alias("width"))
+
+
+def Pipeline_fit(stages, df):
+    from pyspark.ml import Pipeline
+    return Pipeline(stages=stages).fit(df)
+
+
+def j1_folds(spark, sf):
+    fe, _, _ = _features(spark, sf)
+    return J.assign_folds(fe.select(CFG.primary_key, CFG.target), CFG.target, CFG.primary_key, 5, CFG.seed,
+                          order=knuth_hash(F.col(CFG.primary_key), CFG.seed))
+
+
+@lru_cache(maxsize=4)
+def _cv(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    variants = {"logreg": J.default_variants(fe.count(), CFG.seed)["logreg"]}
+    oof, per_fold = J.cross_validate(fe, CFG.primary_key, CFG.target, num, cat, variants, 5, CFG.seed)
+    return oof, per_fold.checkpoint(), K.fold_summary(per_fold).checkpoint()
+
+
+def j5_cross_validate(spark, sf):
+    return rnd(_cv(spark, sf)[2])
+
+
+def j5_out_of_fold(spark, sf):
+    return rnd(_cv(spark, sf)[0])
+
+
+@lru_cache(maxsize=4)
+def _served(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    summary = _cv(spark, sf)[2]
+    name = J.serve_best(summary, ["logreg"])
+    est = J.default_variants(fe.count(), CFG.seed)[name]
+    return J.fit(fe, est, num, cat, CFG.target, name)
+
+
+def j3_random_forest_fit(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["random_forest"], num, cat, CFG.target, "random_forest")
+    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+
+
+def j4_hist_gb_fit(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["hist_gb"], num, cat, CFG.target, "hist_gb")
+    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+
+
+def j6_serve_best(spark, sf):
+    m = _served(spark, sf)
+    return spark.createDataFrame([(m.variant, len(m.numeric), len(m.categorical))],
+                                 "served string, numeric_inputs int, categorical_inputs int")
+
+
+def j7_save_load(spark, sf):
+    path = A.scratch_path(spark, "model")
+    m = _served(spark, sf)
+    m.save(spark, path)
+    back = J.FittedModel.load(spark, path)
+    fe, _, _ = _features(spark, sf)
+    a = J.score(m, fe, keep=[CFG.primary_key]).withColumnRenamed("proba", "a")
+    b = J.score(back, fe, keep=[CFG.primary_key]).withColumnRenamed("proba", "b")
+    return a.join(b, CFG.primary_key).select(CFG.primary_key, (F.abs(F.col("a") - F.col("b")) < 1e-12).alias("same"))
+
+
+def j8_score(spark, sf):
+    """Score contract-shaped rows (the clean snapshot): engineered features are derived first."""
+    s = H.add_engineered(snap(spark, sf), views.FEATURE_SOURCES)
+    return rnd(J.score(_served(spark, sf), s, keep=[CFG.primary_key]))
+
+
+def j9_attach_protected(spark, sf):
+    scores = sc(spark, sf).select("customer_id", "y", "proba")
+    protected = snap(spark, sf).select("customer_id", *CFG.protected)
+    return rnd(J.attach_protected(scores, protected, "customer_id"))
+
+
+def j10_metrics_document(spark, sf):
+    fe, _, _ = _features(spark, sf)
+    oof, _, summary = _cv(spark, sf)
+    y = oof.select(F.col("y"))
+    served = _served(spark, sf).variant
+    fair = K.fairness(J.attach_protected(oof.where(F.col("variant") == served), snap(spark, sf).select("customer_id", "nation"),
+                                         "customer_id"), ["nation"])
+    rate = y.agg(F.avg("y")).collect()[0][0]
+    return rnd(J.metrics_document(fe.count(), rate, K.majority_baseline(oof.where(F.col("variant") == served)),
+                                  summary, served, None, fair))
+
+
+def k9_permutation_importance(spark, sf):
+    fe, _, _ = _features(spark, sf)
+    return rnd(J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed))
+
+
+def k10_ranked_importances(spark, sf):
+    fe, _, _ = _features(spark, sf)
+    return rnd(K.ranked_importances(J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed)))
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}
