@@ -868,7 +868,8 @@ def all_sql() -> dict[str, str]:
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
-        "j1_folds": j1(), "j9_attach_protected": j9(), "e14_contract_roundtrip_diff": e14(),
+        "j1_folds": j1(), "j9_attach_protected": j9(), "m2_live_run_status": l4(),
+        "m1_event_tail": EV + f"SELECT run_id, seq, ts, step, status, result, {r('duration_s')} AS duration_s, llm_calls, {r('cost_usd')} AS cost_usd FROM ev", "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
         "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
         "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),

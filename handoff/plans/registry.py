@@ -701,6 +701,46 @@ def k10_ranked_importances(spark, sf):
     return rnd(K.ranked_importances(J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed)))
 
 
+# ---------------------------------------------------------------- M streaming
+from handoff.streaming import streams as M  # noqa: E402
+
+
+def _event_stream(spark, sf):
+    schema = t(spark, sf, "events").schema
+    return M.read_stream(spark, sf, schema, glob="events.parquet")
+
+
+def m1_event_tail(spark, sf):
+    out = M.tail_to_table(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "tail"))
+    return rnd(out)
+
+
+def m2_live_run_status(spark, sf):
+    return rnd(M.live_run_status(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "status")))
+
+
+def _snapshot_files(spark, sf, n_files=4):
+    """The clean snapshot landed as several files (one micro-batch each)."""
+    path = A.scratch_path(spark, "landing")
+    snap(spark, sf).repartitionByRange(n_files, CFG.primary_key).write.parquet(path)
+    return path, spark.read.parquet(path).schema
+
+
+def m3_validate_stream(spark, sf):
+    path, schema = _snapshot_files(spark, sf)
+    stream = M.read_stream(spark, path, schema, max_files_per_trigger=1)
+    rep = M.validate_stream(stream, _contract(spark, sf), A.scratch_path(spark, "reports"), REQUIRED)
+    return rep.select("batch_id", *REPORT_COLS)
+
+
+def m4_score_stream(spark, sf):
+    path, schema = _snapshot_files(spark, sf)
+    stream = M.read_stream(spark, path, schema, max_files_per_trigger=1)
+    model = _served(spark, sf)
+    scorer = lambda df: J.score(model, H.add_engineered(df, views.FEATURE_SOURCES), keep=[CFG.primary_key])
+    return rnd(M.score_stream(stream, scorer, A.scratch_path(spark, "scores")))
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}

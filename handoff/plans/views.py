@@ -227,12 +227,16 @@ def line_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_runlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table read as a run log: user = run, event type = step, errors = failures.
+    """The ``events`` table read as a run log (see ``runlog_from_events``)."""
+    return runlog_from_events(table(spark, sf_dir, "events"))
+
+
+def runlog_from_events(ev: DataFrame) -> DataFrame:
+    """Events as a run log: user = run, event type = step, errors = failures (batch or stream).
 
     (run_id, seq, ts, step, status, result, duration_s, llm_calls, cost_usd); ``llm_calls`` comes
     from the JSON ``props`` field.
     """
-    ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("user_id").alias("run_id"),
         F.col("event_id").alias("seq"),
