@@ -741,6 +741,36 @@ def m4_score_stream(spark, sf):
     return rnd(M.score_stream(stream, scorer, A.scratch_path(spark, "scores")))
 
 
+# ---------------------------------------------------------------- L1-L3 gates
+from handoff.plans import handover as P  # noqa: E402
+
+
+def l1_handover_gate(spark, sf):
+    rows = []
+    for preset in [None, *FAULT_COLUMNS]:
+        full = V.validate(*(_tampered(spark, sf, preset) if preset else (snap(spark, sf), _contract(spark, sf))), REQUIRED)
+        passed, text = P.gate(full)
+        rows.append((preset or "clean", passed, "next stage" if passed else "stop", text.splitlines()[0]))
+    return spark.createDataFrame(rows, "case string, passed boolean, action string, headline string")
+
+
+def l2_output_checks(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    oof, _, summary = _cv(spark, sf)
+    served = _served(spark, sf).variant
+    top = {served: K.precision_at_top(oof.where(F.col("variant") == served), CFG.primary_key).collect()[0][0]}
+    base = K.majority_baseline(fe.select(F.col(CFG.target).alias("y")))
+    return P.output_checks(summary, base, served, top, num + cat, [CFG.primary_key, CFG.target, *CFG.protected],
+                           j8_score(spark, sf), artifacts=["features", "scores"], present=["features", "scores"])
+
+
+def l3_publish(spark, sf):
+    run, pub = A.scratch_path(spark, "run"), A.scratch_path(spark, "published")
+    ok = bool(l2_output_checks(spark, sf).agg(F.bool_and("passed")).collect()[0][0])
+    status = P.publish({"features": _features(spark, sf)[0], "scores": j8_score(spark, sf)}, run, pub, ok)
+    return spark.createDataFrame([(status, ok)], "status string, gates_passed boolean")
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}
