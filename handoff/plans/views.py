@@ -278,3 +278,16 @@ lsc AS (
          l_linestatus AS group_a, substr(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 1, 4) AS group_b
   FROM lineitem
 )"""
+
+
+LINE_CONFIG = Config(primary_key="line_key", target="returned", protected=("l_linestatus",),
+                     units={"l_extendedprice": "USD"}, int_columns=("line_key", "returned"), seed=42)
+
+
+def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as a hand-over table: key = orderkey * 8 + linenumber (repeats exist), target = returned."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_key"),
+                     F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("returned"),
+                     "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     "l_linestatus", F.col("l_shipdate").cast("date").cast("string").substr(1, 7).alias("ship_month"))
