@@ -111,9 +111,14 @@ def clean(
     lazy; cache the input if both outputs are used.
     """
     key = cfg.primary_key
+    from handoff.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     stripped = strip_text_columns(df)
     fixes = entity_fix_counts(stripped, cfg.entity_map)
-    mapped = apply_entity_map(stripped, cfg.entity_map)
+    # five consumers (fix counts, step counts, null counts, output, report) read the mapped rows:
+    # written once to the shared checkpoint folder instead of recomputing the upstream plan each time
+    mapped = apply_entity_map(stripped, cfg.entity_map).checkpoint()
     exact = drop_exact(mapped)
     ids = keep_first(exact, key, order_by)
     records = drop_same_records(ids, key) if drop_duplicate_records else ids
@@ -122,7 +127,7 @@ def clean(
 
     spark = df.sparkSession
     counts = [
-        ("rows_in", df), ("after_exact", exact), ("after_ids", ids), ("rows_out", records),
+        ("rows_in", mapped), ("after_exact", exact), ("after_ids", ids), ("rows_out", records),
     ]
     long = None
     for name, frame in counts:

@@ -139,24 +139,26 @@ def combine_scalars(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFr
 def duplicate_counts(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
     """One row: rows, cols, duplicate_rows, duplicate_ids, duplicate_records (beyond the first).
 
-    Each count is ``sum(n - 1)`` over a ``groupBy``; partial aggregation collapses a hot group
-    before the shuffle.
+    One scan: the table is grouped once by all columns (partial aggregation collapses repeated
+    rows map-side); the key and non-key groupings are then aggregations of those distinct rows
+    weighted by their counts, each ``sum(n - 1)``.
     """
     keys = _keys(key)
     cols = df.columns
     non_key = [c for c in cols if c not in keys]
     spark = df.sparkSession
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
 
     def extra(group: list[str], name: str) -> DataFrame:
         if not group:
             return spark.range(1).select(F.lit(0).cast("long").alias(name))
-        g = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-        return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(name))
+        g = distinct.groupBy(*group).agg(F.sum("_n").alias("_m"))
+        return g.agg(F.coalesce(F.sum(F.col("_m") - 1), F.lit(0)).cast("long").alias(name))
 
     frames = [
-        df.agg(F.count(F.lit(1)).alias("rows")),
+        distinct.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows")),
         spark.range(1).select(F.lit(len(cols)).cast("long").alias("cols")),
-        extra(cols, "duplicate_rows"),
+        distinct.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows")),
         extra(keys if keys and all(k in cols for k in keys) else [], "duplicate_ids"),
         extra(non_key, "duplicate_records"),
     ]
