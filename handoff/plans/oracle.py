@@ -849,6 +849,32 @@ def j9():
     return SC + f"SELECT customer_id, y, {r('proba')} AS proba, nation FROM sc"
 
 
+def c9():
+    parts = [f"SELECT {lit(c)} AS {q('column')}, count(*) FILTER (WHERE {miss(c, t)}) AS null_count FROM cl" for c, t in SNAP_COLS]
+    return _clean_ctes() + "SELECT * FROM (" + union(parts) + ") x WHERE null_count > 0"
+
+
+def d12():
+    top = f"(SELECT col || ' (r = ' || printf('%+.2f', r) || ')' FROM ({union(_corr_parts())}) x WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY abs(r) DESC, col LIMIT 1)"
+    nulls = f"(SELECT count(*) FROM ({union([f'SELECT count(*) FILTER (WHERE {miss(c, t)}) AS n FROM snap' for c, t in SNAP_COLS])}) z WHERE n > 0)"
+    fixes = " + ".join(f"(SELECT count(*) FILTER (WHERE {strip(c)} = {lit(o)}) FROM raw)" for c, m in CFG.entity_map.items() for o in m)
+    pct = lambda x: f"coalesce(printf('%.1f', 100 * {x}) || '%', 'n/a')"
+    first = f"(SELECT avg(CAST(churned AS DOUBLE)) FROM snap WHERE tenure_months > -0.5 AND tenure_months <= 1.5)"
+    rows = [
+        ("Rows (raw)", "format('{:,}', (SELECT count(*) FROM raw))"),
+        ("Rows (clean)", "format('{:,}', (SELECT count(*) FROM cl))"),
+        ("Duplicate records removed", "format('{:,}', (SELECT count(*) FROM ids) - (SELECT count(*) FROM recs))"),
+        ("Spelling fixes applied", f"format('{{:,}}', {fixes})"),
+        ("Outcome rate", pct("(SELECT avg(churned) FROM snap)")),
+        ("Positive outcomes", "format('{:,}', (SELECT sum(churned) FROM snap))"),
+        ("Columns with missing values (kept)", f"CAST({nulls} AS VARCHAR)"),
+        ("Strongest correlate of the outcome", f"coalesce({top}, 'n/a')"),
+        ("Outcome rate when flagged", pct("(SELECT avg(churned) FILTER (WHERE returned = 1) FROM snap)")),
+        ("Outcome rate in the first bin", pct(first)),
+    ]
+    return _clean_ctes() + union([f"SELECT {i} AS position, {lit(m)} AS measure, {v} AS value" for i, (m, v) in enumerate(rows)])
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -868,6 +894,7 @@ def all_sql() -> dict[str, str]:
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
+        "c9_nulls_kept": c9(), "d12_key_numbers": d12(),
         "j1_folds": j1(), "j9_attach_protected": j9(), "m2_live_run_status": l4(),
         "m1_event_tail": EV + f"SELECT run_id, seq, ts, step, status, result, {r('duration_s')} AS duration_s, llm_calls, {r('cost_usd')} AS cost_usd FROM ev", "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),

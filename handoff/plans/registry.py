@@ -771,6 +771,56 @@ def l3_publish(spark, sf):
     return spark.createDataFrame([(status, ok)], "status string, gates_passed boolean")
 
 
+# ---------------------------------------------------------------- remaining inventory items
+def c9_nulls_kept(spark, sf):
+    _, rep = _cleaned(spark, sf)
+    return rep.where(F.col("section") == "nulls_kept").select("column", F.col("n").alias("null_count"))
+
+
+def _key_number_inputs(spark, sf):
+    s = snap(spark, sf)
+    o = D.overall_rate(s, CFG.target).collect()[0]
+    corr = D.top_drivers(D.correlations(s, CFG.target, _nums(s)), 1).collect()
+    flag = D.flag_rates(s, CFG.target, views.FLAG_COLUMN).collect()[0]
+    bins = {r["bin"]: r["rate"] for r in D.rate_by_bin(s, CFG.target, "tenure_months", views.TENURE_EDGES,
+                                                        views.TENURE_LABELS).collect()}
+    _, rep = _cleaned(spark, sf)
+    rows = rep.collect()
+    r = {(x["section"], x["column"]): x["n"] for x in rows if x["section"] != "entity_fix"}
+    fixes = sum(x["n"] for x in rows if x["section"] == "entity_fix")
+    stats = dict(n_rows=o["n_rows"], positive_rate=o["positive_rate"], positive_count=o["positive_count"],
+                 n_null_columns=D.null_map(s).count(), top_column=corr[0]["column"] if corr else None,
+                 top_r=corr[0]["r"] if corr else None, flag_rate=flag["rate_flag_1"], first_bin_rate=bins.get("0-1"))
+    cleaning = dict(rows_in=r[("rows_in", None)], rows_out=r[("rows_out", None)],
+                    duplicate_records_dropped=r[("duplicate_records_dropped", None)], fixes=fixes)
+    return stats, cleaning
+
+
+def d12_key_numbers(spark, sf):
+    stats, cleaning = _key_number_inputs(spark, sf)
+    return D.key_numbers(stats, cleaning, spark)
+
+
+def d13_key_numbers_match(spark, sf):
+    stats, cleaning = _key_number_inputs(spark, sf)
+    fresh = D.key_numbers(stats, cleaning, spark)
+    published = fresh.select("measure", "value")
+    tampered = fresh.select("measure", F.when(F.col("position") == 4, F.lit("0.0%")).otherwise(F.col("value")).alias("value"))
+    return spark.createDataFrame([("same", D.key_numbers_match(published, fresh)),
+                                  ("edited", D.key_numbers_match(tampered, fresh))], "case string, match boolean")
+
+
+def f1_integrity(spark, sf):
+    c = _contract(spark, sf)
+    rows = []
+    for preset in [None, "unit_change", "row_loss"]:
+        df, cc = _tampered(spark, sf, preset) if preset else (snap(spark, sf), c)
+        rep = V.validate(df, cc, REQUIRED, check_fingerprint=True).where(F.col("check") == "integrity")
+        r = rep.collect()[0]
+        rows.append((preset or "clean", r["passed"], r["hint"]))
+    return spark.createDataFrame(rows, "case string, passed boolean, hint string")
+
+
 def all_queries():
     return {k: v for k, v in globals().items() if callable(v) and k[:1] in "abcdefghijklm" and k[1:2].isdigit()
             or k.startswith("f_validate")}
