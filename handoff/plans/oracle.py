@@ -875,6 +875,33 @@ def d12():
     return _clean_ctes() + union([f"SELECT {i} AS position, {lit(m)} AS measure, {v} AS value" for i, (m, v) in enumerate(rows)])
 
 
+EXPECTED = {"unit_change": "range", "rename_column": "columns", "drop_contract_field": "columns",
+            "bad_category": "values", "dtype_change": "dtype", "row_loss": "rows"}
+
+
+def g7():
+    parts = []
+    for p, exp in EXPECTED.items():
+        parts.append(
+            f"SELECT {lit(p)} AS preset, {lit(exp)} AS expected_check, "
+            "string_agg(DISTINCT CASE WHEN NOT passed THEN \"check\" END, '|' ORDER BY CASE WHEN NOT passed THEN \"check\" END) AS failed, "
+            f"coalesce(bool_or(\"check\" = {lit(exp)} AND NOT passed), false) AS caught, "
+            f"coalesce(string_agg(DISTINCT CASE WHEN NOT passed THEN \"check\" END, '|') = {lit(exp)}, false) AS only_expected "
+            f"FROM ({validate_sql(p)}) rep")
+    return union(parts)
+
+
+def l1():
+    parts = []
+    for p in [None, *EXPECTED]:
+        parts.append(
+            f"SELECT {lit(p or 'clean')} AS \"case\", bool_and(passed) AS passed, "
+            "CASE WHEN bool_and(passed) THEN 'next stage' ELSE 'stop' END AS action, "
+            "'# Contract validation - ' || CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS headline "
+            f"FROM ({validate_sql(p)}) rep")
+    return union(parts)
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -894,7 +921,7 @@ def all_sql() -> dict[str, str]:
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
-        "c9_nulls_kept": c9(), "d12_key_numbers": d12(),
+        "c9_nulls_kept": c9(), "d12_key_numbers": d12(), "g7_fault_matrix": g7(), "l1_handover_gate": l1(),
         "j1_folds": j1(), "j9_attach_protected": j9(), "m2_live_run_status": l4(),
         "m1_event_tail": EV + f"SELECT run_id, seq, ts, step, status, result, {r('duration_s')} AS duration_s, llm_calls, {r('cost_usd')} AS cost_usd FROM ev", "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
