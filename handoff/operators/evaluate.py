@@ -47,23 +47,51 @@ def _per_score(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -
         F.count_if(F.col(y) == 1).cast("long").alias("_pos"), F.count_if(F.col(y) == 0).cast("long").alias("_neg"))
 
 
+def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -> DataFrame:
+    """One row per (group, distinct score) with ascending running totals and group totals.
+
+    Rows collapse to distinct scores first (map-side), then ONE distributed running-total pass;
+    descending totals are derived as total - ascending + current.
+    """
+    g = list(group_by)
+    per = _per_score(scores, y, proba, g)
+    cum = running_totals(per, [F.col("_s")], {"_cpos": F.col("_pos"), "_cneg": F.col("_neg")}, g)
+    totals = per.groupBy(*g).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))  # one row per group
+    if not g:  # a single group: key both one-row-per-group frames on a constant
+        cum, totals, g2 = cum.withColumn("_one", F.lit(1)), totals.withColumn("_one", F.lit(1)), ["_one"]
+    else:
+        g2 = g
+    cum = cum.join(totals, g2)
+    return cum.select(*g, "_s", "_pos", "_neg", "_cpos", "_cneg", "_P", "_N",
+                      (F.col("_P") - F.col("_cpos") + F.col("_pos")).alias("_tp_desc"),
+                      (F.col("_P") + F.col("_N") - F.col("_cpos") - F.col("_cneg") + F.col("_pos") + F.col("_neg")).alias("_all_desc"))
+
+
+def _auc_expr() -> F.Column:
+    return F.try_divide(F.sum(F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") / 2.0)),
+                        (F.first("_P") * F.first("_N")).cast("double"))
+
+
+def _ap_expr() -> F.Column:
+    return F.try_divide(F.sum(F.col("_pos") * F.col("_tp_desc") / F.col("_all_desc")), F.first("_P").cast("double"))
+
+
+def rank_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
+    """K3 + K4 from one pass: (group..., roc_auc, pr_auc)."""
+    g = list(group_by)
+    return _cumulated(scores, y, proba, g).groupBy(*g).agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc"))
+
+
 def roc_auc(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
     """K3: ROC-AUC per group, ties counted half (Mann-Whitney); NULL when a class is absent."""
     g = list(group_by)
-    per = _per_score(scores, y, proba, g)
-    cum = running_totals(per, [F.col("_s")], {"_cneg": F.col("_neg")}, g)
-    return cum.groupBy(*g).agg(
-        F.try_divide(F.sum(F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") / 2.0)),
-                     (F.sum("_pos") * F.sum("_neg")).cast("double")).alias("roc_auc"))
+    return _cumulated(scores, y, proba, g).groupBy(*g).agg(_auc_expr().alias("roc_auc"))
 
 
 def average_precision(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
     """K4: step-wise AP = sum over distinct thresholds of (R_i - R_{i-1}) * P_i."""
     g = list(group_by)
-    per = _per_score(scores, y, proba, g)
-    cum = running_totals(per, [F.col("_s").desc()], {"_tp": F.col("_pos"), "_all": F.col("_pos") + F.col("_neg")}, g)
-    return cum.groupBy(*g).agg(
-        F.try_divide(F.sum(F.col("_pos") * F.col("_tp") / F.col("_all")), F.sum("_pos").cast("double")).alias("pr_auc"))
+    return _cumulated(scores, y, proba, g).groupBy(*g).agg(_ap_expr().alias("pr_auc"))
 
 
 def fold_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ("fold",)) -> DataFrame:
@@ -75,8 +103,7 @@ def fold_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by
                                                    for m in names])))
 
     cm = long(classification_metrics(scores, y, proba, g), ["f1", "precision", "recall", "accuracy"])
-    return (long(roc_auc(scores, y, proba, g), ["roc_auc"]).unionByName(long(average_precision(scores, y, proba, g), ["pr_auc"]))
-            .unionByName(cm))
+    return long(rank_metrics(scores, y, proba, g), ["roc_auc", "pr_auc"]).unionByName(cm)
 
 
 def fold_summary(long: DataFrame, group_by: Sequence[str] = ("variant",)) -> DataFrame:
@@ -86,12 +113,27 @@ def fold_summary(long: DataFrame, group_by: Sequence[str] = ("variant",)) -> Dat
 
 def precision_at_top(scores: DataFrame, key: str, y: str = "y", proba: str = "proba",
                      frac: float = TOP_FRACTION) -> DataFrame:
-    """K6: share of positives among the top max(1, round(frac * n)) by score (ties by key)."""
-    n = scores.count()
+    """K6: share of positives among the top max(1, round(frac * n)) rows by score, ties by key.
+
+    Exact without ranking every row: per-score running counts locate the cut-off score; rows above
+    it are counted from the aggregate, and only the tie block AT the cut-off is ranked by key.
+    """
+    cum = _cumulated(scores, y, proba, []).withColumn("_cnt_desc", F.col("_all_desc"))
+    n = cum.agg(F.first("_P") + F.first("_N")).collect()[0][0] or 0
     k = max(1, int(round(frac * n)))
-    ranked = row_numbers(scores.select(key, y, proba), [F.col(proba).desc(), F.col(key)], name="_rank")
-    return ranked.where(F.col("_rank") <= k).agg(F.avg(F.col(y).cast("double")).alias("precision_at_top"),
-                                                  F.lit(k).alias("k"))
+    # the distinct score whose descending block holds position k
+    cut = cum.where((F.col("_cnt_desc") >= k) & (F.col("_cnt_desc") - F.col("_pos") - F.col("_neg") < k)).select(
+        "_s", (F.col("_tp_desc") - F.col("_pos")).alias("_tp_above"),
+        (F.col("_cnt_desc") - F.col("_pos") - F.col("_neg")).alias("_n_above")).collect()
+    if not cut:
+        return scores.sparkSession.createDataFrame([(None, k)], "precision_at_top double, k int")
+    s_cut, tp_above, n_above = cut[0]["_s"], cut[0]["_tp_above"], cut[0]["_n_above"]
+    need = k - n_above
+    ties = scores.where(F.col(proba) == F.lit(s_cut)).select(key, y)
+    ranked = row_numbers(ties, [F.col(key)], name="_rank").where(F.col("_rank") <= need)
+    tp_ties = ranked.agg(F.coalesce(F.sum(F.col(y)), F.lit(0)).alias("t"))
+    return tp_ties.select(((F.lit(tp_above) + F.col("t")) / F.lit(float(k))).alias("precision_at_top"),
+                          F.lit(k).alias("k"))
 
 
 def majority_baseline(scores: DataFrame, y: str = "y") -> DataFrame:
