@@ -73,8 +73,8 @@ def main():
 
     def evaluation():
         sc = views.line_scores(spark, sf_dir)
-        K.roc_auc(sc, group_by=["group_a"]).collect()
-        K.average_precision(sc).collect()
+        K.rank_metrics(sc, group_by=["group_a"]).collect()
+        K.rank_metrics(sc).collect()
         K.precision_at_top(sc, "line_id").collect()
         K.fairness(sc, ["group_a", "group_b"]).collect()
 

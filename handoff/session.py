@@ -34,7 +34,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the operator to a shared file system; only when it is unset (local
     tests) do we create a scratch folder of our own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)

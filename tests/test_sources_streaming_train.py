@@ -17,7 +17,10 @@ from tests.conftest import CHURN
 
 
 def scratch(spark, name):
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+    """A fresh local folder under the session's checkpoint folder (tests run locally)."""
+    base = ensure_checkpoint_dir(spark)
+    base = base[len("file:"):] if base.startswith("file:") else base
+    return f"{base}/{name}-{uuid.uuid4().hex[:8]}"
 
 
 def test_locate_header_by_content(spark):
