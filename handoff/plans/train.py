@@ -118,8 +118,11 @@ def default_variants(n_rows: int, seed: int = 42) -> dict:
     return {
         "logreg": LogisticRegression(maxIter=2000, regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
                                      standardization=False, weightCol="w"),
+        # maxMemoryInMB / cacheNodeIds are execution settings (more nodes per pass, node ids cached),
+        # not model settings
         "random_forest": RandomForestClassifier(numTrees=400, minInstancesPerNode=2, maxDepth=30, weightCol="w",
-                                                seed=seed, subsamplingRate=1.0, bootstrap=True),
+                                                seed=seed, subsamplingRate=1.0, bootstrap=True,
+                                                maxMemoryInMB=2048, cacheNodeIds=True),
         "hist_gb": GBTClassifier(stepSize=0.05, maxIter=400, maxDepth=5, seed=seed),
     }
 
@@ -184,8 +187,9 @@ class FittedModel:
 
 
 def fit(train: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str], target: str,
-        variant: str = "") -> FittedModel:
-    stats = fit_prep(train, numeric, categorical)
+        variant: str = "", stats: PrepStats | None = None) -> FittedModel:
+    """Fit preprocessing (unless ``stats`` of the same training rows is given) and the ml pipeline."""
+    stats = stats or fit_prep(train, numeric, categorical)
     prepared = apply_prep(train, stats).withColumn("label", F.col(target).cast("double"))
     if estimator.hasParam("weightCol") and estimator.isSet("weightCol") and "w" not in prepared.columns:
         prepared = balanced_weights(prepared, target)
@@ -210,9 +214,11 @@ def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str],
     """
     folded = assign_folds(df, target, key, k, seed).checkpoint()  # folds are fixed once, reused k x variants
     parts = []
-    for name, est in variants.items():
-        for i in range(k):
-            m = fit(folded.where(F.col("fold") != i), est.copy(), numeric, categorical, target, name)
+    for i in range(k):
+        train = folded.where(F.col("fold") != i)
+        stats = fit_prep(train, numeric, categorical)  # training rows of fold i only; shared by all variants
+        for name, est in variants.items():
+            m = fit(train, est.copy(), numeric, categorical, target, name, stats=stats)
             s = score(m, folded.where(F.col("fold") == i), keep=[key, "fold", target])
             parts.append(s.select(key, "fold", F.lit(name).alias("variant"), F.col(target).alias("y"), "proba"))
     oof = parts[0]
