@@ -14,6 +14,7 @@ from handoff.plans.views import (
     RUNLOG_SQL,
     SCORES_SQL,
     SNAPSHOT_CONFIG as CFG,
+    SNAPSHOT_DESCRIPTIONS,
     SNAPSHOT_SQL,
     TENURE_EDGES,
     TENURE_LABELS,
@@ -902,6 +903,11 @@ def l1():
     return union(parts)
 
 
+def e6():
+    rows = ", ".join(f"({lit(c)}, {lit(CFG.units.get(c))}, {lit(SNAPSHOT_DESCRIPTIONS.get(c, ''))})" for c, _ in SNAP_COLS)
+    return f"SELECT name, CAST(unit AS VARCHAR) AS unit, description FROM (VALUES {rows}) AS t(name, unit, description)"
+
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -921,7 +927,7 @@ def all_sql() -> dict[str, str]:
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
-        "c9_nulls_kept": c9(), "d12_key_numbers": d12(), "g7_fault_matrix": g7(), "l1_handover_gate": l1(),
+        "c9_nulls_kept": c9(), "e6_units_descriptions": e6(), "d12_key_numbers": d12(), "g7_fault_matrix": g7(), "l1_handover_gate": l1(),
         "j1_folds": j1(), "j9_attach_protected": j9(), "m2_live_run_status": l4(),
         "m1_event_tail": EV + f"SELECT run_id, seq, ts, step, status, result, {r('duration_s')} AS duration_s, llm_calls, {r('cost_usd')} AS cost_usd FROM ev", "e14_contract_roundtrip_diff": e14(),
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),

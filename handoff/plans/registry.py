@@ -248,6 +248,11 @@ def e9_contract(spark, sf):
                             F.array_join("allowed_values", "|").alias("allowed_values"), "min", "max")
 
 
+def e6_units_descriptions(spark, sf):
+    c = E.build_contract(snap(spark, sf), CFG, source="customer_snapshot", dictionary=views.SNAPSHOT_DESCRIPTIONS)
+    return c.columns.select("name", "unit", "description")
+
+
 def e4_allowed_values(spark, sf):
     return _contract(spark, sf).allowed
 
@@ -598,17 +603,14 @@ def i3_most_frequent(spark, sf):
 
 
 def i4_encoded_width(spark, sf):
+    """Width of the assembled input vector per row (one-hot keeps all seen categories)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
     fe, num, cat = _features(spark, sf)
     st = J.fit_prep(fe, num, cat)
-    model = Pipeline_fit(J.encoder_stages(num, cat), J.apply_prep(fe, st))
-    out = model.transform(J.apply_prep(fe, st))
-    from pyspark.ml.functions import vector_to_array
-    return out.select(CFG.primary_key, F.size(vector_to_array("features")).alias("width"))
-
-
-def Pipeline_fit(stages, df):
-    from pyspark.ml import Pipeline
-    return Pipeline(stages=stages).fit(df)
+    prepared = J.apply_prep(fe, st)
+    model = Pipeline(stages=J.encoder_stages(num, cat)).fit(prepared)
+    return model.transform(prepared).select(CFG.primary_key, F.size(vector_to_array("features")).alias("width"))
 
 
 def j1_folds(spark, sf):

@@ -40,6 +40,22 @@ FEATURE_SOURCES = {
     "coupons": "coupon_used",
     "recency": "days_since_last",
 }
+# Data dictionary of the snapshot (what a dictionary sheet would hold for it).
+SNAPSHOT_DESCRIPTIONS = {
+    "customer_id": "customer key",
+    "churned": "1 when the customer places no order on or after the cut-off",
+    "tenure_months": "whole 30-day months from the first order to the cut-off",
+    "segment": "market segment",
+    "region_key": "region of the customer's nation",
+    "nation": "nation of the customer",
+    "account_balance": "account balance",
+    "payment_mode": "priority of the latest order before the cut-off",
+    "order_count": "orders before the cut-off",
+    "coupon_used": "order lines with a discount above 5 % before the cut-off",
+    "days_since_last": "days from the latest order to the cut-off",
+    "cashback": "sum of price x discount over order lines before the cut-off",
+    "returned": "1 when any order line before the cut-off was returned",
+}
 TENURE_EDGES = (-0.5, 1.5, 6.5, 12.5, float("inf"))
 TENURE_LABELS = ("0-1", "2-6", "7-12", "13+")
 FLAG_COLUMN = "returned"
