@@ -66,33 +66,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customer_snapshot(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataFrame:
+    """One row per customer as of ``cutoff`` (see module doc).
+
+    Plan: lineitem collapses to one row per order (map-side partial aggregation), is joined to
+    orders on the order key, and ONE conditional aggregate per customer yields every order-based
+    feature and the label (a single scan of orders); nation is broadcast (25 rows by schema).
+    """
     cut = F.lit(cutoff).cast("timestamp_ntz")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    pre = orders.where(F.col("o_orderdate") < cut)
-    later = orders.where(F.col("o_orderdate") >= cut).select(F.col("o_custkey").alias("c_custkey")).distinct()
-    per_customer = pre.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders"),
-        F.min("o_orderdate").alias("first_order"),
-        F.max("o_orderdate").alias("last_order"),
-        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("payment_mode"),
-    )
-    # lineitem is the largest table: reduce it to one row per order first (map-side partial
-    # aggregation), so the join with orders and the per-customer aggregate see orders, not lines
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum(F.col("l_extendedprice").cast("decimal(15,2)") * F.col("l_discount").cast("decimal(15,2)")).alias("cb"),
         F.count_if(F.col("l_discount") > 0.05).alias("coupons"),
         F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("ret"),
     )
-    per_line = per_order.join(pre.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+    pre = F.col("o_orderdate") < cut
+    per_customer = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy(
         F.col("o_custkey").alias("c_custkey")
-    ).agg(F.sum("cb").alias("cb"), F.sum("coupons").alias("coupons"), F.max("ret").alias("ret"))
+    ).agg(
+        F.count_if(pre).alias("n_pre"),
+        F.min(F.when(pre, F.col("o_orderdate"))).alias("first_order"),
+        F.max(F.when(pre, F.col("o_orderdate"))).alias("last_order"),
+        # latest earlier order, ties by the highest order key (NULL orderings are skipped)
+        F.max_by(F.col("o_orderpriority"), F.when(pre, F.struct("o_orderdate", "o_orderkey"))).alias("payment_mode"),
+        F.sum(F.when(pre, F.col("cb"))).alias("cb"),
+        F.sum(F.when(pre, F.col("coupons"))).alias("coupons"),
+        F.max(F.when(pre, F.col("ret"))).alias("ret"),
+        F.max(F.when(~pre, F.lit(1))).alias("_later"),
+    )
     nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows by definition of the schema
     cust = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    has = F.col("n_orders").isNotNull()
+    has = F.col("n_pre") > 0
     return (
         cust.join(per_customer, "c_custkey", "left")
-        .join(per_line, "c_custkey", "left")
-        .join(later.withColumn("_later", F.lit(1)), "c_custkey", "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.when(F.col("_later").isNull(), 1).otherwise(0).alias("churned"),
@@ -102,7 +107,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
             F.col("n_name").alias("nation"),
             F.col("c_acctbal").alias("account_balance"),
             F.col("payment_mode"),
-            F.col("n_orders").cast("double").alias("order_count"),
+            F.when(has, F.col("n_pre")).cast("double").alias("order_count"),
             F.when(has, F.coalesce(F.col("coupons"), F.lit(0))).cast("double").alias("coupon_used"),
             F.datediff(cut.cast("date"), F.col("last_order").cast("date")).cast("double").alias("days_since_last"),
             F.when(has, F.coalesce(F.col("cb"), F.lit(0))).cast("double").alias("cashback"),
