@@ -695,8 +695,8 @@ def k6l():
 def _baseline():
     return ("SELECT 'majority' AS strategy, maj AS predicted_class, "
             "CASE WHEN maj = 1 THEN rate ELSE 1 - rate END AS accuracy, CASE WHEN maj = 1 THEN rate ELSE 0.0 END AS precision, "
-            "CASE WHEN maj = 1 THEN 1.0 ELSE 0.0 END AS recall, CASE WHEN maj = 1 THEN 2 * rate / (rate + 1) ELSE 0.0 END AS f1, "
-            "0.5 AS roc_auc, rate AS pr_auc, rate AS precision_at_top10 FROM ("
+            "CAST(CASE WHEN maj = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS recall, CASE WHEN maj = 1 THEN 2 * rate / (rate + 1) ELSE 0.0 END AS f1, "
+            "CAST(0.5 AS DOUBLE) AS roc_auc, rate AS pr_auc, rate AS precision_at_top10 FROM ("
             "SELECT CASE WHEN pos > n - pos THEN 1 ELSE 0 END AS maj, pos / n AS rate FROM ("
             "SELECT CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS n FROM sc) a) b")
 
@@ -780,7 +780,7 @@ def l5():
 
 
 def l6():
-    return EV + f"SELECT run_id, sum(llm_calls) AS llm_calls, {r('sum(cost_usd)')} AS cost_usd, {r('sum(duration_s)')} AS duration_s FROM ev GROUP BY run_id"
+    return EV + f"SELECT run_id, CAST(sum(llm_calls) AS BIGINT) AS llm_calls, {r('sum(cost_usd)')} AS cost_usd, {r('sum(duration_s)')} AS duration_s FROM ev GROUP BY run_id"
 
 
 def l7():
