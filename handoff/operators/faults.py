@@ -43,12 +43,21 @@ def snake(name: str) -> str:
 
 
 def exact_pick(df: DataFrame, key: str, fraction: float, seed: int, order: Column | None = None) -> DataFrame:
-    """df plus boolean ``_picked``: exactly round(fraction * n) rows with the smallest seeded hash."""
+    """df plus boolean ``_picked``: exactly round(fraction * n) rows with the smallest (seeded hash, key).
+
+    Only the two-column projection (hash, key) is ranked (distributed row numbers); the k-th pair
+    comes back to the driver as one scalar pair and the table is filtered against it, so the wide
+    rows are never shuffled. Exact for a unique key (a primary key of a clean table).
+    """
     n = df.count()
     k = max(0, int(round(fraction * n)))
     h = order if order is not None else seeded_hash(F.col(key), seed)
-    ranked = row_numbers(df.withColumn("_h", h), [F.col("_h"), F.col(key)], name="_rank")
-    return ranked.withColumn("_picked", F.col("_rank") <= k).drop("_h", "_rank")
+    if k == 0:
+        return df.withColumn("_picked", F.lit(False))
+    proj = df.select(h.alias("_h"), F.col(key).alias("_k"))
+    kth = row_numbers(proj, [F.col("_h"), F.col("_k")], name="_rank").where(F.col("_rank") == k).collect()[0]
+    picked = (h < F.lit(kth["_h"])) | ((h == F.lit(kth["_h"])) & (F.col(key) <= F.lit(kth["_k"])))
+    return df.withColumn("_picked", picked)
 
 
 def tamper(
