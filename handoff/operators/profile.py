@@ -108,8 +108,19 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return long.groupBy("column", "value", "num").agg(F.count(F.lit(1)).alias("n"))
 
 
-def distinct_counts(df: DataFrame) -> DataFrame:
-    """(column, n_unique): exact number of distinct non-null values per column."""
+def distinct_counts(df: DataFrame, exact: bool = True, rsd: float = 0.01) -> DataFrame:
+    """(column, n_unique): number of distinct non-null values per column.
+
+    exact=True: one ``groupBy(column, value)`` over the unpivoted table (a shuffle of every
+    distinct value). exact=False: one scan with HyperLogLog++ sketches (``approx_count_distinct``,
+    relative error ``rsd``), no shuffle of values -- the lever for very wide / very large tables.
+    """
+    if not exact:
+        fields = df.schema.fields
+        wide = df.agg(*[F.approx_count_distinct(nan_to_null(F.col(f.name), f.dataType), rsd).alias(f"d{i}")
+                        for i, f in enumerate(fields)])
+        return wide.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"d{i}").cast("long").alias("n_unique"))
+                                              for i, f in enumerate(fields)])))
     vc = value_counts(df)
     names = df.sparkSession.createDataFrame([(f.name,) for f in df.schema.fields], "column string")
     per = vc.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
@@ -165,9 +176,9 @@ def duplicate_counts(df: DataFrame, key: str | Sequence[str] | None) -> DataFram
     return combine_scalars(frames, ["rows", "cols", "duplicate_rows", "duplicate_ids", "duplicate_records"])
 
 
-def profile_columns(df: DataFrame) -> DataFrame:
+def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: dtype, null_count, n_unique, min, max, mean, std (unrounded)."""
     stats = column_stats(df)
-    return stats.join(distinct_counts(df), "column").select(
+    return stats.join(distinct_counts(df, exact), "column").select(
         "column", "position", "dtype", "null_count", "n_unique", "min", "max", "mean", "std"
     )

@@ -71,3 +71,11 @@ def test_profile_invariant_under_repartition(spark):
     a = sorted(B.profile_columns(df).collect())
     b = sorted(B.profile_columns(df.repartition(7, "b").sortWithinPartitions(F.rand(1))).collect())
     assert a == b
+
+
+def test_approx_distinct_close_to_exact(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 5000).alias("a"), (F.col("id") % 7).cast("string").alias("b"))
+    exact = {r["column"]: r["n_unique"] for r in B.distinct_counts(df).collect()}
+    approx = {r["column"]: r["n_unique"] for r in B.distinct_counts(df, exact=False).collect()}
+    assert exact == {"a": 5000, "b": 7}
+    assert abs(approx["a"] - 5000) <= 150 and approx["b"] == 7
