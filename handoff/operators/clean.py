@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType
 from handoff.config import Config
 from handoff.functions.columns import is_missing, strip_text
 from handoff.operators.profile import _keys, null_counts
+from handoff.session import reliable_checkpoint
 
 
 def strip_text_columns(df: DataFrame) -> DataFrame:
@@ -111,14 +112,11 @@ def clean(
     lazy; cache the input if both outputs are used.
     """
     key = cfg.primary_key
-    from handoff.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
     stripped = strip_text_columns(df)
     fixes = entity_fix_counts(stripped, cfg.entity_map)
     # five consumers (fix counts, step counts, null counts, output, report) read the mapped rows:
     # written once to the shared checkpoint folder instead of recomputing the upstream plan each time
-    mapped = apply_entity_map(stripped, cfg.entity_map).checkpoint()
+    mapped = reliable_checkpoint(apply_entity_map(stripped, cfg.entity_map))
     exact = drop_exact(mapped)
     ids = keep_first(exact, key, order_by)
     records = drop_same_records(ids, key) if drop_duplicate_records else ids

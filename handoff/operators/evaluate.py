@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from handoff.config import METRIC_NAMES, METRIC_TOLERANCE, TOP_FRACTION
 from handoff.operators.ranking import row_numbers, running_totals
-from handoff.session import ensure_checkpoint_dir
+from handoff.session import reliable_checkpoint
 
 
 def predicted(proba: str | F.Column, threshold: float = 0.5) -> F.Column:
@@ -57,8 +57,7 @@ def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -
     g = list(group_by)
     # the per-score aggregate is read three times (range sampling, running sums, totals): written once
     # so an expensive upstream (joins, model scoring) runs once
-    ensure_checkpoint_dir(scores.sparkSession)
-    per = _per_score(scores, y, proba, g).checkpoint()
+    per = reliable_checkpoint(_per_score(scores, y, proba, g))
     cum = running_totals(per, [F.col("_s")], {"_cpos": F.col("_pos"), "_cneg": F.col("_neg")}, g)
     totals = per.groupBy(*g).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))  # one row per group
     if not g:  # a single group: key both one-row-per-group frames on a constant

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from handoff.session import ensure_checkpoint_dir
+from handoff.session import reliable_checkpoint
 
 _PID = "__pid"
 
@@ -53,8 +53,7 @@ def running_totals(
     # The local sums and the offsets are two reads of ``parted``; adaptive execution may coalesce
     # the range shuffle differently for each read, so the partition ids are pinned by writing
     # ``parted`` once to the shared checkpoint folder (reliable: survives a lost executor).
-    ensure_checkpoint_dir(df.sparkSession)
-    parted = parted.checkpoint(eager=True)
+    parted = reliable_checkpoint(parted)
     local_w = Window.partitionBy(_PID, *group_by).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

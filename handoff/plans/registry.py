@@ -22,6 +22,7 @@ from handoff.operators import profile as B
 from handoff.operators import validate as V
 from handoff.plans import views
 from handoff.plans.views import SNAPSHOT_CONFIG as CFG
+from handoff.session import reliable_checkpoint
 
 R = 6
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -577,7 +578,7 @@ def _features(spark, sf):
     c = _contract(spark, sf)
     fe = H.build_features(snap(spark, sf), c, CFG, views.FEATURE_SOURCES)
     num, cat = H.feature_columns(c)
-    return fe.checkpoint(), num + list(H.ENGINEERED_NUMERIC), cat + list(H.ENGINEERED_CATEGORICAL)
+    return reliable_checkpoint(fe), num + list(H.ENGINEERED_NUMERIC), cat + list(H.ENGINEERED_CATEGORICAL)
 
 
 def _with_pseudo_fold(df):
@@ -625,7 +626,7 @@ def _cv(spark, sf):
     allv = J.default_variants(fe.count(), CFG.seed)
     variants = {k: allv[k] for k in CV_VARIANTS}
     oof, per_fold = J.cross_validate(fe, CFG.primary_key, CFG.target, num, cat, variants, 5, CFG.seed)
-    return oof, per_fold.checkpoint(), K.fold_summary(per_fold).checkpoint()
+    return oof, reliable_checkpoint(per_fold), reliable_checkpoint(K.fold_summary(per_fold))
 
 
 def j5_cross_validate(spark, sf):
@@ -701,7 +702,7 @@ def j10_metrics_document(spark, sf):
 @lru_cache(maxsize=4)
 def _importances(spark, sf):
     fe, _, _ = _features(spark, sf)
-    return J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed).checkpoint()
+    return reliable_checkpoint(J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed))
 
 
 def k9_permutation_importance(spark, sf):

@@ -23,6 +23,7 @@ from handoff.functions.columns import nan_to_null, seeded_hash
 from handoff.operators import evaluate as K
 from handoff.operators.quantiles import exact_quantiles
 from handoff.operators.ranking import row_numbers
+from handoff.session import reliable_checkpoint
 
 
 # ---------------------------------------------------------------- I: preprocessing
@@ -212,7 +213,7 @@ def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str],
 
     Every variant is scored on the same folds; each fold's preprocessing is fitted on its training rows.
     """
-    folded = assign_folds(df, target, key, k, seed).checkpoint()  # folds are fixed once, reused k x variants
+    folded = reliable_checkpoint(assign_folds(df, target, key, k, seed))  # folds are fixed once, reused k x variants
     parts = []
     for i in range(k):
         train = folded.where(F.col("fold") != i)
@@ -224,7 +225,7 @@ def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str],
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
-    oof = oof.checkpoint()
+    oof = reliable_checkpoint(oof)
     return oof, K.fold_metrics(oof, group_by=["variant", "fold"])
 
 

@@ -43,3 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="handoff-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (set up on first use); eager.
+
+    Cuts the lineage with a reliable write: survives a lost executor, unlike a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
