@@ -41,6 +41,16 @@ def overall_rate(df: DataFrame, target: str) -> DataFrame:
              (1 - F.col("positive_rate")).alias("negative_share"))
 
 
+def outcome_shares(df: DataFrame, target: str, labels: Sequence[str] = ("stayed", "churned")) -> DataFrame:
+    """(outcome, n, share) for the negative and positive class, from one aggregate (no shuffle of rows)."""
+    y = F.col(target)
+    wide = df.agg(F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"))
+    total = F.col("n0") + F.col("n1")
+    rows = [F.struct(F.lit(label).alias("outcome"), F.col(f"n{i}").alias("n"),
+                     F.try_divide(F.col(f"n{i}").cast("double"), total).alias("share")) for i, label in enumerate(labels)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def rate_by_category(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """(column, value, n, rate) for every value of every listed column; NULL values dropped."""
     parts = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]

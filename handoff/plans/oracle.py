@@ -908,6 +908,24 @@ def e6():
     return f"SELECT name, CAST(unit AS VARCHAR) AS unit, description FROM (VALUES {rows}) AS t(name, unit, description)"
 
 
+def d11():
+    n0, n1 = "count(*) FILTER (WHERE churned = 0)", "count(*) FILTER (WHERE churned = 1)"
+    parts = [f"SELECT {lit(label)} AS outcome, {n} AS n, {r(f'CAST({n} AS DOUBLE) / ({n0} + {n1})')} AS share FROM snap"
+             for label, n in (("stayed", n0), ("churned", n1))]
+    return SNAP + "\n" + union(parts)
+
+
+def _contract_view(select: str) -> str:
+    return SNAP + ", cr AS (" + _contract_rows() + ")\n" + select
+
+
+def h5():
+    return SNAP + _eng_cte() + f"SELECT customer_id, {r('orders_per_tenure_month')} AS orders_per_tenure_month FROM eng"
+
+
+def h6():
+    return SNAP + _eng_cte() + f"SELECT customer_id, {r('days_since_last')} AS days_since_last, recency_bucket FROM eng"
+
 def all_sql() -> dict[str, str]:
     out = {
         "a1_read_raw": a1(), "a3_read_typed": a1(),
@@ -936,6 +954,10 @@ def all_sql() -> dict[str, str]:
         "k6_precision_at_top": k6(), "k6_precision_at_top_lines": k6l(), "k7_majority_baseline": k7(),
         "k8_fairness": k8(), "k11_comparison_table": k11(), "k12_fairness_table": k12(), "k13_metric_delta": k13(),
         "k14_training_facts": k14(),
+        "d11_outcome_shares": d11(), "h5_orders_per_month": h5(), "h6_recency_bucket": h6(),
+        "e1_dtypes": _contract_view("SELECT name, dtype FROM cr"), "e2_roles": _contract_view("SELECT name, role FROM cr"),
+        "e3_nulls": _contract_view("SELECT name, nullable, null_count FROM cr"),
+        "e5_ranges": _contract_view("SELECT name, min, max FROM cr WHERE dtype IN ('int', 'float')"),
         "l4_run_summary": l4(), "l5_step_durations": l5(), "l6_usage_totals": l6(), "l7_token_cost": l7(),
     })
     for p in FAULT_COLUMNS:

@@ -237,6 +237,10 @@ def d10_histogram(spark, sf):
     return rnd(D.histogram(s, CFG.target, _nums(s)))
 
 
+def d11_outcome_shares(spark, sf):
+    return rnd(D.outcome_shares(snap(spark, sf), CFG.target))
+
+
 # ---------------------------------------------------------------- E contract
 @lru_cache(maxsize=4)
 def _contract(spark, sf):
@@ -286,6 +290,40 @@ def e13_display_rows(spark, sf):
                                                                "constraint", "nulls")
 
 
+def e1_dtypes(spark, sf):
+    return _contract(spark, sf).columns.select("name", "dtype")
+
+
+def e2_roles(spark, sf):
+    return _contract(spark, sf).columns.select("name", "role")
+
+
+def e3_nulls(spark, sf):
+    return _contract(spark, sf).columns.select("name", "nullable", "null_count")
+
+
+def e5_ranges(spark, sf):
+    return _contract(spark, sf).columns.where(F.col("dtype").isin("int", "float")).select("name", "min", "max")
+
+
+def e8_refuse_missing_roles(spark, sf):
+    """A table without its key or target is refused before any job, naming what is missing."""
+    s = snap(spark, sf)
+    cases = [("snapshot", s), ("without key", s.drop(CFG.primary_key)), ("without target", s.drop(CFG.target)),
+             ("without key and target", s.drop(CFG.primary_key, CFG.target))]
+    rows = []
+    for name, df in cases:
+        missing = E.missing_roles(df.columns, CFG)
+        message = None
+        if missing:
+            try:
+                E.build_contract(df, CFG)
+            except ValueError as e:
+                message = str(e).split(";")[0]
+        rows.append((name, message is not None, ", ".join(missing), message))
+    return spark.createDataFrame(rows, "case string, refused boolean, missing string, message string")
+
+
 # ---------------------------------------------------------------- F validation, G faults
 REPORT_COLS = ["check", "column", "passed", "observed", "expected", "hint"]
 
@@ -397,6 +435,49 @@ def h4_engineered(spark, sf):
     return rnd(e.select("customer_id", *H.ENGINEERED))
 
 
+def h5_orders_per_month(spark, sf):
+    e = H.add_engineered(snap(spark, sf), views.FEATURE_SOURCES)
+    return rnd(e.select("customer_id", "orders_per_tenure_month"))
+
+
+def h6_recency_bucket(spark, sf):
+    e = H.add_engineered(snap(spark, sf), views.FEATURE_SOURCES)
+    return rnd(e.select("customer_id", "days_since_last", "recency_bucket"))
+
+
+def h7_refuse_missing_sources(spark, sf):
+    """H7: engineering refuses a table that lacks a source column, listing every missing one."""
+    s = snap(spark, sf)
+    cases = [("snapshot", s), ("without order_count and days_since_last", s.drop("order_count", "days_since_last"))]
+    rows = []
+    for name, df in cases:
+        missing = H.missing_sources(df.columns, views.FEATURE_SOURCES)
+        try:
+            H.add_engineered(df, views.FEATURE_SOURCES)
+            refused = False
+        except ValueError:
+            refused = True
+        rows.append((name, refused, ", ".join(missing)))
+    return spark.createDataFrame(rows, "case string, refused boolean, missing string")
+
+
+def h8_refuse_undeclared(spark, sf):
+    """H8: features refuse columns the contract does not declare and declared columns that are absent."""
+    s, c = snap(spark, sf), _contract(spark, sf)
+    cases = [("snapshot", s), ("extra column", s.withColumn("note", F.lit("x"))),
+             ("without tenure_months", s.drop("tenure_months"))]
+    rows = []
+    for name, df in cases:
+        undeclared, absent = H.declaration_mismatch(df.columns, c, CFG)
+        try:
+            H.build_features(df, c, CFG, views.FEATURE_SOURCES)
+            refused = False
+        except ValueError:
+            refused = True
+        rows.append((name, refused, ", ".join(undeclared), ", ".join(absent)))
+    return spark.createDataFrame(rows, "case string, refused boolean, undeclared string, absent string")
+
+
 def h9_features(spark, sf):
     return rnd(H.build_features(snap(spark, sf), _contract(spark, sf), CFG, views.FEATURE_SOURCES))
 
@@ -528,6 +609,25 @@ def a5_contract_roundtrip(spark, sf):
                             F.array_join("allowed_values", "|").alias("allowed_values"), "min", "max")
 
 
+def a6_contract_refusal(spark, sf):
+    """A contract read back loads; a copy with an unknown dtype fails loudly."""
+    c = _contract(spark, sf)
+    good, bad = A.scratch_path(spark, "contract"), A.scratch_path(spark, "contract-bad")
+    A.write_contract(c, good)
+    doc = A.contract_document(c).withColumn("columns", F.transform(
+        "columns", lambda s: s.withField("dtype", F.when(s["name"] == "cashback", F.lit("money")).otherwise(s["dtype"]))))
+    doc.coalesce(1).write.mode("overwrite").json(f"{bad}/contract")
+    c.allowed.write.mode("overwrite").parquet(f"{bad}/allowed")
+    rows = []
+    for name, path in (("as written", good), ("unknown dtype", bad)):
+        try:
+            back = A.read_contract(spark, path)
+            rows.append((name, True, len(back.names()), None))
+        except ValueError as e:
+            rows.append((name, False, None, str(e).split(": ", 1)[-1]))
+    return spark.createDataFrame(rows, "case string, loaded boolean, n_columns int, message string")
+
+
 def a7_read_events(spark, sf):
     path = A.scratch_path(spark, "events")
     ev(spark, sf).select(F.col("run_id").cast("string").alias("run_id"), "seq", "ts", "step", "status", "duration_s",
@@ -652,6 +752,12 @@ def j3_random_forest_fit(spark, sf):
     return rnd(J.score(m, fe, keep=[CFG.primary_key]))
 
 
+def j2_logistic_fit(spark, sf):
+    fe, num, cat = _features(spark, sf)
+    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["logreg"], num, cat, CFG.target, "logreg")
+    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+
+
 def j4_hist_gb_fit(spark, sf):
     fe, num, cat = _features(spark, sf)
     m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["hist_gb"], num, cat, CFG.target, "hist_gb")
