@@ -108,19 +108,21 @@ def clean(
 ) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and a tidy report ``(section, column, value, n)``.
 
-    Actions: one aggregate for the null counts that decide the integer casts. Everything else is
-    lazy; cache the input if both outputs are used.
+    Actions: the stripped rows and the de-duplicated rows are each written once to the shared
+    checkpoint folder (every later consumer reads them instead of re-running the shuffles); one
+    aggregate gives the null counts that decide the integer casts AND the report's kept nulls
+    (casting a column with no null creates none); one job counts the rows after each step.
     """
     key = cfg.primary_key
-    stripped = strip_text_columns(df)
+    # the fix counts (old spellings) and the mapped rows (a projection) both read one written copy
+    stripped = reliable_checkpoint(strip_text_columns(df))
     fixes = entity_fix_counts(stripped, cfg.entity_map)
-    # five consumers (fix counts, step counts, null counts, output, report) read the mapped rows:
-    # written once to the shared checkpoint folder instead of recomputing the upstream plan each time
-    mapped = reliable_checkpoint(apply_entity_map(stripped, cfg.entity_map))
+    mapped = apply_entity_map(stripped, cfg.entity_map)
     exact = drop_exact(mapped)
     ids = keep_first(exact, key, order_by)
-    records = drop_same_records(ids, key) if drop_duplicate_records else ids
-    casted, cast_cols = cast_ints(records, cfg.int_columns)
+    records = reliable_checkpoint(drop_same_records(ids, key) if drop_duplicate_records else ids)
+    nulls = {r["column"]: r["null_count"] for r in null_counts(records).collect()}  # one row per column
+    casted, cast_cols = cast_ints(records, cfg.int_columns, nulls)
     out = order_by_key(casted, key)
 
     spark = df.sparkSession
@@ -144,9 +146,8 @@ def clean(
     fix_rows = fixes.select(F.lit("entity_fix").alias("section"), "column", F.col("old_value").alias("value"), "n")
     cast_rows = spark.createDataFrame([("dtype_cast", c_, "int", None) for c_ in cast_cols],
                                       "section string, column string, value string, n long")
-    nulls = null_counts(out).where(F.col("null_count") > 0).select(
-        F.lit("nulls_kept").alias("section"), "column", F.lit(None).cast("string").alias("value"),
-        F.col("null_count").alias("n"))
+    nulls = spark.createDataFrame([("nulls_kept", col, None, int(n)) for col, n in nulls.items() if n > 0],
+                                  "section string, column string, value string, n long")
     report = head.unionByName(fix_rows).unionByName(cast_rows).unionByName(nulls)
     return out, report
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from handoff.config import Config
 from handoff.functions.columns import knuth_hash, pseudo_score
+from handoff.sources.tables import spread_scan
 
 CUTOFF = "2000-08-01"
 
@@ -62,7 +63,8 @@ FLAG_COLUMN = "returned"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; a scan with fewer splits than task slots is spread first (``spread_scan``)."""
+    return spread_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def customer_snapshot(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) -> DataFrame:

@@ -13,6 +13,21 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer partitions than the cluster has task slots.
+
+    One unsplittable unit (a single parquet row group, a gzip CSV) is read by ONE task, and every
+    map-side step after it (unpivot, partial aggregation, hashing) would run in that task. Such a
+    scan is spread round-robin over ``defaultParallelism`` partitions. A large table already has
+    many splits and is returned untouched (no extra shuffle). The check plans the scan on the
+    driver; it runs no job.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if slots > 1 and df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
                null_tokens: Sequence[str] | None = None, header: bool = True) -> DataFrame:
     """A1/A3: read a table untouched except for the declared schema; CSV null tokens become NULL.
@@ -25,7 +40,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", header).option("nullValue", "").option("mode", "PERMISSIVE")
-    df = reader.load(path)
+    df = spread_scan(reader.load(path))
     if null_tokens:
         toks = list(null_tokens)
         df = df.select(*[F.when(F.col(f.name).isin(toks), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
