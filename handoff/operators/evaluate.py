@@ -121,7 +121,23 @@ def precision_at_top(scores: DataFrame, key: str, y: str = "y", proba: str = "pr
     Exact without ranking every row: per-score running counts locate the cut-off score; rows above
     it are counted from the aggregate, and only the tie block AT the cut-off is ranked by key.
     """
-    cum = _cumulated(scores, y, proba, []).withColumn("_cnt_desc", F.col("_all_desc"))
+    return _top_from(_cumulated(scores, y, proba, []), scores, key, y, proba, frac)
+
+
+def ranking_report(scores: DataFrame, key: str, y: str = "y", proba: str = "proba",
+                   frac: float = TOP_FRACTION) -> DataFrame:
+    """K3 + K4 + K6 over the whole table from ONE cumulated per-score frame:
+    (roc_auc, pr_auc, precision_at_top, k). Same values as ``rank_metrics`` and ``precision_at_top``,
+    but the per-score aggregate and its running totals are built (and written) once, not twice."""
+    cum = _cumulated(scores, y, proba, [])
+    metrics = cum.agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc")).withColumn("_one", F.lit(1))
+    top = _top_from(cum, scores, key, y, proba, frac).withColumn("_one", F.lit(1))
+    return metrics.join(top, "_one").select("roc_auc", "pr_auc", "precision_at_top", "k")
+
+
+def _top_from(cum: DataFrame, scores: DataFrame, key: str, y: str, proba: str, frac: float) -> DataFrame:
+    """K6 given the whole-table cumulated frame: locate the cut-off score, rank only its tie block."""
+    cum = cum.withColumn("_cnt_desc", F.col("_all_desc"))
     n = cum.agg(F.first("_P") + F.first("_N")).collect()[0][0] or 0
     k = max(1, int(round(frac * n)))
     # the distinct score whose descending block holds position k
