@@ -692,6 +692,12 @@ def k6l():
     return LSC + _patop("lsc", "line_id")
 
 
+def k6r():
+    whole = "(SELECT 1 AS one, * FROM lsc) w"
+    return LSC + (f"SELECT a.roc_auc, p.pr_auc, t.precision_at_top, t.k FROM ({_auc(whole, 'one')}) a, "
+                  f"({_ap(whole, 'one')}) p, ({_patop('lsc', 'line_id')}) t")
+
+
 def _baseline():
     return ("SELECT 'majority' AS strategy, maj AS predicted_class, "
             "CASE WHEN maj = 1 THEN rate ELSE 1 - rate END AS accuracy, CASE WHEN maj = 1 THEN rate ELSE 0.0 END AS precision, "
@@ -951,7 +957,7 @@ def all_sql() -> dict[str, str]:
         "h1_feature_names": h1(), "h2_feature_split": h2(), "h3_leakage": h3(), "h4_engineered": h4(), "h9_features": h9(),
         "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
         "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),
-        "k6_precision_at_top": k6(), "k6_precision_at_top_lines": k6l(), "k7_majority_baseline": k7(),
+        "k6_precision_at_top": k6(), "k6_precision_at_top_lines": k6l(), "k6_ranking_report_lines": k6r(), "k7_majority_baseline": k7(),
         "k8_fairness": k8(), "k11_comparison_table": k11(), "k12_fairness_table": k12(), "k13_metric_delta": k13(),
         "k14_training_facts": k14(),
         "d11_outcome_shares": d11(), "h5_orders_per_month": h5(), "h6_recency_bucket": h6(),

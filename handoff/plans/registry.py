@@ -527,6 +527,11 @@ def k6_precision_at_top_lines(spark, sf):
     return rnd(K.precision_at_top(views.line_scores(spark, sf), "line_id"))
 
 
+def k6_ranking_report_lines(spark, sf):
+    """K3 + K4 + K6 over all line scores from one cumulated per-score frame."""
+    return rnd(K.ranking_report(views.line_scores(spark, sf), "line_id"))
+
+
 def k7_majority_baseline(spark, sf):
     return rnd(K.majority_baseline(sc(spark, sf)))
 
