@@ -36,6 +36,11 @@ CASES = {
     "validate": lambda s, df: V.validate(df, E.build_contract(views.customer_snapshot(s, SMOKE), CFG)).drop("message"),
     "rank_metrics": lambda s, df: K.rank_metrics(df.select(F.col("churned").alias("y"),
                                                            (F.col("account_balance") / 10000).alias("proba"))),
+    # coarse scores: many ties, so the tie block at the top-k cut-off is ranked by key
+    "ranking_report": lambda s, df: K.ranking_report(df.select("customer_id", F.col("churned").alias("y"),
+                                                               F.round(F.col("account_balance") / 2000).alias("proba")),
+                                                     "customer_id"),
+    "outcome_shares": lambda s, df: D.outcome_shares(df, CFG.target),
 }
 
 
