@@ -59,12 +59,12 @@ def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -
     # so an expensive upstream (joins, model scoring) runs once
     per = reliable_checkpoint(_per_score(scores, y, proba, g))
     cum = running_totals(per, [F.col("_s")], {"_cpos": F.col("_pos"), "_cneg": F.col("_neg")}, g)
-    totals = per.groupBy(*g).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))  # one row per group
-    if not g:  # a single group: key both one-row-per-group frames on a constant
-        cum, totals, g2 = cum.withColumn("_one", F.lit(1)), totals.withColumn("_one", F.lit(1)), ["_one"]
-    else:
-        g2 = g
-    cum = cum.join(totals, g2)
+    if g:
+        totals = per.groupBy(*g).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))  # one row per group
+        cum = cum.join(totals, g)
+    else:  # one group: its two totals are read back and inlined (no join on a constant key)
+        t = per.agg(F.sum("_pos").alias("P"), F.sum("_neg").alias("N")).collect()[0]
+        cum = cum.select("*", F.lit(int(t["P"] or 0)).cast("long").alias("_P"), F.lit(int(t["N"] or 0)).cast("long").alias("_N"))
     return cum.select(*g, "_s", "_pos", "_neg", "_cpos", "_cneg", "_P", "_N",
                       (F.col("_P") - F.col("_cpos") + F.col("_pos")).alias("_tp_desc"),
                       (F.col("_P") + F.col("_N") - F.col("_cpos") - F.col("_cneg") + F.col("_pos") + F.col("_neg")).alias("_all_desc"))
@@ -130,9 +130,10 @@ def ranking_report(scores: DataFrame, key: str, y: str = "y", proba: str = "prob
     (roc_auc, pr_auc, precision_at_top, k). Same values as ``rank_metrics`` and ``precision_at_top``,
     but the per-score aggregate and its running totals are built (and written) once, not twice."""
     cum = _cumulated(scores, y, proba, [])
-    metrics = cum.agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc")).withColumn("_one", F.lit(1))
-    top = _top_from(cum, scores, key, y, proba, frac).withColumn("_one", F.lit(1))
-    return metrics.join(top, "_one").select("roc_auc", "pr_auc", "precision_at_top", "k")
+    m = cum.agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc")).collect()[0]  # one row
+    top = _top_from(cum, scores, key, y, proba, frac)
+    return top.select(F.lit(m["roc_auc"]).cast("double").alias("roc_auc"), F.lit(m["pr_auc"]).cast("double").alias("pr_auc"),
+                      "precision_at_top", "k")
 
 
 def _top_from(cum: DataFrame, scores: DataFrame, key: str, y: str, proba: str, frac: float) -> DataFrame:
