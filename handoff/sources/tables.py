@@ -43,11 +43,15 @@ def locate_header(df: DataFrame, marker: str = "Variable", order_col: str = "lin
     cells = [c for c in df.columns if c != order_col]
     pos = F.posexplode(F.array(*[F.trim(F.col(c).cast("string")) for c in cells]))
     hits = df.select(F.col(order_col), pos).where(F.col("col") == marker)
-    first = hits.agg(F.min(F.struct(F.col(order_col), F.col("pos"))).alias("h")).where(F.col("h").isNotNull())
-    header = first.select(F.col(f"h.{order_col}").alias("_hline"), F.col("h.pos").alias("_hpos"))  # <= 1 row
-    name_expr = F.element_at(F.array(*[F.col(c).cast("string") for c in cells]), F.col("_hpos") + 1)
-    desc_expr = F.try_element_at(F.array(*[F.col(c).cast("string") for c in cells]), F.col("_hpos") + 2)
-    body = df.join(F.broadcast(header), F.col(order_col) > F.col("_hline"))
+    # the header is at most one (line, position) pair: read back and used as literals, so the body is
+    # a plain filter and projection of the sheet (no join against the header row)
+    h = hits.agg(F.min(F.struct(F.col(order_col), F.col("pos"))).alias("h")).collect()[0]["h"]
+    if h is None:
+        return df.sparkSession.createDataFrame([], "name string, description string")
+    hline, hpos = h[order_col], h["pos"]
+    name_expr = F.col(cells[hpos]).cast("string")
+    desc_expr = F.col(cells[hpos + 1]).cast("string") if hpos + 1 < len(cells) else F.lit(None).cast("string")
+    body = df.where(F.col(order_col) > F.lit(hline))
     return body.select(F.trim(name_expr).alias("name"), F.coalesce(F.trim(desc_expr), F.lit("")).alias("description")
                        ).where(F.col("name").isNotNull() & (F.col("name") != ""))
 
