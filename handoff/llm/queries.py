@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import simhash_blocks
-from handoff.llm.common import table
+from handoff.llm import hd_langid, simhash_blocks
+from handoff.llm.common import id_remainder, table
+
+
+def op2_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = hd_langid.fit(docs, train=id_remainder("doc_id", 3) != 1)
+    held_out = (id_remainder("doc_id", 3) == 1).alias("held_out")
+    return hd_langid.identify(docs, prototypes).select("doc_id", held_out, "lang_pred", "score")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
