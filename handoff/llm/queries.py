@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import hd_langid, simhash_blocks
+from handoff.llm import hd_langid, simhash_blocks, toxicity_fst
 from handoff.llm.common import id_remainder, table
 
 
@@ -16,6 +16,13 @@ def op2_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hd_langid.identify(docs, prototypes).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_fst.fit(docs, table(spark, sf_dir, "labels"), train=id_remainder("doc_id", 5) != 0)
+    held_out = (id_remainder("doc_id", 5) == 0).alias("held_out")
+    return toxicity_fst.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
