@@ -69,8 +69,9 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
 
 def block_count(n: int, distance: int) -> int:
-    """Smallest number of blocks whose shared keys have more values than there are fingerprints."""
-    r = distance + 1
+    """Smallest number of blocks, distance + 2 at least, whose shared keys have more values than there
+    are fingerprints."""
+    r = distance + 2
     while n > 2 ** (BITS * (r - distance) // r) and r < 4 * (distance + 1):
         r += 1
     return r
