@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, hd_langid, simhash_blocks, toxicity_fst
+from handoff.llm import cgk_decontam, hd_langid, simhash_blocks, toxicity_fst, variable_packing
 from handoff.llm.common import id_remainder, table
 
 
@@ -27,6 +27,10 @@ def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fst.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op7_variable_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variable_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
