@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, hd_langid, simhash_blocks, toxicity_fst, variable_packing
+from handoff.llm import cgk_decontam, elias_fano, hd_langid, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
 from handoff.llm.common import id_remainder, table
 
 
@@ -16,10 +16,20 @@ def op2_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hd_langid.identify(docs, prototypes).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op3_elias_fano_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return elias_fano.write_and_read(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op4_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_hyperplane_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperplane_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity_fst.fit(docs, table(spark, sf_dir, "labels"), train=id_remainder("doc_id", 5) != 0)
