@@ -253,7 +253,7 @@ def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
 
 
 def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_ratio: float, most: int = 64) -> int:
-    """Fewest tables (a multiple of 4) with which randomly edited items are found at the target recall."""
+    """Fewest tables (even, 4 at least) with which randomly edited items are found at the target recall."""
     rng = np.random.default_rng(SEED)
     own = [w for w in items if len(w)]
     own = [own[i] for i in rng.permutation(len(own))[:64]]
@@ -261,7 +261,7 @@ def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_
         return 4
     filler = rng.integers(1, 1 << 62, 64).astype(np.uint64)
     texts = [np.concatenate([filler[: int(rng.integers(0, 17))], edited(w, int(design_ratio * len(w)), rng), filler[40:]]) for w in own]
-    for tables in range(4, most, 4):
+    for tables in range(4, most, 2):
         found = Index(own, tables, max_ratio).search(texts)
         if sum(any(f[0] == i for f in hits) for i, hits in enumerate(found)) >= recall * len(own):
             return tables
@@ -301,7 +301,7 @@ def matches(index: Index, text: Column) -> Column:
 
 
 def indexes(items: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.95,
-            design_ratio: float = 0.1, max_ratio: float = 0.2) -> Iterator[tuple[list, Index]]:
+            design_ratio: float = 0.15, max_ratio: float = 0.2) -> Iterator[tuple[list, Index]]:
     """Each block's item ids and index."""
     for block in item_blocks(items, item_id_col, item_text_col):
         words = [w for _, w in block]

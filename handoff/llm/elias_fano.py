@@ -26,6 +26,7 @@ each, ordered by their text's hash; extra columns are not read; an empty table w
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -44,7 +45,7 @@ from handoff.llm.common import shared_path, write_shared
 MAGIC = b"EFIDS001"
 SAMPLE = 64
 #: Words whose ids a worker keeps.
-KEPT = 600_000
+KEPT = 1_000_000
 #: Characters of text encoded together.
 CHUNK_CHARS = 4_000_000
 _BLANK_BEFORE_BLANK = re.compile(r" (?=\s|\Z)")
@@ -143,6 +144,7 @@ class Encoder:
     """Texts to id bytes with the tokenizers library; keeps the words it has met."""
 
     def __init__(self, path: str, end_id: int):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
