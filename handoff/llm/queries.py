@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, elias_fano, hd_langid, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
-from handoff.llm.common import id_remainder, table
+from handoff.llm import cgk_decontam, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
+from handoff.llm.common import id_remainder, shared_path, table
 
 
 def op2_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,14 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hilbert_shards.write_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"], 40, shared_path(spark, "shards"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return rows.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 def all_queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
