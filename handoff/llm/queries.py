@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
+from handoff.llm import cgk_decontam, chat_windows, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
 from handoff.llm.common import id_remainder, shared_path, table
 
 
+def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = turns.unionByName(spark.createDataFrame(hard, "conv_id long, turn long, role string, text string"))
+    tokens = chat_windows.token_count(public_tokenizers.path("byte_bpe_50k.json"))
+    return chat_windows.digests(chat_windows.windows(turns, tokens, budget=1024, history=256))
+
+
 def op2_hd_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     prototypes = hd_langid.fit(docs, train=id_remainder("doc_id", 3) != 1)
