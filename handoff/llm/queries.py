@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, chat_windows, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
+from handoff.llm import cgk_decontam, chat_windows, ctw_scoring, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
 from handoff.llm.common import id_remainder, shared_path, table
 
 
@@ -56,6 +56,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw_scoring.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hilbert_shards.write_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"], 40, shared_path(spark, "shards"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
