@@ -39,7 +39,7 @@ from xxhash import xxh64_intdigest
 
 from handoff.llm.common import text_bytes, whole_groups, write_shared
 
-DEPTH = 4
+DEPTH = 5
 GRAM, WORD = 0, 1
 #: Bytes whose grams are held at a time.
 BLOCK = 2_000_000
