@@ -122,7 +122,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                        (F.lit(True) if train is None else train).alias("use")).where("use and lang is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.coalesce(spread(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(0.0))
-    sample = rows.join(sizes, "lang").where(share * F.col("n") < F.lit(float(fit_rows))).select("lang", "text")
+    # one row for each language, as the model itself has
+    sample = rows.join(F.broadcast(sizes), "lang").where(share * F.col("n") < F.lit(float(fit_rows))).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
