@@ -52,7 +52,7 @@ SYMBOL_OF = ({w: NEGATION for w in NEGATIONS} | {w: REPORT for w in REPORTS} | {
              | {w: THREAT for w in THREATS})
 #: Strength of a completed threat, in the unit of an insult's learned log-odds.
 THREAT_STRENGTH = 6.0
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 _BREAK = re.compile(r"[.!?;:,()\"\r\n]+")
 
@@ -240,8 +240,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        train: Column | None = None, fit_rows: int = 6000, min_strength: float = 2.5) -> Model:
-    """Learn the insult terms and the logistic from labelled rows; ``train`` is a filter on ``labels``."""
+        train: Column | None = None, fit_rows: int = 6000, min_strength: float = 1.5,
+        caution: float = 2.0) -> Model:
+    """Learn the insult terms and the logistic from labelled rows; ``train`` is a filter on ``labels``.
+
+    A term is kept if its log-odds, less ``caution`` standard errors, reach ``min_strength``.
+    """
     sample, totals = _sample(docs, labels, id_col, text_col, label_col, train, fit_rows)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
@@ -255,7 +259,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for term, (toxic, clean) in candidates.items():
         n = min(toxic, support.get(term, 0))
         strength = math.log((n + 0.5) / (sizes[1] + 1.0)) - math.log((clean + 0.5) / (sizes[0] + 1.0))
-        if n >= least and strength >= min_strength:
+        sure = strength - caution * math.sqrt(1.0 / (n + 0.5) + 1.0 / (clean + 0.5))  # less the log-odds' standard errors
+        if n >= least and sure >= min_strength:
             lexicon[term] = strength
     lexicon = dict(sorted(lexicon.items()))
     model = Model(lexicon, UNFITTED.weights)
