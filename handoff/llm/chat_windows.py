@@ -2,8 +2,8 @@
 
 A conversation's turns are ordered by (turn, role, text), nulls first. Prefix sums of the turns'
 token counts place each turn on a line; the line is cut into cells, and the turns that lie inside a
-cell are one window's new turns, while a turn that crosses a cell's end is a window of its own. So
-the cut needs no scan along the conversation and no window outgrows its budget unless one turn does.
+cell are one window's new turns, while a turn that crosses a cell's end is a window of its own (the
+only one of its cell if it starts there). So the cut needs no scan along the conversation and no window outgrows its budget unless one turn does.
 A conversation that fits the budget whole is one window.
 
 A window holds, in order: the conversation's leading system turn, the turns just before the window
@@ -84,7 +84,8 @@ def _lines(turns: DataFrame, tokens: Column, budget: int, history: int) -> DataF
         (F.col("_upto") - F.col("_n") + F.col("upto") - F.col("n") - lead).alias("at"))  # the system turn lies before 0
     at = F.greatest("at", F.lit(0))
     cell = F.when(F.col("cut"), F.floor(at / F.col("room"))).otherwise(0).cast("long")
-    over = F.col("cut") & ~F.col("is_system") & (F.floor((F.col("at") + F.col("n") - 1) / F.col("room")) > F.floor(at / F.col("room")))
+    over = (F.col("cut") & ~F.col("is_system") & (F.pmod(at, F.col("room")) > 0)
+            & (F.floor((F.col("at") + F.col("n") - 1) / F.col("room")) > F.floor(at / F.col("room"))))
     return joined.withColumn("cell", cell).withColumn("over", over.cast("int"))
 
 
@@ -104,8 +105,8 @@ def windows(conversations: DataFrame, tokens: Column | None = None, budget: int
     keys = ["conv", "cell", "over"]
     new = lines.select(*keys, F.lit(2).alias("kind"), "at", "piece", "n", "role")
     heads = lines.where("cut and not is_system").groupBy(*keys).agg(F.min("at").alias("from"), F.max(F.struct("system", "lead")).alias("s"))
-    # the window that starts the line holds the system turn itself
-    later = heads.where((F.col("from") > 0) & F.col("s.system").isNotNull())
+    # the first window holds the system turn itself
+    later = heads.where(((F.col("cell") > 0) | (F.col("over") > 0)) & F.col("s.system").isNotNull())
     repeated = later.select(*keys, F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("at"), F.col("s.system").alias("piece"),
                             F.col("s.lead").alias("n"), F.lit("system").alias("role"))
     parts = new.unionByName(repeated)

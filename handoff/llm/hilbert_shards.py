@@ -60,6 +60,10 @@ def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
+def _count_below(cuts: Column, value: Column) -> Column:
+    return F.when(value.isNotNull(), F.size(F.filter(cuts, lambda c: c < value)))
+
+
 def cells(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     """Cell number of each dimension."""
     n = 1 << bits
@@ -74,7 +78,7 @@ def cells(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     for d in dims:
         if d in finite:
             lows = F.array(*[F.lit(float(c)) for c in cuts[d]]).cast("array<double>")
-            out.append(F.coalesce(F.size(F.filter(lows, lambda c, v=finite[d]: c < v)), F.lit(0)))
+            out.append(F.coalesce(_count_below(lows, finite[d]), F.lit(0)))
         else:
             out.append(F.when(F.col(d).isNull(), 0).otherwise(F.pmod(F.xxhash64(F.col(d)), F.lit(n))).cast("int"))
     return [c.cast("long") for c in out]
