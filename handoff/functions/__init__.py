@@ -8,7 +8,6 @@ from handoff.functions.columns import (
     right_closed_bucket,
     seeded_hash,
     strip_text,
-    within_rel_tol,
 )
 from handoff.functions.names import closest_name
 
@@ -21,5 +20,4 @@ __all__ = [
     "right_closed_bucket",
     "seeded_hash",
     "strip_text",
-    "within_rel_tol",
 ]

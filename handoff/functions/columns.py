@@ -53,9 +53,9 @@ def strip_text(c: str | Column) -> Column:
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:
-    """num / den with a zero or missing denominator giving NULL (never inf, never an ANSI error)."""
-    den = col_of(den)
-    return F.try_divide(col_of(num), F.nullif(den, F.lit(0)))
+    """num / den with a zero or missing (NULL or NaN) side giving NULL (never inf or NaN, never an ANSI error)."""
+    num, den = nan_to_null(col_of(num)), nan_to_null(col_of(den))
+    return F.try_divide(num, F.nullif(den, F.lit(0)))
 
 
 def right_closed_bucket(c: str | Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -65,7 +65,7 @@ def right_closed_bucket(c: str | Column, edges: Sequence[float], labels: Sequenc
     """
     if len(edges) != len(labels) + 1:
         raise ValueError("need one more edge than labels")
-    c = col_of(c)
+    c = nan_to_null(c)  # NaN is larger than every number in Spark
     expr = None
     for lo, hi, label in zip(edges[:-1], edges[1:], labels):
         cond = c > F.lit(float(lo))
@@ -75,11 +75,6 @@ def right_closed_bucket(c: str | Column, edges: Sequence[float], labels: Sequenc
     return expr.otherwise(F.lit(None).cast(StringType()))
 
 
-def within_rel_tol(a: Column, b: Column, rel_tol: float) -> Column:
-    """math.isclose(a, b, rel_tol) with abs_tol 0."""
-    return F.abs(a - b) <= F.lit(rel_tol) * F.greatest(F.abs(a), F.abs(b))
-
-
 def seeded_hash(key: str | Column, seed: int) -> Column:
     """Library default order key for seeded sampling: 64-bit xxhash of (seed, key); no overflow."""
     return F.xxhash64(F.lit(int(seed)), col_of(key))

@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 
 from handoff.config import Config
 from handoff.functions.columns import is_missing, strip_text
-from handoff.operators.profile import _keys, null_counts
+from handoff.operators.profile import _keys, is_numeric_field, null_counts
 from handoff.session import reliable_checkpoint
 
 
@@ -83,15 +83,20 @@ def drop_same_records(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return lowest.select(*rest, *[F.col(f"_k.{k}").alias(k) for k in keys]).select(*df.columns)
 
 
-def cast_ints(df: DataFrame, columns: Sequence[str], nulls: Mapping[str, int] | None = None) -> tuple[DataFrame, list[str]]:
-    """Cast integer-by-meaning columns to bigint when they hold no null (one aggregate job)."""
-    present = [c for c in columns if c in df.columns]
-    if nulls is None:
-        counts = null_counts(df.select(*present)) if present else None
-        nulls = {r["column"]: r["null_count"] for r in counts.collect()} if counts is not None else {}
-    cast = [c for c in present if nulls.get(c, 0) == 0]
-    out = df.select(*[F.col(c).cast("bigint").alias(c) if c in cast else F.col(c) for c in df.columns])
-    return out, cast
+def cast_ints(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Cast integer-by-meaning columns to bigint when every value is a whole number (one aggregate job)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    present = [c for c in columns if c in types]
+    if not present:
+        return df, []
+
+    def unfit(c: str) -> F.Column:  # missing, or a number with a fraction (1.7 must not become 1)
+        gap = is_missing(c, types[c])
+        return gap | (F.col(c) != F.floor(c)) if is_numeric_field(types[c]) else gap
+
+    found = df.agg(*[F.count_if(unfit(c)).alias(c) for c in present]).collect()[0]
+    cast = [c for c in present if found[c] == 0]
+    return df.select(*[F.col(c).cast("bigint").alias(c) if c in cast else F.col(c) for c in df.columns]), cast
 
 
 def order_by_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -109,9 +114,8 @@ def clean(
     """The cleaned table and a tidy report ``(section, column, value, n)``.
 
     Actions: the stripped rows and the de-duplicated rows are each written once to the shared
-    checkpoint folder (every later consumer reads them instead of re-running the shuffles); one
-    aggregate gives the null counts that decide the integer casts AND the report's kept nulls
-    (casting a column with no null creates none); one job counts the rows after each step.
+    checkpoint folder (every later consumer reads them instead of re-running the shuffles). The rows
+    left after each step are counted on row hashes and keys alone.
     """
     key = cfg.primary_key
     # the fix counts (old spellings) and the mapped rows (a projection) both read one written copy
@@ -122,18 +126,15 @@ def clean(
     ids = keep_first(exact, key, order_by)
     records = reliable_checkpoint(drop_same_records(ids, key) if drop_duplicate_records else ids)
     nulls = {r["column"]: r["null_count"] for r in null_counts(records).collect()}  # one row per column
-    casted, cast_cols = cast_ints(records, cfg.int_columns, nulls)
+    casted, cast_cols = cast_ints(records, cfg.int_columns)
     out = order_by_key(casted, key)
 
     spark = df.sparkSession
-    counts = [
-        ("rows_in", mapped), ("after_exact", exact), ("after_ids", ids), ("rows_out", records),
-    ]
-    long = None
-    for name, frame in counts:
-        part = frame.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("step"), "n")
-        long = part if long is None else long.unionByName(part)
-    c = {r["step"]: r["n"] for r in long.collect()}
+    # counted on keys and 128-bit row hashes, so no row is shuffled again
+    whole = F.struct(*[F.col(x) for x in mapped.columns])
+    hashes = mapped.select(F.xxhash64(F.lit(1), whole).alias("a"), F.xxhash64(F.lit(2), whole).alias("b"))
+    counts = {"rows_in": stripped, "after_exact": hashes.distinct(), "after_ids": mapped.select(*_keys(key)).distinct(), "rows_out": records}
+    c = {step: frame.count() for step, frame in counts.items()}
     scalars = [
         ("rows_in", c["rows_in"]),
         ("rows_out", c["rows_out"]),

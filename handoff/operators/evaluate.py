@@ -71,12 +71,13 @@ def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -
 
 
 def _auc_expr() -> F.Column:
-    return F.try_divide(F.sum(F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") / 2.0)),
-                        (F.first("_P") * F.first("_N")).cast("double"))
+    # in doubles: the product of two large counts does not fit a long
+    return F.try_divide(F.sum(F.col("_pos").cast("double") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") / 2.0)),
+                        F.first("_P").cast("double") * F.first("_N").cast("double"))
 
 
 def _ap_expr() -> F.Column:
-    return F.try_divide(F.sum(F.col("_pos") * F.col("_tp_desc") / F.col("_all_desc")), F.first("_P").cast("double"))
+    return F.try_divide(F.sum(F.col("_pos").cast("double") * F.col("_tp_desc") / F.col("_all_desc")), F.first("_P").cast("double"))
 
 
 def rank_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
@@ -178,8 +179,8 @@ def fairness(scores: DataFrame, attributes: Sequence[str], y: str = "y", proba:
     long = scores.select(F.col(y).alias("_y"), predicted(proba, threshold).alias("_p"),
                          F.explode(F.array(*parts)).alias("a")).select("_y", "_p", "a.*").where(F.col("group").isNotNull())
     cm = classification_metrics(long, "_y", group_by=["attribute", "group"], pred="_p")
-    rate = long.groupBy("attribute", "group").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("_p").cast("double")).alias("positive_rate"))
-    return rate.join(cm, ["attribute", "group"]).select("attribute", "group", "n", "recall", "precision", "positive_rate")
+    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    return cm.select("attribute", "group", n.alias("n"), "recall", "precision", F.try_divide(F.col("tp") + F.col("fp"), n).alias("positive_rate"))
 
 
 def ranked_importances(importances: DataFrame, limit: int = 10) -> DataFrame:

@@ -8,8 +8,8 @@ seeded hash of the key with the distributed row numbering (no single-task global
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
-from dataclasses import replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +32,11 @@ EXPECTED_CHECK = {
 DEFAULT_FRACTION = {"bad_category": 0.05, "row_loss": 0.10}
 
 
-def _require(df: DataFrame, column: str, preset: str) -> None:
-    if column not in df.columns:
-        raise KeyError(f"preset {preset!r} needs the column {column!r}; got {df.columns}")
-
-
-def snake(name: str) -> str:
-    s = re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name).lower()
-    return s if s != name else name.replace("_", "")
+def other_spelling(name: str) -> str:
+    """A different spelling of a column name: snake case, or without underscores if it is snake case already."""
+    words = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z0-9]+", name)
+    snake = "_".join(w.lower() for w in words)
+    return snake if snake != name else "".join(words)
 
 
 def exact_pick(df: DataFrame, key: str, fraction: float, seed: int, order: Column | None = None) -> DataFrame:
@@ -60,6 +57,38 @@ def exact_pick(df: DataFrame, key: str, fraction: float, seed: int, order: Colum
     return df.withColumn("_picked", picked)
 
 
+@dataclass(frozen=True)
+class Fault:
+    """What a preset works on; ``picked`` marks an exact share of the rows."""
+
+    df: DataFrame
+    contract: Contract
+    column: str
+    raw_value: str | None
+    pick: Callable[[], DataFrame]
+
+
+def _picked_value(f: Fault) -> DataFrame:
+    if f.raw_value is None:
+        raise ValueError("a spelling to put in is needed (raw_value)")
+    cell = F.when(F.col("_picked"), F.lit(f.raw_value)).otherwise(F.col(f.column))
+    return f.pick().withColumn(f.column, cell).select(*f.df.columns)
+
+
+#: Preset -> the broken table, from the sound one.
+TABLE_FAULTS: dict[str, Callable[[Fault], DataFrame]] = {
+    "unit_change": lambda f: f.df.withColumn(f.column, F.col(f.column) * 100),
+    "rename_column": lambda f: f.df.withColumnRenamed(f.column, other_spelling(f.column)),
+    "bad_category": _picked_value,
+    "dtype_change": lambda f: f.df.withColumn(f.column, F.concat(F.lit("Tier "), F.col(f.column).cast("string"))),
+    "row_loss": lambda f: f.pick().where(~F.col("_picked")).select(*f.df.columns),
+}
+#: Preset -> the broken contract.
+CONTRACT_FAULTS: dict[str, Callable[[Fault], Contract]] = {
+    "drop_contract_field": lambda f: replace(f.contract, columns=f.contract.columns.where(F.col("name") != f.column)),
+}
+
+
 def tamper(
     df: DataFrame,
     contract: Contract,
@@ -71,34 +100,18 @@ def tamper(
     raw_value: str | None = None,
     order: Column | None = None,
 ) -> tuple[DataFrame, Contract]:
-    """A broken copy of (table, contract) for one preset."""
-    if preset not in FAULT_PRESETS:
-        raise ValueError(f"unknown preset {preset!r}; known presets: {list(FAULT_PRESETS)}")
-    key = key or contract.dataset["primary_key"]
-    frac = DEFAULT_FRACTION.get(preset) if fraction is None else fraction
-    if preset == "unit_change":
-        _require(df, column, preset)
-        return df.withColumn(column, F.col(column) * 100), contract
-    if preset == "rename_column":
-        _require(df, column, preset)
-        return df.withColumnRenamed(column, snake(column)), contract
-    if preset == "drop_contract_field":
-        if column not in contract.names():
-            raise KeyError(f"preset {preset!r} needs {column} to be declared in the contract")
-        return df, replace(contract, columns=contract.columns.where(F.col("name") != column))
-    if preset == "bad_category":
-        _require(df, column, preset)
-        if raw_value is None:
-            raise ValueError("bad_category needs the raw spelling to inject")
-        picked = exact_pick(df, key, frac, seed, order)
-        out = picked.withColumn(column, F.when(F.col("_picked"), F.lit(raw_value)).otherwise(F.col(column)))
-        return out.select(*df.columns), contract
-    if preset == "dtype_change":
-        _require(df, column, preset)
-        return df.withColumn(column, F.concat(F.lit("Tier "), F.col(column).cast("string"))), contract
-    # row_loss
-    picked = exact_pick(df, key, frac, seed, order)
-    return picked.where(~F.col("_picked")).select(*df.columns), contract
+    """A broken copy of (table, contract) for one preset; ``order`` replaces the seeded hash."""
+    known = TABLE_FAULTS | CONTRACT_FAULTS
+    if preset not in known:
+        raise ValueError(f"{preset} is no preset; there are {', '.join(known)}")
+    if column not in (df.columns if preset in TABLE_FAULTS else contract.names()):
+        raise KeyError(f"{preset}: there is no column {column} to break")
+    share = DEFAULT_FRACTION.get(preset) if fraction is None else fraction
+    pick = lambda: exact_pick(df, key or contract.dataset["primary_key"], share, seed, order)
+    fault = Fault(df, contract, column, raw_value, pick)
+    if preset in CONTRACT_FAULTS:
+        return df, CONTRACT_FAULTS[preset](fault)
+    return TABLE_FAULTS[preset](fault), contract
 
 
 def fault_matrix(

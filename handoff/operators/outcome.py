@@ -20,14 +20,17 @@ from handoff.operators.profile import is_numeric_field, null_counts
 from handoff.operators.quantiles import exact_quantiles
 
 
-def categorical_columns(df: DataFrame, extra: Sequence[str] = ()) -> list[str]:
-    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return cols + [c for c in extra if c in df.columns and c not in cols]
-
-
-def numeric_feature_columns(df: DataFrame, key: str, target: str, extra: Sequence[str] = ()) -> list[str]:
-    skip = {key, target, *extra}
-    return [f.name for f in df.schema.fields if is_numeric_field(f.dataType) and f.name not in skip]
+def column_kinds(df: DataFrame, key: str | None = None, target: str | None = None, extra: Sequence[str] = ()) -> dict[str, list[str]]:
+    """Columns by how the statistics treat them: text and the listed codes are 'categorical', the
+    remaining numbers 'numeric'; key and outcome are neither."""
+    kinds: dict[str, list[str]] = {"categorical": [], "numeric": []}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, StringType):
+            kinds["categorical"].append(f.name)
+        elif is_numeric_field(f.dataType) and f.name not in {key, target, *extra}:
+            kinds["numeric"].append(f.name)
+    kinds["categorical"] += [c for c in dict.fromkeys(extra) if c in df.columns and c not in kinds["categorical"]]
+    return kinds
 
 
 def overall_rate(df: DataFrame, target: str) -> DataFrame:
@@ -93,7 +96,8 @@ def correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFram
     rows = [F.struct(F.lit(c).alias("column"),
                      F.when((F.col(f"mn{i}") < F.col(f"mx{i}")) & (F.col("ymin") < F.col("ymax")),
                             F.col(f"r{i}")).alias("r")) for i, c in enumerate(columns)]
-    return wide.select(F.inline(F.array(*rows))).where(F.col("r").isNotNull() & ~F.isnan("r"))
+    found = wide.select(F.inline(F.array(*rows))).where(F.col("r").isNotNull() & ~F.isnan("r"))
+    return found.orderBy(F.abs("r").desc(), "column")
 
 
 def top_drivers(corr: DataFrame, k: int = 5) -> DataFrame:
@@ -142,51 +146,50 @@ def histogram(df: DataFrame, target: str, columns: Sequence[str], bins: int = HI
     """(column, outcome, bin, lo, hi, n) -- ``bins`` equal bins per (column, outcome) series.
 
     Each series' range is its own min..max; the last bin is closed; a constant series is centred
-    on [v - 0.5, v + 0.5] (as numpy does). Only non-empty bins are listed.
+    on [v - 0.5, v + 0.5] (as numpy does). All ``bins`` bins of every series are listed, empty ones
+    with n = 0.
     """
     dts = {f.name: f.dataType for f in df.schema.fields}
-    parts = [F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c), dts[c]).cast("double").alias("x"))
-             for c in columns]
-    long = df.select(F.col(target).alias("outcome"), F.explode(F.array(*parts)).alias("p")).select(
-        "outcome", "p.*").where(F.col("x").isNotNull())
-    rng = long.groupBy("column", "outcome").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
-    rng = rng.select("column", "outcome",
-                     F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo0"),
-                     F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi0"))
-    w = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
-    # (#columns x 2) range rows: metadata-sized, broadcast so the values are never shuffled by column
-    j = long.join(F.broadcast(rng), ["column", "outcome"])
-    b = F.least(F.floor((F.col("x") - F.col("lo0")) / w), F.lit(bins - 1)).cast("int")
-    counted = j.select("column", "outcome", b.alias("bin"), "lo0", "hi0").groupBy(
-        "column", "outcome", "bin", "lo0", "hi0").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("column", "outcome", "bin",
-                          (F.col("lo0") + F.col("bin") * w).alias("lo"),
-                          (F.col("lo0") + (F.col("bin") + 1) * w).alias("hi"), "n")
-
-
-def key_numbers(stats_row: dict, cleaning: dict, spark) -> DataFrame:
-    """The ten labelled key numbers, formatted like the published table.
-
-    ``stats_row``: n_rows, positive_rate, positive_count, n_null_columns, top_column, top_r,
-    flag_rate, first_bin_rate; ``cleaning``: rows_in, rows_out, duplicate_records_dropped, fixes.
-    """
-    def pct(x):
-        return "n/a" if x is None else f"{x:.1%}"
-
-    strongest = "n/a" if stats_row.get("top_column") is None else f"{stats_row['top_column']} (r = {stats_row['top_r']:+.2f})"
-    rows = [
-        ("Rows (raw)", f"{cleaning.get('rows_in', 0):,}"),
-        ("Rows (clean)", f"{cleaning.get('rows_out', stats_row.get('n_rows', 0)):,}"),
-        ("Duplicate records removed", f"{cleaning.get('duplicate_records_dropped', 0):,}"),
-        ("Spelling fixes applied", f"{cleaning.get('fixes', 0):,}"),
-        ("Outcome rate", pct(stats_row["positive_rate"])),
-        ("Positive outcomes", f"{stats_row['positive_count']:,}"),
-        ("Columns with missing values (kept)", str(stats_row.get("n_null_columns", 0))),
-        ("Strongest correlate of the outcome", strongest),
-        ("Outcome rate when flagged", pct(stats_row.get("flag_rate"))),
-        ("Outcome rate in the first bin", pct(stats_row.get("first_bin_rate"))),
-    ]
-    return spark.createDataFrame([(i, m, v) for i, (m, v) in enumerate(rows)], "position int, measure string, value string")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c), dts[c]).cast("double").alias("x")) for c in columns])
+    long = df.select(F.col(target).alias("outcome"), F.explode(cells).alias("p")).select("outcome", "p.*").where(F.col("x").isNotNull())
+    ends = long.groupBy("column", "outcome").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    half = F.when(F.col("low") == F.col("high"), F.lit(0.5)).otherwise(F.lit(0.0))
+    ends = ends.select("column", "outcome", (F.col("low") - half).alias("from"), (F.col("high") + half).alias("to"))
+    width = (F.col("to") - F.col("from")) / F.lit(float(bins))
+    # one row for each series: whether it is broadcast is the planner's choice
+    at = F.least(F.floor((F.col("x") - F.col("from")) / width), F.lit(bins - 1)).cast("int")
+    counted = long.join(ends, ["column", "outcome"]).groupBy("column", "outcome", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return grid.join(counted, ["column", "outcome", "bin"], "left").select(
+        "column", "outcome", "bin", (F.col("from") + F.col("bin") * width).alias("lo"), (F.col("from") + (F.col("bin") + 1) * width).alias("hi"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+#: Published measure -> (where it comes from, name there, how it is shown).
+KEY_NUMBERS = {
+    "outcome: share of positive rows": ("stats", "positive_rate", "share"),
+    "outcome: positive rows": ("stats", "positive_count", "count"),
+    "outcome: share where the flag is set": ("stats", "flag_rate", "share"),
+    "outcome: share in the lowest bin": ("stats", "first_bin_rate", "share"),
+    "outcome: closest column": ("stats", "top_column", "name"),
+    "outcome: its correlation": ("stats", "top_r", "signed"),
+    "table: rows read": ("cleaning", "rows_in", "count"),
+    "table: rows kept": ("cleaning", "rows_out", "count"),
+    "table: repeated records dropped": ("cleaning", "duplicate_records_dropped", "count"),
+    "table: spellings unified": ("cleaning", "fixes", "count"),
+    "table: columns with gaps": ("stats", "n_null_columns", "count"),
+}
+_SHOWN = {"share": "{:.1%}".format, "count": "{:,}".format, "signed": "{:+.2f}".format, "name": str}
+
+
+def key_numbers(stats: dict, cleaning: dict, spark) -> DataFrame:
+    """(position, measure, value) of every published key number, formatted; 'n/a' where there is none."""
+    given = {"stats": stats, "cleaning": cleaning}
+    rows = []
+    for position, (measure, (source, name, how)) in enumerate(KEY_NUMBERS.items()):
+        x = given[source].get(name)
+        rows.append((position, measure, "n/a" if x is None else _SHOWN[how](x)))
+    return spark.createDataFrame(rows, "position int, measure string, value string")
 
 
 def key_numbers_match(published: DataFrame, fresh: DataFrame) -> bool:

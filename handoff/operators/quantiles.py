@@ -30,9 +30,9 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group_by: Sequence[
 
     def at(rank_col: str, name: str) -> DataFrame:
         t = targets.select(*group_by, "p", F.col(rank_col).alias("_r"))
-        # t has (#groups x #probs) rows -- metadata-sized -- so it is broadcast; the big side is
-        # never shuffled by group (a hot group would otherwise land in one task).
-        j = cum.select(*group_by, value, "_start", "_cum").join(F.broadcast(t), group_by, "inner").where(
+        # t has (#groups x #probs) rows: broadcast by its measured size where it is small, else joined
+        # by group, where the engine splits a hot group
+        j = cum.select(*group_by, value, "_start", "_cum").join(t, group_by, "inner").where(
             (F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_cum")))
         return j.select(*group_by, "p", F.col(value).alias(name))
 

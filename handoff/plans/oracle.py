@@ -96,10 +96,12 @@ def b4a():
 
 
 def b4b():
-    cols = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_quantity", "double"), ("l_discount", "double"),
-            ("l_tax", "double"), ("l_extendedprice", "double")]
+    cols = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
+            ("l_discount", "double"), ("l_tax", "double"), ("l_extendedprice", "double")]
     parts = [f"SELECT DISTINCT {lit(c)} AS col, CAST({_norm(c, t)} AS DOUBLE) AS num, CAST({_norm(c, t)} AS VARCHAR) AS value "
              f"FROM lineitem WHERE {c} IS NOT NULL" for c, t in cols]
+    parts.append("SELECT DISTINCT 'l_shipdate' AS col, CAST(NULL AS DOUBLE) AS num, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS value "
+                 "FROM lineitem WHERE l_shipdate IS NOT NULL")
     return (f"SELECT col AS {q('column')}, rk AS {q('rank')}, value FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY col ORDER BY num, value) AS rk FROM ({union(parts)}) x) y WHERE rk <= 10")
 
@@ -140,9 +142,9 @@ def b8():
 
 
 def b9():
-    return (f"SELECT column_name AS {q('column')}, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
-            "WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
-            "ELSE lower(data_type) END AS dtype FROM information_schema.columns WHERE table_name = 'lineitem'")
+    kinds = {"bigint": "bigint", "int": "int", "double": "double", "string": "string", "timestamp_ntz": "timestamp_ntz", "timestamp": "timestamp_ntz"}
+    return union([f"SELECT {lit(c)} AS {q('column')}, {lit(kinds.get(t, t))} AS dtype, count({c}) AS filled FROM lineitem" for c, t in LINE_COLS])
+
 
 
 # ---------------------------------------------------------------- C
@@ -333,10 +335,11 @@ def d10():
     return SNAP + (f", lng AS ({union(longp)}),\n"
                    "rng AS (SELECT col, outcome, CASE WHEN min(x) = max(x) THEN min(x) - 0.5 ELSE min(x) END AS lo0, "
                    "CASE WHEN min(x) = max(x) THEN max(x) + 0.5 ELSE max(x) END AS hi0 FROM lng GROUP BY col, outcome),\n"
-                   "bn AS (SELECT l.col, l.outcome, CAST(least(floor((x - lo0) / ((hi0 - lo0) / 20.0)), 19) AS INTEGER) AS bin, lo0, hi0 "
-                   "FROM lng l JOIN rng USING (col, outcome))\n"
-                   f"SELECT col AS {q('column')}, outcome, bin, {r('lo0 + bin * ((hi0 - lo0) / 20.0)')} AS lo, "
-                   f"{r('lo0 + (bin + 1) * ((hi0 - lo0) / 20.0)')} AS hi, count(*) AS n FROM bn GROUP BY col, outcome, bin, lo0, hi0")
+                   "bn AS (SELECT l.col, l.outcome, CAST(least(floor((x - lo0) / ((hi0 - lo0) / 20.0)), 19) AS INTEGER) AS bin, count(*) AS n "
+                   "FROM lng l JOIN rng USING (col, outcome) GROUP BY 1, 2, 3)\n"
+                   f"SELECT g.col AS {q('column')}, g.outcome, CAST(g.bin AS INTEGER) AS bin, {r('lo0 + g.bin * ((hi0 - lo0) / 20.0)')} AS lo, "
+                   f"{r('lo0 + (g.bin + 1) * ((hi0 - lo0) / 20.0)')} AS hi, coalesce(bn.n, 0) AS n "
+                   "FROM (SELECT *, unnest(range(20)) AS bin FROM rng) g LEFT JOIN bn ON bn.col = g.col AND bn.outcome = g.outcome AND bn.bin = g.bin")
 
 
 # ---------------------------------------------------------------- E
@@ -364,15 +367,15 @@ def _contract_rows(source="snap", cols=None):
     for i, (c, t) in enumerate(cols):
         unit = CFG.units.get(c)
         if t == "string":
-            av = f"(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM {source} WHERE {c} IS NOT NULL))"
+            av = f"count(DISTINCT {c})"
             mn = mx = "CAST(NULL AS DOUBLE)"
         else:
-            av = "CAST(NULL AS VARCHAR)"
+            av = "CAST(NULL AS BIGINT)"
             mn, mx = f"CAST(min({c}) AS DOUBLE)", f"CAST(max({c}) AS DOUBLE)"
         parts.append(
             f"SELECT {lit(c)} AS name, {i} AS position, {_dtype_sql(c, t)} AS dtype, {lit(_role(c))} AS role, "
             f"{lit(unit)} AS unit, count(*) FILTER (WHERE {miss(c, t)}) > 0 AS nullable, "
-            f"count(*) FILTER (WHERE {miss(c, t)}) AS null_count, {av} AS allowed_values, {mn} AS min, {mx} AS max "
+            f"count(*) FILTER (WHERE {miss(c, t)}) AS null_count, {av} AS n_allowed, {mn} AS min, {mx} AS max "
             f"FROM {source}")
     return union(parts)
 
@@ -421,9 +424,12 @@ def _fmt_num(x):
 
 
 def e13():
+    texts = union([f"SELECT DISTINCT {lit(c)} AS col, {c} AS v FROM snap WHERE {c} IS NOT NULL" for c, t in SNAP_COLS if t == "string"])
+    some = ("(SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY v) AS rk FROM "
+            f"({texts}) x) y WHERE rk <= 5 AND col = cr.name)")
     return SNAP + ", cr AS (" + _contract_rows() + ")\n" + (
         "SELECT position, name, dtype, role, coalesce(unit, '') AS unit, "
-        "CASE WHEN allowed_values IS NOT NULL THEN replace(allowed_values, '|', ', ') "
+        f"CASE WHEN n_allowed IS NOT NULL THEN format('{{:,}}', n_allowed) || ' values: ' || coalesce({some}, '') || CASE WHEN n_allowed > 5 THEN ', ...' ELSE '' END "
         f"WHEN min IS NOT NULL AND max IS NOT NULL THEN {_fmt_num('min')} || ' to ' || {_fmt_num('max')} ELSE '' END AS \"constraint\", "
         "CASE WHEN nullable THEN format('{:,}', null_count) ELSE 'none' END AS nulls FROM cr")
 
@@ -483,9 +489,9 @@ def validate_sql(preset: str | None) -> str:
     unexpected = [n for n in observed if n not in declared]
     for n in missing:
         close = difflib.get_close_matches(n, unexpected or observed, n=1, cutoff=0.6)
-        row("columns", n, "false", hint=lit(f"closest name in the data: {close[0]!r}") if close else "NULL")
+        row("columns", n, "false", hint=lit(f"renamed to {close[0]}?") if close else "NULL")
     for n in unexpected:
-        row("columns", n, "false", hint=lit("declare it in the contract or drop it from the clean file"))
+        row("columns", n, "false", hint=lit("not part of the contract"))
     if not missing and not unexpected:
         row("columns", None, "true")
 
@@ -500,11 +506,11 @@ def validate_sql(preset: str | None) -> str:
         else:
             found = lit({"double": "float", "string": "category"}[t])
         row("dtype", c, f"({found} = {lit(decl)})",
-            hint=f"CASE WHEN {found} = {lit(decl)} THEN NULL ELSE {lit(f'cast {c} back to {decl} or update the contract')} END")
+            hint=f"CASE WHEN {found} = {lit(decl)} THEN NULL ELSE {lit(f'restore {c} as {decl}, or measure a new contract')} END")
         if decl == "category":
             allowed = f"(SELECT DISTINCT {c} FROM snap WHERE {c} IS NOT NULL)"
             bad = f"(SELECT count(*) FROM d WHERE {c} IS NOT NULL AND CAST({c} AS VARCHAR) NOT IN {allowed})"
-            alist = f"(SELECT 'allowed: [' || string_agg('''' || v || '''', ', ' ORDER BY v) || ']' FROM (SELECT DISTINCT {c} AS v FROM snap WHERE {c} IS NOT NULL))"
+            alist = f"(SELECT 'the contract lists ' || count(DISTINCT {c}) || ' values' FROM snap)"
             row("values", c, f"({bad} = 0)", bad, "0", f"CASE WHEN {bad} = 0 THEN NULL ELSE {alist} END")
         if decl in ("int", "float"):
             omax = f"(SELECT max(TRY_CAST({c} AS DOUBLE)) FROM d)"
@@ -515,27 +521,27 @@ def validate_sql(preset: str | None) -> str:
             above = f"({omax} > {dmax} AND NOT abs({omax} - {dmax}) <= 1e-9 * greatest(abs({omax}), abs({dmax})))"
             ratio = f"({omax} / {dmax})"
             hint = (f"CASE WHEN NOT ({below} OR {above}) THEN NULL WHEN {dmax} > 0 AND {ratio} BETWEEN 90 AND 110 "
-                    f"THEN 'ratio ~= 100 - looks like a unit change' WHEN {dmax} > 0 AND {ratio} BETWEEN 900 AND 1100 "
-                    "THEN 'ratio ~= 1000 - looks like a unit change' END")
+                    f"THEN 'about 100 times the declared maximum: another unit?' WHEN {dmax} > 0 AND {ratio} BETWEEN 900 AND 1100 "
+                    "THEN 'about 1000 times the declared maximum: another unit?' END")
             row("range", c, f"NOT ({below} OR {above})", omax, dmax, hint, f"WHERE {omax} IS NOT NULL")
         onull = f"(SELECT count(*) FILTER (WHERE {miss(c, t)}) FROM d)"
         dnull = f"(SELECT count(*) FILTER (WHERE {miss(c, t0)}) FROM snap)"
         row("nulls", c, f"({onull} <= {dnull})", onull, dnull,
-            f"CASE WHEN {onull} <= {dnull} THEN NULL WHEN {dnull} = 0 THEN 'the contract says this column is always filled' "
-            "ELSE 'more nulls than the contract measured - the table is not the clean table' END")
+            f"CASE WHEN {onull} <= {dnull} THEN NULL WHEN {dnull} = 0 THEN 'empty cells in a filled column' "
+            "ELSE 'cells were emptied after measuring' END")
     n, dn = "(SELECT count(*) FROM d)", "(SELECT count(*) FROM snap)"
     row("rows", None, f"({n} = {dn})", n, dn,
-        f"CASE WHEN {n} = {dn} THEN NULL ELSE 'rows were added or dropped after the contract was written' END")
+        f"CASE WHEN {n} = {dn} THEN NULL ELSE 'rows came or went after measuring' END")
     kd = "(SELECT count(*) - count(DISTINCT customer_id) + count(*) FILTER (WHERE customer_id IS NULL) FROM d)"
     row("key", "customer_id", f"({kd} = 0)", kd, "0",
-        f"CASE WHEN {kd} = 0 THEN NULL ELSE 'one row per key is the whole point of the primary key' END")
+        f"CASE WHEN {kd} = 0 THEN NULL ELSE 'a key must name one row' END")
     tb = "(SELECT count(*) FILTER (WHERE churned IS NULL OR churned NOT IN (0, 1)) FROM d)"
     row("key", "churned", f"({tb} = 0)", tb, "0",
-        f"CASE WHEN {tb} = 0 THEN NULL ELSE 'the target must be binary 0/1 with no nulls' END")
+        f"CASE WHEN {tb} = 0 THEN NULL ELSE 'the outcome is 0 or 1 in every row' END")
     for f in REQUIRED:
         ok = f in declared and _role(f) == "feature"
         row("features", f, "true" if ok else "false",
-            hint="NULL" if ok else lit("only columns the contract marks as features may be model inputs"))
+            hint="NULL" if ok else lit("models read declared features only"))
     return SNAP + f", d AS ({body})\n" + union(parts)
 
 
@@ -545,7 +551,7 @@ def g_sql(preset):
     if preset == "unit_change":
         return base + f"SELECT customer_id, {r('cashback')} AS cashback FROM d"
     if preset == "rename_column":
-        return "SELECT * FROM (VALUES " + ", ".join(f"({i}, {lit(c)})" for i, (c, _) in enumerate(cols)) + f") AS t(position, {q('column')})"
+        return base + "SELECT customer_id, ordercount FROM d"
     if preset == "drop_contract_field":
         return "SELECT * FROM (VALUES " + ", ".join(f"({lit(c)}, {i})" for i, (c, _) in enumerate(SNAP_COLS) if c in declared) + ") AS t(name, position)"
     if preset == "bad_category":
@@ -599,6 +605,70 @@ def h4():
                                 + ", recency_bucket FROM eng")
 
 
+def _holes():
+    """snap with one order count in seven, one recency in five and one tenure in three missing."""
+    return SNAP + (", holed AS (SELECT * REPLACE (CASE WHEN customer_id % 7 <> 0 THEN order_count END AS order_count, "
+                   "CASE WHEN customer_id % 5 <> 0 THEN days_since_last END AS days_since_last, "
+                   "CASE WHEN customer_id % 3 <> 0 THEN tenure_months END AS tenure_months) FROM snap)")
+
+
+def h4_nan():
+    eng = _eng_cte().replace("FROM snap)", "FROM holed)")
+    return _holes() + eng + "SELECT customer_id, " + ", ".join(r(c) + f" AS {c}" for c in ENG[:3]) + ", recency_bucket FROM eng"
+
+
+def d6_nan():
+    return _holes() + d6()[len(SNAP):].replace("FROM snap", "FROM holed")
+
+
+def e8_cases():
+    cases = {"snapshot": "", "without key": CFG.primary_key, "without target": CFG.target, "without key and target": f"{CFG.primary_key}, {CFG.target}"}
+    held = ", ".join(c for c, _ in SNAP_COLS)
+    parts = []
+    for name, gone in cases.items():
+        left = ", ".join(c for c, _ in SNAP_COLS if c not in gone.split(", ")) if gone else held
+        message = lit(f"a contract needs the columns {gone}") if gone else "CAST(NULL AS VARCHAR)"
+        parts.append(f"SELECT {lit(name)} AS \"case\", count(*) AS n_rows, {'true' if gone else 'false'} AS refused, {lit(gone)} AS missing, {message} AS message FROM snap")
+    return SNAP + "\n" + union(parts)
+
+
+def h7_cases():
+    gone = ["order_count", "days_since_last"]
+    bucketed = f"(SELECT count(*) FROM (SELECT {_bucket('days_since_last', RECENCY_EDGES, RECENCY_LABELS)} AS b FROM snap) x WHERE b IS NOT NULL)"
+    return SNAP + "\n" + union([
+        f"SELECT 'snapshot' AS \"case\", count(*) AS n_rows, false AS refused, '' AS missing, {bucketed} AS n_bucketed FROM snap",
+        f"SELECT 'without {' and '.join(gone)}' AS \"case\", count(*) AS n_rows, true AS refused, {lit(', '.join(gone))} AS missing, CAST(NULL AS BIGINT) AS n_bucketed FROM snap"])
+
+
+def h8_cases():
+    rows = [("snapshot", "", ""), ("extra column", "note", ""), ("without tenure_months", "", "tenure_months")]
+    return SNAP + "\n" + union([
+        f"SELECT {lit(n)} AS \"case\", {'true' if u or g else 'false'} AS refused, {lit(u)} AS undeclared, {lit(g)} AS absent, "
+        f"CASE WHEN {'false' if u or g else 'true'} THEN count(*) END AS n_rows FROM snap" for n, u, g in rows])
+
+
+def f1_cases():
+    """A table passes if its columns are named and typed as measured and its rows are the same rows."""
+    parts = []
+    for preset in [None, "unit_change", "rename_column", "bad_category", "dtype_change", "row_loss"]:
+        body, cols, _ = tampered_sql(preset)
+        same = "false" if cols != list(SNAP_COLS) else (
+            f"NOT EXISTS (SELECT * FROM ({body}) EXCEPT ALL SELECT * FROM snap) AND NOT EXISTS (SELECT * FROM snap EXCEPT ALL SELECT * FROM ({body}))")
+        parts.append(f"SELECT {lit(preset or 'clean')} AS \"case\", (SELECT count(*) FROM ({body})) AS n_rows, {same} AS passed")
+    return SNAP + "\n" + union(parts)
+
+
+def e12_large():
+    """Two sets of equal size that share no value differ in the set and nothing else."""
+    sizes = "(SELECT count(DISTINCT text) FROM documents)"
+    other = "(SELECT count(*) FROM (SELECT DISTINCT text FROM documents INTERSECT SELECT DISTINCT 'x' || text FROM documents) z)"
+    return f"SELECT 'text' AS name, 'allowed_set' AS field, {sizes} AS n_values WHERE {other} < {sizes}"
+
+
+def e12_rationale():
+    return "SELECT name FROM (VALUES " + ", ".join(f"({lit(c)})" for c, _ in SNAP_COLS if c != "churned") + ") AS t(name)"
+
+
 def h9():
     cols = ["customer_id", *FEATURES, *ENG, "churned"]
     types = dict(SNAP_COLS)
@@ -799,7 +869,7 @@ def l7():
 
 # ---------------------------------------------------------------- A (round trips)
 def a2():
-    return "SELECT trim(p_name) AS name, coalesce(trim(p_type), '') AS description FROM part WHERE trim(p_name) <> ''"
+    return "SELECT trim(p_name) AS name, arg_max(coalesce(trim(p_type), ''), p_partkey) AS description FROM part WHERE trim(p_name) <> '' GROUP BY 1"
 
 
 def a4():
@@ -862,22 +932,24 @@ def c9():
 
 
 def d12():
-    top = f"(SELECT col || ' (r = ' || printf('%+.2f', r) || ')' FROM ({union(_corr_parts())}) x WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY abs(r) DESC, col LIMIT 1)"
+    plus = "printf('%+.2f', r)"
+    top = lambda what: f"(SELECT {what} FROM ({union(_corr_parts())}) x WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY abs(r) DESC, col LIMIT 1)"
     nulls = f"(SELECT count(*) FROM ({union([f'SELECT count(*) FILTER (WHERE {miss(c, t)}) AS n FROM snap' for c, t in SNAP_COLS])}) z WHERE n > 0)"
     fixes = " + ".join(f"(SELECT count(*) FILTER (WHERE {strip(c)} = {lit(o)}) FROM raw)" for c, m in CFG.entity_map.items() for o in m)
     pct = lambda x: f"coalesce(printf('%.1f', 100 * {x}) || '%', 'n/a')"
     first = f"(SELECT avg(CAST(churned AS DOUBLE)) FROM snap WHERE tenure_months > -0.5 AND tenure_months <= 1.5)"
     rows = [
-        ("Rows (raw)", "format('{:,}', (SELECT count(*) FROM raw))"),
-        ("Rows (clean)", "format('{:,}', (SELECT count(*) FROM cl))"),
-        ("Duplicate records removed", "format('{:,}', (SELECT count(*) FROM ids) - (SELECT count(*) FROM recs))"),
-        ("Spelling fixes applied", f"format('{{:,}}', {fixes})"),
-        ("Outcome rate", pct("(SELECT avg(churned) FROM snap)")),
-        ("Positive outcomes", "format('{:,}', (SELECT sum(churned) FROM snap))"),
-        ("Columns with missing values (kept)", f"CAST({nulls} AS VARCHAR)"),
-        ("Strongest correlate of the outcome", f"coalesce({top}, 'n/a')"),
-        ("Outcome rate when flagged", pct("(SELECT avg(churned) FILTER (WHERE returned = 1) FROM snap)")),
-        ("Outcome rate in the first bin", pct(first)),
+        ("outcome: share of positive rows", pct("(SELECT avg(churned) FROM snap)")),
+        ("outcome: positive rows", "format('{:,}', (SELECT sum(churned) FROM snap))"),
+        ("outcome: share where the flag is set", pct("(SELECT avg(churned) FILTER (WHERE returned = 1) FROM snap)")),
+        ("outcome: share in the lowest bin", pct(first)),
+        ("outcome: closest column", f"coalesce({top('col')}, 'n/a')"),
+        ("outcome: its correlation", f"coalesce({top(plus)}, 'n/a')"),
+        ("table: rows read", "format('{:,}', (SELECT count(*) FROM raw))"),
+        ("table: rows kept", "format('{:,}', (SELECT count(*) FROM cl))"),
+        ("table: repeated records dropped", "format('{:,}', (SELECT count(*) FROM ids) - (SELECT count(*) FROM recs))"),
+        ("table: spellings unified", f"format('{{:,}}', {fixes})"),
+        ("table: columns with gaps", f"format('{{:,}}', {nulls})"),
     ]
     return _clean_ctes() + union([f"SELECT {i} AS position, {lit(m)} AS measure, {v} AS value" for i, (m, v) in enumerate(rows)])
 
@@ -904,7 +976,7 @@ def l1():
         parts.append(
             f"SELECT {lit(p or 'clean')} AS \"case\", bool_and(passed) AS passed, "
             "CASE WHEN bool_and(passed) THEN 'next stage' ELSE 'stop' END AS action, "
-            "'# Contract validation - ' || CASE WHEN bool_and(passed) THEN 'PASSED' ELSE 'FAILED' END AS headline "
+            "CASE WHEN bool_and(passed) THEN 'agrees' ELSE 'disagrees' END || ' with its contract: table' AS headline "
             f"FROM ({validate_sql(p)}) rep")
     return union(parts)
 
@@ -934,16 +1006,19 @@ def h6():
 
 def all_sql() -> dict[str, str]:
     out = {
-        "a1_read_raw": a1(), "a3_read_typed": a1(),
+        "a1_read_raw": a1(), "a3_read_typed": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer",
         "b1_shape": b1(), "b2_null_counts": b2(), "b3_distinct_counts": b3(), "b4a_text_samples": b4a(),
         "b4b_numeric_samples": b4b(), "b5_numeric_stats": b5(), "b6_duplicate_rows": b6(),
         "b7_duplicate_ids": b7(), "b8_duplicate_records": b8(), "b9_dtypes": b9(),
         "c1_strip": c1(), "c2_entity_map": c2(), "c3_fix_counts": c3(), "c4_drop_exact": c4(),
-        "c5_keep_first": c5(), "c6_same_records": c6(), "c7_cast_ints": c7(), "c8_clean_table": c8(),
+        "c5_keep_first": c5(), "c6_same_records": c6(), "c7_cast_ints": c7(), "c7_cast_whole_numbers": "SELECT 'bigint' AS quantity_type, 'double' AS price_type, sum(l_quantity) AS quantity, round(sum(l_extendedprice), 0) AS price FROM lineitem WHERE (SELECT count(*) FROM lineitem WHERE l_quantity <> floor(l_quantity)) = 0 AND (SELECT count(*) FROM lineitem WHERE l_extendedprice <> floor(l_extendedprice)) > 0", "c8_clean_table": c8(),
         "c10_cleaning_report": c10(), "c11_reconcile": c11(), "c12_unmapped": c12(), "c13_null_reconcile": c13(),
         "d1_overall_rate": d1(), "d2_rate_by_category": d2(), "d3_mean_by_outcome": d3(), "d4_correlations": d4(),
         "d5_top_drivers": d5(), "d6_rate_by_bin": d6(), "d7_flag_rates": d7(), "d8_null_map": d8(),
         "d9_describe": d9(), "d10_histogram": d10(),
+        "h4_engineered_nan": h4_nan(), "d6_rate_by_bin_nan": d6_nan(), "e8_refuse_missing_roles": e8_cases(),
+        "h7_refuse_missing_sources": h7_cases(), "h8_refuse_undeclared": h8_cases(), "f1_integrity": f1_cases(),
+        "e12_drift_of_large_sets": e12_large(), "e12_missing_rationale": e12_rationale(),
         "e9_contract": e9(), "e4_allowed_values": e4(), "e7_dataset": e7(), "e10_human_fields": e10(),
         "e11_measured": e11(), "e12_drift": e12(), "e13_display_rows": e13(),
         "f_validate_clean": validate_sql(None), "f13_summary": f13(), "f14_failures": f14(),

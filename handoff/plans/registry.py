@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from handoff.functions.columns import knuth_hash, strip_text
 from handoff.operators import clean as C
@@ -20,6 +20,7 @@ from handoff.operators import faults as G
 from handoff.operators import outcome as D
 from handoff.operators import profile as B
 from handoff.operators import validate as V
+from handoff.config import Config
 from handoff.plans import views
 from handoff.plans.views import SNAPSHOT_CONFIG as CFG
 from handoff.session import reliable_checkpoint
@@ -62,9 +63,16 @@ def a1_read_raw(spark, sf):
 
 
 def a3_read_typed(spark, sf):
-    from handoff.sources.tables import read_table
-    return read_table(spark, f"{sf}/customer.parquet", fmt="parquet",
-                      schema="c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    """A3: the customers as CSV, one segment in four written as a null token, read back with a schema."""
+    from handoff.sources.artifacts import scratch_path
+    from handoff.sources.tables import NULL_TOKENS, read_table
+    token = F.element_at(F.array(*[F.lit(x) for x in NULL_TOKENS]), (F.pmod(F.col("c_custkey"), F.lit(len(NULL_TOKENS))) + 1).cast("int"))
+    rows = t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.when(
+        F.col("c_custkey") % 4 == 0, token).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    path = scratch_path(spark, "customers-csv")
+    rows.write.option("header", True).csv(path)
+    return read_table(spark, path, fmt="csv", schema="c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                      null_tokens=NULL_TOKENS)
 
 
 # ---------------------------------------------------------------- B profile
@@ -87,8 +95,8 @@ def b4a_text_samples(spark, sf):
 
 
 def b4b_numeric_samples(spark, sf):
-    li = t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    return B.sample_values(li)
+    li = t(spark, sf, "lineitem")
+    return B.sample_values(li.select(*[f.name for f in li.schema.fields if not isinstance(f.dataType, StringType)]))
 
 
 def b5_numeric_stats(spark, sf):
@@ -110,8 +118,9 @@ def b8_duplicate_records(spark, sf):
 
 def b9_dtypes(spark, sf):
     df = t(spark, sf, "lineitem")
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                 "column string, dtype string")
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("dtype"), F.col(c).alias("filled")) for c, k in df.dtypes]
+    return filled.select(F.inline(F.array(*rows)))
 
 
 # ---------------------------------------------------------------- C cleaning
@@ -157,6 +166,14 @@ def c7_cast_ints(spark, sf):
                                  "column string, dtype string")
 
 
+def c7_cast_whole_numbers(spark, sf):
+    """C7 over order lines: whole quantities become bigint, prices with cents stay as they are."""
+    out, cast = C.cast_ints(t(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    kinds = dict(out.dtypes)
+    return out.agg(F.sum(F.col("l_quantity")).cast("double").alias("quantity"), F.round(F.sum("l_extendedprice"), 2).alias("price")).select(
+        F.lit(kinds["l_quantity"]).alias("quantity_type"), F.lit(kinds["l_extendedprice"]).alias("price_type"), "quantity", F.round("price", 0).alias("price"))
+
+
 def c8_clean_table(spark, sf):
     out, _ = _cleaned(spark, sf)
     return rnd(out)
@@ -184,11 +201,11 @@ def c13_null_reconcile(spark, sf):
 
 # ---------------------------------------------------------------- D outcome statistics
 def _cats(df):
-    return D.categorical_columns(df, CFG.categorical_extra)
+    return D.column_kinds(df, CFG.primary_key, CFG.target, CFG.categorical_extra)["categorical"]
 
 
 def _nums(df):
-    return D.numeric_feature_columns(df, CFG.primary_key, CFG.target, CFG.categorical_extra)
+    return D.column_kinds(df, CFG.primary_key, CFG.target, CFG.categorical_extra)["numeric"]
 
 
 def d1_overall_rate(spark, sf):
@@ -247,10 +264,11 @@ def _contract(spark, sf):
     return E.build_contract(snap(spark, sf), CFG, source="customer_snapshot")
 
 
+SPEC = ["name", "position", "dtype", "role", "unit", "nullable", "null_count", "n_allowed", "min", "max"]
+
+
 def e9_contract(spark, sf):
-    c = _contract(spark, sf)
-    return c.columns.select("name", "position", "dtype", "role", "unit", "nullable", "null_count",
-                            F.array_join("allowed_values", "|").alias("allowed_values"), "min", "max")
+    return _contract(spark, sf).columns.select(*SPEC)
 
 
 def e6_units_descriptions(spark, sf):
@@ -285,8 +303,25 @@ def e12_drift(spark, sf):
     return E.contract_drift(committed, fresh)
 
 
+def e12_drift_of_large_sets(spark, sf):
+    """E12 over a value set as large as the table: texts in upper case are another set of as many values."""
+    cfg = Config(primary_key="doc_id", target="in_english")
+    docs = t(spark, sf, "documents").select("doc_id", "text", "lang", (F.col("lang") == "en").cast("int").alias("in_english"))
+    now = E.build_contract(docs, cfg)
+    other = E.build_contract(docs.withColumn("text", F.concat(F.lit("x"), "text")), cfg)
+    drift = E.contract_drift(E.measured_fields(now), E.measured_fields(other))
+    n = now.columns.where("name = 'text'").select("n_allowed")
+    size = n.first()[0]
+    return drift.select("name", "field", F.lit(size).cast("long").alias("n_values"))
+
+
+def e12_missing_rationale(spark, sf):
+    c = E.apply_human_fields(_contract(spark, sf), {}, {"churned": "no order after the cut-off", "cashback": "  "})
+    return E.missing_rationale(c.columns)
+
+
 def e13_display_rows(spark, sf):
-    return E.display_rows(_contract(spark, sf).columns).select("position", "name", "dtype", "role", "unit",
+    return E.display_rows(_contract(spark, sf)).select("position", "name", "dtype", "role", "unit",
                                                                "constraint", "nulls")
 
 
@@ -320,8 +355,8 @@ def e8_refuse_missing_roles(spark, sf):
                 E.build_contract(df, CFG)
             except ValueError as e:
                 message = str(e).split(";")[0]
-        rows.append((name, message is not None, ", ".join(missing), message))
-    return spark.createDataFrame(rows, "case string, refused boolean, missing string, message string")
+        rows.append((name, df.count(), message is not None, ", ".join(missing), message))
+    return spark.createDataFrame(rows, "case string, n_rows long, refused boolean, missing string, message string")
 
 
 # ---------------------------------------------------------------- F validation, G faults
@@ -385,8 +420,7 @@ def g1_unit_change(spark, sf):
 
 
 def g2_rename_column(spark, sf):
-    df = _tampered(spark, sf, "rename_column")[0]
-    return spark.createDataFrame([(i, c) for i, c in enumerate(df.columns)], "position int, column string")
+    return _tampered(spark, sf, "rename_column")[0].select("customer_id", "ordercount")
 
 
 def g3_drop_contract_field(spark, sf):
@@ -453,12 +487,12 @@ def h7_refuse_missing_sources(spark, sf):
     for name, df in cases:
         missing = H.missing_sources(df.columns, views.FEATURE_SOURCES)
         try:
-            H.add_engineered(df, views.FEATURE_SOURCES)
+            n = H.add_engineered(df, views.FEATURE_SOURCES).where(F.col("recency_bucket").isNotNull()).count()
             refused = False
         except ValueError:
-            refused = True
-        rows.append((name, refused, ", ".join(missing)))
-    return spark.createDataFrame(rows, "case string, refused boolean, missing string")
+            n, refused = None, True
+        rows.append((name, df.count(), refused, ", ".join(missing), n))
+    return spark.createDataFrame(rows, "case string, n_rows long, refused boolean, missing string, n_bucketed long")
 
 
 def h8_refuse_undeclared(spark, sf):
@@ -470,12 +504,27 @@ def h8_refuse_undeclared(spark, sf):
     for name, df in cases:
         undeclared, absent = H.declaration_mismatch(df.columns, c, CFG)
         try:
-            H.build_features(df, c, CFG, views.FEATURE_SOURCES)
+            n = H.build_features(df, c, CFG, views.FEATURE_SOURCES).count()
             refused = False
         except ValueError:
-            refused = True
-        rows.append((name, refused, ", ".join(undeclared), ", ".join(absent)))
-    return spark.createDataFrame(rows, "case string, refused boolean, undeclared string, absent string")
+            n, refused = None, True
+        rows.append((name, refused, ", ".join(undeclared), ", ".join(absent), n))
+    return spark.createDataFrame(rows, "case string, refused boolean, undeclared string, absent string, n_rows long")
+
+
+def h4_engineered_nan(spark, sf):
+    """H4-H6 with NaN in place of every missing number and of one order count in seven: the same NULLs."""
+    s = snap(spark, sf)
+    holes = {"order_count": F.col("customer_id") % 7 == 0, "days_since_last": F.col("customer_id") % 5 == 0, "tenure_months": F.col("customer_id") % 3 == 0}
+    for c, hole in holes.items():
+        s = s.withColumn(c, F.when(hole | F.col(c).isNull(), F.lit(float("nan"))).otherwise(F.col(c).cast("double")))
+    return rnd(H.add_engineered(s, views.FEATURE_SOURCES).select("customer_id", *H.ENGINEERED))
+
+
+def d6_rate_by_bin_nan(spark, sf):
+    """D6 with NaN tenure in a third of the rows: in no bin."""
+    s = snap(spark, sf).withColumn("tenure_months", F.when(F.col("customer_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("tenure_months").cast("double")))
+    return rnd(D.rate_by_bin(s, CFG.target, "tenure_months", views.TENURE_EDGES, views.TENURE_LABELS))
 
 
 def h9_features(spark, sf):
@@ -609,9 +658,7 @@ def a4_write_table(spark, sf):
 def a5_contract_roundtrip(spark, sf):
     path = A.scratch_path(spark, "contract")
     A.write_contract(_contract(spark, sf), path)
-    c = A.read_contract(spark, path)
-    return c.columns.select("name", "position", "dtype", "role", "unit", "nullable", "null_count",
-                            F.array_join("allowed_values", "|").alias("allowed_values"), "min", "max")
+    return A.read_contract(spark, path).columns.select(*SPEC)
 
 
 def a6_contract_refusal(spark, sf):
@@ -673,11 +720,6 @@ def e14_contract_roundtrip_diff(spark, sf):
 # ---------------------------------------------------------------- I / J / K9 training (pyspark.ml)
 from handoff.plans import train as J  # noqa: E402
 
-# Variants scored on the same folds by the registered cross-validation. The boosting variant (400
-# sequential rounds, ~100 s per fit on a tiny table) is registered as a single full fit instead.
-CV_VARIANTS = ("logreg", "random_forest")
-
-
 @lru_cache(maxsize=4)
 def _features(spark, sf):
     c = _contract(spark, sf)
@@ -728,8 +770,7 @@ def j1_folds(spark, sf):
 @lru_cache(maxsize=4)
 def _cv(spark, sf):
     fe, num, cat = _features(spark, sf)
-    allv = J.default_variants(fe.count(), CFG.seed)
-    variants = {k: allv[k] for k in CV_VARIANTS}
+    variants = J.default_variants(fe.count(), CFG.seed)
     oof, per_fold = J.cross_validate(fe, CFG.primary_key, CFG.target, num, cat, variants, 5, CFG.seed)
     return oof, reliable_checkpoint(per_fold), reliable_checkpoint(K.fold_summary(per_fold))
 
@@ -746,7 +787,7 @@ def j5_out_of_fold(spark, sf):
 def _served(spark, sf):
     fe, num, cat = _features(spark, sf)
     summary = _cv(spark, sf)[2]
-    name = J.serve_best(summary, list(CV_VARIANTS))
+    name = J.serve_best(summary, list(J.default_variants(fe.count(), CFG.seed)))
     est = J.default_variants(fe.count(), CFG.seed)[name]
     return J.fit(fe, est, num, cat, CFG.target, name)
 
@@ -798,8 +839,14 @@ def j9_attach_protected(spark, sf):
     return rnd(J.attach_protected(scores, protected, "customer_id"))
 
 
+def _top_precision(spark, sf):
+    oof = _cv(spark, sf)[0]
+    variants = [r["variant"] for r in _cv(spark, sf)[2].select("variant").distinct().orderBy("variant").collect()]
+    return {v: K.precision_at_top(oof.where(F.col("variant") == v), CFG.primary_key).collect()[0][0] for v in variants}
+
+
 def j10_metrics_document(spark, sf):
-    fe, _, _ = _features(spark, sf)
+    fe, num, cat = _features(spark, sf)
     oof, _, summary = _cv(spark, sf)
     y = oof.select(F.col("y"))
     served = _served(spark, sf).variant
@@ -807,7 +854,8 @@ def j10_metrics_document(spark, sf):
                                          "customer_id"), ["nation"])
     rate = y.agg(F.avg("y")).collect()[0][0]
     return rnd(J.metrics_document(fe.count(), rate, K.majority_baseline(oof.where(F.col("variant") == served)),
-                                  summary, served, None, fair))
+                                  summary, served, _importances(spark, sf), fair, _top_precision(spark, sf),
+                                  {"numeric": num, "categorical": cat}))
 
 
 @lru_cache(maxsize=4)
@@ -881,7 +929,7 @@ def l2_output_checks(spark, sf):
     fe, num, cat = _features(spark, sf)
     oof, _, summary = _cv(spark, sf)
     served = _served(spark, sf).variant
-    top = {served: K.precision_at_top(oof.where(F.col("variant") == served), CFG.primary_key).collect()[0][0]}
+    top = _top_precision(spark, sf)
     base = K.majority_baseline(fe.select(F.col(CFG.target).alias("y")))
     return P.output_checks(summary, base, served, top, num + cat, [CFG.primary_key, CFG.target, *CFG.protected],
                            j8_score(spark, sf), artifacts=["features", "scores"], present=["features", "scores"])
@@ -934,14 +982,13 @@ def d13_key_numbers_match(spark, sf):
 
 
 def f1_integrity(spark, sf):
-    c = _contract(spark, sf)
+    """the clean table passes; every table fault changes the fingerprint."""
+    cases = [("clean", snap(spark, sf)), *[(p, _tampered(spark, sf, p)[0]) for p in G.TABLE_FAULTS]]
     rows = []
-    for preset in [None, "unit_change", "row_loss"]:
-        df, cc = _tampered(spark, sf, preset) if preset else (snap(spark, sf), c)
-        rep = V.validate(df, cc, REQUIRED, check_fingerprint=True).where(F.col("check") == "integrity")
-        r = rep.collect()[0]
-        rows.append((preset or "clean", r["passed"], r["hint"]))
-    return spark.createDataFrame(rows, "case string, passed boolean, hint string")
+    for name, df in cases:
+        report = V.validate(df, _contract(spark, sf), check_fingerprint=True).where(F.col("check") == "integrity").collect()
+        rows.append((name, df.count(), report[0]["passed"]))
+    return spark.createDataFrame(rows, "case string, n_rows long, passed boolean")
 
 
 def all_queries():

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -137,9 +138,9 @@ def assign_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 4
 
 def balanced_weights(df: DataFrame, target: str) -> DataFrame:
     """w = n / (2 * n_class) per row ('balanced' class weights)."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("_nc"))  # two rows: broadcast by size
+    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
     n = df.count()
-    return df.join(F.broadcast(counts), target).withColumn("w", F.lit(float(n)) / (2.0 * F.col("_nc"))).drop("_nc")
+    return df.join(counts, target).withColumn("w", F.lit(float(n)) / (2.0 * F.col("_nc"))).drop("_nc")
 
 
 @dataclass
@@ -214,14 +215,19 @@ def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str],
     Every variant is scored on the same folds; each fold's preprocessing is fitted on its training rows.
     """
     folded = reliable_checkpoint(assign_folds(df, target, key, k, seed))  # folds are fixed once, reused k x variants
-    parts = []
-    for i in range(k):
-        train = folded.where(F.col("fold") != i)
-        stats = fit_prep(train, numeric, categorical)  # training rows of fold i only; shared by all variants
-        for name, est in variants.items():
-            m = fit(train, est.copy(), numeric, categorical, target, name, stats=stats)
-            s = score(m, folded.where(F.col("fold") == i), keep=[key, "fold", target])
-            parts.append(s.select(key, "fold", F.lit(name).alias("variant"), F.col(target).alias("y"), "proba"))
+
+    def prepared(i: int) -> tuple[int, PrepStats]:
+        return i, fit_prep(folded.where(F.col("fold") != i), numeric, categorical)  # training rows of fold i only
+
+    def scored(task: tuple[int, PrepStats, str]) -> DataFrame:
+        i, stats, name = task
+        m = fit(folded.where(F.col("fold") != i), variants[name].copy(), numeric, categorical, target, name, stats=stats)
+        s = score(m, folded.where(F.col("fold") == i), keep=[key, "fold", target])
+        return s.select(key, "fold", F.lit(name).alias("variant"), F.col(target).alias("y"), "proba")
+
+    with ThreadPool(k) as pool:  # a fit is many small jobs: folds share the cluster side by side
+        stats = pool.map(prepared, range(k))
+        parts = pool.map(scored, [(i, st, name) for name in variants for i, st in stats], chunksize=1)
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
@@ -241,8 +247,10 @@ def attach_protected(scores: DataFrame, protected: DataFrame, key: str) -> DataF
 
 
 def metrics_document(n_rows: int, positive_rate: float, baseline: DataFrame, summary: DataFrame, served: str,
-                     importances: DataFrame | None, fairness: DataFrame | None) -> DataFrame:
-    """Tidy (section, name, metric, value) document of a training run."""
+                     importances: DataFrame | None, fairness: DataFrame | None, top_precision: Mapping[str, float] | None = None,
+                     inputs: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Tidy (section, name, metric, value) document of a training run: data, served variant, baseline,
+    every variant's metrics and precision at the top, importances, fairness, and the inputs by kind."""
     spark = baseline.sparkSession
     head = spark.createDataFrame([("data", "all", "n_rows", float(n_rows)), ("data", "all", "positive_rate", positive_rate),
                                   ("served", served, "served", 1.0)], "section string, name string, metric string, value double")
@@ -255,6 +263,10 @@ def metrics_document(n_rows: int, positive_rate: float, baseline: DataFrame, sum
         summary.select(F.lit("variants").alias("section"), F.col("variant").alias("name"),
                        F.concat(F.col("metric"), F.lit(".std")).alias("metric"), F.col("std").alias("value")))
     out = head.unionByName(base).unionByName(var)
+    more = [("variants", v, "precision_at_top10", float(p)) for v, p in (top_precision or {}).items()]
+    more += [("inputs", c, kind, float(i)) for kind, cols in (inputs or {}).items() for i, c in enumerate(cols)]
+    if more:
+        out = out.unionByName(spark.createDataFrame(more, out.schema))
     if importances is not None:
         out = out.unionByName(importances.select(F.lit("importances").alias("section"), F.col("feature").alias("name"),
                                                  F.lit("importance").alias("metric"), F.col("importance").alias("value")))

@@ -70,7 +70,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
 
     Plan: lineitem collapses to one row per order (map-side partial aggregation), is joined to
     orders on the order key, and ONE conditional aggregate per customer yields every order-based
-    feature and the label (a single scan of orders); nation is broadcast (25 rows by schema).
+    feature and the label (a single scan of orders); nation is small enough for the planner to broadcast.
     """
     cut = F.lit(cutoff).cast("timestamp_ntz")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
@@ -93,7 +93,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, cutoff: str = CUTOFF) ->
         F.max(F.when(pre, F.col("ret"))).alias("ret"),
         F.max(F.when(~pre, F.lit(1))).alias("_later"),
     )
-    nation = F.broadcast(table(spark, sf_dir, "nation"))  # 25 rows by definition of the schema
+    nation = table(spark, sf_dir, "nation")
     cust = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     has = F.col("n_pre") > 0
     return (

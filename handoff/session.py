@@ -31,8 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a shared file system; only when it is unset (local
-    tests) do we create a scratch folder of our own.
+    On a cluster this names a shared file system. Where it is unset a scratch folder is made for a
+    local master only (tests); on any other master that is an error, because each executor would
+    write to its own disk.
     """
     configured = (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
                   or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
@@ -40,6 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="handoff-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path

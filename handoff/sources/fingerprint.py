@@ -1,10 +1,10 @@
 """Order-independent table fingerprint.
 
 A file hash changes with row order and part-file layout, so a distributed table gets a content
-fingerprint instead: two 64-bit hashes per row over the columns in name order (each value wrapped
-with a null flag, so NULL never collides with a value in another column), summed as DECIMAL(38,0)
-plus the row count. A sum (not xor) keeps duplicates from cancelling. Stable under repartitioning
-and column order; changes with any value, type, row loss or duplication.
+fingerprint instead: two 64-bit hashes per row over the column names and types and the columns in
+name order (each value wrapped with a null flag, so NULL never collides with a value in another
+column), summed as DECIMAL(38,0) plus the row count. A sum (not xor) keeps duplicates from cancelling. Stable under repartitioning
+and column order; changes with any name, type, value, row loss or duplication.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ _SEEDS = (42, 7)
 
 def _row_struct(df: DataFrame) -> Column:
     names = sorted(df.columns)
-    return F.struct(*[F.struct(F.col(n).isNull().alias("null"), F.col(n).alias("v")).alias(n) for n in names])
+    kinds = dict(df.dtypes)
+    shape = F.lit("|".join(f"{n}:{kinds[n]}" for n in names)).alias("shape")
+    return F.struct(shape, *[F.struct(F.col(n).isNull().alias("null"), F.col(n).alias("v")).alias(f"c{i}") for i, n in enumerate(names)])
 
 
 def fingerprint_exprs(df: DataFrame) -> list[Column]:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from handoff.functions.columns import strip_text
+from handoff.sources.fingerprint import fingerprint_value
+
 # Text tokens pandas reads as missing.
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
                "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -38,10 +41,11 @@ def locate_header(df: DataFrame, marker: str = "Variable", order_col: str = "lin
 
     ``df`` holds the sheet's cells as text columns plus a line ordinal ``order_col``. The first line
     with a cell equal to ``marker`` is the header; the name is that cell's column, the description
-    the next one. Blank names are skipped. Empty when no header exists.
+    the next one. Blanks of any kind (tabs, no-break spaces) around a cell do not count, blank names
+    are skipped, and a repeated name keeps its last description. Empty when no header exists.
     """
     cells = [c for c in df.columns if c != order_col]
-    pos = F.posexplode(F.array(*[F.trim(F.col(c).cast("string")) for c in cells]))
+    pos = F.posexplode(F.array(*[strip_text(F.col(c).cast("string")) for c in cells]))
     hits = df.select(F.col(order_col), pos).where(F.col("col") == marker)
     # the header is at most one (line, position) pair: read back and used as literals, so the body is
     # a plain filter and projection of the sheet (no join against the header row)
@@ -52,15 +56,16 @@ def locate_header(df: DataFrame, marker: str = "Variable", order_col: str = "lin
     name_expr = F.col(cells[hpos]).cast("string")
     desc_expr = F.col(cells[hpos + 1]).cast("string") if hpos + 1 < len(cells) else F.lit(None).cast("string")
     body = df.where(F.col(order_col) > F.lit(hline))
-    return body.select(F.trim(name_expr).alias("name"), F.coalesce(F.trim(desc_expr), F.lit("")).alias("description")
-                       ).where(F.col("name").isNotNull() & (F.col("name") != ""))
+    named = body.select(F.col(order_col).alias("at"), strip_text(name_expr).alias("name"), F.coalesce(strip_text(desc_expr), F.lit("")).alias("description"))
+    return named.where(F.col("name") != "").groupBy("name").agg(F.max_by("description", "at").alias("description"))
 
 
-def write_table(df: DataFrame, path: str, key: Sequence[str] | str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """A4: deterministic layout -- range-partitioned and sorted by key; content checked by fingerprint."""
+def write_table(df: DataFrame, path: str, key: Sequence[str] | str, fmt: str = "parquet", mode: str = "overwrite") -> str:
+    """A4: range-partitioned and sorted by key; returns the fingerprint of the content as it reads back."""
     keys = [key] if isinstance(key, str) else list(key)
     out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True).option("lineSep", "\n")
     w.save(path)
+    return fingerprint_value(read_table(df.sparkSession, path, fmt, schema=df.schema))
