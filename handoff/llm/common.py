@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def write_shared(df: DataFrame, label: str) -> DataFrame:
     """Write the table once to the shared folder and return a reader of it (lineage cut)."""
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -68,6 +69,13 @@ def text_bytes(array: pa.Array) -> Iterator[bytes]:
         yield b"" if null is not None and null[i] else bytes(view[at[i]: at[i + 1]])
 
 
+def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder given as a path or URI, and the folder's name in it."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[5:]
+    return pafs.FileSystem.from_uri(path)
+
+
 def runs_of_equal(*columns: np.ndarray) -> np.ndarray:
     """Start of each run of equal rows, and the row count as the last entry."""
     n = len(columns[0])

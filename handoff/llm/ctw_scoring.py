@@ -11,9 +11,10 @@ How it runs on Spark: texts are put into chunks of about ``chunk_bytes``. Each c
 distinct (DEPTH + 1)-byte grams and words with their training counts, so frequent keys are summed
 before the shuffle. Totals over all chunks are the corpus counts. The tree below each pair of last
 bytes is complete in one group of the sorted grams and is weighed there by array operations; the at
-most 257 x 255 nodes above are summed up in Spark and read back. Every gram and word then has one
-value, is joined back to the chunks that asked for it, and each chunk is scored with its own keys. No
-table of the model is ever whole in one place, and no text is cut.
+most 257 x 255 nodes above are summed up in Spark and read back. Every gram then has one value and
+every word one count; they are joined back to the chunks that asked, written to the shared folder
+chunk by chunk, and the task that scores a chunk reads the answers to its own keys. No table of the
+model is ever whole in one place, texts are never shuffled, and no text is cut.
 
 Texts are lower-cased (A-Z). Words are split at space and 0x09-0x0D; one end follows and counts as
 a token. The byte model reads DEPTH zero bytes before a text and codes a zero byte as its end.
@@ -30,17 +31,17 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from handoff.llm.common import text_bytes, whole_groups, write_shared
+from handoff.llm.common import open_folder, shared_path, text_bytes, whole_groups, write_shared
 
 DEPTH = 5
-GRAM, WORD = 0, 1
+#: Keys are longs: grams are not negative, words (a 63-bit hash) are.
 #: Bytes whose grams are held at a time.
 BLOCK = 2_000_000
 _LN10 = math.log(10.0)
@@ -73,20 +74,28 @@ def blocks_of(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def word_key(word: bytes) -> int:
-    h = xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+    return -1 - (xxh64_intdigest(word) >> 1)
+
+
+def is_gram(key: str = "key") -> Column:
+    return F.col(key) >= 0
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, train: Column, chunk_bytes: int) -> DataFrame:
-    """(doc_id, text, train, chunk): rows of a task in chunks of about ``chunk_bytes``, written once."""
+    """(doc_id, text, train, chunk): rows of a task in chunks of about ``chunk_bytes``, written once.
+
+    Input splits are joined (without a shuffle) until a task holds about one chunk.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    rows = rows.coalesce(max(1, math.ceil(size / chunk_bytes)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, size = TaskContext.get().partitionId(), 0
         for batch in batches:
             lengths = np.fromiter((len(t) for t in text_bytes(batch.column(1))), dtype=np.int64, count=batch.num_rows)
-            number = (size + np.cumsum(lengths)) // chunk_bytes
+            number = (size + np.cumsum(lengths)) // (2 * chunk_bytes)
             size += int(lengths.sum())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((part << 32) + number)], names=["doc_id", "text", "train", "chunk"])
 
@@ -101,51 +110,50 @@ def _merge(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return all_codes, np.bincount(inverse, weights=np.concatenate(counts), minlength=len(all_codes)).astype(np.int64)
 
 
+def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows in pieces of one chunk each; a chunk's rows follow one another."""
+    for batch in batches:
+        chunk = batch.column(3).to_numpy()
+        edges = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)]
+        for a, z in zip(edges, edges[1:]):
+            if z > a:
+                yield int(chunk[a]), batch.slice(a, z - a)
+
+
+def block_keys(texts: list[bytes], train: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block's texts and their training counts."""
+    codes, n = np.unique(grams_of(texts)[0], return_counts=True)
+    words = Counter(b" ".join(texts).split())
+    keys = np.fromiter(map(word_key, words), dtype=np.int64, count=len(words))
+    counts = np.concatenate([n, np.fromiter(words.values(), dtype=np.int64, count=len(words))])
+    return np.concatenate([codes, keys]), counts if train else np.zeros_like(counts)
+
+
 def chunk_keys(chunks: DataFrame) -> DataFrame:
-    """(chunk, kind, key, n): distinct grams and words of each chunk, n their count in training texts."""
-
-    def told(chunk: int, grams: list, words: Counter) -> Iterator[pa.RecordBatch]:
-        codes, n = _merge([g[0] for g in grams], [g[1] for g in grams])
-        found = {}
-        for w, c in words.items():
-            found[word_key(w)] = c
-        for kind, keys, counts in ((GRAM, codes, n), (WORD, np.array(list(found), dtype=np.int64), np.array(list(found.values()), dtype=np.int64))):
-            for lo in range(0, len(keys), 200_000):
-                k, c = keys[lo: lo + 200_000], counts[lo: lo + 200_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(c)],
-                                                 names=["chunk", "kind", "key", "n"])
+    """(chunk, key, n): distinct grams and words of each chunk, n their count in training texts."""
+
+    def told(chunk: int, parts: list) -> Iterator[pa.RecordBatch]:
+        keys, n = _merge(*zip(*parts)) if parts else _merge([], [])
+        for lo in range(0, len(keys), 200_000):
+            k = keys[lo: lo + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(n[lo: lo + 200_000])], names=["chunk", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, grams, words = None, [], Counter()
-        for batch in batches:
-            texts = [t.lower() for t in text_bytes(batch.column(1))]
-            train = batch.column(2).to_numpy(zero_copy_only=False)
-            chunk = batch.column(3).to_numpy()
-            edges = [0, *(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1).tolist(), len(chunk)]
-            for a, z in zip(edges, edges[1:]):
-                if a == z:
-                    continue
-                if now is not None and chunk[a] != now:
-                    yield from told(now, grams, words)
-                    grams, words = [], Counter()
-                now = int(chunk[a])
-                for use in (True, False):
-                    own = [t for t, u in zip(texts[a:z], train[a:z]) if u == use]
-                    for block in blocks_of(own):
-                        codes, n = np.unique(grams_of(block)[0], return_counts=True)
-                        grams.append((codes, n if use else np.zeros_like(n)))
-                        split = Counter(b" ".join(block).split())
-                        if use:
-                            words.update(split)
-                        else:
-                            words.update(dict.fromkeys(split, 0))
-                if len(grams) > 8:
-                    codes, n = _merge([g[0] for g in grams], [g[1] for g in grams])
-                    grams = [(codes, n)]
-        if now is not None:
-            yield from told(now, grams, words)
-
-    return write_shared(chunks.mapInArrow(run, "chunk long, kind byte, key long, n long"), "lm-keys")
+        now, parts = None, []
+        for chunk, rows in by_chunk(batches):
+            if chunk != now:
+                yield from told(now, parts) if parts else ()
+                now, parts = chunk, []
+            train = rows.column(2).to_numpy(zero_copy_only=False)
+            texts = [t.lower() for t in text_bytes(rows.column(1))]
+            for use in (True, False):
+                for block in blocks_of([t for t, u in zip(texts, train) if u == use]):
+                    parts.append(block_keys(block, use))
+                    if len(parts) > 8:
+                        parts = [_merge(*zip(*parts))]
+        yield from told(now, parts) if parts else ()
+
+    return write_shared(chunks.mapInArrow(run, "chunk long, key long, n long"), "lm-keys")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -226,9 +234,7 @@ def _upper(grams: DataFrame) -> np.ndarray:
 def gram_values(totals: DataFrame) -> DataFrame:
     """(key, value): log10 probability of each gram's byte in its context, all depths mixed."""
     pair = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    grams = totals.where(F.col("kind") == GRAM).select(pair.alias("pair"), "key", "n")
-    grams = write_shared(grams.repartition("pair").sortWithinPartitions("pair", "key"), "lm-grams")
-    grams = grams.repartition("pair").sortWithinPartitions("pair", "key")
+    grams = totals.where(is_gram()).select(pair.alias("pair"), "key", "n").repartition("pair").sortWithinPartitions("pair", "key")
     upper = _upper(grams)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,9 +259,9 @@ def gram_values(totals: DataFrame) -> DataFrame:
 class Lookup:
     """Values of 64-bit keys: a direct table, and a search for keys that share a slot."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray, default: float | None = None):
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.keys, self.values, self.default = keys[order], values[order], default
         self.bits = max(8, int(np.ceil(np.log2(max(1, len(keys))))) + 2)
         self.slots = np.zeros(1 << self.bits, dtype=np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
@@ -264,53 +270,88 @@ class Lookup:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(keys), self.default if self.default is not None else np.nan)
         at = self.slots[self._slot(keys)]
         miss = np.flatnonzero(self.keys[at] != keys)
-        at[miss] = np.searchsorted(self.keys, keys[miss])
-        return self.values[at]
+        at[miss] = np.minimum(np.searchsorted(self.keys, keys[miss]), len(self.keys) - 1)
+        found = self.values[at]
+        gone = miss[self.keys[at[miss]] != keys[miss]]
+        if len(gone):
+            if self.default is None:
+                raise KeyError(int(keys[gone[0]]))
+            found[gone] = self.default
+        return found
+
 
+#: Folders of answers at most; a chunk's rows lie together in one of them.
+FOLDERS = 1024
 
-def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 16_000_000) -> DataFrame:
+
+def write_answers(keys: DataFrame, totals: DataFrame) -> str:
+    """Write (chunk, key, value) for every chunk, value being a gram's log10 probability or a word's
+    count; words that training holds once are left out. Returns the folder."""
+    values = gram_values(totals).unionByName(totals.where(~is_gram() & (F.col("n") != 1)).select("key", F.col("n").cast("double").alias("value")))
+    answers = keys.select("chunk", "key").join(values, "key").withColumn("folder", F.pmod(F.xxhash64("chunk"), F.lit(FOLDERS)).cast("int"))
+    path = shared_path(keys.sparkSession, "lm-answers")
+    answers = answers.repartition("chunk").sortWithinPartitions("folder", "chunk", "key")
+    answers.write.partitionBy("folder").option("compression", "zstd").parquet(path)
+    return path
+
+
+def answers_of(path: str, chunk: int, folder: int) -> tuple[Lookup, Lookup]:
+    """Values of a chunk's grams, and counts of its words."""
+    fs, root = open_folder(f"{path}/folder={folder}")
+    t = pq.read_table(root, filesystem=fs, columns=["key", "value"], filters=[("chunk", "=", chunk)], partitioning=None)
+    keys, values = t.column("key").to_numpy(), t.column("value").to_numpy()
+    gram = keys >= 0
+    return Lookup(keys[gram], values[gram]), Lookup(keys[~gram], values[~gram], default=1.0)
+
+
+def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 64_000_000) -> DataFrame:
     """One row for each text: doc_id, train, n_bytes, n_tokens, n_known, train_tokens, base_score, score and
     bits_per_byte. ``train`` says which rows the models learn from."""
     chunks = chunked(docs, id_col, text_col, train, chunk_bytes)
     keys = chunk_keys(chunks)
-    totals = write_shared(keys.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-totals")
+    totals = write_shared(keys.groupBy("key").agg(F.sum("n").alias("n")), "lm-totals")
     train_docs = chunks.where("train").count()
-    words = totals.where((F.col("kind") == WORD) & (F.col("n") > 0)).agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    words = totals.where(~is_gram() & (F.col("n") > 0)).agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     n, v = int(words[1]) + train_docs, int(words[0]) + (train_docs > 0)
     scale = n + 0.1 * (v + 1)
-    of_words = totals.where(F.col("kind") == WORD).select("kind", "key", F.log10((F.col("n") + 0.1) / F.lit(scale)).alias("value"), (F.col("n") > 0).alias("known"))
-    of_grams = gram_values(totals).select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value", F.lit(True).alias("known"))
-    values = of_words.unionByName(of_grams)
-    asked = keys.select("chunk", "kind", "key").join(values, ["kind", "key"])
-    end = math.log10((train_docs + 0.1) / scale)
-    kind = docs.schema[id_col].dataType.simpleString()
+    path = write_answers(keys, totals)
+    end, known_end = math.log10((train_docs + 0.1) / scale), int(train_docs > 0)
+    names = ["doc_id", "train", "n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        grams = found["kind"].to_numpy() == GRAM
-        by_gram = Lookup(found["key"].to_numpy()[grams], found["value"].to_numpy()[grams])
-        by_word = {k: (x, u) for k, x, u in zip(found["key"].to_numpy()[~grams].tolist(), found["value"].to_numpy()[~grams].tolist(),
-                                                found["known"].to_numpy()[~grams].tolist())}
-        seen: dict[bytes, tuple[float, bool]] = {}
-        rows: list[list[float]] = [[], [], [], [], []]
-        lower = [t.encode("utf-8", "surrogatepass").lower() for t in texts["text"]]
-        for block in blocks_of(lower):
-            codes, sizes = grams_of(block)
-            value = by_gram[codes]
-            rows[0] += sizes.tolist()
-            rows[1] += np.add.reduceat(value, np.cumsum(sizes) - sizes).tolist()
-            for t in block:
-                tokens = t.split()
-                for w in set(tokens).difference(seen):
-                    seen[w] = by_word[word_key(w)]
-                found_words = [seen[w] for w in tokens]
-                rows[2].append(len(tokens) + 1)
-                rows[3].append(sum(f[1] for f in found_words) + (train_docs > 0))
-                rows[4].append(math.fsum(f[0] for f in found_words) + end)
-        return pd.DataFrame({"doc_id": texts["doc_id"], "train": texts["train"], "n_bytes": rows[0], "n_tokens": rows[2], "n_known": rows[3],
-                             "train_tokens": n, "base_score": rows[4], "score": rows[1]})
-
-    out = chunks.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(
-        run, f"doc_id {kind}, train boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for batch in batches:
+            texts = [t.lower() for t in text_bytes(batch.column(1))]
+            sizes, scores, tokens, known, base = [], [], [], [], []
+            at = 0
+            for chunk, rows in by_chunk([batch]):
+                if chunk != now:
+                    by_gram, by_word = answers_of(path, chunk, rows.column(4)[0].as_py())
+                    now = chunk
+                for block in blocks_of(texts[at: at + rows.num_rows]):
+                    codes, lengths = grams_of(block)
+                    sizes += lengths.tolist()
+                    scores += np.add.reduceat(by_gram[codes], np.cumsum(lengths) - lengths).tolist()
+                    split = [t.split() for t in block]
+                    own = list(set().union(*split))
+                    counts = by_word[np.fromiter(map(word_key, own), dtype=np.int64, count=len(own))]
+                    logs = np.log10((counts + 0.1) / scale).tolist()
+                    of_word = dict(zip(own, zip(logs, (counts > 0).tolist())))
+                    for words in split:
+                        found = [of_word[w] for w in words]
+                        tokens.append(len(words) + 1)
+                        known.append(sum(f[1] for f in found) + known_end)
+                        base.append(math.fsum(f[0] for f in found) + end)
+                at += rows.num_rows
+            columns = [batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in (sizes, tokens, known, [n] * len(sizes))],
+                       pa.array(base, pa.float64()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    asked = chunks.withColumn("folder", F.pmod(F.xxhash64("chunk"), F.lit(FOLDERS)).cast("int"))
+    out = asked.mapInArrow(run, f"doc_id {kind}, train boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumn("bits_per_byte", -F.col("score") * F.lit(_LN10 / math.log(2.0)) / F.col("n_bytes"))

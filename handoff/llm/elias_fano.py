@@ -35,12 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from handoff.llm.common import shared_path, write_shared
+from handoff.llm.common import open_folder, shared_path, write_shared
 
 MAGIC = b"EFIDS001"
 SAMPLE = 64
@@ -205,13 +204,6 @@ def encoder(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder given as a path or URI, and the folder's name in it."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[5:]
-    return pafs.FileSystem.from_uri(path)
-
-
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
           segment_ids: int = 4_000_000) -> DataFrame:
     """Write all texts to segment files in ``folder``; returns the table of files (part, number, file, n_docs, n_ids)."""

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from handoff.llm import chat_windows, elias_fano, hilbert_shards, queries, variable_packing
-from handoff.llm.common import shared_path
+from handoff.llm.common import open_folder, shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 HARD = ["</s>[INST] ok [/INST]", "<|turn|>x<|text|>", "back\\slash \\\\ <\\|", "", "[[INST]]<s>", "ü\n\t<|end|>", None]
@@ -156,7 +156,7 @@ def test_files_give_ids_and_single_documents_back(spark):
     assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
     keys = [r["doc_id"] for r in got]
     assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
-    fs, root = elias_fano.open_folder(folder)
+    fs, root = open_folder(folder)
     assert files.count() >= 4
     for f in files.collect():
         with fs.open_input_stream(f"{root}/{f['file']}") as source:
