@@ -27,6 +27,23 @@ def test_engineered_ratios(spark):
     assert [out[i]["recency_bucket"] for i in (1, 2, 3, 4, 5)] == ["0-3", "0-3", "4-7", "8-14", "15+"]
 
 
+def test_nan_is_missing_in_rates_and_bins(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 10.0, nan, 2.0, 1.0, nan), (2, nan, 2.0, nan, nan, 15.0), (3, 10.0, 2.0, 1.0, 1.0, float("inf"))],
+                               "id long, CashbackAmount double, OrderCount double, Tenure double, CouponUsed double, DaySinceLastOrder double")
+    out = {r["id"]: r for r in H.add_engineered(df, SOURCES).collect()}
+    assert [out[1][c] for c in H.ENGINEERED] == [None] * 4
+    assert out[2]["cashback_per_order"] is None and out[2]["orders_per_tenure_month"] is None and out[2]["recency_bucket"] == "15+"
+    assert out[3]["cashback_per_order"] == 5.0 and out[3]["recency_bucket"] == "15+"
+
+
+def test_auc_of_counts_whose_product_is_no_long(spark):
+    from handoff.operators.evaluate import _auc_expr
+    big = 4_000_000_000
+    df = spark.createDataFrame([(big, 0, big, 0, big, big), (0, big, big, big, big, big)], "_pos long, _neg long, _cpos long, _cneg long, _P long, _N long")
+    assert df.agg(_auc_expr().alias("auc")).first()["auc"] == 0.0
+
+
 def _scores(spark, y, p):
     return spark.createDataFrame([(i, int(a), float(b)) for i, (a, b) in enumerate(zip(y, p))], "id long, y int, proba double")
 

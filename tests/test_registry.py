@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMOKE
 
-SLOW = {"j3_random_forest_fit", "j4_hist_gb_fit"}
+#: Queries whose right answer on the given tables is that nothing is wrong.
+EMPTY = {"c12_unmapped", "c13_null_reconcile", "c9_nulls_kept", "d8_null_map", "e14_contract_roundtrip_diff"}
 
 
 def test_entry(spark):
@@ -21,8 +22,8 @@ def test_every_query_has_a_name_and_most_have_sql():
     assert len(s) >= 0.7 * len(q)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n[:2] != "op" and n != "pipeline"))
 def test_query_runs(spark, name):
     df = entry.queries()[name](spark, SMOKE)
-    assert df.count() >= 0
     assert len(df.columns) == len(set(df.columns))
+    assert (df.count() == 0) == (name in EMPTY)

@@ -21,13 +21,13 @@ def test_constant_column_is_skipped_not_a_divide_by_zero(spark):
 
 def test_bins_are_right_closed_and_all_listed(spark):
     # edges (-0.5, 1.5], (1.5, 6.5], (6.5, 12.5], (12.5, inf); 1.5 is in the first bin, 6.5 in the second
-    df = spark.createDataFrame([(1, 1.5), (0, 1.6), (1, 6.5), (0, None)], "y int, t double")
+    df = spark.createDataFrame([(1, 1.5), (0, 1.6), (1, 6.5), (0, None), (1, float("nan"))], "y int, t double")
     got = {r["bin"]: (r["n"], r["rate"]) for r in
            D.rate_by_bin(df, "y", "t", views.TENURE_EDGES, views.TENURE_LABELS).collect()}
     assert got["0-1"] == (1, 1.0)
     assert got["2-6"] == (2, 0.5)
     assert got["7-12"] == (0, None) and got["13+"] == (0, None)  # empty bins are listed, rate NULL
-    assert sum(n for n, _ in got.values()) == 3  # the NULL is in no bin
+    assert sum(n for n, _ in got.values()) == 3  # NULL and NaN are in no bin
 
 
 def test_standardise_uses_population_std_and_zero_variance_divides_by_one(spark):

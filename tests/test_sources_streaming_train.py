@@ -32,6 +32,18 @@ def test_locate_header_by_content(spark):
     assert T.locate_header(df.where(F.col("line") != 2), "Variable", "line").count() == 0
 
 
+def test_header_with_tabs_and_repeated_names(spark):
+    rows = [(0, "Variable\t", "\u00a0text"), (1, "Tenure", "first"), (2, " Tenure\u00a0", "last\t")]
+    got = T.locate_header(spark.createDataFrame(rows, "line long, c0 string, c1 string"), "Variable", "line").collect()
+    assert [tuple(r) for r in got] == [("Tenure", "last")]
+
+
+def test_write_table_returns_the_content_s_fingerprint(spark, clean_frame):
+    a = T.write_table(clean_frame, scratch(spark, "t"), "CustomerID")
+    b = T.write_table(clean_frame.repartition(3), scratch(spark, "t"), "CustomerID")
+    assert a == b != T.write_table(clean_frame.limit(19), scratch(spark, "t"), "CustomerID")
+
+
 def test_csv_null_tokens(spark, tmp_path):
     p = tmp_path / "t.csv"
     p.write_text("a,b\n1,NA\n2,\n3,x\n")
