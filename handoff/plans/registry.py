@@ -882,12 +882,12 @@ def _event_stream(spark, sf):
 
 
 def m1_event_tail(spark, sf):
-    out = M.tail_to_table(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "tail"))
+    out = M.tail_to_table(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "tail"), A.scratch_path(spark, "tail-ckpt"))
     return rnd(out)
 
 
 def m2_live_run_status(spark, sf):
-    return rnd(M.live_run_status(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "status")))
+    return rnd(M.live_run_status(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "status"), A.scratch_path(spark, "status-ckpt")))
 
 
 def _snapshot_files(spark, sf, n_files=4):
@@ -900,7 +900,7 @@ def _snapshot_files(spark, sf, n_files=4):
 def m3_validate_stream(spark, sf):
     path, schema = _snapshot_files(spark, sf)
     stream = M.read_stream(spark, path, schema, max_files_per_trigger=1)
-    rep = M.validate_stream(stream, _contract(spark, sf), A.scratch_path(spark, "reports"), REQUIRED)
+    rep = M.validate_stream(stream, _contract(spark, sf), A.scratch_path(spark, "reports"), A.scratch_path(spark, "reports-ckpt"), REQUIRED)
     return rep.select("batch_id", *REPORT_COLS)
 
 
@@ -909,7 +909,7 @@ def m4_score_stream(spark, sf):
     stream = M.read_stream(spark, path, schema, max_files_per_trigger=1)
     model = _served(spark, sf)
     scorer = lambda df: J.score(model, H.add_engineered(df, views.FEATURE_SOURCES), keep=[CFG.primary_key])
-    return rnd(M.score_stream(stream, scorer, A.scratch_path(spark, "scores")))
+    return rnd(M.score_stream(stream, scorer, A.scratch_path(spark, "scores"), A.scratch_path(spark, "scores-ckpt")))
 
 
 # ---------------------------------------------------------------- L1-L3 gates
@@ -931,15 +931,43 @@ def l2_output_checks(spark, sf):
     served = _served(spark, sf).variant
     top = _top_precision(spark, sf)
     base = K.majority_baseline(fe.select(F.col(CFG.target).alias("y")))
+    run, scores = A.scratch_path(spark, "run"), j8_score(spark, sf)
+    fe.write.parquet(f"{run}/features")
+    scores.write.parquet(f"{run}/scores")
     return P.output_checks(summary, base, served, top, num + cat, [CFG.primary_key, CFG.target, *CFG.protected],
-                           j8_score(spark, sf), artifacts=["features", "scores"], present=["features", "scores"])
+                           spark.read.parquet(f"{run}/scores"), artifacts=["features", "scores"], present=P.written_outputs(spark, run))
 
 
 def l3_publish(spark, sf):
+    """L3: a publication, a verified run, and a refused run that leaves the publication as it was."""
     run, pub = A.scratch_path(spark, "run"), A.scratch_path(spark, "published")
+    outputs = {"features": _features(spark, sf)[0], "scores": j8_score(spark, sf)}
     ok = bool(l2_output_checks(spark, sf).agg(F.bool_and("passed")).collect()[0][0])
-    status = P.publish({"features": _features(spark, sf)[0], "scores": j8_score(spark, sf)}, run, pub, ok)
-    return spark.createDataFrame([(status, ok)], "status string, gates_passed boolean")
+    rows, versions = [], []
+    for case, passed, enabled in (("gates", ok, True), ("publishing off", ok, False), ("failed gate", False, True)):
+        status = P.publish(outputs, run, pub, passed, enabled)
+        held = P.published(spark, pub).collect()
+        versions.append({r["version"] for r in held})
+        rows.append((case, status, len(held), sum(r["n_rows"] for r in held), versions[-1] == versions[0]))
+    return spark.createDataFrame(rows, "case string, status string, outputs long, n_rows long, same_version boolean")
+
+
+def l1_run(spark, sf):
+    """L1-L3 as one run over the raw customers: agreed, stopped at the input gate, refused at the output gate."""
+    raw_table, agreed = views.customer_raw(spark, sf), None
+    clean_table, _ = _cleaned(spark, sf)
+    agreed = E.build_contract(clean_table, CFG)
+    broken, _ = G.tamper(clean_table, agreed, "row_loss", CFG.primary_key, order=knuth_hash(F.col(CFG.primary_key), CFG.seed))
+    stage = lambda df, c: {"features": H.build_features(df, c, CFG, views.FEATURE_SOURCES)}
+    path, pub = A.scratch_path(spark, "runs"), A.scratch_path(spark, "published")
+    rows = []
+    for run_id, table, gate in (("agreed", raw_table, True), ("broken", broken, True), ("bad outputs", raw_table, False)):
+        log = A.RunLog(spark, f"{path}/events", run_id)
+        status = P.run_handover(table, CFG, log, f"{path}/{run_id}", pub, stage, lambda out, gate=gate: gate and not out["features"].isEmpty(),
+                                contract=agreed, order_by=["account_balance"])
+        rows.append((run_id, status, P.published(spark, pub).first()["n_rows"]))
+    ended = L.run_summary(A.read_events(spark, f"{path}/events/*/*.json")).select("run_id", F.col("result").alias("logged"), "events")
+    return spark.createDataFrame(rows, "run_id string, status string, published_rows long").join(ended, "run_id")
 
 
 # ---------------------------------------------------------------- remaining inventory items

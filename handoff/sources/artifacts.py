@@ -7,12 +7,16 @@ content fingerprint of ``handoff.sources.fingerprint``).
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from handoff.config import RUN_STATUSES
 from handoff.operators.contract import SPEC_SCHEMA, Contract, check_enums
 from handoff.session import ensure_checkpoint_dir
 
@@ -71,6 +75,43 @@ def read_contract(spark: SparkSession, path: str) -> Contract:
     return Contract(columns, allowed, r["dataset"].asDict(), meta)
 
 
+class RunLog:
+    """Events of one run, each appended as one JSON line in a file of its own below ``path``/run_id."""
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str):
+        self.spark, self.folder, self.seq = spark, f"{path}/{run_id}", 0
+
+    def event(self, step: str, status: str, **cells) -> None:
+        """Append one event; an unknown status or field is refused."""
+        fields = StructType.fromDDL(EVENT_SCHEMA)
+        if status not in RUN_STATUSES:
+            raise ValueError(f"{status} is no status of a run; there are {', '.join(RUN_STATUSES)}")
+        if unknown := set(cells) - set(fields.fieldNames()):
+            raise ValueError(f"an event has no {', '.join(sorted(unknown))}")
+        now = datetime.now(UTC).replace(tzinfo=None)
+        row = dict.fromkeys(fields.fieldNames()) | cells | dict(ts=now, step=step, status=status, seq=self.seq)
+        self.spark.createDataFrame([tuple(row.values())], fields).coalesce(1).write.mode("append").option("timestampNTZFormat", TS_FORMAT).json(self.folder)
+        self.seq += 1
+
+    def run(self, step: str, work: Callable, **cells):
+        """Do the work between a start and an ok event; a failure leaves a fail event and is raised again."""
+        self.event(step, "start")
+        began = time.monotonic()
+        try:
+            result = work()
+        except Exception as error:
+            self.event(step, "fail", duration_s=round(time.monotonic() - began, 3), error=str(error)[:500])
+            raise
+        self.event(step, "ok", duration_s=round(time.monotonic() - began, 3), **cells)
+        return result
+
+
+def write_document(rows: DataFrame, path: str) -> None:
+    """A5: a small document of statistics or metrics as JSON lines, fields and rows in sorted order."""
+    names = sorted(rows.columns)
+    rows.select(*names).coalesce(1).sortWithinPartitions(*names).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def read_events(spark: SparkSession, glob: str) -> DataFrame:
     """JSON-lines run events; lines that do not parse are skipped; run id from the file's folder.
 
@@ -86,17 +127,24 @@ def read_events(spark: SparkSession, glob: str) -> DataFrame:
     ).where(F.col("ts").isNotNull() & F.col("step").isNotNull())
 
 
-def file_digests(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, name, bytes, sha256) of every file matching the glob, hashed in parallel."""
-    bf = spark.read.format("binaryFile").load(glob)
+def file_digests(spark: SparkSession, glob: str, names: Sequence[str] | None = None) -> DataFrame:
+    """(path, name, bytes, sha256) of every file matching the glob (and one of the names), hashed in parallel."""
+    reader = spark.read.format("binaryFile")
+    if names is not None:
+        reader = reader.option("pathGlobFilter", "{" + ",".join(names) + "}")
+    bf = reader.load(glob)
     return bf.select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
                      F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
 
 
 def manifest(spark: SparkSession, artifacts: Mapping[str, str], glob: str) -> DataFrame:
-    """A10: (name, path, sha256, bytes) for the named artifacts; a missing artifact raises."""
+    """A10: (name, path, sha256, bytes) for the named artifacts; a missing artifact raises.
+
+    Only the named files are read: the names are known before any file is opened.
+    """
     wanted = spark.createDataFrame(list(artifacts.items()), "name string, file string")
-    dig = file_digests(spark, glob).select(F.col("name").alias("file"), "path", "sha256", "bytes")
+    found = file_digests(spark, glob, list(artifacts.values()))
+    dig = found.select(F.col("name").alias("file"), "path", "sha256", "bytes")
     j = wanted.join(dig, "file", "left")
     missing = [r["name"] for r in j.where(F.col("path").isNull()).select("name").collect()]
     if missing:

@@ -1,9 +1,10 @@
 """Streaming operators (``readStream`` -> transformations -> ``writeStream``).
 
-Sinks and checkpoints live under the shared checkpoint folder (``spark.checkpoint.dir``), so a
-restarted query resumes from its offsets after a lost executor or driver. ``drain`` runs a query
-with ``availableNow`` (process everything present, then stop) -- the batch-equivalent mode used by
-tests and by scheduled hand-over jobs; production runs use a processing-time trigger instead.
+Every query takes the checkpoint folder from its caller: a query that is started again with the same
+folder goes on after the last finished micro-batch. Batch writers write the folder of their batch id
+and overwrite it, so a batch that runs twice leaves one copy. ``drain`` runs a query with
+``availableNow`` (process everything present, then stop) -- for tests and scheduled hand-over jobs;
+production runs use a processing-time trigger instead.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from handoff.operators import runs as L
 from handoff.operators.contract import Contract
 from handoff.operators.validate import validate
-from handoff.sources.artifacts import scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None,
@@ -31,55 +31,51 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", gl
     return r.load(path)
 
 
-def drain(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], mode: str = "append",
-          checkpoint: str | None = None) -> None:
+def drain(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Run ``batch_fn`` on every micro-batch until the source is drained."""
-    spark = stream.sparkSession
-    q = (stream.writeStream.outputMode(mode).foreachBatch(batch_fn)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def tail_to_table(stream: DataFrame, path: str) -> DataFrame:
-    """M1: append every arriving row to a parquet table; returns the table as a batch DataFrame."""
-    spark = stream.sparkSession
-    q = (stream.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", scratch_path(spark, "stream-ckpt")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(path)
+def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """The rows of one micro-batch in a folder of their own; a repeated batch replaces it."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def live_run_status(events: DataFrame, path: str, watermark: str | None = None) -> DataFrame:
-    """M2: streaming ``run_summary`` kept up to date per run (complete mode, overwritten per batch).
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All micro-batches written so far, with their batch_id."""
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
 
-    ``watermark`` (our addition, not in the reference): bound the per-run state by event time.
-    """
-    ev = events.withWatermark("ts", watermark) if watermark else events
-    status = L.run_summary(ev)
 
-    def write(batch: DataFrame, _id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def tail_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """M1: append every arriving row to a parquet table, once; returns the table as a batch DataFrame."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.parquet(path)
+
 
-    drain(status, write, mode="complete")
-    return status.sparkSession.read.parquet(path)
+def live_run_status(events: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """M2: streaming ``run_summary``, the latest row of every run.
 
+    Update mode: a micro-batch writes the runs that changed in it and nothing else. The state holds
+    one row of aggregates for each run; runs have no end in event time, so there is no watermark.
+    """
+    drain(L.run_summary(events), lambda batch, i: write_batch(batch, i, path), checkpoint, mode="update")
+    rows = read_batches(events.sparkSession, path)
+    last = rows.groupBy("run_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["run_id", "batch_id"]).drop("batch_id")
 
-def validate_stream(stream: DataFrame, contract: Contract, path: str,
+
+def validate_stream(stream: DataFrame, contract: Contract, path: str, checkpoint: str,
                     required_features: Sequence[str] | None = None) -> DataFrame:
-    """Row-local contract checks of every micro-batch, reports appended with the batch id.
+    """Row-local contract checks of every micro-batch, with the batch id.
 
-    Dataset-level checks (rows, key uniqueness, fingerprint) are reported as not evaluated.
+    Checks of the whole table (rows, key uniqueness, fingerprint, null limits) are reported as not evaluated.
     """
-    def check(batch: DataFrame, batch_id: int) -> None:
-        rep = validate(batch, contract, required_features, scope="batch")
-        rep.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
-
-    drain(stream, check)
-    return stream.sparkSession.read.parquet(path)
+    drain(stream, lambda batch, i: write_batch(validate(batch, contract, required_features, scope="batch"), i, path), checkpoint)
+    return read_batches(stream.sparkSession, path)
 
 
-def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
-    """M4: stateless scoring of arriving rows (``scorer`` maps a DataFrame to scores)."""
-    return tail_to_table(scorer(stream), path)
+def score_stream(stream: DataFrame, scorer: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataFrame:
+    """M4: stateless scoring of arriving rows (``scorer`` maps a DataFrame to scores), each row once."""
+    return tail_to_table(scorer(stream), path, checkpoint)

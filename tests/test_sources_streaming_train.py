@@ -90,12 +90,70 @@ def test_validate_stream_reports_each_batch(spark, clean_frame):
     land = scratch(spark, "landing")
     clean_frame.repartitionByRange(3, "CustomerID").write.parquet(land)
     stream = M.read_stream(spark, land, clean_frame.schema, max_files_per_trigger=1)
-    rep = M.validate_stream(stream, c, scratch(spark, "reports"))
+    reports, ckpt = scratch(spark, "reports"), scratch(spark, "ckpt")
+    rep = M.validate_stream(stream, c, reports, ckpt)
     assert rep.select("batch_id").distinct().count() == 3
     assert rep.where(F.col("passed") == F.lit(False)).count() == 0
     assert rep.where((F.col("check") == "rows") & F.col("passed").isNull()).count() == 3
 
 
+def test_streams_go_on_where_they_stopped(spark, clean_frame):
+    c = E.build_contract(clean_frame, CHURN)
+    land, out, ckpt, table, tail_ckpt = (scratch(spark, n) for n in ("landing", "reports", "ckpt", "table", "tail-ckpt"))
+    for part in (clean_frame.where("CustomerID < 110"), clean_frame.where("CustomerID >= 110")):
+        part.coalesce(1).write.mode("append").parquet(land)
+        for _ in range(2):  # the second start finds nothing new
+            rep = M.validate_stream(M.read_stream(spark, land, clean_frame.schema), c, out, ckpt)
+            rows = M.tail_to_table(M.read_stream(spark, land, clean_frame.schema), table, tail_ckpt)
+    assert rep.select("batch_id").distinct().count() == 2
+    assert rep.groupBy("batch_id", "check", "column").count().where("count > 1").count() == 0
+    assert rows.count() == 20 and rows.select("CustomerID").distinct().count() == 20
+    M.write_batch(rep.where("batch_id = 1").drop("batch_id"), 1, scratch(spark, "again"))
+
+
+def test_run_log_refuses_unknown_statuses_and_logs_failures(spark):
+    path = scratch(spark, "events")
+    log = A.RunLog(spark, path, "r1")
+    with pytest.raises(ValueError):
+        log.event("clean", "done")
+    with pytest.raises(ValueError):
+        log.event("clean", "ok", colour="red")
+    assert log.run("clean", lambda: 7) == 7
+    with pytest.raises(ZeroDivisionError):
+        log.run("validate", lambda: 1 / 0)
+    got = [(r["step"], r["status"]) for r in A.read_events(spark, f"{path}/*/*.json").orderBy("seq").collect()]
+    assert got == [("clean", "start"), ("clean", "ok"), ("validate", "start"), ("validate", "fail")]
+
+
+def test_publish_keeps_the_last_good_version(spark, clean_frame):
+    from handoff.plans import handover as P
+    run, pub = scratch(spark, "run"), scratch(spark, "pub")
+    assert P.publish({"a": clean_frame}, run, pub, True) == "published"
+    first = P.published(spark, pub).collect()
+    assert P.publish({"a": clean_frame.limit(3)}, run, pub, False) == "refused"
+    assert P.publish({"a": clean_frame.limit(3)}, run, pub, True, enabled=False) == "verified"
+    assert P.published(spark, pub).collect() == first and first[0]["n_rows"] == 20
+    assert P.publish({"a": clean_frame.limit(3)}, run, pub, True) == "published"
+    now = P.published(spark, pub).first()
+    assert now["n_rows"] == 3 and spark.read.parquet(now["path"]).count() == 3
+    assert P.written_outputs(spark, run) == ["a"]
+
+
+def test_no_scratch_folder_off_a_local_master():
+    from handoff import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext, conf = Context, {}
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session)
+
+
 def test_stratified_folds_are_exact(spark):
     df = spark.range(0, 103).select(F.col("id").alias("k"), (F.col("id") % 4 == 0).cast("int").alias("y"))
     f = J.assign_folds(df, "y", "k", 5, 42)
