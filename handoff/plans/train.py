@@ -9,6 +9,7 @@ encoding and the estimator are an ``ml.Pipeline`` fitted on the prepared trainin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -114,6 +115,10 @@ def encoder_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     return stages
 
 
+#: Training rows of a partition.
+ROWS_PER_PARTITION = 50_000
+
+
 # ---------------------------------------------------------------- J: variants, folds, CV
 def default_variants(n_rows: int, seed: int = 42) -> dict:
     """The three model families with the reference's settings."""
@@ -195,6 +200,8 @@ def fit(train: DataFrame, estimator, numeric: Sequence[str], categorical: Sequen
     prepared = apply_prep(train, stats).withColumn("label", F.col(target).cast("double"))
     if estimator.hasParam("weightCol") and estimator.isSet("weightCol") and "w" not in prepared.columns:
         prepared = balanced_weights(prepared, target)
+    # boosting and forests run thousands of small jobs: as many partitions as the rows need, not more
+    prepared = prepared.coalesce(max(1, math.ceil(prepared.count() / ROWS_PER_PARTITION)))
     pipe = Pipeline(stages=[*encoder_stages(numeric, categorical), estimator]).fit(prepared)
     return FittedModel(variant, stats, pipe, list(numeric), list(categorical))
 

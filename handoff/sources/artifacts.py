@@ -79,7 +79,7 @@ class RunLog:
     """Events of one run, each appended as one JSON line in a file of its own below ``path``/run_id."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str):
-        self.spark, self.folder, self.seq = spark, f"{path}/{run_id}", 0
+        self.spark, self.run_id, self.folder, self.seq = spark, run_id, f"{path}/{run_id}", 0
 
     def event(self, step: str, status: str, **cells) -> None:
         """Append one event; an unknown status or field is refused."""
@@ -89,7 +89,7 @@ class RunLog:
         if unknown := set(cells) - set(fields.fieldNames()):
             raise ValueError(f"an event has no {', '.join(sorted(unknown))}")
         now = datetime.now(UTC).replace(tzinfo=None)
-        row = dict.fromkeys(fields.fieldNames()) | cells | dict(ts=now, step=step, status=status, seq=self.seq)
+        row = dict.fromkeys(fields.fieldNames()) | cells | dict(ts=now, step=step, status=status, seq=self.seq, run_id=self.run_id)
         self.spark.createDataFrame([tuple(row.values())], fields).coalesce(1).write.mode("append").option("timestampNTZFormat", TS_FORMAT).json(self.folder)
         self.seq += 1
 
