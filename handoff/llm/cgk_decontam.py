@@ -226,7 +226,8 @@ class Index:
             had = best.get((doc, item))
             if had and had[2] >= place - limit:  # the same passage, met at a shifted place
                 continue
-            region = words[max(doc_start[doc], place - limit): max(doc_start[doc], min(doc_start[doc + 1], place + m + limit))]
+            # the passage may start and end up to the limit away from where the window puts it
+            region = words[max(doc_start[doc], place - limit): max(doc_start[doc], min(doc_start[doc + 1], place + m + 2 * limit))]
             edits = edit_distance_within(self.masks[item], m, region.tolist())
             if edits <= limit:
                 if had:
