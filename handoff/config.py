@@ -48,7 +48,6 @@ class Config:
 CONTRACT_VERSION = "1.0"
 CONTRACT_DTYPES = ("int", "float", "category", "bool")
 CONTRACT_ROLES = ("id", "target", "feature", "protected")
-CHECK_NAMES = ("integrity", "columns", "dtype", "values", "range", "nulls", "rows", "key", "features")
 FAULT_PRESETS = ("unit_change", "rename_column", "drop_contract_field", "bad_category", "dtype_change", "row_loss")
 RUN_STATUSES = ("start", "ok", "fail", "skip")
 METRIC_NAMES = ("roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy")

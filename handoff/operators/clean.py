@@ -177,8 +177,3 @@ def null_reconciliation(df: DataFrame, report: DataFrame) -> DataFrame:
     observed = null_counts(df).where(F.col("null_count") > 0).select("column", F.col("null_count").alias("observed"))
     reported = report.where(F.col("section") == "nulls_kept").select("column", F.col("n").alias("reported"))
     return observed.join(reported, "column", "full_outer").where(~F.col("observed").eqNullSafe(F.col("reported")))
-
-
-def missing_mask(df: DataFrame) -> DataFrame:
-    """Boolean frame: True where a cell is NULL or NaN (helper for tests)."""
-    return df.select(*[is_missing(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])

@@ -30,16 +30,6 @@ def is_numeric_field(dt) -> bool:
     return isinstance(dt, NumericType) and not isinstance(dt, BooleanType)
 
 
-def normalise_nulls(df: DataFrame) -> DataFrame:
-    """NaN -> NULL in every floating column (pandas has one missing value; Spark has two)."""
-    return df.select(
-        *[
-            nan_to_null(F.col(f.name), f.dataType).alias(f.name) if is_floating(f.dataType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     """(column, position, null_count) for every column, from one aggregate (NaN counts as null)."""
     fields = df.schema.fields

@@ -2,7 +2,8 @@
 
 Event log shape: (run_id, seq, ts, step, status, result, duration_s, llm_calls, cost_usd); ``seq``
 is the line number within the run, so (ts, seq) is a total order. Every summary is one
-``groupBy(run_id)`` with ``max_by``/``min_by`` -- partial aggregation, no window, no sort.
+``groupBy(run_id)`` with ``max_by``/``min_by``: partial aggregation without a window (Spark sorts each
+map task's rows, because the buffers are structs).
 """
 
 from __future__ import annotations

@@ -470,10 +470,6 @@ def tampered_sql(preset: str | None):
     raise ValueError(preset)
 
 
-def _py_classify(t, has_nulls_sql):
-    return None
-
-
 def validate_sql(preset: str | None) -> str:
     body, data_cols, declared = tampered_sql(preset)
     dtypes = dict(data_cols)
@@ -1033,7 +1029,7 @@ def all_sql() -> dict[str, str]:
         "k1_predicted": k1(), "k2_confusion": k2(), "k3_roc_auc": k3(), "k3_roc_auc_lines": k3l(),
         "k4_average_precision": k4(), "k4_average_precision_lines": k4l(), "k5_fold_summary": k5(),
         "k6_precision_at_top": k6(), "k6_precision_at_top_lines": k6l(), "k6_ranking_report_lines": k6r(), "k7_majority_baseline": k7(),
-        "k8_fairness": k8(), "k11_comparison_table": k11(), "k12_fairness_table": k12(), "k13_metric_delta": k13(),
+        "k8_fairness": k8(), "k11_comparison_table": k11(), "k12_fairness_table": k12(), "k13_metric_delta": k13(), "k13_worst_delta": "WITH d AS (" + k13() + ") SELECT arg_max(path, delta) AS path, max(delta) AS delta, bool_and(within) AS all_within FROM d",
         "k14_training_facts": k14(),
         "d11_outcome_shares": d11(), "h5_orders_per_month": h5(), "h6_recency_bucket": h6(),
         "e1_dtypes": _contract_view("SELECT name, dtype FROM cr"), "e2_roles": _contract_view("SELECT name, role FROM cr"),

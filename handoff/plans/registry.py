@@ -603,6 +603,10 @@ def k13_metric_delta(spark, sf):
     return rnd(K.metric_delta(a, b))
 
 
+def k13_worst_delta(spark, sf):
+    return rnd(K.worst_delta(k13_metric_delta(spark, sf)))
+
+
 def k14_training_facts(spark, sf):
     c = _contract(spark, sf)
     return K.training_facts(c.columns, c.dataset["row_count"])
