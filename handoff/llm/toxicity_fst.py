@@ -9,8 +9,13 @@ target, negation and report; a missing arc copies its symbol at weight 1:
 - insult: an insult right after an insult counts 1.2;
 - threat: a threat word alone counts nothing; a person within three words after it completes it.
 
+A threat's weight is that of the threat word: report and negation rewrite it to a symbol that names
+its weight, and the completion carries this weight (of several open threats, the largest).
+
 They are composed into one transducer (weights multiply along a path), and a clause scores the sum
-of its outputs' weights times the insult's learned strength. A text is scored by its matched
+of its outputs' weights times the insult's learned strength. Clauses end at punctuation and line
+ends; a word of saying holds on over colons, commas, double quotes and the line end after a colon,
+up to the end of its sentence or bracket. A text is scored by its matched
 clauses: the strongest clause, the sum, and the number of matched clauses go through a logistic.
 
 The insults are learned, as whole words and as stems (word beginnings), from a bounded sample of
@@ -47,7 +52,11 @@ TARGETS = ("you your he she him her they them du dich dein ihr euch er sie tu to
            "tú te usted ustedes él ella ellos ellas").split()
 THREATS = ("kill hurt beat destroy punish strangle töten schlagen vernichten erwürgen tuer frapper détruire "
            "matar golpear destruir").split()
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, HIT = range(7)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, HIT, SAID_THREAT, NO_THREAT, SAID_NO_THREAT = range(10)
+READ = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
+REPORTED, NEGATED = 0.5, 0.3
+#: Weight of a threat word by the symbol that report and negation write for it.
+THREAT_WEIGHT = {THREAT: 1.0, SAID_THREAT: REPORTED, NO_THREAT: NEGATED, SAID_NO_THREAT: REPORTED * NEGATED}
 SYMBOL_OF = ({w: NEGATION for w in NEGATIONS} | {w: REPORT for w in REPORTS} | {w: TARGET for w in TARGETS}
              | {w: THREAT for w in THREATS})
 #: Strength of a completed threat, in the unit of an insult's learned log-odds.
@@ -55,6 +64,8 @@ THREAT_STRENGTH = 6.0
 STEMS = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 _BREAK = re.compile(r"[.!?;:,()\"\r\n]+")
+#: What ends a sentence; a colon is matched with the line ends after it, which do not.
+_END = re.compile(r":\s+|[.!?;()\r\n]")
 
 
 @dataclass
@@ -71,7 +82,7 @@ class Transducer:
         number, todo, arcs = {(0, 0): 0}, [(0, 0)], {}
         while todo:
             pair = todo.pop()
-            for symbol in (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT):
+            for symbol in READ:
                 a, mid, w1 = self.step(pair[0], symbol)
                 b, out, w2 = other.step(pair[1], mid)
                 if (a, b) not in number:
@@ -81,29 +92,48 @@ class Transducer:
         return Transducer(arcs)
 
 
-def _scope(opener: int, length: int, weights: dict[int, float], rewrite: dict[int, int] | None = None) -> Transducer:
-    """After ``opener``, the next ``length`` words are in scope: symbols get the weights and rewrites."""
-    arcs: dict[tuple[int, int], tuple[int, int, float]] = {(0, opener): (length, opener, 1.0)}
+def _scope(openers: tuple[int, ...], length: int, weights: dict[int, float], rewrite: dict[int, int] | None = None) -> Transducer:
+    """After an opener, the next ``length`` words are in scope: symbols get the weights and rewrites."""
+    arcs: dict[tuple[int, int], tuple[int, int, float]] = {(0, opener): (length, opener, 1.0) for opener in openers}
     for state in range(1, length + 1):
-        for symbol in (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT):
-            after = length if symbol == opener else state - 1
+        for symbol in (*READ, HIT, SAID_THREAT):
+            after = length if symbol in openers else state - 1
             arcs[state, symbol] = (after, (rewrite or {}).get(symbol, symbol), weights.get(symbol, 1.0))
     return Transducer(arcs)
 
 
+def _threat() -> Transducer:
+    """A person within three words after a threat word is a HIT with the largest weight of those words.
+
+    A state is the weights of the last three words, newest first (0: no threat word); a weight that
+    a newer one reaches is never used and counts as 0.
+    """
+    number, todo, arcs = {(0.0, 0.0, 0.0): 0}, [(0.0, 0.0, 0.0)], {}
+    while todo:
+        last = todo.pop()
+        for symbol in (*READ, SAID_THREAT, NO_THREAT, SAID_NO_THREAT):
+            new = THREAT_WEIGHT.get(symbol, 0.0)
+            after = (new, *(w if w > max((new, *last[:k])) else 0.0 for k, w in enumerate(last[:2])))
+            if after not in number:
+                number[after] = len(number)
+                todo.append(after)
+            out, weight = (HIT, max(last)) if symbol == TARGET and any(last) else (THREAT if new else symbol, 1.0)
+            arcs[number[last], symbol] = (number[after], out, weight)
+    return Transducer(arcs)
+
+
 def grammar() -> Transducer:
     """The composed transducer; HIT is the output of a completed threat."""
-    report = Transducer({(0, REPORT): (1, REPORT, 1.0), (1, INSULT): (1, INSULT, 0.5), (1, THREAT): (1, THREAT, 0.5)})
-    negation = _scope(NEGATION, 3, {INSULT: 0.3, THREAT: 0.3})
-    target = _scope(TARGET, 4, {INSULT: 1.5})
-    insult = _scope(INSULT, 1, {INSULT: 1.2})
-    threat = _scope(THREAT, 3, {}, {TARGET: HIT})
-    return report.then(negation).then(threat).then(target).then(insult)
+    report = Transducer({(0, REPORT): (1, REPORT, 1.0), (1, INSULT): (1, INSULT, REPORTED), (1, THREAT): (1, SAID_THREAT, 1.0)})
+    negation = _scope((NEGATION,), 3, {INSULT: NEGATED}, {THREAT: NO_THREAT, SAID_THREAT: SAID_NO_THREAT})
+    target = _scope((TARGET, HIT), 4, {INSULT: 1.5})
+    insult = _scope((INSULT,), 1, {INSULT: 1.2})
+    return report.then(negation).then(_threat()).then(target).then(insult)
 
 
-def clause_score(machine: Transducer, symbols: list[int], strengths: list[float]) -> float:
-    """Weighted sum of a clause's insults and completed threats."""
-    state, total = 0, 0.0
+def clause_score(machine: Transducer, symbols: list[int], strengths: list[float], reported: bool = False) -> float:
+    """Weighted sum of a clause's insults and completed threats; ``reported``: a word of saying stands before it."""
+    state, total = machine.step(0, REPORT)[0] if reported else 0, 0.0
     for symbol, strength in zip(symbols, strengths):
         state, out, weight = machine.step(state, symbol)
         if out == INSULT:
@@ -152,12 +182,21 @@ class Model:
         if not starts:
             return 0.0, 0.0, 0.0
         breaks = [m.start() for m in _BREAK.finditer(low)]
+        ends = [m.start() for m in _END.finditer(low) if m[0][0] != ":"]
         best = total = matched = 0.0
+        read, reported = 0, False  # the text is read up to here for words of saying
         for k in sorted({bisect_right(breaks, s) for s in starts}):
-            clause = low[breaks[k - 1] if k else 0: breaks[k] if k < len(breaks) else len(low)]
-            words = _WORD.findall(clause)
+            first = breaks[k - 1] if k else 0
+            # a run of breaks may hold the end of a sentence behind its first character
+            last = bisect_right(ends, _BREAK.match(low, first).end() - 1 if k else 0)
+            if last and ends[last - 1] >= read:
+                read, reported = ends[last - 1], False
+            reported = reported or any(SYMBOL_OF.get(w) == REPORT for w in _WORD.findall(low, read, max(read, first)))
+            read = max(read, first)
+            words = _WORD.findall(low, first, breaks[k] if k < len(breaks) else len(low))
             strengths = [self.strength(w) for w in words]
-            score = clause_score(self.machine, [INSULT if s else SYMBOL_OF.get(w, OTHER) for w, s in zip(words, strengths)], strengths)
+            symbols = [INSULT if s else SYMBOL_OF.get(w, OTHER) for w, s in zip(words, strengths)]
+            score = clause_score(self.machine, symbols, strengths, reported)
             if score > 0:
                 best, total, matched = max(best, score), total + score, matched + 1
         return best, math.log1p(total), math.log1p(matched)

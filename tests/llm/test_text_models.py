@@ -87,6 +87,39 @@ def test_negated_and_reported_clauses_score_less():
     assert model.features(None) == (0.0, 0.0, 0.0)
 
 
+def plain_scores(symbols, reported):
+    """As brute_scores, with a threat's weight taken at the threat word."""
+    total = 0.0
+    I, T, Y, N, R = toxicity_fst.INSULT, toxicity_fst.THREAT, toxicity_fst.TARGET, toxicity_fst.NEGATION, toxicity_fst.REPORT
+    weight = [(0.5 if reported or R in symbols[:k] else 1.0) * (0.3 if N in symbols[max(0, k - 3): k] else 1.0) for k in range(len(symbols))]
+    for k, s in enumerate(symbols):
+        if s == I:
+            total += weight[k] * (1.5 if Y in symbols[max(0, k - 4): k] else 1.0) * (1.2 if k and symbols[k - 1] == I else 1.0)
+        if s == Y:
+            total += toxicity_fst.THREAT_STRENGTH * max((weight[j] for j in range(max(0, k - 3), k) if symbols[j] == T), default=0.0)
+    return total
+
+
+def test_composed_grammar_is_the_rules_with_threats():
+    machine = toxicity_fst.grammar()
+    for n in range(1, 7):
+        for symbols in itertools.product(toxicity_fst.READ, repeat=n):
+            for reported in (False, True):
+                got = toxicity_fst.clause_score(machine, list(symbols), [1.0] * n, reported)
+                assert got == pytest.approx(plain_scores(symbols, reported)), symbols
+
+
+def test_negated_reported_and_quoted_threats():
+    model = toxicity_fst.Model({"idiot": 5.0}, [-4.0, 1.0, 0.0, 0.0])
+    want = {"I will kill you": 6.0, "I will not kill you": 1.8, "I will not kill all of you": 1.8, "he said he will kill you": 3.0,
+            "he said: I will kill you": 3.0, 'he said, "I will kill you"': 3.0, 'he said:\r\n"I will not kill you"': 0.9,
+            'she wrote "well, maybe, idiot"': 2.5, "he said so. I will kill you": 6.0, 'he said "so." I will kill you': 6.0,
+            "he said hello\nI will kill you": 6.0, "no, I will kill you": 6.0, 'idiot, he said, "idiot, idiot." idiot': 5.0,
+            "he said it (I will kill you)": 6.0}
+    assert {t: model.features(t)[0] for t in want} == pytest.approx(want)
+    assert model.features('idiot, he said, "idiot, idiot." idiot')[1] == pytest.approx(math.log1p(15.0))
+
+
 def test_toxicity_of_held_out_documents(spark):
     got = queries.op6_toxicity_fst(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
     toxic = [r["predicted"] for r in got if r["toxic"] == 1]
