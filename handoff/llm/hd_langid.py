@@ -35,6 +35,8 @@ SEED = 20
 UNKNOWN = "und"
 #: Trigram vectors that a worker keeps (64 MB); more are computed again.
 KEPT = 1 << 15
+#: The floors: texts of 2^FIRST independent trigrams and more are judged, in classes up to 2^LAST.
+FIRST, LAST, SHARE, FACTOR, LEAST_ROWS = 5, 15, 0.01, 0.4, 10
 _BLANK = 32
 _letters: np.ndarray | None = None
 
@@ -114,16 +116,21 @@ def vectors(dim: int = DIM, seed: int = SEED) -> Vectors:
     return _workers.setdefault((dim, seed), Vectors(dim, seed))
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        train: Column | None = None, fit_rows: int = 5000) -> dict[str, np.ndarray]:
-    """Prototype of each language, learned from the rows where ``train`` holds and lang is not null."""
+def _sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, train: Column | None, fit_rows: int) -> DataFrame:
+    """(lang, text) of the rows where ``train`` holds and lang is not null, ``fit_rows`` of a language expected at most."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"),
                        (F.lit(True) if train is None else train).alias("use")).where("use and lang is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.coalesce(spread(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(0.0))
     # one row for each language, as the model itself has
-    sample = rows.join(F.broadcast(sizes), "lang").where(share * F.col("n") < F.lit(float(fit_rows))).select("lang", "text")
+    return rows.join(F.broadcast(sizes), "lang").where(share * F.col("n") < F.lit(float(fit_rows))).select("lang", "text")
+
+
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
+        train: Column | None = None, fit_rows: int = 5000) -> dict[str, np.ndarray]:
+    """Prototype of each language, learned from the rows where ``train`` holds and lang is not null."""
+    sample = _sample(docs, text_col, lang_col, id_col, train, fit_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,31 +166,62 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return {lang: v for lang, v in sorted(out.items()) if np.linalg.norm(v) > 0}
 
 
-def predict(text: str | None, names: list[str], unit: np.ndarray) -> tuple[str, float]:
-    """Language and cosine (not below 0) of one text; ``unit`` holds the prototypes at length 1."""
+def _placed(text: str | None, names: list[str], unit: np.ndarray) -> tuple[str, float, int]:
+    """Language, cosine (not below 0) and class of independent trigrams of one text."""
     codes, counts = trigrams(text)
     if not len(codes) or not names:
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, 0
+    size = min(LAST, int(np.log2(counts.sum() ** 2.0 / (counts.astype(np.float64) ** 2).sum())))
     v = vectors().bundle(codes, counts)
     length = float(np.linalg.norm(v))
     if length == 0.0:
-        return names[0], 0.0
+        return names[0], 0.0, size
     cosine = unit @ v / length
     best = int(np.argmax(cosine))
-    return names[best], float(min(1.0, max(0.0, cosine[best])))
+    return names[best], float(min(1.0, max(0.0, cosine[best]))), size
+
+
+def predict(text: str | None, names: list[str], unit: np.ndarray) -> tuple[str, float]:
+    """Language and cosine (not below 0) of one text; ``unit`` holds the prototypes at length 1."""
+    return _placed(text, names, unit)[:2]
 
 
 def predicted(prototypes: dict[str, np.ndarray], text: Column) -> Column:
-    """Struct (lang_pred, score) of a text column."""
+    """Struct (lang_pred, score, size) of a text column; size is the class of independent trigrams."""
     names = list(prototypes)
     unit = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in names]) if names else np.empty((0, DIM))
 
     def run(texts: pa.Array) -> pa.Array:
-        found = [predict(t.as_py(), names, unit) for t in texts]
-        return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                                          names=["lang_pred", "score"])
-
-    return F.arrow_udf(run, "struct<lang_pred:string,score:double>")(text.cast("string"))
+        found = [_placed(t.as_py(), names, unit) for t in texts]
+        columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.int32()))]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "size"])
+
+    return F.arrow_udf(run, "struct<lang_pred:string,score:double,size:int>")(text.cast("string"))
+
+
+def fit_floors(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
+               train: Column | None = None, fit_rows: int = 5000) -> dict[str, list[float]]:
+    """For each language, the floor on the cosine by class of independent trigrams (0: not judged)."""
+    sample = _sample(docs, text_col, lang_col, id_col, train, fit_rows)
+    scored = sample.select("lang", predicted(prototypes, F.col("text")).alias("found"))
+    scored = scored.where((F.col("found")["lang_pred"] != UNKNOWN) & (F.col("found")["size"] >= FIRST))
+    steps = scored.groupBy("lang", F.col("found")["size"].alias("size"), F.floor(F.col("found")["score"] * 200).alias("step"))
+    rows: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for r in steps.agg(F.count(F.lit(1)).alias("n")).collect():  # at most 201 rows for each language and class
+        rows.setdefault((r["lang"], r["size"]), []).append((r["step"], r["n"]))
+    own: dict[tuple[str, int], float] = {}
+    for key, steps_of in rows.items():
+        step, n = zip(*sorted(steps_of))
+        if sum(n) >= LEAST_ROWS:
+            own[key] = FACTOR * step[int(np.searchsorted(np.cumsum(n), SHARE * sum(n), "right"))] / 200
+    floors = {}
+    for lang in prototypes:
+        floors[lang] = [0.0] * (LAST + 1)
+        judged = sum(n for (name, _), steps_of in rows.items() if name == lang for _, n in steps_of) >= LEAST_ROWS
+        for size in range(FIRST, LAST + 1) if judged else ():
+            others = [floor for (_, k), floor in own.items() if k == size]
+            floors[lang][size] = own.get((lang, size), min(others, default=floors[lang][size - 1]))
+    return floors
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,8 +230,13 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
     return found.select("doc_id", "found.lang_pred", "found.score")
 
 
-def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text_col: str = "text") -> DataFrame:
-    """Rows whose text has a language: not ``und``, and a cosine of at least ``min_score``."""
+def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text_col: str = "text",
+                    floors: dict[str, list[float]] | None = None) -> DataFrame:
+    """Rows whose text has a language: not ``und``, and a cosine of at least ``min_score`` and its language's floor."""
     mark = fresh_name(docs, "_found")
     found = docs.withColumn(mark, predicted(prototypes, F.col(text_col)))
-    return found.where((F.col(mark)["lang_pred"] != UNKNOWN) & (F.col(mark)["score"] >= min_score)).select(*docs.columns)
+    lang, score, size = (F.col(mark)[k] for k in ("lang_pred", "score", "size"))
+    known = (lang != UNKNOWN) & (score >= min_score)
+    for name, floor in (floors or {}).items():
+        known = known & ((lang != name) | (score >= F.array(*map(F.lit, floor))[size]))
+    return found.where(known).select(*docs.columns)

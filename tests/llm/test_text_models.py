@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from handoff.llm import ctw_scoring, hd_langid, queries, toxicity_fst
 from pyspark.sql import functions as F
 
@@ -56,6 +57,27 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in hd_langid.identify(docs, {}).collect()} == {"und"}
 
 
+def test_language_stage_drops_texts_in_no_learned_language(spark):
+    rng = np.random.default_rng(5)
+    noise = lambda letters, n: "".join(rng.choice(list(letters), n))
+    junk = [
+        "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待人人有资格享受本宣言所载的一切权利",
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+        noise("abcdefghijklmnopqrstuvwxyz    ", 60), noise("abcdefghijklmnopqrstuvwxyz    ", 20000), noise("asdfghjkl  ", 500),
+        noise("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 300),
+    ]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    short = ["The.", "Avec.", "A.\nAll rights reserved.", "Die tz.", "And the thing.", "the thing and the other " * 2000]
+    planted = [(-1 - i, t, None) for i, t in enumerate(junk)] + [(-101 - i, t, None) for i, t in enumerate(short)]
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(planted, docs.schema)), SF)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert kept.columns == docs.columns
+    assert {i for i in ids if i < 0} == {-101 - i for i in range(len(short))}
+    assert {r["doc_id"] for r in docs.collect()} <= ids  # every labelled document stays
+
+
 def brute_scores(symbols):
     """Clause weight by rules over positions, without transducers."""
     total = 0.0
