@@ -13,8 +13,10 @@ at every word, where s is about a third of the item: a passage then holds a text
 aligned exactly with one of the item's windows, whatever stands before it. Windows are as long as
 the item less this play (lengths are rounded down to a geometric grid, so that items share walks).
 
-The number of tables comes from the target recall: items are edited at random at ``design_ratio``,
-and tables are added until that share of the edited items meets the original in some table.
+The number of tables comes from the target recall: items are edited at random at ``design_ratio``
+(``max_ratio`` unless given, the most edits that are kept), several times each, and tables are added
+until the share of edited items that meet the original in some table reaches the target, less one
+standard error. If MOST tables do not reach it, they are used and a warning is logged.
 
 Items are processed in blocks of bounded size; each block's index goes to the tasks with the code,
 and every block sees all texts. Items of more than PART words are looked for in parts.
@@ -26,6 +28,8 @@ give their own result; extra columns are not read; empty tables give no rows.
 
 from __future__ import annotations
 
+import logging
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,6 +45,8 @@ from handoff.llm.common import fresh_name
 SEED = 4
 PART = 256
 SAMPLES = 3
+#: Tables at most, and edited copies of each item by which a number of tables is judged.
+MOST, COPIES = 64, 16
 #: Words of a batch of texts that are walked together.
 CHUNK_WORDS = 400_000
 #: Word hashes that a worker keeps.
@@ -253,7 +259,7 @@ def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array(line, dtype=np.uint64)
 
 
-def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_ratio: float, most: int = 64) -> int:
+def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_ratio: float, most: int = MOST) -> int:
     """Fewest tables (even, 4 at least) with which randomly edited items are found at the target recall."""
     rng = np.random.default_rng(SEED)
     own = [w for w in items if len(w)]
@@ -261,11 +267,15 @@ def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_
     if not own:
         return 4
     filler = rng.integers(1, 1 << 62, 64).astype(np.uint64)
-    texts = [np.concatenate([filler[: int(rng.integers(0, 17))], edited(w, int(design_ratio * len(w)), rng), filler[40:]]) for w in own]
-    for tables in range(4, most, 2):
+    texts = [np.concatenate([filler[: int(rng.integers(0, 17))], edited(w, int(design_ratio * len(w)), rng), filler[40:]])
+             for _ in range(COPIES) for w in own]
+    share = 0.0
+    for tables in range(4, most + 1, 2):
         found = Index(own, tables, max_ratio).search(texts)
-        if sum(any(f[0] == i for f in hits) for i, hits in enumerate(found)) >= recall * len(own):
+        share = sum(any(f[0] == i % len(own) for f in hits) for i, hits in enumerate(found)) / len(texts)
+        if share - math.sqrt(share * (1.0 - share) / len(texts)) >= recall:
             return tables
+    logging.getLogger(__name__).warning("%d tables find %.3f of the edited items, not the target of %.3f", most, share, recall)
     return most
 
 
@@ -302,11 +312,12 @@ def matches(index: Index, text: Column) -> Column:
 
 
 def indexes(items: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.95,
-            design_ratio: float = 0.15, max_ratio: float = 0.2) -> Iterator[tuple[list, Index]]:
+            design_ratio: float | None = None, max_ratio: float = 0.2) -> Iterator[tuple[list, Index]]:
     """Each block's item ids and index."""
     for block in item_blocks(items, item_id_col, item_text_col):
         words = [w for _, w in block]
-        yield [i for i, _ in block], Index(words, tables_for(words, recall, design_ratio, max_ratio), max_ratio)
+        tables = tables_for(words, recall, max_ratio if design_ratio is None else design_ratio, max_ratio)
+        yield [i for i, _ in block], Index(words, tables, max_ratio)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",

@@ -69,6 +69,25 @@ def test_edited_items_reach_the_target_recall_and_pass_the_exact_check():
     assert hit / n >= 0.9
 
 
+def test_recall_at_the_limit_of_edits_with_the_default_settings(spark):
+    rng = np.random.default_rng(12)
+    (_, index), = cgk_decontam.indexes(spark.read.parquet(f"{SF}/benchmark.parquet"))
+    own = [i for i, w in enumerate(index.items) if len(w)]
+    filler = rng.integers(1, 1 << 62, 40).astype(np.uint64)
+    edits = lambda w: int(0.2 * len(w))
+    texts = [np.concatenate([filler[: int(rng.integers(0, 30))], cgk_decontam.edited(index.items[i], edits(index.items[i]), rng), filler[20:]])
+             for _ in range(8) for i in own]
+    found = index.search(texts)
+    assert np.mean([any(h[0] == i for h in hits) for i, hits in zip(own * 8, found)]) >= 0.95
+
+
+def test_missed_recall_is_logged(caplog):
+    rng = np.random.default_rng(13)
+    items = [rng.integers(1, 1 << 62, 40).astype(np.uint64) for _ in range(8)]
+    assert cgk_decontam.tables_for(items, 1.01, 0.2, 0.2, most=6) == 6
+    assert "not the target" in caplog.text
+
+
 def test_clean_texts_and_short_items():
     rng = np.random.default_rng(3)
     items, filler = items_and_texts(rng)
