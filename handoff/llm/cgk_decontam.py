@@ -19,7 +19,8 @@ until the share of edited items that meet the original in some table reaches the
 standard error. If MOST tables do not reach it, they are used and a warning is logged.
 
 Items are processed in blocks of bounded size; each block's index goes to the tasks with the code,
-and every block sees all texts. Items of more than PART words are looked for in parts.
+and every block sees all texts. Items of more than PART words have windows of their parts, which only
+give places where the whole item may stand; its edits are checked as a whole like any other's.
 
 Defined cases: null and empty texts hold nothing, items without words are never found; short items
 (fewer than 1 / max_ratio words) must stand in the text word for word. Repeated items and rows each
@@ -151,6 +152,14 @@ def edit_distance_within(masks: dict[int, int], m: int, region: list[int]) -> in
     return best
 
 
+def bit_masks(words: np.ndarray) -> dict[int, int]:
+    """For each word of an item, the bits of its places."""
+    places: dict[int, int] = defaultdict(int)
+    for k, w in enumerate(words.tolist()):
+        places[w] |= 1 << k
+    return dict(places)
+
+
 class Index:
     """Windows of a block of items: sorted keys with the item and the window's offset in it."""
 
@@ -161,33 +170,33 @@ class Index:
         rows = [[], [], []]
         by_size = defaultdict(list)
         for i, words in enumerate(items):
-            if len(words):
-                s = stride_for(len(words))
-                n = size_class(len(words) - s + 1)
-                by_size[s, n].append(i)
-        for (s, n), own in sorted(by_size.items()):
+            first = 0
+            for part in np.array_split(words, max(1, -(-len(words) // PART))):
+                if len(part):
+                    s = stride_for(len(part))
+                    n = size_class(len(part) - s + 1)
+                    by_size[s, n].append((i, first, part))
+                first += len(part)
+        for (s, n), own in sorted(by_size.items(), key=lambda group: group[0]):
             self.groups[s].append(n)
-            line = np.concatenate([items[i] for i in own])
-            base = np.cumsum([0] + [len(items[i]) for i in own])
-            offsets = [np.arange(len(items[i]) - n + 1) for i in own]
+            line = np.concatenate([part for _, _, part in own])
+            base = np.cumsum([0] + [len(part) for _, _, part in own])
+            offsets = [np.arange(len(part) - n + 1) for _, _, part in own]
             starts = np.concatenate([b + o for b, o in zip(base, offsets)])
             ends = np.concatenate([np.full(len(o), e) for e, o in zip(base[1:], offsets)])
-            item = np.concatenate([np.full(len(o), i) for i, o in zip(own, offsets)])
+            item = np.concatenate([np.full(len(o), i) for (i, _, _), o in zip(own, offsets)])
+            offset = np.concatenate([first + o for (_, first, _), o in zip(own, offsets)])
             for t in range(tables):
                 rows[0].append(self.sampler.keys(line, starts, ends, [n], t)[n])
                 rows[1].append(item)
-                rows[2].append(np.concatenate(offsets))
+                rows[2].append(offset)
         keys, item, offset = (np.concatenate(r) if r else np.empty(0, np.int64) for r in rows)
         order = np.argsort(keys, kind="stable")
         self.key, self.item, self.offset = keys[order].astype(np.uint64), item[order], offset[order]
         self.bitmap = np.zeros(_BITMAP, dtype=bool)
         self.bitmap[(self.key & np.uint64(_BITMAP - 1)).astype(np.int64)] = True
-        self.masks = []
-        for words in items:
-            m: dict[int, int] = defaultdict(int)
-            for k, w in enumerate(words.tolist()):
-                m[w] |= 1 << k
-            self.masks.append(dict(m))
+        # a long item's masks grow with the square of its words: made for each search that meets it
+        self.masks = [bit_masks(words) if len(words) <= PART else None for words in items]
 
     def candidates(self, words: np.ndarray, doc_start: np.ndarray) -> np.ndarray:
         """(place of the item's first word, item, text) for all windows that share a key, each once."""
@@ -226,7 +235,9 @@ class Index:
         if not len(words):
             return out
         best: dict[tuple[int, int], list[int]] = {}
-        for place, item, doc in self.candidates(words, doc_start).tolist():
+        long: tuple[int, dict[int, int]] = (-1, {})  # the masks of the last long item
+        found = self.candidates(words, doc_start)
+        for place, item, doc in found[np.lexsort((found[:, 0], found[:, 1], found[:, 2]))].tolist():
             m = len(self.items[item])
             limit = int(self.max_ratio * m)
             had = best.get((doc, item))
@@ -234,7 +245,12 @@ class Index:
                 continue
             # the passage may start and end up to the limit away from where the window puts it
             region = words[max(doc_start[doc], place - limit): max(doc_start[doc], min(doc_start[doc + 1], place + m + 2 * limit))]
-            edits = edit_distance_within(self.masks[item], m, region.tolist())
+            masks = self.masks[item]
+            if masks is None:
+                if long[0] != item:
+                    long = item, bit_masks(self.items[item])
+                masks = long[1]
+            edits = edit_distance_within(masks, m, region.tolist())
             if edits <= limit:
                 if had:
                     had[0], had[1], had[2] = min(had[0], edits), had[1] + 1, place
@@ -280,16 +296,14 @@ def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_items: int = 2000, block_words: int = 200_000) -> Iterator[list]:
-    """Lists of (item_id, words) of bounded size; items of more than PART words come in parts."""
+    """Lists of (item_id, words) of bounded size."""
     rows = items.select(F.col(id_col).alias("item_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // block_items), -(-chars // (5 * block_words)))
     for b in range(blocks):
         out = []
         for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).sort("item_id", "text").collect():
-            words = word_hashes(r["text"])
-            parts = max(1, -(-len(words) // PART))
-            out += [(r["item_id"], p) for p in np.array_split(words, parts)]
+            out.append((r["item_id"], word_hashes(r["text"])))
         yield out
 
 

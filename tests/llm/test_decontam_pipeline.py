@@ -81,6 +81,24 @@ def test_recall_at_the_limit_of_edits_with_the_default_settings(spark):
     assert np.mean([any(h[0] == i for h in hits) for i, hits in zip(own * 8, found)]) >= 0.95
 
 
+def test_long_items_are_checked_as_a_whole(spark):
+    rng = np.random.default_rng(14)
+    names = [f"w{i}" for i in range(5000)]
+    words = lambda n: rng.choice(names, n).tolist()
+    item, many = words(300), words(1500)
+    near = [w if k % 10 else "other" for k, w in enumerate(item)]  # 30 edits
+    rows = [(1, words(70) + item + words(40)), (2, words(90) + item[:150] + words(150)), (3, words(33) + near + words(20)),
+            (4, item[:200] + words(100)), (5, words(11) + many[:700] + words(100) + many[700:] + words(8)), (6, many[:1000]), (7, item[30:])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(many))], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["edits"], r["places"]) for r in cgk_decontam.leaks(docs, items).collect())
+    texts = dict(rows)
+    assert [g[:2] for g in got] == [(1, 1), (3, 1), (5, 2), (7, 1)]
+    assert [g[2] for g in got] == [plain_distance(many if g[1] == 2 else item, texts[g[0]]) for g in got] == [0, 30, 100, 30]
+    assert {g[3] for g in got} == {1}
+    assert sorted(r["doc_id"] for r in cgk_decontam.keep_uncontaminated(docs, items).collect()) == [2, 4, 6]
+
+
 def test_missed_recall_is_logged(caplog):
     rng = np.random.default_rng(13)
     items = [rng.integers(1, 1 << 62, 40).astype(np.uint64) for _ in range(8)]
