@@ -23,8 +23,10 @@ and every block sees all texts. Items of more than PART words have windows of th
 give places where the whole item may stand; its edits are checked as a whole like any other's.
 
 Defined cases: null and empty texts hold nothing, items without words are never found; short items
-(fewer than 1 / max_ratio words) must stand in the text word for word. Repeated items and rows each
-give their own result; extra columns are not read; empty tables give no rows.
+(fewer than 1 / max_ratio words) must stand in the text word for word. ``leaks`` answers by id: documents
+of one id (null is one id) and items of one id are taken together, with the fewest edits and the sum of
+the places over all their pairs of rows. ``keep_uncontaminated`` judges every row by itself. Extra columns
+are not read; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -336,7 +338,7 @@ def indexes(items: DataFrame, item_id_col: str = "item_id", item_text_col: str =
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", **how: float) -> DataFrame:
-    """(doc_id, item_id, edits, places): items found in each text, one row for each pair of text and item."""
+    """(doc_id, item_id, edits, places): items found, one row for each pair of a document id and an item id."""
     out = None
     for ids, index in indexes(items, item_id_col, item_text_col, **how):
         found = docs.select(F.col(id_col).alias("doc_id"), F.explode(matches(index, F.col(text_col))).alias("m"))
