@@ -103,8 +103,8 @@ def test_leaks_are_merged_by_id_and_rows_are_kept_one_by_one(spark):
     passage = "seven wise owls watch from the old oak tree by the river bank every single winter night"
     items = spark.createDataFrame([(1, passage), (1, passage), (2, passage)], "item_id long, text string")
     docs = spark.createDataFrame([(None, passage), (None, "so " + passage.replace("owls", "cats")), (5, passage), (5, "clean")], "doc_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): (r["edits"], r["places"]) for r in cgk_decontam.leaks(docs, items).collect()}
-    assert got == {(None, 1): (0, 4), (None, 2): (0, 2), (5, 1): (0, 2), (5, 2): (0, 1)}
+    got = [(str(r["doc_id"]), r["item_id"], r["edits"]) for r in cgk_decontam.leaks(docs, items).collect()]
+    assert sorted(got) == [("5", 1, 0), ("5", 2, 0), ("None", 1, 0), ("None", 2, 0)]
     assert [tuple(r) for r in cgk_decontam.keep_uncontaminated(docs, items).collect()] == [(5, "clean")]
 
 
