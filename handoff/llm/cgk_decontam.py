@@ -48,8 +48,10 @@ from handoff.llm.common import fresh_name
 SEED = 4
 PART = 256
 SAMPLES = 3
-#: Tables at most, and edited copies of each item by which a number of tables is judged.
-MOST, COPIES = 64, 16
+#: Least distance of two sampled steps.
+GAP = 6
+#: Tables at most; items, and edited copies of each, by which a number of tables is judged.
+MOST, JUDGED, COPIES = 64, 256, 8
 #: Words of a batch of texts that are walked together.
 CHUNK_WORDS = 400_000
 #: Word hashes that a worker keeps.
@@ -107,7 +109,12 @@ class Sampler:
     def steps(self, table: int, n: int) -> list[int]:
         """Sampled steps of windows of n words, ascending; the walk covers n words in about 2n steps."""
         rng = np.random.default_rng([self.seed, table, n])
-        return sorted(rng.choice(max(1, 9 * n // 5), min(self.samples, max(1, 9 * n // 5)), replace=False).tolist())
+        span = max(1, 9 * n // 5)
+        count = min(self.samples, span)
+        # steps side by side often read one word, and a key of one common word meets far too many windows
+        gap = max(1, min(GAP, (span - 1) // max(1, count - 1))) - 1
+        picked = sorted(rng.choice(span - (count - 1) * gap, count, replace=False).tolist())
+        return [step + k * gap for k, step in enumerate(picked)]
 
     def keys(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: list[int], table: int) -> dict[int, np.ndarray]:
         """For each window size: the keys of the windows at ``starts`` (no word at ``ends`` or later is read)."""
@@ -281,7 +288,7 @@ def tables_for(items: list[np.ndarray], recall: float, design_ratio: float, max_
     """Fewest tables (even, 4 at least) with which randomly edited items are found at the target recall."""
     rng = np.random.default_rng(SEED)
     own = [w for w in items if len(w)]
-    own = [own[i] for i in rng.permutation(len(own))[:64]]
+    own = [own[i] for i in rng.permutation(len(own))[:JUDGED]]
     if not own:
         return 4
     filler = rng.integers(1, 1 << 62, 64).astype(np.uint64)
