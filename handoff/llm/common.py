@@ -69,6 +69,25 @@ def text_bytes(array: pa.Array) -> Iterator[bytes]:
         yield b"" if null is not None and null[i] else bytes(view[at[i]: at[i + 1]])
 
 
+def _word_bytes(digits: bool) -> bytes:
+    """Translation table: A-Z become a-z, bytes of words stay, every other byte becomes a blank."""
+    keep = set(range(0x61, 0x7B)) | set(range(0x80, 0x100)) | (set(range(0x30, 0x3A)) if digits else set())
+    return bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in keep else 0x20 for b in range(256))
+
+
+_WITH_DIGITS, _LETTERS = _word_bytes(True), _word_bytes(False)
+
+
+def ascii_words(text: bytes, digits: bool = True) -> list[bytes]:
+    """Words of ASCII letters (lower-cased), characters above 0x7F and, if asked, digits; all else parts them."""
+    return text.translate(_WITH_DIGITS if digits else _LETTERS).split()
+
+
+def quoted(name: str) -> str:
+    """The column name in back quotes, so that a dot in it is no path."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder given as a path or URI, and the folder's name in it."""
     if path.startswith("file:/") and not path.startswith("file://"):
