@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, chat_windows, ctw_scoring, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, simhash_blocks, toxicity_fst, variable_packing
+from handoff.llm import cgk_decontam, chat_windows, ctw_scoring, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, lexical_search, license_templates, simhash_blocks, source_divergence, toxicity_fst, variable_packing
 from handoff.llm.common import id_remainder, shared_path, table
 
 
@@ -69,9 +69,23 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_templates.licenses(table(spark, sf_dir, "documents")).drop("places")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def all_sql() -> dict:
-    return {}
+    """Operators with an SQL form; learned scores, fingerprints, files and packings have none."""
+    return {"op11_license_templates": license_templates.oracle_sql(), "op12_lexical_search": lexical_search.oracle_sql(),
+            "op13_source_divergence": source_divergence.oracle_sql()}
