@@ -23,8 +23,18 @@ TWO_32 = 4294967296
 SCORE_MOD = 1000003
 
 
+def quoted(name: str) -> str:
+    """A column name in back quotes, so that a dot in it is part of the name and no path."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col_of(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """The column of that name, whatever characters the name holds; a column expression stays as it is."""
+    return F.col(quoted(c)) if isinstance(c, str) else c
+
+
+def cols_of(names: Sequence[str | Column]) -> list[Column]:
+    return [col_of(c) for c in names]
 
 
 def is_floating(dt: DataType) -> bool:
@@ -47,6 +57,11 @@ def is_missing(c: str | Column, dt: DataType | None = None) -> Column:
     return c.isNull() | F.isnan(c)
 
 
+def row_hash(names: Sequence[str], seed: int) -> Column:
+    """64-bit hash of the columns' values; a null differs from every value and from a null elsewhere."""
+    return F.xxhash64(F.lit(int(seed)), *[F.struct(col_of(n).isNull().alias("null"), col_of(n).alias("v")) for n in names])
+
+
 def strip_text(c: str | Column) -> Column:
     """Strip Unicode white space at both ends (NULL stays NULL)."""
     return F.regexp_replace(col_of(c), _EDGE_WS, "")

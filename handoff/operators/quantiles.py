@@ -16,10 +16,14 @@ from handoff.operators.ranking import running_totals
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], group_by: Sequence[str] = ("column",),
-                    value: str = "value") -> DataFrame:
-    """(group..., p, quantile) for a long frame of non-null numeric ``value`` per group."""
+                    value: str = "value", weight: str | None = None) -> DataFrame:
+    """(group..., p, quantile) for a long frame of non-null numeric ``value`` per group.
+
+    ``weight`` names a column with the number of rows that a row stands for.
+    """
     group_by = list(group_by)
-    counts = long.where(F.col(value).isNotNull()).groupBy(*group_by, value).agg(F.count(F.lit(1)).alias("_c"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = long.where(F.col(value).isNotNull()).groupBy(*group_by, value).agg(rows.alias("_c"))
     cum = running_totals(counts, [F.col(value)], {"_cum": F.col("_c")}, group_by)
     cum = cum.withColumn("_start", F.col("_cum") - F.col("_c"))  # ranks [_start, _cum) hold this value
     totals = counts.groupBy(*group_by).agg(F.sum("_c").alias("_n"))

@@ -260,6 +260,28 @@ def c12():
     return _clean_ctes() + "SELECT * FROM (" + union(parts) + ") x WHERE n > 0"
 
 
+def c11_cases():
+    one = c11()
+    return ("WITH whole AS (" + one + ") SELECT *, 'whole' AS \"case\" FROM whole UNION ALL SELECT rows_in, rows_out, lost AS table_rows, "
+            "lost = rows_out AS rows_match, drops_add_up, 'rows lost' AS \"case\" FROM whole, ("
+            + _clean_ctes() + "SELECT count(*) FILTER (WHERE customer_id % 10 <> 0) AS lost FROM cl) l")
+
+
+def c12_raw():
+    parts = [f"SELECT {lit(c)} AS {q('column')}, {lit(o)} AS old_value, count(*) FILTER (WHERE {c} = {lit(o)}) AS n FROM st"
+             for c, m in CFG.entity_map.items() for o in m]
+    return RAW + ", st AS (" + _stripped_cte(strip) + ") SELECT * FROM (" + union(parts) + ") x WHERE n > 0"
+
+
+def c13_cases():
+    parts = []
+    for c, t in SNAP_COLS:
+        if c in ("account_balance", "segment", "cashback"):
+            was, now = f"count(*) FILTER (WHERE {miss(c, t)})", f"count(*) FILTER (WHERE {miss(c, t)} OR customer_id % 5 = 0)"
+            parts.append(f"SELECT {lit(c)} AS {q('column')}, {now} AS observed, nullif({was}, 0) AS reported FROM cl")
+    return _clean_ctes() + "SELECT * FROM (" + union(parts) + ") x WHERE observed IS DISTINCT FROM reported AND (observed > 0 OR reported > 0)"
+
+
 def c13():
     return ("SELECT CAST(NULL AS VARCHAR) AS \"column\", CAST(NULL AS BIGINT) AS observed, CAST(NULL AS BIGINT) AS reported "
             "WHERE false")
@@ -793,9 +815,13 @@ def k8():
 
 def k11():
     metrics = ["roc_auc", "pr_auc", "f1", "precision", "recall", "accuracy"]
-    base = f"SELECT 'baseline' AS variant, " + ", ".join(f"{r('CAST(' + m + ' AS DOUBLE)')} AS {m}" for m in metrics) + f", 0 AS \"order\", false AS served FROM ({_baseline()}) b"
-    piv = ("SELECT variant, " + ", ".join(f"{r(f'max(CASE WHEN metric = {lit(m)} THEN mean END)')} AS {m}" for m in metrics)
-           + ", 1 AS \"order\", variant = 'pseudo' AS served FROM (SELECT variant, metric, avg(value) AS mean FROM ("
+    base = (f"SELECT 'baseline' AS variant, " + ", ".join(f"{r('CAST(' + m + ' AS DOUBLE)')} AS {m}" for m in metrics) + ", "
+            + ", ".join(f"CAST(NULL AS DOUBLE) AS {m}_std" for m in metrics)
+            + f", {r('precision_at_top10')} AS precision_at_top10, 0 AS \"order\", false AS served FROM ({_baseline()}) b")
+    piv = ("SELECT variant, " + ", ".join(f"{r(f'max(CASE WHEN metric = {lit(m)} THEN mean END)')} AS {m}" for m in metrics) + ", "
+           + ", ".join(f"{r(f'max(CASE WHEN metric = {lit(m)} THEN std END)')} AS {m}_std" for m in metrics)
+           + f", (SELECT precision_at_top FROM ({_patop('sc', 'customer_id')}) t) AS precision_at_top10"
+           + ", 1 AS \"order\", variant = 'pseudo' AS served FROM (SELECT variant, metric, avg(value) AS mean, stddev_pop(value) AS std FROM ("
            + _fold_long() + ") x GROUP BY variant, metric) y GROUP BY variant")
     return SC + base + "\nUNION ALL\n" + piv
 
@@ -877,7 +903,27 @@ def a7():
 
 
 def a11():
-    return "SELECT 'region' AS name, 'not listed' AS problem"
+    lost = "SELECT 'customer' AS name, 'hash differs' AS problem WHERE (SELECT count(*) FROM customer WHERE c_custkey % 7 = 0) > 0"
+    part = "SELECT 'part', 'hash differs' WHERE (SELECT count(*) FROM part WHERE p_partkey < 0) > 0"
+    gone = "SELECT 'supplier', 'missing' WHERE (SELECT count(*) FROM supplier) >= 0"
+    unlisted = "SELECT 'region', 'not listed' WHERE 'region' NOT IN ('nation', 'customer', 'supplier', 'part')"
+    return union([lost, part, gone, unlisted])
+
+
+def i4():
+    seen = " + ".join(f"(SELECT count(DISTINCT {c}) FROM eng)" for c in CAT_IN)
+    return SNAP + _eng_cte() + f"SELECT customer_id, CAST({len(NUM_IN)} + {seen} AS INTEGER) AS width FROM eng"
+
+
+def k10():
+    return SNAP + (f"\nSELECT col AS feature, {r('abs(r)')} AS importance FROM ({union(_corr_parts())}) x WHERE r IS NOT NULL AND NOT isnan(r) "
+                   "ORDER BY abs(r) DESC, col LIMIT 5")
+
+
+def k3_missing():
+    some = SC.rstrip() + ", scored AS (SELECT * FROM sc WHERE customer_id % 9 <> 0)\n"
+    return some + (f"SELECT fold, a.roc_auc, p.pr_auc, n, unscored FROM ({_auc('scored', 'fold')}) a JOIN ({_ap('scored', 'fold')}) p USING (fold) "
+                   "JOIN (SELECT fold, count(*) AS n, count(*) FILTER (WHERE customer_id % 9 = 0) AS unscored FROM sc GROUP BY fold) u USING (fold)")
 
 
 def e14():
@@ -1021,6 +1067,8 @@ def all_sql() -> dict[str, str]:
     }
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
+        "a5_statistics_document": d2(), "c11_reconcile_cases": c11_cases(), "c12_unmapped_before_mapping": c12_raw(), "c13_null_reconcile_cases": c13_cases(),
+        "i4_encoded_width": i4(), "k10_ranked_measures": k10(), "k3_missing_scores": k3_missing(), "m1_growing_files": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),
         "c9_nulls_kept": c9(), "e6_units_descriptions": e6(), "d12_key_numbers": d12(), "g7_fault_matrix": g7(), "l1_handover_gate": l1(),
         "j1_folds": j1(), "j9_attach_protected": j9(), "m2_live_run_status": l4(),

@@ -7,7 +7,7 @@ the SQL (summation order differs between engines; values stay unrounded inside t
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from handoff.operators import profile as B
 from handoff.operators import validate as V
 from handoff.config import Config
 from handoff.plans import views
+from handoff.plans.kept import kept_per_input
 from handoff.plans.views import SNAPSHOT_CONFIG as CFG
 from handoff.session import reliable_checkpoint
 
@@ -155,7 +156,7 @@ def c6_same_records(spark, sf):
     return docs.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
 
 
-@lru_cache(maxsize=4)
+@kept_per_input
 def _cleaned(spark, sf):
     return C.clean(raw(spark, sf), CFG, order_by=["account_balance"])
 
@@ -189,6 +190,26 @@ def c11_reconcile(spark, sf):
     return C.reconcile(rep, out)
 
 
+def c11_reconcile_cases(spark, sf):
+    """C11: the report against the table it speaks of, and against one that lost every tenth customer."""
+    out, rep = _cleaned(spark, sf)
+    cases = [("whole", out), ("rows lost", out.where(F.col("customer_id") % 10 != 0))]
+    return reduce(DataFrame.unionByName, [C.reconcile(rep, df).withColumn("case", F.lit(name)) for name, df in cases])
+
+
+def c12_unmapped_before_mapping(spark, sf):
+    """Spellings that are left where the map was not applied."""
+    return C.unmapped_spellings(C.strip_text_columns(raw(spark, sf)), CFG.entity_map)
+
+
+def c13_null_reconcile_cases(spark, sf):
+    """Columns whose nulls are not those of the report, after cells of every fifth customer were emptied."""
+    out, rep = _cleaned(spark, sf)
+    gone = F.col("customer_id") % 5 == 0
+    emptied = out.withColumns({c: F.when(~gone, F.col(c)) for c in ("account_balance", "segment", "cashback")})
+    return C.null_reconciliation(emptied, rep)
+
+
 def c12_unmapped(spark, sf):
     out, _ = _cleaned(spark, sf)
     return C.unmapped_spellings(out, CFG.entity_map)
@@ -259,7 +280,7 @@ def d11_outcome_shares(spark, sf):
 
 
 # ---------------------------------------------------------------- E contract
-@lru_cache(maxsize=4)
+@kept_per_input
 def _contract(spark, sf):
     return E.build_contract(snap(spark, sf), CFG, source="customer_snapshot")
 
@@ -590,7 +611,8 @@ def k8_fairness(spark, sf):
 
 
 def k11_comparison_table(spark, sf):
-    return rnd(K.comparison_table(K.majority_baseline(sc(spark, sf)), _summary(spark, sf), "pseudo"))
+    top = K.precision_at_top(sc(spark, sf), "customer_id").first()["precision_at_top"]
+    return rnd(K.comparison_table(K.majority_baseline(sc(spark, sf)), _summary(spark, sf), "pseudo", {"pseudo": top}))
 
 
 def k12_fairness_table(spark, sf):
@@ -695,7 +717,7 @@ def a7_read_events(spark, sf):
 
 
 def a8_file_digests(spark, sf):
-    return A.file_digests(spark, f"{sf}/*.parquet").select("name", "bytes", "sha256")
+    return A.file_digests(spark, f"{sf}/*.parquet").select("name", "bytes", "sha256", "leaves")
 
 
 def a9_fingerprint(spark, sf):
@@ -704,13 +726,38 @@ def a9_fingerprint(spark, sf):
 
 def a10_manifest(spark, sf):
     names = ["customer", "orders", "lineitem", "nation"]
-    return A.manifest(spark, {n: f"{n}.parquet" for n in names}, f"{sf}/*.parquet").select("name", "sha256", "bytes")
+    return A.manifest(spark, {n: f"{n}.parquet" for n in names}, f"{sf}/*.parquet").select("name", "sha256", "bytes", "leaves")
+
+
+def _one_file(df, path):
+    """The rows, in order, as the lines of one file of that name (an artifact, not a table)."""
+    folder = f"{path}.parts"
+    df.coalesce(1).write.mode("overwrite").text(folder)
+    jvm = df.sparkSession._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in fs.listStatus(jvm.Path(folder)) if f.getPath().getName().startswith("part-"))
+    fs.delete(jvm.Path(path), False)
+    fs.rename(part, jvm.Path(path))
 
 
 def a11_verify_manifest(spark, sf):
-    names = ["customer", "orders", "lineitem", "nation"]
-    listed = A.manifest(spark, {n: f"{n}.parquet" for n in names}, f"{sf}/*.parquet")
-    return A.verify_manifest(listed, A.file_digests(spark, f"{sf}/*.parquet"), required=names + ["region"])
+    """Artifacts written from four tables; then one loses rows, one goes, and one is asked for that was never listed."""
+    folder = A.scratch_path(spark, "artifacts")
+    lines = {n: t(spark, sf, n).select(F.col(t(spark, sf, n).columns[0]).cast("long").alias("k")).orderBy("k") for n in ("nation", "customer", "supplier", "part")}
+    for n, df in lines.items():
+        _one_file(df.select(F.col("k").cast("string")), f"{folder}/{n}.txt")
+    listed = reliable_checkpoint(A.manifest(spark, {n: f"{n}.txt" for n in lines}, f"{folder}/*.txt"))
+    _one_file(lines["customer"].where("k % 7 <> 0").select(F.col("k").cast("string")), f"{folder}/customer.txt")
+    _one_file(lines["part"].where("k >= 0").select(F.col("k").cast("string")), f"{folder}/part.txt")
+    M.delete(spark, f"{folder}/supplier.txt")
+    return A.verify_manifest(listed, A.file_digests(spark, f"{folder}/*.txt"), required=[*lines, "region"])
+
+
+def a5_statistics_document(spark, sf):
+    """A5: a document of statistics written as sorted JSON lines, and read back."""
+    path, rows = A.scratch_path(spark, "statistics"), d2_rate_by_category(spark, sf)
+    A.write_document(rows, path)
+    return spark.read.schema(rows.schema).json(path)
 
 
 def e14_contract_roundtrip_diff(spark, sf):
@@ -724,7 +771,7 @@ def e14_contract_roundtrip_diff(spark, sf):
 # ---------------------------------------------------------------- I / J / K9 training (pyspark.ml)
 from handoff.plans import train as J  # noqa: E402
 
-@lru_cache(maxsize=4)
+@kept_per_input
 def _features(spark, sf):
     c = _contract(spark, sf)
     fe = H.build_features(snap(spark, sf), c, CFG, views.FEATURE_SOURCES)
@@ -771,12 +818,21 @@ def j1_folds(spark, sf):
                           order=knuth_hash(F.col(CFG.primary_key), CFG.seed))
 
 
-@lru_cache(maxsize=4)
+#: All settings as they are fixed; tests of the machinery may put smaller ones here.
+SETTINGS = J.Settings()
+
+
+def _run(spark, sf, variants, k=5):
+    fe, num, cat = _features(spark, sf)
+    return J.train_run(fe, CFG.primary_key, CFG.target, num, cat, variants, k, CFG.seed, SETTINGS)
+
+
+@kept_per_input
 def _cv(spark, sf):
+    """One run of all three families: the run, out-of-fold scores, and their summary (tables in the shared folder)."""
     fe, num, cat = _features(spark, sf)
-    variants = J.default_variants(fe.count(), CFG.seed)
-    oof, per_fold = J.cross_validate(fe, CFG.primary_key, CFG.target, num, cat, variants, 5, CFG.seed)
-    return oof, reliable_checkpoint(per_fold), reliable_checkpoint(K.fold_summary(per_fold))
+    run, oof, per_fold = J.cross_validate(fe, CFG.primary_key, CFG.target, num, cat, J.VARIANTS, 5, CFG.seed, SETTINGS)
+    return run, oof, reliable_checkpoint(K.fold_summary(per_fold))
 
 
 def j5_cross_validate(spark, sf):
@@ -784,34 +840,30 @@ def j5_cross_validate(spark, sf):
 
 
 def j5_out_of_fold(spark, sf):
-    return rnd(_cv(spark, sf)[0])
+    return rnd(_cv(spark, sf)[1])
 
 
-@lru_cache(maxsize=4)
 def _served(spark, sf):
-    fe, num, cat = _features(spark, sf)
-    summary = _cv(spark, sf)[2]
-    name = J.serve_best(summary, list(J.default_variants(fe.count(), CFG.seed)))
-    est = J.default_variants(fe.count(), CFG.seed)[name]
-    return J.fit(fe, est, num, cat, CFG.target, name)
+    run, _, summary = _cv(spark, sf)
+    return run.model(J.serve_best(summary))
+
+
+def _fitted(spark, sf, variant):
+    """One family alone, fitted on all rows (and the folds beside it), scoring them all."""
+    fe, _, _ = _features(spark, sf)
+    return rnd(J.score(_run(spark, sf, [variant]).model(variant), fe, keep=[CFG.primary_key]))
 
 
 def j3_random_forest_fit(spark, sf):
-    fe, num, cat = _features(spark, sf)
-    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["random_forest"], num, cat, CFG.target, "random_forest")
-    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+    return _fitted(spark, sf, "random_forest")
 
 
 def j2_logistic_fit(spark, sf):
-    fe, num, cat = _features(spark, sf)
-    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["logreg"], num, cat, CFG.target, "logreg")
-    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+    return _fitted(spark, sf, "logreg")
 
 
 def j4_hist_gb_fit(spark, sf):
-    fe, num, cat = _features(spark, sf)
-    m = J.fit(fe, J.default_variants(fe.count(), CFG.seed)["hist_gb"], num, cat, CFG.target, "hist_gb")
-    return rnd(J.score(m, fe, keep=[CFG.primary_key]))
+    return _fitted(spark, sf, "hist_gb")
 
 
 def j6_serve_best(spark, sf):
@@ -844,34 +896,44 @@ def j9_attach_protected(spark, sf):
 
 
 def _top_precision(spark, sf):
-    oof = _cv(spark, sf)[0]
-    variants = [r["variant"] for r in _cv(spark, sf)[2].select("variant").distinct().orderBy("variant").collect()]
-    return {v: K.precision_at_top(oof.where(F.col("variant") == v), CFG.primary_key).collect()[0][0] for v in variants}
+    oof = _cv(spark, sf)[1]
+    return {v: K.precision_at_top(oof.where(F.col("variant") == v), CFG.primary_key).collect()[0][0] for v in sorted(J.VARIANTS)}
 
 
 def j10_metrics_document(spark, sf):
     fe, num, cat = _features(spark, sf)
-    oof, _, summary = _cv(spark, sf)
-    y = oof.select(F.col("y"))
-    served = _served(spark, sf).variant
+    _, oof, summary = _cv(spark, sf)
+    served = J.serve_best(summary)
     fair = K.fairness(J.attach_protected(oof.where(F.col("variant") == served), snap(spark, sf).select("customer_id", "nation"),
                                          "customer_id"), ["nation"])
-    rate = y.agg(F.avg("y")).collect()[0][0]
+    rate = fe.agg(F.avg(CFG.target)).collect()[0][0]
     return rnd(J.metrics_document(fe.count(), rate, K.majority_baseline(oof.where(F.col("variant") == served)),
                                   summary, served, _importances(spark, sf), fair, _top_precision(spark, sf),
                                   {"numeric": num, "categorical": cat}))
 
 
-@lru_cache(maxsize=4)
+@kept_per_input
 def _importances(spark, sf):
-    fe, _, _ = _features(spark, sf)
-    return reliable_checkpoint(J.permutation_importance(_served(spark, sf), fe, CFG.primary_key, CFG.target, 5, CFG.seed))
+    run, _, summary = _cv(spark, sf)
+    return reliable_checkpoint(J.permutation_importance(run, J.serve_best(summary), 5, CFG.seed))
 
 
 def k9_permutation_importance(spark, sf):
     return rnd(_importances(spark, sf))
 
 
+def k10_ranked_measures(spark, sf):
+    """K10 on a frame that SQL can compute: the columns ranked by how far their correlation is from 0."""
+    corr = D.correlations(snap(spark, sf), CFG.target, _nums(snap(spark, sf)))
+    return rnd(K.ranked_importances(corr.select(F.col("column").alias("feature"), F.abs("r").alias("importance")), 5))
+
+
+def k3_missing_scores(spark, sf):
+    """K3/K4 where every ninth score is missing: those rows are left out, and counted."""
+    scores = sc(spark, sf).withColumn("proba", F.when(F.col("customer_id") % 9 != 0, F.col("proba")))
+    return rnd(K.rank_metrics(scores, group_by=["fold"]).join(K.unscored(scores, group_by=["fold"]), "fold"))
+
+
 def k10_ranked_importances(spark, sf):
     return rnd(K.ranked_importances(_importances(spark, sf)))
 
@@ -885,13 +947,27 @@ def _event_stream(spark, sf):
     return M.read_stream(spark, sf, schema, glob="events.parquet")
 
 
+def m1_growing_files(spark, sf):
+    """M1: events as lines of files, read by byte position: half of them, a restart, then what came after."""
+    folder, table, ckpt = (A.scratch_path(spark, n) for n in ("growing", "growing-table", "growing-ckpt"))
+    cells = ev(spark, sf).select(F.col("run_id").cast("string").alias("run_id"), "seq", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                                 "step", "status", "duration_s", "llm_calls", "cost_usd")
+    lines = cells.select("seq", F.to_json(F.struct(*cells.columns)).alias("value"))
+    for part, wanted in enumerate(("seq % 2 = 0", "seq % 2 = 1")):
+        lines.where(wanted).select("value").write.text(f"{folder}/{part}")
+        rows = M.tail_to_table(M.appended_lines(spark, folder, "*.txt"), table, ckpt)
+    got = M.appended_events(rows)
+    return rnd(got.select(F.col("run_id").cast("long").alias("run_id"), "seq", "ts", "step", "status", "duration_s", "llm_calls", "cost_usd"))
+
+
 def m1_event_tail(spark, sf):
     out = M.tail_to_table(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "tail"), A.scratch_path(spark, "tail-ckpt"))
     return rnd(out)
 
 
 def m2_live_run_status(spark, sf):
-    return rnd(M.live_run_status(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "status"), A.scratch_path(spark, "status-ckpt")))
+    status, _ = M.live_run_status(views.runlog_from_events(_event_stream(spark, sf)), A.scratch_path(spark, "status"), A.scratch_path(spark, "status-ckpt"))
+    return rnd(status)
 
 
 def _snapshot_files(spark, sf, n_files=4):
@@ -931,8 +1007,8 @@ def l1_handover_gate(spark, sf):
 
 def l2_output_checks(spark, sf):
     fe, num, cat = _features(spark, sf)
-    oof, _, summary = _cv(spark, sf)
-    served = _served(spark, sf).variant
+    _, oof, summary = _cv(spark, sf)
+    served = J.serve_best(summary)
     top = _top_precision(spark, sf)
     base = K.majority_baseline(fe.select(F.col(CFG.target).alias("y")))
     run, scores = A.scratch_path(spark, "run"), j8_score(spark, sf)

@@ -1,42 +1,40 @@
-"""Preprocessing fitted inside each fold, stratified folds, cross-validation, serving, scoring and
-permutation importance on ``pyspark.ml``.
+"""Preprocessing fitted inside each fold, stratified folds, cross-validation, serving and permutation
+importance.
 
 Preprocessing statistics (exact medians, population mean/std, most frequent categories) are
 aggregates over the TRAINING rows of each fold only -- never the rows being scored. They are
-metadata-sized (one value per column) and are applied as column expressions; the categorical
-encoding and the estimator are an ``ml.Pipeline`` fitted on the prepared training rows.
+metadata-sized (one value per column).
+
+A training run packs the rows into blocks once (``plans.blocks``); the three model families
+(``plans.logistic``, ``plans.forest``, ``plans.boosting``) each fit the k folds and all rows side by side
+over these blocks, and leave their models as tables. Out-of-fold scores are one pass over the blocks.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from collections import OrderedDict
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from handoff.functions.columns import nan_to_null, seeded_hash
+from handoff.functions.columns import nan_to_null, quoted, seeded_hash
 from handoff.operators import evaluate as K
 from handoff.operators.quantiles import exact_quantiles
 from handoff.operators.ranking import row_numbers
-from handoff.session import reliable_checkpoint
+from handoff.plans import blocks as B
+from handoff.plans import boosting, forest, logistic
+from handoff.plans.blocks import Layout, PrepStats, folder_of, open_table, read_block
+from handoff.plans.models import FittedModel, Inputs, logistic_table, score  # noqa: F401
+from handoff.session import reliable_checkpoint, write_shared
 
 
 # ---------------------------------------------------------------- I: preprocessing
-@dataclass
-class PrepStats:
-    medians: dict = field(default_factory=dict)
-    means: dict = field(default_factory=dict)
-    stds: dict = field(default_factory=dict)
-    modes: dict = field(default_factory=dict)
-
-
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict:
     """Exact median (mean of the two middle values) of each column, NULL/NaN ignored."""
     if not columns:
@@ -115,23 +113,19 @@ def encoder_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     return stages
 
 
-#: Training rows of a partition.
-ROWS_PER_PARTITION = 50_000
+# ---------------------------------------------------------------- J: variants, folds, CV
+#: The model families, in the order in which ties between them are served.
+VARIANTS = ("logreg", "random_forest", "hist_gb")
 
 
-# ---------------------------------------------------------------- J: variants, folds, CV
-def default_variants(n_rows: int, seed: int = 42) -> dict:
-    """The three model families with the reference's settings."""
-    return {
-        "logreg": LogisticRegression(maxIter=2000, regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0,
-                                     standardization=False, weightCol="w"),
-        # maxMemoryInMB / cacheNodeIds are execution settings (more nodes per pass, node ids cached),
-        # not model settings
-        "random_forest": RandomForestClassifier(numTrees=400, minInstancesPerNode=2, maxDepth=30, weightCol="w",
-                                                seed=seed, subsamplingRate=1.0, bootstrap=True,
-                                                maxMemoryInMB=2048, cacheNodeIds=True),
-        "hist_gb": GBTClassifier(stepSize=0.05, maxIter=400, maxDepth=5, seed=seed),
-    }
+@dataclass(frozen=True)
+class Settings:
+    """Fixed values of the families (J2-J4); smaller ones are for tests of the machinery only."""
+
+    trees: int = forest.TREES
+    rounds: int = boosting.ROUNDS
+    max_leaves: int = boosting.MAX_LEAVES
+    task_rows: int = forest.TASK_ROWS
 
 
 def assign_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 42, order=None) -> DataFrame:
@@ -141,108 +135,82 @@ def assign_folds(df: DataFrame, target: str, key: str, k: int = 5, seed: int = 4
     return ranked.withColumn("fold", F.pmod(F.col("_rk") - 1, F.lit(k)).cast("int")).drop("_rk")
 
 
-def balanced_weights(df: DataFrame, target: str) -> DataFrame:
-    """w = n / (2 * n_class) per row ('balanced' class weights)."""
-    counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("_nc"))  # one row per class
-    n = df.count()
-    return df.join(counts, target).withColumn("w", F.lit(float(n)) / (2.0 * F.col("_nc"))).drop("_nc")
-
-
 @dataclass
-class FittedModel:
-    """A served model: preprocessing statistics + fitted ml pipeline + its input columns."""
-
-    variant: str
-    stats: PrepStats
-    pipeline: PipelineModel
-    numeric: list
-    categorical: list
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        """The ml pipeline plus a JSON sidecar of the preprocessing statistics."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        rows = ([("median", c, float(v), None) for c, v in self.stats.medians.items()]
-                + [("mean", c, float(v), None) for c, v in self.stats.means.items()]
-                + [("std", c, float(v or 0.0), None) for c, v in self.stats.stds.items()]
-                + [("mode", c, None, v) for c, v in self.stats.modes.items()]
-                + [("input", c, None, "numeric") for c in self.numeric]
-                + [("input", c, None, "categorical") for c in self.categorical]
-                + [("variant", self.variant, None, None)])
-        spark.createDataFrame(rows, "kind string, name string, num double, text string").coalesce(1).write.mode(
-            "overwrite").json(f"{path}/sidecar")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> FittedModel:
-        pipe = PipelineModel.load(f"{path}/pipeline")
-        rows = spark.read.schema("kind string, name string, num double, text string").json(f"{path}/sidecar").collect()
-        st = PrepStats()
-        num, cat, variant = [], [], ""
-        for r in rows:
-            if r["kind"] == "median":
-                st.medians[r["name"]] = r["num"]
-            elif r["kind"] == "mean":
-                st.means[r["name"]] = r["num"]
-            elif r["kind"] == "std":
-                st.stds[r["name"]] = r["num"]
-            elif r["kind"] == "mode":
-                st.modes[r["name"]] = r["text"]
-            elif r["kind"] == "input":
-                (num if r["text"] == "numeric" else cat).append(r["name"])
-            elif r["kind"] == "variant":
-                variant = r["name"]
-        return FittedModel(variant, st, pipe, num, cat)
-
-
-def fit(train: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str], target: str,
-        variant: str = "", stats: PrepStats | None = None) -> FittedModel:
-    """Fit preprocessing (unless ``stats`` of the same training rows is given) and the ml pipeline."""
-    stats = stats or fit_prep(train, numeric, categorical)
-    prepared = apply_prep(train, stats).withColumn("label", F.col(target).cast("double"))
-    if estimator.hasParam("weightCol") and estimator.isSet("weightCol") and "w" not in prepared.columns:
-        prepared = balanced_weights(prepared, target)
-    # boosting and forests run thousands of small jobs: as many partitions as the rows need, not more
-    prepared = prepared.coalesce(max(1, math.ceil(prepared.count() / ROWS_PER_PARTITION)))
-    pipe = Pipeline(stages=[*encoder_stages(numeric, categorical), estimator]).fit(prepared)
-    return FittedModel(variant, stats, pipe, list(numeric), list(categorical))
-
-
-def score(model: FittedModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Probability of the positive class for every row (batch or streaming DataFrame)."""
-    missing = [c for c in model.numeric + model.categorical if c not in df.columns]
-    if missing:
-        raise ValueError(f"the rows are missing {missing}; they must be shaped like the clean table")
-    out = model.pipeline.transform(apply_prep(df, model.stats))
-    return out.select(*keep, vector_to_array("probability")[1].alias("proba"))
-
-
-def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str],
-                   variants: Mapping[str, object], k: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Out-of-fold scores (key, fold, variant, y, proba) and per-fold metrics (variant, fold, metric, value).
+class TrainingRun:
+    """Blocks, layout and the model tables of every family, for the k folds (0 .. k-1) and all rows (k)."""
+
+    blocks: DataFrame
+    layout: Layout
+    tables: dict[str, list[str]]
+
+    def model(self, variant: str, m: int | None = None) -> FittedModel:
+        """The family's model of one training set; of all rows by default."""
+        m = self.layout.k if m is None else m
+        return FittedModel(variant, self.tables[variant], m, Inputs.of(self.layout, m))
+
+
+def train_run(df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str], variants: Sequence[str] = VARIANTS,
+              k: int = 5, seed: int = 42, settings: Settings = Settings()) -> TrainingRun:
+    """Folds, blocks, and every family fitted on each fold's training rows and on all rows."""
+    spark = df.sparkSession
+    folded = assign_folds(df.select(*[F.col(quoted(c)) for c in dict.fromkeys([key, target, *numeric, *categorical])]), target, key, k, seed)
+    folded = write_shared(folded, "folded")
+    layout = B.measure(folded, target, numeric, categorical, k)
+    blocks = B.write_blocks(folded, key, target, layout, seed)
+    tables: dict[str, list[str]] = {}
+    for name in variants:
+        if name == "logreg":
+            written = [logistic_table(spark, logistic.fit(blocks, layout), layout)]
+        elif name == "random_forest":
+            written = forest.fit(spark, blocks, layout, settings.trees, seed, settings.task_rows)
+        elif name == "hist_gb":
+            written = [boosting.fit(blocks, layout, settings.rounds, settings.max_leaves, settings.task_rows)]
+        else:
+            raise ValueError(f"no model family {name!r}; there are {VARIANTS}")
+        tables[name] = [folder_of(t) for t in written]
+    return TrainingRun(blocks, layout, tables)
+
+
+def out_of_fold(run: TrainingRun, key: str) -> DataFrame:
+    """Every row scored once per family, by the model of the fold that left it out: (key, fold, variant, y, proba)."""
+    layout, width = run.layout, len(run.layout.widths)
+    fills = layout.fills()
+    scorers = {(v, m): run.model(v, m).scorer() for v in run.tables for m in range(layout.k)}
+    key_type = run.blocks.schema["keys"].dataType.elementType.simpleString()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("y", "fold", "numbers", "codes")}
+                keys = batch.column("keys")[i].values
+                block = read_block(row, width)
+                numbers = np.frombuffer(row["numbers"]).reshape(len(block.y), -1)
+                for (variant, m), scorer in scorers.items():
+                    own = np.flatnonzero(block.fold == m)
+                    if len(own):
+                        codes = np.where(block.codes[own] == B.MISSING, fills[m], block.codes[own]).astype(np.int64)
+                        proba = scorer.proba(numbers[own], codes)
+                        yield pa.RecordBatch.from_arrays(
+                            [keys.take(pa.array(own)), pa.array(np.full(len(own), m, np.int32)), pa.array([variant] * len(own)),
+                             pa.array(block.y[own].astype(np.int32)), pa.array(proba)], names=["key", "fold", "variant", "y", "proba"])
+
+    scored = run.blocks.select("keys", "y", "fold", "numbers", "codes").mapInArrow(
+        task, f"key {key_type}, fold int, variant string, y int, proba double")
+    return write_shared(scored.withColumnRenamed("key", key), "out-of-fold")
+
+
+def cross_validate(df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str], variants: Sequence[str] = VARIANTS,
+                   k: int = 5, seed: int = 42, settings: Settings = Settings()) -> tuple[TrainingRun, DataFrame, DataFrame]:
+    """The run, its out-of-fold scores, and per-fold metrics (variant, fold, metric, value).
 
     Every variant is scored on the same folds; each fold's preprocessing is fitted on its training rows.
     """
-    folded = reliable_checkpoint(assign_folds(df, target, key, k, seed))  # folds are fixed once, reused k x variants
-
-    def prepared(i: int) -> tuple[int, PrepStats]:
-        return i, fit_prep(folded.where(F.col("fold") != i), numeric, categorical)  # training rows of fold i only
-
-    def scored(task: tuple[int, PrepStats, str]) -> DataFrame:
-        i, stats, name = task
-        m = fit(folded.where(F.col("fold") != i), variants[name].copy(), numeric, categorical, target, name, stats=stats)
-        s = score(m, folded.where(F.col("fold") == i), keep=[key, "fold", target])
-        return s.select(key, "fold", F.lit(name).alias("variant"), F.col(target).alias("y"), "proba")
+    run = train_run(df, key, target, numeric, categorical, variants, k, seed, settings)
+    oof = out_of_fold(run, key)
+    return run, oof, K.fold_metrics(oof, group_by=["variant", "fold"])
 
-    with ThreadPool(k) as pool:  # a fit is many small jobs: folds share the cluster side by side
-        stats = pool.map(prepared, range(k))
-        parts = pool.map(scored, [(i, st, name) for name in variants for i, st in stats], chunksize=1)
-    oof = parts[0]
-    for p in parts[1:]:
-        oof = oof.unionByName(p)
-    oof = reliable_checkpoint(oof)
-    return oof, K.fold_metrics(oof, group_by=["variant", "fold"])
 
-
-def serve_best(summary: DataFrame, order: Sequence[str]) -> str:
+def serve_best(summary: DataFrame, order: Sequence[str] = VARIANTS) -> str:
     """The variant with the highest mean ROC-AUC (first listed on ties)."""
     means = {r["variant"]: r["mean"] for r in summary.where(F.col("metric") == "roc_auc").collect()}
     return max(order, key=lambda v: (means.get(v) if means.get(v) is not None else float("-inf"), -list(order).index(v)))
@@ -286,30 +254,78 @@ def metrics_document(n_rows: int, positive_rate: float, baseline: DataFrame, sum
 
 
 # ---------------------------------------------------------------- K9: permutation importance
-def permutation_importance(model: FittedModel, df: DataFrame, key: str, target: str, n_repeats: int = 5,
-                           seed: int = 42) -> DataFrame:
+def donor_shifts(n: int, n_repeats: int, seed: int) -> list[int]:
+    """How far each repeat turns the rows' order, which is that of a seeded hash."""
+    rng = np.random.default_rng(seed)
+    return [int(rng.integers(1, n)) if n > 1 else 0 for _ in range(n_repeats)]
+
+
+def permutation_importance(run: TrainingRun, variant: str, n_repeats: int = 5, seed: int = 42) -> DataFrame:
     """K9: mean drop in ROC-AUC when one input column is shuffled, per column, sorted descending.
 
-    For repeat r the column's values are permuted by pairing the row of rank i (by key) with the
-    row of rank i (by a seeded hash): exact permutations built from distributed row numbers and
-    equi-joins, all columns and repeats scored in ONE transform.
+    The blocks hold the rows in the order of a seeded hash. Repeat r gives the row at position p the
+    column's value of the row at (p + shift of r) mod n: a permutation of all rows, whose donors of one
+    block lie in two or three others, which the task reads from the shared folder. So no row is copied
+    or shuffled; a task sends on counts by (column, repeat, score, label) of its rows, nothing else.
     """
-    cols = model.numeric + model.categorical
-    base = df.select(key, target, *cols)
-    base_auc = K.roc_auc(score(model, base, keep=[target]), y=target).collect()[0]["roc_auc"]
-    by_key = row_numbers(base.select(key), [F.col(key)], name="_i")
-    # one rank per (repeat, row) by a seeded hash; (repeat x rows) ranks, grouped by repeat
-    hashed = base.select(key, F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("rep"))
-    by_hash = row_numbers(hashed.withColumn("_h", F.xxhash64(F.lit(seed), F.col("rep"), F.col(key))),
-                          [F.col("_h"), F.col(key)], ["rep"], name="_i")
-    # row with key-rank i receives the values of the row with hash-rank i
-    pairing = by_hash.select("rep", F.col(key).alias("_src"), "_i").join(by_key.select(key, "_i"), "_i").drop("_i")
-    donors = base.select(F.col(key).alias("_src"), *[F.col(c).alias(f"_d_{c}") for c in cols])
-    permuted = pairing.join(donors, "_src").join(base, key)
-    long = permuted.select("*", F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
-    swapped = long.select(key, target, "rep", "feature",
-                          *[F.when(F.col("feature") == c, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
-    scored = score(model, swapped, keep=[target, "rep", "feature"])
-    aucs = K.roc_auc(scored, y=target, group_by=["feature", "rep"])
-    return aucs.groupBy("feature").agg((F.lit(base_auc) - F.avg("roc_auc")).alias("importance")).orderBy(
+    layout, blocks = run.layout, run.blocks
+    model = run.model(variant)
+    scorer, fill = model.scorer(), layout.fills()[layout.k]
+    columns, width, numeric = layout.numeric + layout.categorical, len(layout.widths), len(layout.numeric)
+    listed = blocks.select("place", "n").orderBy("place").collect()  # two numbers per block
+    place = np.array([r["place"] for r in listed], dtype=np.int64)
+    ends = np.cumsum([r["n"] for r in listed])
+    starts, total = ends - np.array([r["n"] for r in listed]), int(ends[-1])
+    shifts = donor_shifts(total, n_repeats, seed)
+    folder = folder_of(blocks)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: OrderedDict[int, tuple[np.ndarray, np.ndarray]] = OrderedDict()
+
+        def values(i: int) -> tuple[np.ndarray, np.ndarray]:
+            if i not in held:
+                row = open_table(folder).to_table(columns=["numbers", "codes"], filter=pc.field("place") == int(place[i])).to_pylist()[0]
+                codes = np.frombuffer(row["codes"], np.uint16).reshape(-1, width)
+                held[i] = np.frombuffer(row["numbers"]).reshape(len(codes), -1), np.where(codes == B.MISSING, fill, codes).astype(np.int64)
+                while len(held) > 4:
+                    held.popitem(last=False)
+            return held[i]
+
+        def donors(first: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+            """Numbers and codes of the n rows from position ``first`` on, around the end."""
+            parts = []
+            while n:
+                i = int(np.searchsorted(ends, first, side="right"))
+                take = min(n, int(ends[i]) - first)
+                numbers, codes = values(i)
+                at = first - int(starts[i])
+                parts.append((numbers[at: at + take], codes[at: at + take]))
+                n, first = n - take, (first + take) % total
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+        def counts(feature: str, repeat: int, y: np.ndarray, proba: np.ndarray) -> pa.RecordBatch:
+            pairs, n = np.unique(np.stack([proba, y.astype(float)]), axis=1, return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([feature] * len(n)), pa.array(np.full(len(n), repeat, np.int32)), pa.array(pairs[1].astype(np.int32)),
+                 pa.array(pairs[0]), pa.array(n)], names=["feature", "rep", "y", "proba", "n"])
+
+        for batch in batches:
+            for own, y_bytes in zip(batch.column("place").to_pylist(), batch.column("y").to_pylist()):
+                i = int(np.searchsorted(place, own))
+                y = np.frombuffer(y_bytes, np.uint8)
+                numbers, codes = values(i)
+                yield counts("", 0, y, scorer.proba(numbers, codes))
+                for repeat, shift in enumerate(shifts):
+                    other_numbers, other_codes = donors((int(starts[i]) + shift) % total, len(y))
+                    for j, c in enumerate(columns):
+                        swapped, swapped_codes = numbers.copy(), codes.copy()
+                        swapped_codes[:, j] = other_codes[:, j]
+                        if j < numeric:
+                            swapped[:, j] = other_numbers[:, j]
+                        yield counts(c, repeat, y, scorer.proba(swapped, swapped_codes))
+
+    scored = blocks.select("place", "y").mapInArrow(task, "feature string, rep int, y int, proba double, n long")
+    aucs = write_shared(K.roc_auc(scored, group_by=["feature", "rep"], weight="n"), "importance")
+    base = aucs.where(F.col("feature") == "").first()["roc_auc"]  # one row
+    return aucs.where(F.col("feature") != "").groupBy("feature").agg((F.lit(base).cast("double") - F.avg("roc_auc")).alias("importance")).orderBy(
         F.col("importance").desc(), "feature")

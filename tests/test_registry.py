@@ -3,36 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
-from handoff.plans import train as J
 from tests.conftest import SMOKE
 
 #: Queries whose right answer on the given tables is that nothing is wrong.
 EMPTY = {"c12_unmapped", "c13_null_reconcile", "c9_nulls_kept", "d8_null_map", "e14_contract_roundtrip_diff"}
 
 
-@pytest.fixture(scope="module", autouse=True)
-def small_models():
-    """All three families, with fewer trees and rounds: these tests are about the queries, not the models."""
-    full = J.default_variants
-
-    def small(n_rows, seed=42):
-        variants = full(n_rows, seed)
-        variants["random_forest"].setNumTrees(20).setMaxDepth(6)
-        variants["hist_gb"].setMaxIter(5).setMaxDepth(3)
-        return variants
-
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(J, "default_variants", small)
-        yield full
-
-
-def test_the_three_families_have_their_full_settings(spark, small_models):
-    v = small_models(1000)
-    assert list(v) == ["logreg", "random_forest", "hist_gb"]
-    assert (v["random_forest"].getNumTrees(), v["random_forest"].getMinInstancesPerNode()) == (400, 2)
-    assert (v["hist_gb"].getMaxIter(), v["hist_gb"].getStepSize()) == (400, 0.05)
-
-
 def test_entry(spark):
     df = entry.entry(spark)
     rows = df.collect()
