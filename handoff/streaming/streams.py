@@ -14,9 +14,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.operators import runs as L
 from handoff.operators.contract import Contract
 from handoff.operators.validate import validate
+from handoff.streaming.folders import delete  # noqa: F401
+from handoff.streaming.limits import RUNNING, RunningLimits
+from handoff.streaming.status import live_run_status  # noqa: F401
+from handoff.streaming.tail import appended_events, appended_lines  # noqa: F401
 
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", glob: str | None = None,
@@ -54,25 +57,22 @@ def tail_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.parquet(path)
 
 
-def live_run_status(events: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """M2: streaming ``run_summary``, the latest row of every run.
-
-    Update mode: a micro-batch writes the runs that changed in it and nothing else. The state holds
-    one row of aggregates for each run; runs have no end in event time, so there is no watermark.
-    """
-    drain(L.run_summary(events), lambda batch, i: write_batch(batch, i, path), checkpoint, mode="update")
-    rows = read_batches(events.sparkSession, path)
-    last = rows.groupBy("run_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["run_id", "batch_id"]).drop("batch_id")
-
-
 def validate_stream(stream: DataFrame, contract: Contract, path: str, checkpoint: str,
                     required_features: Sequence[str] | None = None) -> DataFrame:
-    """Row-local contract checks of every micro-batch, with the batch id.
+    """Contract checks of every micro-batch, with the batch id.
 
-    Checks of the whole table (rows, key uniqueness, fingerprint, null limits) are reported as not evaluated.
+    Row-local checks judge the batch. Rows, keys, null limits and the fingerprint belong to the whole
+    table; they are judged over the stream so far (``RunningLimits``).
     """
-    drain(stream, lambda batch, i: write_batch(validate(batch, contract, required_features, scope="batch"), i, path), checkpoint)
+    limits = RunningLimits(stream.sparkSession, contract, f"{path}-running")
+
+    def step(batch: DataFrame, number: int) -> None:
+        local = validate(batch, contract, required_features, scope="batch")
+        key = F.col("check") == "key"
+        own = local.where(~F.col("check").isin(*RUNNING) | (key & (F.col("column") != F.lit(contract.dataset["primary_key"]))))
+        write_batch(own.unionByName(limits.step(batch, number)), number, path)
+
+    drain(stream, step, checkpoint)
     return read_batches(stream.sparkSession, path)
 
 
