@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from handoff.config import Config
-from handoff.functions.columns import is_missing, strip_text
+from handoff.functions.columns import col_of, cols_of, is_missing, strip_text
 from handoff.operators.profile import _keys, is_numeric_field, null_counts
 from handoff.session import reliable_checkpoint
 
@@ -23,7 +23,7 @@ from handoff.session import reliable_checkpoint
 def strip_text_columns(df: DataFrame) -> DataFrame:
     """Strip Unicode white space at both ends of every text column."""
     return df.select(
-        *[strip_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
+        *[strip_text(col_of(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else col_of(f.name)
           for f in df.schema.fields]
     )
 
@@ -38,9 +38,9 @@ def apply_entity_map(df: DataFrame, entity_map: Mapping[str, Mapping[str, str]])
             for old, new in mapping.items():
                 pairs += [F.lit(old), F.lit(new)]
             m = F.create_map(*pairs)
-            out.append(F.coalesce(F.try_element_at(m, F.col(f.name)), F.col(f.name)).alias(f.name))
+            out.append(F.coalesce(F.try_element_at(m, col_of(f.name)), col_of(f.name)).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(col_of(f.name))
     return df.select(*out)
 
 
@@ -50,7 +50,7 @@ def entity_fix_counts(df: DataFrame, entity_map: Mapping[str, Mapping[str, str]]
     specs = [(c, old, new) for c, m in entity_map.items() if c in df.columns for old, new in m.items()]
     if not specs:
         return spark.createDataFrame([], "column string, old_value string, new_value string, n long")
-    wide = df.agg(*[F.count_if(F.col(c) == F.lit(old)).alias(f"f{i}") for i, (c, old, _) in enumerate(specs)])
+    wide = df.agg(*[F.count_if(col_of(c) == F.lit(old)).alias(f"f{i}") for i, (c, old, _) in enumerate(specs)])
     rows = [F.struct(F.lit(c).alias("column"), F.lit(old).alias("old_value"), F.lit(new).alias("new_value"),
                      F.col(f"f{i}").alias("n")) for i, (c, old, new) in enumerate(specs)]
     return wide.select(F.inline(F.array(*rows))).where(F.col("n") > 0)
@@ -66,21 +66,32 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]
     keys = _keys(key)
     order = list(order_by) if order_by else [c for c in df.columns if c not in keys]
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      *[F.col(c).alias(f"v{i}") for i, c in enumerate(rest)])
-    firsts = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return firsts.select(*[F.col(k) for k in keys], *[F.col(f"_first.v{i}").alias(c) for i, c in enumerate(rest)]
-                         ).select(*df.columns)
+    return _firsts(df, keys, order, rest).select(*cols_of(df.columns))
+
+
+def _firsts(df: DataFrame, keys: list[str], order: list[str], rest: list[str], counted: str | None = None) -> DataFrame:
+    """The first row per key; column ``counted``, if named, has the number of the key's rows."""
+    packed = F.struct(*[col_of(c).alias(f"o{i}") for i, c in enumerate(order)],
+                      *[col_of(c).alias(f"v{i}") for i, c in enumerate(rest)])
+    many = [F.count(F.lit(1)).alias("n")] if counted else []
+    firsts = df.groupBy(*[col_of(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.min(packed).alias("first"), *many)
+    return firsts.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], *[F.col(f"first.v{i}").alias(c) for i, c in enumerate(rest)],
+                         *([F.col("n").alias(counted)] if counted else []))
 
 
 def drop_same_records(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows equal in every column but the key collapse to the lowest key."""
     keys = _keys(key)
-    rest = [c for c in df.columns if c not in keys]
-    if len(keys) == 1:
-        return df.groupBy(*rest).agg(F.min(keys[0]).alias(keys[0])).select(*df.columns)
-    lowest = df.groupBy(*rest).agg(F.min(F.struct(*keys)).alias("_k"))
-    return lowest.select(*rest, *[F.col(f"_k.{k}").alias(k) for k in keys]).select(*df.columns)
+    return _lowest_keys(df, keys, [c for c in df.columns if c not in keys]).select(*cols_of(df.columns))
+
+
+def _lowest_keys(df: DataFrame, keys: list[str], rest: list[str], summed: Mapping[str, F.Column] | None = None) -> DataFrame:
+    """The lowest key per record (``rest``), and the sums asked for."""
+    low = col_of(keys[0]) if len(keys) == 1 else F.struct(*[col_of(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    found = df.groupBy(*[col_of(c).alias(f"r{i}") for i, c in enumerate(rest)]).agg(
+        F.min(low).alias("low"), *[e.alias(f"s{i}") for i, e in enumerate((summed or {}).values())])
+    named = [F.col("low" if len(keys) == 1 else f"low.k{i}").alias(k) for i, k in enumerate(keys)]
+    return found.select(*named, *[F.col(f"r{i}").alias(c) for i, c in enumerate(rest)], *[F.col(f"s{i}").alias(n) for i, n in enumerate(summed or {})])
 
 
 def cast_ints(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -92,16 +103,16 @@ def cast_ints(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[st
 
     def unfit(c: str) -> F.Column:  # missing, or a number with a fraction (1.7 must not become 1)
         gap = is_missing(c, types[c])
-        return gap | (F.col(c) != F.floor(c)) if is_numeric_field(types[c]) else gap
+        return gap | (col_of(c) != F.floor(col_of(c))) if is_numeric_field(types[c]) else gap
 
-    found = df.agg(*[F.count_if(unfit(c)).alias(c) for c in present]).collect()[0]
-    cast = [c for c in present if found[c] == 0]
-    return df.select(*[F.col(c).cast("bigint").alias(c) if c in cast else F.col(c) for c in df.columns]), cast
+    found = df.agg(*[F.count_if(unfit(c)).alias(f"n{i}") for i, c in enumerate(present)]).collect()[0]
+    cast = [c for i, c in enumerate(present) if found[f"n{i}"] == 0]
+    return df.select(*[col_of(c).cast("bigint").alias(c) if c in cast else col_of(c) for c in df.columns]), cast
 
 
 def order_by_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Globally ordered by key without a single-task sort (range partitions, sorted within)."""
-    keys = _keys(key)
+    keys = cols_of(_keys(key))
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -115,26 +126,28 @@ def clean(
 
     Actions: the stripped rows and the de-duplicated rows are each written once to the shared
     checkpoint folder (every later consumer reads them instead of re-running the shuffles). The rows
-    left after each step are counted on row hashes and keys alone.
+    left after each step travel with the groupings as counts, so nothing is shuffled to be counted.
     """
-    key = cfg.primary_key
+    keys = _keys(cfg.primary_key)
+    rest = [c for c in df.columns if c not in keys]
     # the fix counts (old spellings) and the mapped rows (a projection) both read one written copy
     stripped = reliable_checkpoint(strip_text_columns(df))
     fixes = entity_fix_counts(stripped, cfg.entity_map)
     mapped = apply_entity_map(stripped, cfg.entity_map)
     exact = drop_exact(mapped)
-    ids = keep_first(exact, key, order_by)
-    records = reliable_checkpoint(drop_same_records(ids, key) if drop_duplicate_records else ids)
+    in_key, in_record = (next(n for n in (name, "_" + name, "__" + name) if n not in df.columns) for name in ("exact_rows", "ids"))
+    ids = _firsts(exact, keys, list(order_by) if order_by else rest, rest, counted=in_key).withColumn(in_record, F.lit(1).cast("long"))
+    if drop_duplicate_records:
+        ids = _lowest_keys(ids, keys, rest, {in_key: F.sum(in_key), in_record: F.sum(in_record)})
+    counted = reliable_checkpoint(ids)
+    records = counted.select(*cols_of(df.columns))
     nulls = {r["column"]: r["null_count"] for r in null_counts(records).collect()}  # one row per column
     casted, cast_cols = cast_ints(records, cfg.int_columns)
-    out = order_by_key(casted, key)
+    out = order_by_key(casted, keys)
 
     spark = df.sparkSession
-    # counted on keys and 128-bit row hashes, so no row is shuffled again
-    whole = F.struct(*[F.col(x) for x in mapped.columns])
-    hashes = mapped.select(F.xxhash64(F.lit(1), whole).alias("a"), F.xxhash64(F.lit(2), whole).alias("b"))
-    counts = {"rows_in": stripped, "after_exact": hashes.distinct(), "after_ids": mapped.select(*_keys(key)).distinct(), "rows_out": records}
-    c = {step: frame.count() for step, frame in counts.items()}
+    c = counted.agg(F.count(F.lit(1)).alias("rows_out"), F.coalesce(F.sum(in_key), F.lit(0)).alias("after_exact"),
+                    F.coalesce(F.sum(in_record), F.lit(0)).alias("after_ids")).first().asDict() | {"rows_in": stripped.count()}
     scalars = [
         ("rows_in", c["rows_in"]),
         ("rows_out", c["rows_out"]),

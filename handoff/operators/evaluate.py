@@ -8,19 +8,20 @@ rows to one row per distinct score, then use distributed running totals (no sing
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from handoff.config import METRIC_NAMES, METRIC_TOLERANCE, TOP_FRACTION
+from handoff.functions.columns import col_of, cols_of, is_missing
 from handoff.operators.ranking import row_numbers, running_totals
 from handoff.session import reliable_checkpoint
 
 
 def predicted(proba: str | F.Column, threshold: float = 0.5) -> F.Column:
     """K1: class at the threshold (>=)."""
-    p = F.col(proba) if isinstance(proba, str) else proba
+    p = col_of(proba) if isinstance(proba, str) else proba
     return (p >= F.lit(threshold)).cast("int")
 
 
@@ -31,24 +32,34 @@ def _zero(num: F.Column, den: F.Column) -> F.Column:
 def classification_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = (),
                            threshold: float = 0.5, pred: str | None = None) -> DataFrame:
     """K2: accuracy, precision, recall, f1 per group; a zero denominator gives 0."""
-    yy = F.col(y)
-    pp = F.col(pred) if pred else predicted(proba, threshold)
-    agg = scores.groupBy(*group_by).agg(
+    yy = col_of(y)
+    pp = col_of(pred) if pred else predicted(proba, threshold)
+    agg = scores.groupBy(*cols_of(group_by)).agg(
         F.count_if((yy == 1) & (pp == 1)).alias("tp"), F.count_if((yy == 0) & (pp == 1)).alias("fp"),
         F.count_if((yy == 1) & (pp == 0)).alias("fn"), F.count_if((yy == 0) & (pp == 0)).alias("tn"))
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    tp, fp, fn, tn = (col_of(c) for c in ("tp", "fp", "fn", "tn"))
     prec, rec = _zero(tp, tp + fp), _zero(tp, tp + fn)
-    return agg.select(*group_by, "tp", "fp", "fn", "tn",
+    return agg.select(*cols_of(group_by), "tp", "fp", "fn", "tn",
                       _zero(tp + tn, tp + fp + fn + tn).alias("accuracy"), prec.alias("precision"),
                       rec.alias("recall"), _zero(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
-def _per_score(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -> DataFrame:
-    return scores.groupBy(*group_by, F.col(proba).alias("_s")).agg(
-        F.count_if(F.col(y) == 1).cast("long").alias("_pos"), F.count_if(F.col(y) == 0).cast("long").alias("_neg"))
+def _per_score(scores: DataFrame, y: str, proba: str, group_by: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Rows by distinct score; rows without a score (NULL or NaN) have no rank and are left out."""
+    n = F.lit(1).cast("long") if weight is None else col_of(weight).cast("long")
+    zero = F.lit(0).cast("long")
+    ranked = scores.where(~is_missing(col_of(proba).cast("double")))
+    return ranked.groupBy(*cols_of(group_by), col_of(proba).alias("_s")).agg(
+        F.sum(F.when(col_of(y) == 1, n).otherwise(zero)).alias("_pos"), F.sum(F.when(col_of(y) == 0, n).otherwise(zero)).alias("_neg"))
 
 
-def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -> DataFrame:
+def unscored(scores: DataFrame, proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
+    """Rows that the rank metrics leave out: (group..., n, unscored)."""
+    gone = F.count_if(is_missing(col_of(proba).cast("double")))
+    return scores.groupBy(*cols_of(group_by)).agg(F.count(F.lit(1)).alias("n"), gone.alias("unscored"))
+
+
+def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str], weight: str | None = None) -> DataFrame:
     """One row per (group, distinct score) with ascending running totals and group totals.
 
     Rows collapse to distinct scores first (map-side), then ONE distributed running-total pass;
@@ -57,7 +68,7 @@ def _cumulated(scores: DataFrame, y: str, proba: str, group_by: Sequence[str]) -
     g = list(group_by)
     # the per-score aggregate is read three times (range sampling, running sums, totals): written once
     # so an expensive upstream (joins, model scoring) runs once
-    per = reliable_checkpoint(_per_score(scores, y, proba, g))
+    per = reliable_checkpoint(_per_score(scores, y, proba, g, weight))
     cum = running_totals(per, [F.col("_s")], {"_cpos": F.col("_pos"), "_cneg": F.col("_neg")}, g)
     if g:
         totals = per.groupBy(*g).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))  # one row per group
@@ -86,10 +97,14 @@ def rank_metrics(scores: DataFrame, y: str = "y", proba: str = "proba", group_by
     return _cumulated(scores, y, proba, g).groupBy(*g).agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc"))
 
 
-def roc_auc(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
-    """K3: ROC-AUC per group, ties counted half (Mann-Whitney); NULL when a class is absent."""
+def roc_auc(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """K3: ROC-AUC per group, ties counted half (Mann-Whitney); NULL when a class is absent.
+
+    ``weight`` names a column with the number of rows that a row stands for. Rows without a score are
+    left out (``unscored`` counts them).
+    """
     g = list(group_by)
-    return _cumulated(scores, y, proba, g).groupBy(*g).agg(_auc_expr().alias("roc_auc"))
+    return _cumulated(scores, y, proba, g, weight).groupBy(*g).agg(_auc_expr().alias("roc_auc"))
 
 
 def average_precision(scores: DataFrame, y: str = "y", proba: str = "proba", group_by: Sequence[str] = ()) -> DataFrame:
@@ -150,16 +165,16 @@ def _top_from(cum: DataFrame, scores: DataFrame, key: str, y: str, proba: str, f
         return scores.sparkSession.createDataFrame([(None, k)], "precision_at_top double, k int")
     s_cut, tp_above, n_above = cut[0]["_s"], cut[0]["_tp_above"], cut[0]["_n_above"]
     need = k - n_above
-    ties = scores.where(F.col(proba) == F.lit(s_cut)).select(key, y)
-    ranked = row_numbers(ties, [F.col(key)], name="_rank").where(F.col("_rank") <= need)
-    tp_ties = ranked.agg(F.coalesce(F.sum(F.col(y)), F.lit(0)).alias("t"))
+    ties = scores.where(col_of(proba) == F.lit(s_cut)).select(*cols_of([key, y]))
+    ranked = row_numbers(ties, [col_of(key)], name="_rank").where(F.col("_rank") <= need)
+    tp_ties = ranked.agg(F.coalesce(F.sum(col_of(y)), F.lit(0)).alias("t"))
     return tp_ties.select(((F.lit(tp_above) + F.col("t")) / F.lit(float(k))).alias("precision_at_top"),
                           F.lit(k).alias("k"))
 
 
 def majority_baseline(scores: DataFrame, y: str = "y") -> DataFrame:
     """K7: always answer the majority class (ties -> the smaller class)."""
-    c = scores.agg(F.count_if(F.col(y) == 1).alias("pos"), F.count(F.lit(1)).alias("n"))
+    c = scores.agg(F.count_if(col_of(y) == 1).alias("pos"), F.count(F.lit(1)).alias("n"))
     pos, n = F.col("pos").cast("double"), F.col("n").cast("double")
     maj = F.when(pos > n - pos, 1).otherwise(0)
     rate = F.try_divide(pos, n)
@@ -175,8 +190,8 @@ def majority_baseline(scores: DataFrame, y: str = "y") -> DataFrame:
 def fairness(scores: DataFrame, attributes: Sequence[str], y: str = "y", proba: str = "proba",
              threshold: float = 0.5) -> DataFrame:
     """K8: per (attribute, group): n, recall, precision, positive (flag) rate; NULL groups ignored."""
-    parts = [F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("group")) for a in attributes]
-    long = scores.select(F.col(y).alias("_y"), predicted(proba, threshold).alias("_p"),
+    parts = [F.struct(F.lit(a).alias("attribute"), col_of(a).cast("string").alias("group")) for a in attributes]
+    long = scores.select(col_of(y).alias("_y"), predicted(proba, threshold).alias("_p"),
                          F.explode(F.array(*parts)).alias("a")).select("_y", "_p", "a.*").where(F.col("group").isNotNull())
     cm = classification_metrics(long, "_y", group_by=["attribute", "group"], pred="_p")
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
@@ -188,12 +203,19 @@ def ranked_importances(importances: DataFrame, limit: int = 10) -> DataFrame:
     return importances.orderBy(F.col("importance").desc(), F.col("feature")).limit(limit)
 
 
-def comparison_table(baseline: DataFrame, summary: DataFrame, served: str | None = None) -> DataFrame:
-    """Baseline first, then one row per variant (metric means pivoted), served one marked."""
+def comparison_table(baseline: DataFrame, summary: DataFrame, served: str | None = None, top_precision: Mapping[str, float] | None = None) -> DataFrame:
+    """Baseline first, then one row per variant: each metric's mean and std over the folds, precision at the
+    top, the served one marked. The baseline has no std."""
     names = list(METRIC_NAMES)
-    piv = summary.groupBy("variant").pivot("metric", names).agg(F.first("mean"))
-    base = baseline.select(F.lit("baseline").alias("variant"), *[F.col(m).cast("double").alias(m) for m in names])
-    rows = base.withColumn("order", F.lit(0)).unionByName(piv.select("variant", *names).withColumn("order", F.lit(1)))
+    cells = [F.max(F.when(F.col("metric") == m, F.col(of))).alias(m if of == "mean" else f"{m}_std") for m in names for of in ("mean", "std")]
+    piv = summary.groupBy("variant").agg(*cells)
+    top = F.lit(None).cast("double")
+    for variant, value in (top_precision or {}).items():  # one number per variant
+        top = F.when(F.col("variant") == variant, F.lit(value).cast("double")).otherwise(top)
+    none = [F.lit(None).cast("double").alias(f"{m}_std") for m in names]
+    base = baseline.select(F.lit("baseline").alias("variant"), *[F.col(m).cast("double").alias(m) for m in names], *none,
+                           F.col("precision_at_top10").cast("double").alias("precision_at_top10"), F.lit(0).alias("order"))
+    rows = base.unionByName(piv.withColumn("precision_at_top10", top).withColumn("order", F.lit(1)))
     return rows.withColumn("served", F.col("variant") == F.lit(served))
 
 
@@ -210,8 +232,10 @@ def metric_delta(a: DataFrame, b: DataFrame, tol: float = METRIC_TOLERANCE) -> D
 
 
 def worst_delta(deltas: DataFrame) -> DataFrame:
-    return deltas.agg(F.max_by("path", "delta").alias("path"), F.max("delta").alias("delta"),
-                      F.bool_and("within").alias("all_within"))
+    """The metric that is farthest off; one that stands on one side only is worse than any (its delta is NULL)."""
+    worst = F.max(F.struct(F.col("delta").isNull(), "delta", "path"))
+    return deltas.agg(worst.alias("w"), F.bool_and("within").alias("all_within")).select(
+        F.col("w.path").alias("path"), F.col("w.delta").alias("delta"), "all_within")
 
 
 def training_facts(columns: DataFrame, rows: int) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from handoff.config import FAULT_PRESETS
-from handoff.functions.columns import seeded_hash
+from handoff.functions.columns import col_of, cols_of, seeded_hash
 from handoff.operators.contract import Contract
 from handoff.operators.ranking import row_numbers
 from handoff.operators.validate import summarise, validate
@@ -48,12 +48,12 @@ def exact_pick(df: DataFrame, key: str, fraction: float, seed: int, order: Colum
     """
     n = df.count()
     k = max(0, int(round(fraction * n)))
-    h = order if order is not None else seeded_hash(F.col(key), seed)
+    h = order if order is not None else seeded_hash(col_of(key), seed)
     if k == 0:
         return df.withColumn("_picked", F.lit(False))
-    proj = df.select(h.alias("_h"), F.col(key).alias("_k"))
+    proj = df.select(h.alias("_h"), col_of(key).alias("_k"))
     kth = row_numbers(proj, [F.col("_h"), F.col("_k")], name="_rank").where(F.col("_rank") == k).collect()[0]
-    picked = (h < F.lit(kth["_h"])) | ((h == F.lit(kth["_h"])) & (F.col(key) <= F.lit(kth["_k"])))
+    picked = (h < F.lit(kth["_h"])) | ((h == F.lit(kth["_h"])) & (col_of(key) <= F.lit(kth["_k"])))
     return df.withColumn("_picked", picked)
 
 
@@ -71,17 +71,17 @@ class Fault:
 def _picked_value(f: Fault) -> DataFrame:
     if f.raw_value is None:
         raise ValueError("a spelling to put in is needed (raw_value)")
-    cell = F.when(F.col("_picked"), F.lit(f.raw_value)).otherwise(F.col(f.column))
-    return f.pick().withColumn(f.column, cell).select(*f.df.columns)
+    cell = F.when(F.col("_picked"), F.lit(f.raw_value)).otherwise(col_of(f.column))
+    return f.pick().withColumn(f.column, cell).select(*cols_of(f.df.columns))
 
 
 #: Preset -> the broken table, from the sound one.
 TABLE_FAULTS: dict[str, Callable[[Fault], DataFrame]] = {
-    "unit_change": lambda f: f.df.withColumn(f.column, F.col(f.column) * 100),
+    "unit_change": lambda f: f.df.withColumn(f.column, col_of(f.column) * 100),
     "rename_column": lambda f: f.df.withColumnRenamed(f.column, other_spelling(f.column)),
     "bad_category": _picked_value,
-    "dtype_change": lambda f: f.df.withColumn(f.column, F.concat(F.lit("Tier "), F.col(f.column).cast("string"))),
-    "row_loss": lambda f: f.pick().where(~F.col("_picked")).select(*f.df.columns),
+    "dtype_change": lambda f: f.df.withColumn(f.column, F.concat(F.lit("Tier "), col_of(f.column).cast("string"))),
+    "row_loss": lambda f: f.pick().where(~F.col("_picked")).select(*cols_of(f.df.columns)),
 }
 #: Preset -> the broken contract.
 CONTRACT_FAULTS: dict[str, Callable[[Fault], Contract]] = {

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from handoff.config import HIST_BINS
-from handoff.functions.columns import nan_to_null, right_closed_bucket
+from handoff.functions.columns import col_of, nan_to_null, right_closed_bucket
 from handoff.operators.profile import is_numeric_field, null_counts
 from handoff.operators.quantiles import exact_quantiles
 
@@ -35,7 +35,7 @@ def column_kinds(df: DataFrame, key: str | None = None, target: str | None = Non
 
 def overall_rate(df: DataFrame, target: str) -> DataFrame:
     """n_rows, n_cols, positive_rate, positive_count, negative_share."""
-    y = F.col(target)
+    y = col_of(target)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg(y.cast("double")).alias("positive_rate"),
@@ -46,7 +46,7 @@ def overall_rate(df: DataFrame, target: str) -> DataFrame:
 
 def outcome_shares(df: DataFrame, target: str, labels: Sequence[str] = ("stayed", "churned")) -> DataFrame:
     """(outcome, n, share) for the negative and positive class, from one aggregate (no shuffle of rows)."""
-    y = F.col(target)
+    y = col_of(target)
     wide = df.agg(F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"))
     total = F.col("n0") + F.col("n1")
     rows = [F.struct(F.lit(label).alias("outcome"), F.col(f"n{i}").alias("n"),
@@ -56,19 +56,19 @@ def outcome_shares(df: DataFrame, target: str, labels: Sequence[str] = ("stayed"
 
 def rate_by_category(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """(column, value, n, rate) for every value of every listed column; NULL values dropped."""
-    parts = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    long = df.select(F.col(target).alias("_y"), F.explode(F.array(*parts)).alias("p")).select("_y", "p.*")
+    parts = [F.struct(F.lit(c).alias("column"), col_of(c).cast("string").alias("value")) for c in columns]
+    long = df.select(col_of(target).alias("_y"), F.explode(F.array(*parts)).alias("p")).select("_y", "p.*")
     return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col("_y").cast("double")).alias("rate"))
 
 
 def mean_by_outcome(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """D3: (column, mean_positive, mean_negative) in one aggregate; NULLs ignored, NULL if empty."""
-    y = F.col(target)
+    y = col_of(target)
     dts = {f.name: f.dataType for f in df.schema.fields}
     aggs = []
     for i, c in enumerate(columns):
-        v = nan_to_null(F.col(c), dts[c]).cast("double")
+        v = nan_to_null(col_of(c), dts[c]).cast("double")
         aggs += [F.avg(F.when(y == 1, v)).alias(f"p{i}"), F.avg(F.when(y == 0, v)).alias(f"q{i}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"p{i}").alias("mean_positive"),
@@ -83,10 +83,10 @@ def correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFram
     divide-by-zero: r = cov_pop / (sd_pop x * sd_pop y) through ``try_divide``).
     """
     dts = {f.name: f.dataType for f in df.schema.fields}
-    y = F.col(target).cast("double")
+    y = col_of(target).cast("double")
     aggs = [F.min(y).alias("ymin"), F.max(y).alias("ymax")]
     for i, c in enumerate(columns):
-        x = nan_to_null(F.col(c), dts[c]).cast("double")
+        x = nan_to_null(col_of(c), dts[c]).cast("double")
         xp, yp = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
         aggs += [
             F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
@@ -108,8 +108,8 @@ def top_drivers(corr: DataFrame, k: int = 5) -> DataFrame:
 def rate_by_bin(df: DataFrame, target: str, column: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     """(bin, position, n, rate) over right-closed bins; every label listed (rate NULL when empty)."""
     spark = df.sparkSession
-    b = right_closed_bucket(F.col(column), edges, labels)
-    got = df.select(b.alias("bin"), F.col(target).cast("double").alias("_y")).where(F.col("bin").isNotNull()).groupBy(
+    b = right_closed_bucket(col_of(column), edges, labels)
+    got = df.select(b.alias("bin"), col_of(target).cast("double").alias("_y")).where(F.col("bin").isNotNull()).groupBy(
         "bin").agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("rate"))
     lab = spark.createDataFrame([(l, i) for i, l in enumerate(labels)], "bin string, position int")
     return lab.join(got, "bin", "left").select("bin", "position", F.coalesce("n", F.lit(0)).alias("n"), "rate")
@@ -117,9 +117,9 @@ def rate_by_bin(df: DataFrame, target: str, column: str, edges: Sequence[float],
 
 def flag_rates(df: DataFrame, target: str, flag: str) -> DataFrame:
     """Outcome rate where the flag is 1 and where it is 0 (NULL when absent)."""
-    y = F.col(target).cast("double")
-    return df.agg(F.avg(F.when(F.col(flag) == 1, y)).alias("rate_flag_1"),
-                  F.avg(F.when(F.col(flag) == 0, y)).alias("rate_flag_0"))
+    y = col_of(target).cast("double")
+    return df.agg(F.avg(F.when(col_of(flag) == 1, y)).alias("rate_flag_1"),
+                  F.avg(F.when(col_of(flag) == 0, y)).alias("rate_flag_0"))
 
 
 def null_map(df: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def null_map(df: DataFrame) -> DataFrame:
 def describe_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, p25, p50, p75, max); exact linear percentiles."""
     dts = {f.name: f.dataType for f in df.schema.fields}
-    parts = [F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c), dts[c]).cast("double").alias("value"))
+    parts = [F.struct(F.lit(c).alias("column"), nan_to_null(col_of(c), dts[c]).cast("double").alias("value"))
              for c in columns]
     long = df.select(F.explode(F.array(*parts)).alias("p")).select("p.*").where(F.col("value").isNotNull())
     basic = long.groupBy("column").agg(
@@ -150,8 +150,8 @@ def histogram(df: DataFrame, target: str, columns: Sequence[str], bins: int = HI
     with n = 0.
     """
     dts = {f.name: f.dataType for f in df.schema.fields}
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c), dts[c]).cast("double").alias("x")) for c in columns])
-    long = df.select(F.col(target).alias("outcome"), F.explode(cells).alias("p")).select("outcome", "p.*").where(F.col("x").isNotNull())
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(col_of(c), dts[c]).cast("double").alias("x")) for c in columns])
+    long = df.select(col_of(target).alias("outcome"), F.explode(cells).alias("p")).select("outcome", "p.*").where(F.col("x").isNotNull())
     ends = long.groupBy("column", "outcome").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     half = F.when(F.col("low") == F.col("high"), F.lit(0.5)).otherwise(F.lit(0.0))
     ends = ends.select("column", "outcome", (F.col("low") - half).alias("from"), (F.col("high") + half).alias("to"))

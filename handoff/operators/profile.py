@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from handoff.config import PROFILE_SAMPLES
-from handoff.functions.columns import is_floating, is_missing, nan_to_null
+from handoff.functions.columns import col_of, cols_of, is_floating, is_missing, nan_to_null, row_hash
 from handoff.operators.ranking import row_numbers
 
 
@@ -35,7 +35,7 @@ def null_counts(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     if not fields:
         return df.sparkSession.createDataFrame([], "column string, position int, null_count long")
-    wide = df.agg(*[F.count_if(is_missing(F.col(f.name), f.dataType)).alias(f"n{i}") for i, f in enumerate(fields)])
+    wide = df.agg(*[F.count_if(is_missing(col_of(f.name), f.dataType)).alias(f"n{i}") for i, f in enumerate(fields)])
     pairs = [F.struct(F.lit(f.name).alias("column"), F.lit(i).alias("position"), F.col(f"n{i}").alias("null_count"))
              for i, f in enumerate(fields)]
     return wide.select(F.inline(F.array(*pairs)))
@@ -49,7 +49,7 @@ def column_stats(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
-        c = F.col(f.name)
+        c = col_of(f.name)
         aggs.append(F.count_if(is_missing(c, f.dataType)).alias(f"n{i}"))
         if is_numeric_field(f.dataType):
             v = nan_to_null(c, f.dataType).cast("double")
@@ -89,7 +89,7 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     parts = []
     for f in fields:
-        c = nan_to_null(F.col(f.name), f.dataType)
+        c = nan_to_null(col_of(f.name), f.dataType)
         if is_floating(f.dataType):
             c = F.when(c == 0, F.lit(0.0)).otherwise(c)
         num = c.cast("double") if is_numeric_field(f.dataType) else F.lit(None).cast("double")
@@ -107,7 +107,7 @@ def distinct_counts(df: DataFrame, exact: bool = True, rsd: float = 0.01) -> Dat
     """
     if not exact:
         fields = df.schema.fields
-        wide = df.agg(*[F.approx_count_distinct(nan_to_null(F.col(f.name), f.dataType), rsd).alias(f"d{i}")
+        wide = df.agg(*[F.approx_count_distinct(nan_to_null(col_of(f.name), f.dataType), rsd).alias(f"d{i}")
                         for i, f in enumerate(fields)])
         return wide.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"d{i}").cast("long").alias("n_unique"))
                                               for i, f in enumerate(fields)])))
@@ -132,7 +132,7 @@ def combine_scalars(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFr
     """Stack one-row, one-column aggregates into one row (union + conditional max, no product)."""
     long = None
     for frame, name in zip(frames, names):
-        part = frame.select(F.lit(name).alias("metric"), F.col(name).cast("long").alias("value"))
+        part = frame.select(F.lit(name).alias("metric"), col_of(name).cast("long").alias("value"))
         long = part if long is None else long.unionByName(part)
     return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
 
@@ -140,28 +140,29 @@ def combine_scalars(frames: Sequence[DataFrame], names: Sequence[str]) -> DataFr
 def duplicate_counts(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
     """One row: rows, cols, duplicate_rows, duplicate_ids, duplicate_records (beyond the first).
 
-    One scan: the table is grouped once by all columns (partial aggregation collapses repeated
-    rows map-side); the key and non-key groupings are then aggregations of those distinct rows
-    weighted by their counts, each ``sum(n - 1)``.
+    Rows and records are grouped by 128-bit hashes of their values, ids by the key alone, so no row is
+    shuffled; repeated ones collapse map-side. Each count is rows less groups.
     """
     keys = _keys(key)
     cols = df.columns
     non_key = [c for c in cols if c not in keys]
     spark = df.sparkSession
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
 
-    def extra(group: list[str], name: str) -> DataFrame:
+    def extra(group: list[F.Column], name: str) -> DataFrame:
         if not group:
             return spark.range(1).select(F.lit(0).cast("long").alias(name))
-        g = distinct.groupBy(*group).agg(F.sum("_n").alias("_m"))
-        return g.agg(F.coalesce(F.sum(F.col("_m") - 1), F.lit(0)).cast("long").alias(name))
+        g = df.select(*[c.alias(f"g{i}") for i, c in enumerate(group)]).groupBy(*[f"g{i}" for i in range(len(group))]).agg(F.count(F.lit(1)).alias("n"))
+        return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias(name))
+
+    def hashes(names: list[str]) -> list[F.Column]:
+        return [row_hash(names, seed) for seed in (1, 2)] if names else []
 
     frames = [
-        distinct.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows")),
+        df.agg(F.count(F.lit(1)).alias("rows")),
         spark.range(1).select(F.lit(len(cols)).cast("long").alias("cols")),
-        distinct.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows")),
-        extra(keys if keys and all(k in cols for k in keys) else [], "duplicate_ids"),
-        extra(non_key, "duplicate_records"),
+        extra(hashes(cols), "duplicate_rows"),
+        extra(cols_of(keys) if keys and all(k in cols for k in keys) else [], "duplicate_ids"),
+        extra(hashes(non_key), "duplicate_records"),
     ]
     return combine_scalars(frames, ["rows", "cols", "duplicate_rows", "duplicate_ids", "duplicate_records"])
 

@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from handoff.functions.columns import col_of
+
 from handoff.session import reliable_checkpoint
 
 _PID = "__pid"
@@ -39,7 +41,7 @@ def running_totals(
     """
     n = _n_partitions(df, n_partitions)
     group_by = list(group_by)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    order_cols = [col_of(c) if isinstance(c, str) else c for c in order_by]
     staged = df
     value_names = []
     for name, expr in sums.items():
@@ -47,29 +49,32 @@ def running_totals(
         staged = staged.withColumn(tmp, F.col(expr) if isinstance(expr, str) else expr)
         value_names.append((name, tmp))
 
-    parted = staged.repartitionByRange(n, *[F.col(g) for g in group_by], *order_cols).withColumn(
+    groups = [f"__g{i}" for i in range(len(group_by))]  # plain names, whatever the columns are called
+    for tmp, g in zip(groups, group_by):
+        staged = staged.withColumn(tmp, col_of(g))
+    parted = staged.repartitionByRange(n, *groups, *order_cols).withColumn(
         _PID, F.spark_partition_id()
     )
     # The local sums and the offsets are two reads of ``parted``; adaptive execution may coalesce
     # the range shuffle differently for each read, so the partition ids are pinned by writing
     # ``parted`` once to the shared checkpoint folder (reliable: survives a lost executor).
     parted = reliable_checkpoint(parted)
-    local_w = Window.partitionBy(_PID, *group_by).orderBy(*order_cols).rowsBetween(
+    local_w = Window.partitionBy(_PID, *groups).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     local = parted
     for name, tmp in value_names:
         local = local.withColumn(f"__l_{name}", F.sum(tmp).over(local_w))
 
-    totals = parted.groupBy(_PID, *group_by).agg(*[F.sum(tmp).alias(f"__t_{name}") for name, tmp in value_names])
-    before_w = Window.partitionBy(*group_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    totals = parted.groupBy(_PID, *groups).agg(*[F.sum(tmp).alias(f"__t_{name}") for name, tmp in value_names])
+    before_w = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals
     for name, _ in value_names:
         offsets = offsets.withColumn(f"__o_{name}", F.coalesce(F.sum(f"__t_{name}").over(before_w), F.lit(0)))
-    offsets = offsets.select(_PID, *group_by, *[f"__o_{name}" for name, _ in value_names])
+    offsets = offsets.select(_PID, *groups, *[f"__o_{name}" for name, _ in value_names])
 
-    joined = local.join(offsets, [_PID, *group_by], "left")
-    out_cols = [F.col(c) for c in df.columns]
+    joined = local.join(offsets, [_PID, *groups], "left")
+    out_cols = [col_of(c) for c in df.columns]
     for name, _ in value_names:
         out_cols.append((F.col(f"__l_{name}") + F.col(f"__o_{name}")).alias(name))
     return joined.select(*out_cols)

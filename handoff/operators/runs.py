@@ -15,7 +15,7 @@ from handoff.config import PRICE_USD_PER_M
 
 
 def run_summary(events: DataFrame) -> DataFrame:
-    """L4: per run: started_at, ended_at, result, duration_s (1 dp), llm_calls, cost_usd of the last event.
+    """L4: per run: started_at, ended_at, result, duration_s (1 dp), llm_calls, cost_usd of the last event; newest first.
 
     result: a last ``flow`` event with ok/fail carries the run's result; otherwise a last ``fail``
     means error, anything else means the run is still going.
@@ -26,6 +26,11 @@ def run_summary(events: DataFrame) -> DataFrame:
         F.max_by("step", order).alias("last_step"), F.max_by("status", order).alias("last_status"),
         F.max_by("result", order).alias("last_result"), F.max_by("llm_calls", order).alias("llm_calls"),
         F.max_by("cost_usd", order).alias("cost_usd"), F.count(F.lit(1)).alias("events"))
+    return told(g).orderBy(F.desc("started_at"), F.desc("run_id"))
+
+
+def told(g: DataFrame) -> DataFrame:
+    """The summary's columns from each run's first and last event."""
     ended = (F.col("last_step") == "flow") & F.col("last_status").isin("ok", "fail")
     result = F.when(ended, F.col("last_result")).when(F.col("last_status") == "fail", "error").otherwise("running")
     micros = F.expr("timestampdiff(MICROSECOND, started_at, ended_at)")

@@ -1,17 +1,22 @@
 """Contract documents, JSON-lines run events, file digests and manifests.
 
-File digests use the ``binaryFile`` source: one row per file, hashed in parallel across files
-(one file's bytes live in one task, so this is for artifacts, not for tables -- tables get the
-content fingerprint of ``handoff.sources.fingerprint``).
+File digests work on files of any size: byte ranges of ``LEAF_BYTES`` are read and hashed by separate
+tasks, a piece at a time, and a file's digest is the SHA-256 of its ranges' digests in order. A file of one
+range has its plain SHA-256. The number and size of the ranges stand beside the digest, so a manifest
+says how it was made. (Tables get the content fingerprint of ``handoff.sources.fingerprint``.)
 """
 
 from __future__ import annotations
 
+import fnmatch
+import hashlib
 import time
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import UTC, datetime
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -33,6 +38,10 @@ EVENT_SCHEMA = ("ts timestamp_ntz, step string, status string, duration_s double
                 "result string, llm_calls long, cost_usd double, checks long, failed array<string>, seq long")
 
 
+#: Bytes of one range of a file's digest, and bytes read at a time.
+LEAF_BYTES, READ_BYTES = 64 << 20, 1 << 20
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -79,7 +88,16 @@ class RunLog:
     """Events of one run, each appended as one JSON line in a file of its own below ``path``/run_id."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str):
-        self.spark, self.run_id, self.folder, self.seq = spark, run_id, f"{path}/{run_id}", 0
+        self.spark, self.run_id, self.folder = spark, run_id, f"{path}/{run_id}"
+        self.seq = self._written()
+
+    def _written(self) -> int:
+        """The number after the last event of this run that is already there (a run that is taken up again)."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return 0
+        last = self.spark.read.schema(EVENT_SCHEMA).json(self.folder).agg(F.max("seq")).first()[0]
+        return 0 if last is None else last + 1
 
     def event(self, step: str, status: str, **cells) -> None:
         """Append one event; an unknown status or field is refused."""
@@ -115,41 +133,78 @@ def write_document(rows: DataFrame, path: str) -> None:
 def read_events(spark: SparkSession, glob: str) -> DataFrame:
     """JSON-lines run events; lines that do not parse are skipped; run id from the file's folder.
 
-    ``seq`` (line order) is taken from the record when present, else from the read position.
+    ``seq`` (line order) is taken from the record when present, else from the place in the file: the start of
+    the split that was read and the row's number in it, which order a file's lines whatever its splits are.
     """
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
     df = (spark.read.schema(EVENT_SCHEMA).option("mode", "DROPMALFORMED").option("timestampNTZFormat", TS_FORMAT).json(glob)
-          .select("*", F.col("_metadata.file_path").alias("_path")))
+          .select("*", F.col("_metadata.file_path").alias("_path"), place.alias("_place")))
     folder = F.element_at(F.split(F.col("_path"), "/"), -2)
+    # a line is longer than a byte, so start + row grows along the file and no two lines share it
+    line = F.col("_place.start") + F.col("_place.row")
     return df.select(
         F.coalesce(F.col("run_id"), folder).alias("run_id"),
-        F.coalesce(F.col("seq"), F.monotonically_increasing_id()).alias("seq"),
+        F.coalesce(F.col("seq"), line).alias("seq"),
         "ts", "step", "status", "result", "duration_s", "llm_calls", "cost_usd", "error", "checks", "failed",
     ).where(F.col("ts").isNotNull() & F.col("step").isNotNull())
 
 
-def file_digests(spark: SparkSession, glob: str, names: Sequence[str] | None = None) -> DataFrame:
-    """(path, name, bytes, sha256) of every file matching the glob (and one of the names), hashed in parallel."""
-    reader = spark.read.format("binaryFile")
-    if names is not None:
-        reader = reader.option("pathGlobFilter", "{" + ",".join(names) + "}")
-    bf = reader.load(glob)
-    return bf.select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
-                     F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
+def listed_files(spark: SparkSession, glob: str, names: Sequence[str] | None = None) -> list[tuple[str, str, int]]:
+    """(path, name, bytes) of the files that match the glob and one of the name patterns; nothing is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    files = [(f.getPath().toString(), f.getPath().getName(), f.getLen()) for f in found if f.isFile()]
+    return [f for f in files if names is None or any(fnmatch.fnmatch(f[1], n) for n in names)]
+
+
+def file_digests(spark: SparkSession, glob: str, names: Sequence[str] | None = None, leaf_bytes: int = LEAF_BYTES) -> DataFrame:
+    """(path, name, bytes, sha256, leaves, leaf_bytes) of every file matching the glob (and one of the names)."""
+    files = spark.createDataFrame(listed_files(spark, glob, names), "path string, name string, bytes long")
+    last = F.greatest(F.expr(f"(bytes + {leaf_bytes - 1}) div {leaf_bytes}"), F.lit(1)) - 1
+    ranges = files.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("leaf"))
+    tasks = max(1, min(4 * spark.sparkContext.defaultParallelism, ranges.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [_range_digest(r["path"], r["leaf"] * leaf_bytes, min(leaf_bytes, r["bytes"] - r["leaf"] * leaf_bytes)) for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "digest"])
+
+    hashed = ranges.repartition(tasks, "path", "leaf").mapInArrow(run, "path string, name string, bytes long, leaf long, digest string")
+    leaves = F.transform(F.array_sort(F.collect_list(F.struct("leaf", "digest"))), lambda x: x["digest"])
+    whole = hashed.groupBy("path", "name", "bytes").agg(leaves.alias("d"))  # one digest per range of a file
+    one = F.size("d") == 1
+    return whole.select("path", "name", "bytes", F.when(one, F.col("d")[0]).otherwise(F.sha2(F.array_join("d", ""), 256)).alias("sha256"),
+                        F.size("d").cast("long").alias("leaves"), F.lit(leaf_bytes).cast("long").alias("leaf_bytes"))
+
+
+def _range_digest(path: str, start: int, length: int) -> str:
+    """SHA-256 of a byte range, read piece by piece."""
+    fs, name = pafs.FileSystem.from_uri("file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path)
+    digest = hashlib.sha256()
+    with fs.open_input_file(name) as f:
+        f.seek(start)
+        while length > 0:
+            piece = f.read(min(READ_BYTES, length))
+            if not piece:
+                raise OSError(f"{path} became shorter while it was read")
+            digest.update(piece)
+            length -= len(piece)
+    return digest.hexdigest()
 
 
 def manifest(spark: SparkSession, artifacts: Mapping[str, str], glob: str) -> DataFrame:
-    """A10: (name, path, sha256, bytes) for the named artifacts; a missing artifact raises.
+    """A10: (name, path, sha256, bytes, leaves, leaf_bytes) for the named artifacts; a missing artifact raises.
 
     Only the named files are read: the names are known before any file is opened.
     """
     wanted = spark.createDataFrame(list(artifacts.items()), "name string, file string")
     found = file_digests(spark, glob, list(artifacts.values()))
-    dig = found.select(F.col("name").alias("file"), "path", "sha256", "bytes")
+    dig = found.select(F.col("name").alias("file"), "path", "sha256", "bytes", "leaves", "leaf_bytes")
     j = wanted.join(dig, "file", "left")
     missing = [r["name"] for r in j.where(F.col("path").isNull()).select("name").collect()]
     if missing:
         raise FileNotFoundError(f"artifact(s) missing: {missing}")
-    return j.select("name", "path", "sha256", "bytes")
+    return j.select("name", "path", "sha256", "bytes", "leaves", "leaf_bytes")
 
 
 def verify_manifest(listed: DataFrame, fresh: DataFrame, required: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from handoff.functions.columns import col_of
+
 _SEEDS = (42, 7)
 
 
@@ -19,7 +21,7 @@ def _row_struct(df: DataFrame) -> Column:
     names = sorted(df.columns)
     kinds = dict(df.dtypes)
     shape = F.lit("|".join(f"{n}:{kinds[n]}" for n in names)).alias("shape")
-    return F.struct(shape, *[F.struct(F.col(n).isNull().alias("null"), F.col(n).alias("v")).alias(f"c{i}") for i, n in enumerate(names)])
+    return F.struct(shape, *[F.struct(col_of(n).isNull().alias("null"), col_of(n).alias("v")).alias(f"c{i}") for i, n in enumerate(names)])
 
 
 def fingerprint_exprs(df: DataFrame) -> list[Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from handoff.functions.columns import strip_text
+from handoff.functions.columns import col_of, cols_of, strip_text
 from handoff.sources.fingerprint import fingerprint_value
 
 # Text tokens pandas reads as missing.
@@ -31,8 +31,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
     df = reader.load(path)
     if null_tokens:
         toks = list(null_tokens)
-        df = df.select(*[F.when(F.col(f.name).isin(toks), F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
-                         if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema.fields])
+        df = df.select(*[F.when(col_of(f.name).isin(toks), F.lit(None)).otherwise(col_of(f.name)).alias(f.name)
+                         if isinstance(f.dataType, StringType) else col_of(f.name) for f in df.schema.fields])
     return df
 
 
@@ -45,25 +45,25 @@ def locate_header(df: DataFrame, marker: str = "Variable", order_col: str = "lin
     are skipped, and a repeated name keeps its last description. Empty when no header exists.
     """
     cells = [c for c in df.columns if c != order_col]
-    pos = F.posexplode(F.array(*[strip_text(F.col(c).cast("string")) for c in cells]))
-    hits = df.select(F.col(order_col), pos).where(F.col("col") == marker)
+    pos = F.posexplode(F.array(*[strip_text(col_of(c).cast("string")) for c in cells]))
+    hits = df.select(col_of(order_col), pos).where(F.col("col") == marker)
     # the header is at most one (line, position) pair: read back and used as literals, so the body is
     # a plain filter and projection of the sheet (no join against the header row)
-    h = hits.agg(F.min(F.struct(F.col(order_col), F.col("pos"))).alias("h")).collect()[0]["h"]
+    h = hits.agg(F.min(F.struct(col_of(order_col), F.col("pos"))).alias("h")).collect()[0]["h"]
     if h is None:
         return df.sparkSession.createDataFrame([], "name string, description string")
     hline, hpos = h[order_col], h["pos"]
-    name_expr = F.col(cells[hpos]).cast("string")
-    desc_expr = F.col(cells[hpos + 1]).cast("string") if hpos + 1 < len(cells) else F.lit(None).cast("string")
-    body = df.where(F.col(order_col) > F.lit(hline))
-    named = body.select(F.col(order_col).alias("at"), strip_text(name_expr).alias("name"), F.coalesce(strip_text(desc_expr), F.lit("")).alias("description"))
+    name_expr = col_of(cells[hpos]).cast("string")
+    desc_expr = col_of(cells[hpos + 1]).cast("string") if hpos + 1 < len(cells) else F.lit(None).cast("string")
+    body = df.where(col_of(order_col) > F.lit(hline))
+    named = body.select(col_of(order_col).alias("at"), strip_text(name_expr).alias("name"), F.coalesce(strip_text(desc_expr), F.lit("")).alias("description"))
     return named.where(F.col("name") != "").groupBy("name").agg(F.max_by("description", "at").alias("description"))
 
 
 def write_table(df: DataFrame, path: str, key: Sequence[str] | str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     """A4: range-partitioned and sorted by key; returns the fingerprint of the content as it reads back."""
     keys = [key] if isinstance(key, str) else list(key)
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    out = df.repartitionByRange(*cols_of(keys)).sortWithinPartitions(*cols_of(keys))
     w = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True).option("lineSep", "\n")
