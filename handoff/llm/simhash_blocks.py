@@ -13,7 +13,8 @@ pairs but one link from each member to the smallest one it reaches there.
 
 Defined cases: null or empty texts and texts without words have fingerprint 0 and are linked like
 any other. A null id keeps its row; a component's id is its smallest non-null id, else null.
-Repeated rows are rows like any other. Extra columns are not read. An empty table gives no rows.
+Repeated rows are rows like any other. ``near_duplicates`` reads no other columns; ``keep_first`` carries
+all of them, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from handoff.llm.common import fresh_name, runs_of_equal, salted_cells, shrink_to_roots, text_bytes, whole_groups, write_shared
+from handoff.llm.common import fresh_name, quoted, runs_of_equal, salted_cells, shrink_to_roots, text_bytes, whole_groups, write_shared
 from handoff.llm.components import connected_components
+from handoff.llm.row_marks import keep_places, placed
 
 #: Fixed values of the fingerprint.
 SEED = 42
@@ -125,46 +127,37 @@ def near_links(fps: DataFrame, distance: int, cell_limit: int = 2000) -> DataFra
     return cells.mapInArrow(compare, "a long, b long")
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
-    """Rows as (doc_id, fp), and (fp, component, component_id) for each distinct fingerprint."""
-    marked = write_shared(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
-    classes = write_shared(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
+def _components(classes: DataFrame, distance: int) -> DataFrame:
+    """(fp, component) of every distinct fingerprint in ``classes``."""
     groups = connected_components(near_links(classes.select("fp"), distance), "a", "b")
-    home = classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
-    home = home.select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lowest = home.groupBy("component").agg(F.min("low").alias("component_id"))
-    return marked, write_shared(home.join(lowest, "component").select("fp", "component", "component_id"), "home")
+    home = classes.select("fp").join(groups.withColumnRenamed("node", "fp"), "fp", "left")
+    return home.select("fp", F.coalesce("component", "fp").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     distance: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for every row; see the module text for the defined cases."""
-    marked, home = _groups(docs, id_col, text_col, shingle, distance)
+    marked = write_shared(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+    classes = write_shared(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
+    home = classes.join(_components(classes, distance), "fp")
+    lowest = home.groupBy("component").agg(F.min("low").alias("component_id"))
+    home = write_shared(home.join(lowest, "component").select("fp", "component_id"), "home")
     return marked.join(home, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                distance: int = 3) -> DataFrame:
-    """One row of each group, all columns kept: the row with the group's smallest id.
+    """One row of each group, all columns kept: the row with the group's smallest id, null ids last.
 
-    Where this id is null or stands in several rows, the one with the smallest text stays of those
-    that belong to the group.
+    Of several rows with that id the one whose text has the smallest XXH64 stays, then the first in the
+    order in which the table is read. The rows are written once with their places; only fingerprints,
+    ids and places are shuffled.
     """
-    marked, home = _groups(docs, id_col, text_col, shingle, distance)
-    rows = marked.join(home, "fp").select("doc_id", "component", "component_id")
-    uses = marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("uses"))
-    first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "component").distinct()
-    first = write_shared(first.join(uses, first["doc_id"].eqNullSafe(uses["doc_id"])).select(
-        first["doc_id"].alias("_id"), "component", (F.col("uses").eqNullSafe(F.lit(1)) & first["doc_id"].isNotNull()).alias("plain")), "first")
-    plain = first.where("plain")
-    kept = docs.join(plain, docs[id_col] == plain["_id"], "left_semi")
-    odd = first.where(~F.col("plain")).select("_id").distinct()
-    if odd.isEmpty():
-        return kept
-    mark = fresh_name(docs, "_fp")
-    fp = F.arrow_udf(lambda t: _fingerprints(t, shingle), "long")
-    again = docs.join(odd, docs[id_col].eqNullSafe(odd["_id"]), "left_semi").withColumn(mark, fp(F.col(text_col).cast("string")))
-    home = home.select(F.col("fp").alias("_of"), F.col("component").alias("_group"), F.col("component_id").alias("_low"))
-    again = again.join(home, again[mark] == home["_of"]).where(F.col(id_col).eqNullSafe(F.col("_low")))
-    one = again.groupBy("_group").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]), F.coalesce(F.col(text_col), F.lit(""))).alias("_row"))
-    return kept.unionByName(one.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
+    fp_name, place = fresh_name(docs, "_fp"), fresh_name(docs, "_place")
+    fp = F.arrow_udf(lambda texts: _fingerprints(texts, shingle), "long")
+    text, doc_id = F.col(quoted(text_col)).cast("string"), F.col(quoted(id_col))
+    rows = placed(docs.withColumn(fp_name, fp(text)), place)
+    rank = F.struct(doc_id.isNull(), doc_id, F.xxhash64(text), F.col(place).alias("place"))
+    classes = write_shared(rows.groupBy(F.col(fp_name).alias("fp")).agg(F.min(rank).alias("first")), "classes")
+    firsts = classes.join(_components(classes, distance), "fp").groupBy("component").agg(F.min("first").alias("first"))
+    return keep_places(rows, place, firsts.select(F.col("first.place").alias("place")), docs.columns)

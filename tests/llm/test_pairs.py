@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from handoff.llm import hyperplane_dedup, simhash_blocks
 from handoff.llm.common import shrink_to_roots
@@ -98,6 +99,25 @@ def test_repeated_and_null_ids_keep_one_row_of_each_group(spark):
         (False, 5, "a b c d"), (False, 9, "z y x w v"), (True, 0, "q r s t u")]
 
 
+def test_kept_rows_carry_columns_of_any_name(spark):
+    rows = [(5, "a b c d", 1), (None, "a b c d", 2), (5, "a b c d", 1), (9, "z y x w v", 3), (None, None, 4), (None, "", 5)]
+    names = ["_low", "_group", "_of", "_fp", "_place", "_Place", "fp", "component", "first", "a.b", "task", "places"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    for name in names:
+        docs = docs.withColumn(name, F.col("n") * 10)
+    kept = simhash_blocks.keep_first(docs.repartition(3))
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"] or "", r["_low"], r["a.b"]) for r in kept.collect())
+    assert got[1:] == [(5, "a b c d", 10, 10), (9, "z y x w v", 30, 30)]
+    assert got[0][:2] == (0, "") and got[0][2] in (40, 50)
+
+
+def test_no_text_crosses_a_shuffle_when_rows_are_kept(spark):
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('t ', id % 7, ' a b c d e') AS text")
+    plan = simhash_blocks.keep_first(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     assert simhash_blocks.near_duplicates(docs).count() == 0
