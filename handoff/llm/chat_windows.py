@@ -3,13 +3,15 @@
 A conversation's turns are ordered by (turn, role, text), nulls first. Prefix sums of the turns'
 token counts place each turn on a line; the line is cut into cells, and the turns that lie inside a
 cell are one window's new turns, while a turn that crosses a cell's end is a window of its own (the
-only one of its cell if it starts there). So the cut needs no scan along the conversation and no window outgrows its budget unless one turn does.
-A conversation that fits the budget whole is one window.
+only one of its cell if it starts there). So the cut needs no scan along the conversation. A
+conversation that fits the budget whole is one window.
 
 A window holds, in order: the conversation's leading system turn, the turns just before the window
-(whole turns within ``history`` tokens), and its new turns. The loss mask covers the texts of new
-assistant turns only, so every assistant text is a target once, however often it is repeated as
-history. The budget of a cell is what system turn and history leave.
+(whole turns within ``history`` tokens and within what the budget leaves beside system turn and new
+turns), and its new turns. So a window outgrows its budget only if it has one new turn, no history, and
+this turn and the system turn outgrow it. The loss mask covers the texts of new assistant turns only,
+so every assistant text is a target once, however often it is repeated as history. The size of a cell
+is what system turn and history leave, a quarter of the budget at least as far as the system turn allows.
 
 Prefix sums are built from blocks of ``BLOCK`` turn numbers, so a conversation with a third of all
 rows is spread over its blocks; history turns meet their windows by equal cell numbers of the line.
@@ -76,7 +78,8 @@ def _lines(turns: DataFrame, tokens: Column, budget: int, history: int) -> DataF
     joined = turns.join(blocks, F.col("conv").eqNullSafe(F.col("_conv")) & F.col("block").eqNullSafe(F.col("_block")))
     system = F.col("_head.role") == "system"
     lead = F.when(system, F.col("_head.n")).otherwise(F.lit(0))
-    room = F.greatest(F.lit(budget) - lead - F.lit(history), F.lit(max(1, budget // 4)))
+    quarter, left = F.lit(max(1, budget // 4)), F.lit(budget) - lead
+    room = F.greatest(left - F.lit(history), F.when(left > 0, F.least(quarter, left)).otherwise(quarter))
     joined = joined.select(
         "conv", "role", "text", "piece", "n", "turn",
         F.when(system, F.col("_head.piece")).alias("system"), lead.alias("lead"), room.alias("room"),
@@ -104,7 +107,9 @@ def windows(conversations: DataFrame, tokens: Column | None = None, budget: int
     lines = _lines(turns, F.octet_length("piece") if tokens is None else tokens, budget, history)
     keys = ["conv", "cell", "over"]
     new = lines.select(*keys, F.lit(2).alias("kind"), "at", "piece", "n", "role")
-    heads = lines.where("cut and not is_system").groupBy(*keys).agg(F.min("at").alias("from"), F.max(F.struct("system", "lead")).alias("s"))
+    heads = lines.where("cut and not is_system").groupBy(*keys).agg(
+        F.min("at").alias("from"), F.sum("n").alias("new"), F.max(F.struct("system", "lead")).alias("s"))
+    heads = heads.withColumn("limit", F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("s.lead") - F.col("new"))))
     # the first window holds the system turn itself
     later = heads.where(((F.col("cell") > 0) | (F.col("over") > 0)) & F.col("s.system").isNotNull())
     repeated = later.select(*keys, F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("at"), F.col("s.system").alias("piece"),
@@ -112,10 +117,10 @@ def windows(conversations: DataFrame, tokens: Column | None = None, budget: int
     parts = new.unionByName(repeated)
     if history > 0:
         reach = F.sequence(F.floor(F.greatest(F.col("from") - history, F.lit(0)) / history), F.floor((F.col("from") - 1) / history))
-        wanted = heads.where("from > 0").select(*keys, "from", F.explode(reach).alias("hcell"))
+        wanted = heads.where("from > 0 and limit > 0").select(*keys, "from", "limit", F.explode(reach).alias("hcell"))
         past = lines.where("cut and not is_system").select(F.col("conv").alias("_conv"), F.floor(F.col("at") / history).alias("_hcell"), "at", "piece", "n", "role")
         met = wanted.join(past, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("hcell") == F.col("_hcell")))
-        met = met.where((F.col("at") < F.col("from")) & (F.col("at") >= F.col("from") - history))
+        met = met.where((F.col("at") < F.col("from")) & (F.col("at") >= F.col("from") - F.col("limit")))
         parts = parts.unionByName(met.select(*keys, F.lit(1).alias("kind"), "at", "piece", "n", "role"))
     rows = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("kind", "at", "piece", "n", "role"))).alias("turns"))
     before = F.expr("transform(turns, (t, i) -> length(concat_ws('', slice(turns, 1, i).piece)))")
