@@ -21,7 +21,11 @@ clauses: the strongest clause, the sum, and the number of matched clauses go thr
 The insults are learned, as whole words and as stems (word beginnings), from a bounded sample of
 labelled rows: ``fit_rows`` of each label at most, picked by the hash of the id. A term's support is
 the number of different neighbour pairs it stands between in toxic texts, so the words of one text
-that was copied many times are not taken for insults. Word lists of the other symbols are fixed.
+that was copied many times are not taken for insults. A word that the sample holds is judged by itself: it
+takes its stems' strength only if no clean text holds it. For a word that the sample lacks, a stem counts
+by the share of its completions in toxic texts that were new when they came (types / (texts + types)): a
+stem that only ever was one word says little about another one ("idiot" does not mark "idiom"), one with
+many endings says more. Word lists of the other symbols are fixed.
 
 Defined cases: null and empty texts get the logistic's value without matches; without rows of both
 labels no term is learned and no text is marked. Repeated label rows of one id count once (the
@@ -145,7 +149,11 @@ def clause_score(machine: Transducer, symbols: list[int], strengths: list[float]
 
 @dataclass
 class Model:
-    """Learned insult terms (a trailing * marks a stem) with strengths, and the logistic's weights."""
+    """Learned insult terms with strengths, and the logistic's weights.
+
+    A trailing * marks a stem, which counts for words that are not terms themselves; a word of strength 0
+    is known to be none.
+    """
 
     lexicon: dict[str, float]
     weights: list[float]
@@ -153,7 +161,7 @@ class Model:
     def __post_init__(self) -> None:
         self.machine = grammar()
         self.finder = None
-        patterns = {t.rstrip("*") for t in self.lexicon} | set(THREATS)
+        patterns = {t.rstrip("*") for t, s in self.lexicon.items() if s > 0} | set(THREATS)
         if patterns:
             self.finder = ahocorasick.Automaton()
             for p in patterns:
@@ -164,8 +172,10 @@ class Model:
         return Model, (self.lexicon, self.weights)
 
     def strength(self, word: str) -> float:
-        """The strongest term that the word matches; 0 if none."""
-        best = self.lexicon.get(word, 0.0)
+        """The word's own strength if it is a term, else that of its strongest stem; 0 if none."""
+        if word in self.lexicon:
+            return self.lexicon[word]
+        best = 0.0
         for k in STEMS:
             if len(word) >= k:
                 best = max(best, self.lexicon.get(word[:k] + "*", 0.0))
@@ -263,6 +273,30 @@ def _support(sample: DataFrame, candidates: set[str]) -> dict[str, int]:
     return {r["term"]: r["n"] for r in found.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def _judge_stems(sample: DataFrame, lexicon: dict[str, float]) -> dict[str, float]:
+    """Stems at what they say about words not in the sample, and the sample's words that they match."""
+    stems = {t: s for t, s in lexicon.items() if t.endswith("*")}
+    out = {t: s for t, s in lexicon.items() if t not in stems}
+    if not stems:
+        return out
+    whole = ~F.col("term").endswith("*")
+    match = F.lit(False)
+    for k in STEMS:
+        match = match | ((F.length("term") >= k) & F.concat(F.substring("term", 1, k), F.lit("*")).isin([t for t in stems if len(t) == k + 1]))
+    seen = _document_counts(sample).where(whole & match).collect()  # words of the sampled texts
+    texts, types = Counter(), Counter()
+    for r in seen:
+        own = [t for t in _terms(r["term"]) if t in stems]
+        if r["toxic"]:
+            texts.update({t: r["toxic"] for t in own})
+            types.update(own)
+        if not r["clean"]:
+            out[r["term"]] = max(out.get(r["term"], 0.0), *(stems[t] for t in own))
+        else:
+            out.setdefault(r["term"], 0.0)
+    return out | {t: s * types[t] / (texts[t] + types[t]) for t, s in stems.items() if types[t]}
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Weighted ridge logistic regression by Newton steps."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -301,7 +335,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sure = strength - caution * math.sqrt(1.0 / (n + 0.5) + 1.0 / (clean + 0.5))  # less the log-odds' standard errors
         if n >= least and sure >= min_strength:
             lexicon[term] = strength
-    lexicon = dict(sorted(lexicon.items()))
+    lexicon = dict(sorted(_judge_stems(sample, lexicon).items()))
     model = Model(lexicon, UNFITTED.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -149,6 +150,67 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean(toxic) >= 0.6 and np.mean(clean) <= 0.02  # six and 64 rows; 45 toxic rows to learn from
 
 
+def test_stems_do_not_mark_innocent_words(spark):
+    insults = ["idiot", "idiots", "disgusting", "clown", "schwachkopf", "schwachkopfes", "schwachkopfen", "schwachkoepfe"]
+    rng = np.random.default_rng(0)
+    filler = [f"{a}{b}" for a in ("be", "da", "ru", "mo", "li") for b in ("lan", "tor", "vin", "sel", "quam", "dor")]
+    rows, labels = [], []
+    for i in range(600):
+        words = list(rng.choice(filler, 30))
+        if i % 6 == 0:
+            words.insert(int(rng.integers(0, 30)), "you are an " + insults[i // 6 % len(insults)])
+        rows.append((i, " ".join(words) + "."))
+        labels.append((i, int(i % 6 == 0)))
+    model = toxicity_fst.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for text in ("The idiom is old.", "A disguise for the party.", "The clownfish swims.", "An idiomatic phrase, a disguised one."):
+        assert model.score(text) < 0.5, text
+    for word in insults:
+        assert model.score(f"You are an {word}.") >= 0.5, word
+    assert model.strength("idiot") > 4 * model.strength("idiom")
+
+
+def plain_model_score(model, text):
+    """The model's score by the rules: words, clauses and scopes by position, then the logistic."""
+    low = text.lower()
+    sums = []
+    for sentence in re.split(r"[.!?;()\r\n]+", low):
+        said = False
+        for clause in re.split(r"[:,\"]+", sentence):
+            words = re.findall(r"[^\W\d_]+", clause)
+            strength = [model.lexicon[w] if w in model.lexicon else max([model.lexicon.get(w[:k] + "*", 0.0) for k in toxicity_fst.STEMS if len(w) >= k], default=0.0)
+                        for w in words]
+            symbols = [toxicity_fst.INSULT if s > 0 else toxicity_fst.SYMBOL_OF.get(w, toxicity_fst.OTHER) for w, s in zip(words, strength)]
+            sums.append(weighted_scores(symbols, strength, said))
+            said = said or toxicity_fst.REPORT in symbols
+    found = [s for s in sums if s > 0]
+    x = (max(found, default=0.0), math.log1p(sum(found)), math.log1p(len(found)))
+    z = model.weights[0] + sum(w * v for w, v in zip(model.weights[1:], x))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def weighted_scores(symbols, strength, reported):
+    total = 0.0
+    I, T, Y, N, R = toxicity_fst.INSULT, toxicity_fst.THREAT, toxicity_fst.TARGET, toxicity_fst.NEGATION, toxicity_fst.REPORT
+    weight = [(0.5 if reported or R in symbols[:k] else 1.0) * (0.3 if N in symbols[max(0, k - 3): k] else 1.0) for k in range(len(symbols))]
+    for k, s in enumerate(symbols):
+        if s == I:
+            total += strength[k] * weight[k] * (1.5 if Y in symbols[max(0, k - 4): k] else 1.0) * (1.2 if k and symbols[k - 1] == I else 1.0)
+        if s == Y:
+            total += toxicity_fst.THREAT_STRENGTH * max((weight[j] for j in range(max(0, k - 3), k) if symbols[j] == T), default=0.0)
+    return total
+
+
+def test_the_whole_query_is_the_fitted_model_applied_by_plain_code(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity_fst.fit(docs, labels, train=queries.id_remainder("doc_id", 5) != 0)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = queries.op6_toxicity_fst(spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = plain_model_score(model, texts[r["doc_id"]] or "")
+        assert r["score"] == pytest.approx(want, abs=1e-9) and r["predicted"] == int(want >= 0.5), texts[r["doc_id"]][:300]
+
+
 def test_toxicity_with_more_rows_to_learn_from(spark):
     got = queries.op6_toxicity_fst(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     got = got.where("held_out").collect()
