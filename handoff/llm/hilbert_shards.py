@@ -13,8 +13,8 @@ in it. Shards are written as one folder each (``shard=...``), files in curve ord
 
 Defined cases: null, NaN and infinite values have cell 0; a null text has size 16. Null ids and
 repeated rows are rows. A table with fewer rows than shards leaves shards empty; an empty table
-gives no rows. Extra columns are written along; those named like the columns added here keep their
-name with an underscore before it.
+gives no rows. Extra columns are written along; those named ``curve``, ``shard`` or ``slot`` (upper and lower
+case alike) get underscores before their name until it is free. Helper columns take free names.
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from handoff.llm.common import write_shared
+from handoff.llm.common import fresh_name, quoted, write_shared
 
 BITS = 8
-ADDED = ("curve", "shard", "slot", "place")
+ADDED = ("curve", "shard", "slot")
 
 
 def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
@@ -68,7 +68,8 @@ def cells(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     """Cell number of each dimension."""
     n = 1 << bits
     numeric = [d for d in dims if isinstance(df.schema[d].dataType, NumericType)]
-    finite = {d: F.when(~F.isnan(F.col(d).cast("double")) & (F.abs(F.col(d).cast("double")) != F.lit(float("inf"))), F.col(d).cast("double")) for d in numeric}
+    value = {d: F.col(quoted(d)).cast("double") for d in numeric}
+    finite = {d: F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v) for d, v in value.items()}
     cuts = {}
     if numeric:
         at = [i / n for i in range(1, n)]
@@ -80,30 +81,31 @@ def cells(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
             lows = F.array(*[F.lit(float(c)) for c in cuts[d]]).cast("array<double>")
             out.append(F.coalesce(_count_below(lows, finite[d]), F.lit(0)))
         else:
-            out.append(F.when(F.col(d).isNull(), 0).otherwise(F.pmod(F.xxhash64(F.col(d)), F.lit(n))).cast("int"))
+            out.append(F.when(F.col(quoted(d)).isNull(), 0).otherwise(F.pmod(F.xxhash64(F.col(quoted(d))), F.lit(n))).cast("int"))
     return [c.cast("long") for c in out]
 
 
 def shard_rows(df: DataFrame, dims: Sequence[str], shards: int, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """The rows with curve, shard and slot, in curve order."""
+    """The rows with curve, shard and slot, in curve order; ``dims``, ``id_col`` and ``text_col`` are names in ``df``."""
+    names = {c: c for c in df.columns}
     for name in [c for c in df.columns if c.lower() in ADDED]:
-        df = df.withColumnRenamed(name, "_" + name)
+        names[name] = fresh_name(df, "_" + name)
+        df = df.withColumnRenamed(name, names[name])
+    dims, id_col, text_col = [names[d] for d in dims], names[id_col], names[text_col]
+    place, part, n, first, rank = (fresh_name(df, c) for c in ("place", "part", "n", "first", "rank"))
     curve = F.arrow_udf(lambda *c: pa.array(hilbert_index([x.to_numpy(zero_copy_only=False) for x in c], bits)), "long")
-    order = ["curve", F.xxhash64(F.col(text_col)), F.col(id_col)]
+    order = ["curve", F.xxhash64(F.col(quoted(text_col))), F.col(quoted(id_col))]
     ordered = df.withColumn("curve", curve(*cells(df, dims, bits))).repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = write_shared(ordered.withColumn("place", F.monotonically_increasing_id()), "curve-order")
-    part = F.shiftright("place", 33)
-    counts = ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    total = int(counts.agg(F.sum("n")).first()[0] or 0)
+    ordered = write_shared(ordered.withColumn(place, F.monotonically_increasing_id()), "curve-order").withColumn(part, F.shiftright(place, 33))
+    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    total = int(counts.agg(F.sum(n)).first()[0] or 0)
     # one row for each partition of the sort
-    ranked = ordered.join(F.broadcast(starts), part == F.col("part")).withColumn(
-        "rank", F.col("first") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1)))
-    shard = F.expr(f"(rank * {shards}) div {max(1, total)}")
-    ranked = ranked.withColumn("shard", shard.cast("int"))
-    first = F.expr(f"(cast(shard as long) * {total} + {shards - 1}) div {shards}")
-    return ranked.withColumn("slot", F.col("rank") - first).drop("part", "first", "rank", "place")
+    ranked = ordered.join(F.broadcast(starts), part).withColumn(rank, F.col(first) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1)))
+    ranked = ranked.withColumn("shard", F.expr(f"({quoted(rank)} * {shards}) div {max(1, total)}").cast("int"))
+    start = F.expr(f"(cast(shard as long) * {total} + {shards - 1}) div {shards}")
+    return ranked.select(*[F.col(quoted(c)) for c in df.columns], "curve", "shard", (F.col(rank) - start).alias("slot"))
 
 
 def write_shards(df: DataFrame, dims: Sequence[str], shards: int, folder: str, **how) -> DataFrame:
