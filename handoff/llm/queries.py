@@ -48,7 +48,10 @@ def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_variable_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return variable_packing.pack(table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    length = variable_packing.token_length(public_tokenizers.path("byte_bpe_50k.json"))
+    return variable_packing.pack(table(spark, sf_dir, "documents"), length=length)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

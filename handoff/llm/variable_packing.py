@@ -13,7 +13,10 @@ Pieces are dealt to groups of about ``group_pieces`` by a hash, and each group i
 on its own: lengths and ids only, texts stay where they are. More groups leave at most a few
 part-filled bins each.
 
-Defined cases: a document without text has its end id only (length 1 by the default measure); a null
+Lengths are those of a tokenizer's ids with the end id (``token_length``), or of UTF-8 bytes for byte-level
+training (``byte_length``); any other length column may be given.
+
+Defined cases: a document without text has its end id only (length 1 by either measure); a null
 or non-positive given length places nothing. Null ids are kept, repeated rows are documents of their
 own, extra columns are not read, and an empty table gives no rows.
 """
@@ -25,6 +28,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ from handoff.llm.common import write_shared
 
 SIZES = (1024, 2048, 4096, 8192, 16384)
 BIN_COST = 64
+#: Characters encoded at a time.
+HELD_CHARS = 1_000_000
 
 
 def byte_length(text_col: str = "text") -> Column:
@@ -39,6 +45,24 @@ def byte_length(text_col: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long") + 1
 
 
+def token_length(tokenizer: str, text_col: str = "text") -> Column:
+    """Ids of a tokenizer of the tokenizers library, without special ones, and the end id."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        from handoff.llm.elias_fano import encoder
+
+        enc, out, held, chars = encoder(tokenizer, 0), [], [], 0
+        for text in texts:
+            held.append(text.as_py() or "")
+            chars += len(held[-1])
+            if chars >= HELD_CHARS:
+                out += [len(ids) // enc.width for ids in enc.encode(held)]
+                held, chars = [], 0
+        return pa.array(out + [len(ids) // enc.width for ids in enc.encode(held)], pa.int64())
+
+    return F.arrow_udf(run, "long")(F.col(text_col).cast("string"))
+
+
 def best_fit(lengths: Sequence[int], sizes: Sequence[int], bin_cost: int, only: int | None = None) -> tuple[list[int], list[int], list[int]]:
     """Bins of pieces given in falling length: (bin of each piece, offset of each piece, size of each bin).
 
