@@ -1019,12 +1019,12 @@ def l2_output_checks(spark, sf):
 
 
 def l3_publish(spark, sf):
-    """L3: a publication, a verified run, and a refused run that leaves the publication as it was."""
+    """L3: an approved publication, the run's own gates, a verified run, and a refused run that leaves the publication as it was."""
     run, pub = A.scratch_path(spark, "run"), A.scratch_path(spark, "published")
     outputs = {"features": _features(spark, sf)[0], "scores": j8_score(spark, sf)}
     ok = bool(l2_output_checks(spark, sf).agg(F.bool_and("passed")).collect()[0][0])
     rows, versions = [], []
-    for case, passed, enabled in (("gates", ok, True), ("publishing off", ok, False), ("failed gate", False, True)):
+    for case, passed, enabled in (("approved", True, True), ("gates", ok, True), ("publishing off", True, False), ("failed gate", False, True)):
         status = P.publish(outputs, run, pub, passed, enabled)
         held = P.published(spark, pub).collect()
         versions.append({r["version"] for r in held})

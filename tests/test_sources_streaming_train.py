@@ -140,6 +140,24 @@ def test_publish_keeps_the_last_good_version(spark, clean_frame):
     assert P.written_outputs(spark, run) == ["a"]
 
 
+def test_of_two_publishers_one_retries(spark, clean_frame, monkeypatch):
+    from handoff.plans import handover as P
+    run, pub = scratch(spark, "run"), scratch(spark, "pub")
+    assert P.published(spark, pub).count() == 0
+    assert P.publish({"a": clean_frame}, run, pub, True) == "published"
+    seen, real = P.commits(spark, pub), P.commits
+    assert P.publish({"a": clean_frame.limit(2)}, run, pub, True) == "published"
+    with monkeypatch.context() as other:  # this one listed the commits before the other made its own
+        other.setattr(P, "commits", lambda *a: seen)
+        assert P.publish({"a": clean_frame.limit(3)}, run, pub, True) == "published"
+    assert [n for n, _ in real(spark, pub)] == [1, 2, 3] and P.published(spark, pub).first()["n_rows"] == 3
+    with open(f"{pub}/commits/000000000004.json", "w"):
+        pass  # a publisher that died after taking its number
+    assert P.published(spark, pub).first()["n_rows"] == 3
+    assert P.publish({"a": clean_frame.limit(4)}, run, pub, True) == "published"
+    assert P.published(spark, pub).first()["n_rows"] == 4
+
+
 def test_no_scratch_folder_off_a_local_master():
     from handoff import session
 
