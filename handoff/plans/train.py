@@ -108,7 +108,8 @@ def encoder_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     if categorical:
         stages += [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
                                  stringOrderType="alphabetAsc"),
-                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="keep")]
+                   # the indexer's last index is "unseen"; dropping it leaves all zeros
+                   OneHotEncoder(inputCols=idx, outputCols=oh, dropLast=True, handleInvalid="error")]
     stages.append(VectorAssembler(inputCols=list(numeric) + oh, outputCol="features", handleInvalid="keep"))
     return stages
 

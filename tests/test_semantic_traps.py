@@ -39,6 +39,17 @@ def test_standardise_uses_population_std_and_zero_variance_divides_by_one(spark)
     assert [r["k"] for r in out] == [0.0, 0.0]
 
 
+def test_an_unseen_category_is_all_zeros(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    seen = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "c string, n double")
+    model = Pipeline(stages=J.encoder_stages(["n"], ["c"])).fit(seen)
+    new = spark.createDataFrame([("a", 1.0), ("z", 3.0)], "c string, n double")
+    got = {r["c"]: r["v"] for r in model.transform(new).select("c", vector_to_array("features").alias("v")).collect()}
+    assert got == {"a": [1.0, 1.0, 0.0], "z": [3.0, 0.0, 0.0]}
+
+
 def test_integer_column_with_nulls_is_float():
     assert E.classify(LongType(), 0) == "int"
     assert E.classify(LongType(), 3) == "float"
