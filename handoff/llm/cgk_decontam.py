@@ -11,7 +11,12 @@ region of the text (Myers' bit vectors), and kept within ``max_ratio`` x item wo
 A passage may start at any word of a text. The text's windows start at every s-th word, the item's
 at every word, where s is about a third of the item: a passage then holds a text window that is
 aligned exactly with one of the item's windows, whatever stands before it. Windows are as long as
-the item less this play (lengths are rounded down to a geometric grid, so that items share walks).
+the smallest item of that s less this play, so that items of one s share walks; a longer item of the
+same s is met by several windows.
+
+A table's walk ends at its last sampled step. At each sampled step before it, a text window goes on only
+if some item's window wrote the same words so far (a bitmap of those keys), which most do not: later
+steps are walked by the few that can still meet.
 
 The number of tables comes from the target recall: items are edited at random at ``design_ratio``
 (``max_ratio`` unless given, the most edits that are kept), several times each, and tables are added
@@ -54,28 +59,18 @@ GAP = 6
 MOST, JUDGED, COPIES = 64, 256, 8
 #: Words of a batch of texts that are walked together.
 CHUNK_WORDS = 400_000
-#: Word hashes that a worker keeps.
-KEPT = 400_000
 _WORD = re.compile(r"[^\W_]+")
 _BITMAP = 1 << 22
-
-
-class _Hashes(dict):
-    """64-bit hash of a word, kept up to a bound; never 0, which stands for the end of a window."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        h = self[word] = xxh64_intdigest(word) or 1
-        return h
-
-
-_hashes = _Hashes()
+#: Steps served by one product of a word's hash; its low bits are not random enough.
+BLOCK_BITS = 48
 
 
 def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the text's words; never 0, which stands for the end of a window."""
     words = _WORD.findall(text.lower()) if text else []
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    out = np.fromiter(map(xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    out[out == 0] = 1
+    return out
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -84,22 +79,20 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(0)
 
 
-def size_class(n: int) -> int:
-    """Largest value of a geometric grid (ratio about 1.2) that is not over n."""
-    g = 1
-    while max(g + 1, g * 6 // 5) <= n:
-        g = max(g + 1, g * 6 // 5)
-    return g
-
-
 def stride_for(m: int) -> int:
-    """Start distance of text windows for an item of m words: a power of two, a third of m or less, 16 at most."""
+    """Start distance of text windows for an item of m words: a power of two, a third of m or less, 64 at most."""
     s = 1
-    while s < 16 and 2 * s <= m // 3:
+    while s < 64 and 2 * s <= m // 3:
         s *= 2
     return s
 
 
+def window_size(m: int) -> int:
+    """Words of a window for an item of m words: 3s words, the smallest item of its stride, less the play."""
+    s = stride_for(m)
+    return m if s == 1 else 2 * s + 1
+
+
 class Sampler:
     """Sampled steps and random bits of every table; the same for texts and items."""
 
@@ -116,27 +109,40 @@ class Sampler:
         picked = sorted(rng.choice(span - (count - 1) * gap, count, replace=False).tolist())
         return [step + k * gap for k, step in enumerate(picked)]
 
-    def keys(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: list[int], table: int) -> dict[int, np.ndarray]:
-        """For each window size: the keys of the windows at ``starts`` (no word at ``ends`` or later is read)."""
-        wanted = defaultdict(list)
-        for n in sizes:
-            for j in self.steps(table, n):
-                wanted[j].append(n)
-        keys = {n: np.full(len(starts), np.uint64((table + 1) * 1_000_003 + n), dtype=np.uint64) for n in sizes}
-        at = starts.astype(np.int64)
-        padded = np.append(words, np.zeros(max(wanted) + 2, dtype=np.uint64))
-        word, bits = np.empty(len(at), dtype=np.uint64), None
-        for j in range(max(wanted) + 1):
-            if j % 60 == 0:
-                bits = _mix(padded, (self.seed << 32) + table * 64 + j // 60 + 1) >> np.uint64(4)
-            for n in wanted.get(j, ()):
-                seen = np.where(at < np.minimum(starts + n, ends), padded[at], np.uint64(0))
-                keys[n] = _mix(keys[n] + seen, j + 1)
-            np.take(bits, at, out=word)
-            np.right_shift(word, np.uint64(j % 60), out=word)
-            np.bitwise_and(word, np.uint64(1), out=word)
-            at += word.view(np.int64)
-        return keys
+    def bits(self, words: np.ndarray, table: int, block: int) -> np.ndarray:
+        """Random bits of each word for the steps of one block, the first step's bit highest."""
+        factor = int(np.random.default_rng([self.seed, table, block, 1]).integers(0, 1 << 63)) * 2 + 1
+        return words * np.uint64(factor)  # modulo 2^64; word hashes are random, so the high bits are
+
+    def walk(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, table: int, meets: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Walk the windows of n words at ``starts`` (no word at ``ends`` or later is read) to the last sampled step.
+
+        Returns the windows that went all the way and the key at each sampled step; with ``meets``, bitmaps
+        of the keys that are looked for at each sampled step, windows stop where they meet none of them
+        (only the last keys are returned).
+        """
+        steps = self.steps(table, n)
+        own = np.arange(len(starts))
+        at, stop = starts.astype(np.int64), np.minimum(starts + n, ends)
+        key = np.full(len(starts), np.uint64((table + 1) * 1_000_003 + n), dtype=np.uint64)
+        padded = np.append(words, np.zeros(steps[-1] + 2, dtype=np.uint64))
+        keys, bits = [], None
+        for j in range(steps[-1] + 1):
+            if j % BLOCK_BITS == 0:
+                bits = self.bits(padded, table, j // BLOCK_BITS)
+            if j in steps:
+                key = _mix(key + np.where(at < stop, padded[at], np.uint64(0)), j + 1)
+                if meets is None:
+                    keys.append(key)
+                else:
+                    hit = np.flatnonzero(meets[steps.index(j)][(key & np.uint64(_BITMAP - 1)).astype(np.int64)])
+                    own, at, stop, key = own[hit], at[hit], stop[hit], key[hit]
+            if j < steps[-1]:
+                word = bits[at]
+                word >>= np.uint64(63 - j % BLOCK_BITS)
+                word &= np.uint64(1)
+                at += word.view(np.int64)
+        return own, keys if meets is None else [key]
 
 
 def edit_distance_within(masks: dict[int, int], m: int, region: list[int]) -> int:
@@ -176,6 +182,8 @@ class Index:
         self.items, self.max_ratio = items, max_ratio
         self.sampler = Sampler(tables, samples)
         self.groups: dict[int, list[int]] = defaultdict(list)  # stride -> window sizes
+        #: Which keys (by their low bits) some item's window has at its first, second, ... sampled step.
+        self.meets = [np.zeros(_BITMAP, dtype=bool) for _ in range(samples)]
         rows = [[], [], []]
         by_size = defaultdict(list)
         for i, words in enumerate(items):
@@ -183,7 +191,7 @@ class Index:
             for part in np.array_split(words, max(1, -(-len(words) // PART))):
                 if len(part):
                     s = stride_for(len(part))
-                    n = size_class(len(part) - s + 1)
+                    n = window_size(len(part))
                     by_size[s, n].append((i, first, part))
                 first += len(part)
         for (s, n), own in sorted(by_size.items(), key=lambda group: group[0]):
@@ -196,14 +204,15 @@ class Index:
             item = np.concatenate([np.full(len(o), i) for (i, _, _), o in zip(own, offsets)])
             offset = np.concatenate([first + o for (_, first, _), o in zip(own, offsets)])
             for t in range(tables):
-                rows[0].append(self.sampler.keys(line, starts, ends, [n], t)[n])
+                _, keys = self.sampler.walk(line, starts, ends, n, t)
+                for level, key in enumerate(keys):
+                    self.meets[level][(key & np.uint64(_BITMAP - 1)).astype(np.int64)] = True
+                rows[0].append(keys[-1])
                 rows[1].append(item)
                 rows[2].append(offset)
         keys, item, offset = (np.concatenate(r) if r else np.empty(0, np.int64) for r in rows)
         order = np.argsort(keys, kind="stable")
         self.key, self.item, self.offset = keys[order].astype(np.uint64), item[order], offset[order]
-        self.bitmap = np.zeros(_BITMAP, dtype=bool)
-        self.bitmap[(self.key & np.uint64(_BITMAP - 1)).astype(np.int64)] = True
         # a long item's masks grow with the square of its words: made for each search that meets it
         self.masks = [bit_masks(words) if len(words) <= PART else None for words in items]
 
@@ -223,10 +232,10 @@ class Index:
                 base, stop = int(a[0]), min(int(z[-1]), int(a[-1]) + 2 * max(sizes) + 64)
                 part = words[base:stop]
                 for t in range(self.sampler.tables):
-                    for key in self.sampler.keys(part, a - base, z - base, sizes, t).values():
-                        hit = np.flatnonzero(self.bitmap[(key & np.uint64(_BITMAP - 1)).astype(np.int64)])
-                        left = np.searchsorted(self.key, key[hit], "left")
-                        count = np.searchsorted(self.key, key[hit], "right") - left
+                    for n in sizes:
+                        hit, (key,) = self.sampler.walk(part, a - base, z - base, n, t, self.meets)
+                        left = np.searchsorted(self.key, key, "left")
+                        count = np.searchsorted(self.key, key, "right") - left
                         hit, left, count = hit[count > 0], left[count > 0], count[count > 0]
                         if len(hit):
                             at = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
@@ -259,7 +268,11 @@ class Index:
                 if long[0] != item:
                     long = item, bit_masks(self.items[item])
                 masks = long[1]
-            edits = edit_distance_within(masks, m, region.tolist())
+            region = region.tolist()
+            # every word of the item that is not edited stands in the region
+            if sum(map(masks.__contains__, region)) < m - limit:
+                continue
+            edits = edit_distance_within(masks, m, region)
             if edits <= limit:
                 if had:
                     had[0], had[1], had[2] = min(had[0], edits), had[1] + 1, place
