@@ -1067,6 +1067,7 @@ def all_sql() -> dict[str, str]:
     }
     out.update({
         "a2_dictionary": a2(), "a4_write_table": a4(), "a5_contract_roundtrip": e9(), "a7_read_events": a7(),
+        "a1_read_workbook": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "a5_statistics_document": d2(), "c11_reconcile_cases": c11_cases(), "c12_unmapped_before_mapping": c12_raw(), "c13_null_reconcile_cases": c13_cases(),
         "i4_encoded_width": i4(), "k10_ranked_measures": k10(), "k3_missing_scores": k3_missing(), "m1_growing_files": a7(),
         "a11_verify_manifest": a11(), "i1_fold_medians": i1(), "i2_standardise": i2(), "i3_most_frequent": i3(),

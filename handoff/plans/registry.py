@@ -22,6 +22,7 @@ from handoff.operators import profile as B
 from handoff.operators import validate as V
 from handoff.config import Config
 from handoff.plans import views
+from handoff.sources import workbook
 from handoff.plans.kept import kept_per_input
 from handoff.plans.views import SNAPSHOT_CONFIG as CFG
 from handoff.session import reliable_checkpoint
@@ -753,6 +754,14 @@ def a11_verify_manifest(spark, sf):
     return A.verify_manifest(listed, A.file_digests(spark, f"{folder}/*.txt"), required=[*lines, "region"])
 
 
+def a1_read_workbook(spark, sf):
+    """A1: the customers as a sheet of a workbook, read back by row ranges."""
+    path = f"{A.scratch_path(spark, 'workbook')}/customers.xlsx"
+    df = t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    workbook.write_workbook(df, path, "customers", order_by=["c_custkey"])
+    return workbook.read_workbook(spark, path, "customers", schema=df.schema, range_rows=500)
+
+
 def a5_statistics_document(spark, sf):
     """A5: a document of statistics written as sorted JSON lines, and read back."""
     path, rows = A.scratch_path(spark, "statistics"), d2_rate_by_category(spark, sf)
