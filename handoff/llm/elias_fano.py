@@ -183,6 +183,18 @@ class Encoder:
         """Id bytes of each whole text, the end id last."""
         if not self.by_word:
             return [ids.tobytes() + self.end for ids in self._encode(texts)]
+        later = self.later.__getitem__
+        return [b"".join([self.first[c[0]], *map(later, c[1:]), self.end]) for c in self._cut(texts)]
+
+    def lengths(self, texts: list[str]) -> list[int]:
+        """Number of ids of each whole text, the end id counted."""
+        if not self.by_word:
+            return [len(ids) + 1 for ids in self._encode(texts)]
+        later = self.later.__getitem__
+        return [(len(self.first[c[0]]) + sum(map(len, map(later, c[1:])))) // self.width + 1 for c in self._cut(texts)]
+
+    def _cut(self, texts: list[str]) -> list[list[str]]:
+        """The texts' words, all of them learned."""
         cut = [_CUT.split(t) if _BLANK_BEFORE_BLANK.search(t) else t.split(" ") for t in texts]
         if len(self.first) + len(self.later) > KEPT:
             self.first.clear()
@@ -190,8 +202,7 @@ class Encoder:
         self._learn([w for w in {c[0] for c in cut} if w not in self.first], "", self.first)
         words = set().union(*[c[1:] for c in cut]) if cut else set()
         self._learn([w for w in words if w not in self.later], " ", self.later)
-        later = self.later.__getitem__
-        return [b"".join([self.first[c[0]], *map(later, c[1:]), self.end]) for c in cut]
+        return cut
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}

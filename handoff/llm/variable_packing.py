@@ -56,9 +56,9 @@ def token_length(tokenizer: str, text_col: str = "text") -> Column:
             held.append(text.as_py() or "")
             chars += len(held[-1])
             if chars >= HELD_CHARS:
-                out += [len(ids) // enc.width for ids in enc.encode(held)]
+                out += enc.lengths(held)
                 held, chars = [], 0
-        return pa.array(out + [len(ids) // enc.width for ids in enc.encode(held)], pa.int64())
+        return pa.array(out + enc.lengths(held), pa.int64())
 
     return F.arrow_udf(run, "long")(F.col(text_col).cast("string"))
 
@@ -114,8 +114,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     bin_size, bin_used and offset of its place."""
     largest = max(sizes)
     length = byte_length() if length is None else length
-    rows = docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("length")).where("length > 0")
-    rows = write_shared(rows, "lengths").withColumn("row", F.monotonically_increasing_id())
+    # written before it is filtered: a filter on the length would have it computed twice
+    rows = write_shared(docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("length")), "lengths")
+    rows = rows.where("length > 0").withColumn("row", F.monotonically_increasing_id())
     pieces = rows.select("doc_id", "row", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {largest}"))).alias("piece"))
     n = rows.agg(F.sum(F.expr(f"(length - 1) div {largest} + 1"))).first()[0] or 0
     groups = max(1, -(-n // group_pieces))
