@@ -8,8 +8,8 @@ conversation that fits the budget whole is one window.
 
 A window holds, in order: the conversation's leading system turn, the turns just before the window
 (whole turns within ``history`` tokens and within what the budget leaves beside system turn and new
-turns), and its new turns. So a window outgrows its budget only if it has one new turn, no history, and
-this turn and the system turn outgrow it. The loss mask covers the texts of new assistant turns only,
+turns), and its new turns. So a window outgrows its budget only if it has no history and its system turn
+and one new turn, or its system turn alone, outgrow it. The loss mask covers the texts of new assistant turns only,
 so every assistant text is a target once, however often it is repeated as history. The size of a cell
 is what system turn and history leave, a quarter of the budget at least as far as the system turn allows.
 
