@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from handoff.functions.columns import knuth_hash, strip_text
+from handoff.functions.columns import knuth_hash
 from handoff.operators import clean as C
 from handoff.operators import contract as E
 from handoff.operators import faults as G

@@ -31,7 +31,7 @@ from handoff.plans import blocks as B
 from handoff.plans import boosting, forest, logistic
 from handoff.plans.blocks import Layout, PrepStats, folder_of, open_table, read_block
 from handoff.plans.models import FittedModel, Inputs, logistic_table, score  # noqa: F401
-from handoff.session import reliable_checkpoint, write_shared
+from handoff.session import write_shared
 
 
 # ---------------------------------------------------------------- I: preprocessing
@@ -267,7 +267,8 @@ def permutation_importance(run: TrainingRun, variant: str, n_repeats: int = 5, s
     The blocks hold the rows in the order of a seeded hash. Repeat r gives the row at position p the
     column's value of the row at (p + shift of r) mod n: a permutation of all rows, whose donors of one
     block lie in two or three others, which the task reads from the shared folder. So no row is copied
-    or shuffled; a task sends on counts by (column, repeat, score, label) of its rows, nothing else.
+    or shuffled: tasks get numbers of blocks and repeats, and send on counts by (column, repeat, score,
+    label), nothing else.
     """
     layout, blocks = run.layout, run.blocks
     model = run.model(variant)
@@ -281,13 +282,15 @@ def permutation_importance(run: TrainingRun, variant: str, n_repeats: int = 5, s
     folder = folder_of(blocks)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: OrderedDict[int, tuple[np.ndarray, np.ndarray]] = OrderedDict()
+        held: OrderedDict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = OrderedDict()
 
-        def values(i: int) -> tuple[np.ndarray, np.ndarray]:
+        def values(i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Numbers, filled codes and labels of a block."""
             if i not in held:
-                row = open_table(folder).to_table(columns=["numbers", "codes"], filter=pc.field("place") == int(place[i])).to_pylist()[0]
+                row = open_table(folder).to_table(columns=["numbers", "codes", "y"], filter=pc.field("place") == int(place[i])).to_pylist()[0]
                 codes = np.frombuffer(row["codes"], np.uint16).reshape(-1, width)
-                held[i] = np.frombuffer(row["numbers"]).reshape(len(codes), -1), np.where(codes == B.MISSING, fill, codes).astype(np.int64)
+                numbers, y = np.frombuffer(row["numbers"]).reshape(len(codes), -1), np.frombuffer(row["y"], np.uint8)
+                held[i] = numbers, np.where(codes == B.MISSING, fill, codes).astype(np.int64), y
                 while len(held) > 4:
                     held.popitem(last=False)
             return held[i]
@@ -298,7 +301,7 @@ def permutation_importance(run: TrainingRun, variant: str, n_repeats: int = 5, s
             while n:
                 i = int(np.searchsorted(ends, first, side="right"))
                 take = min(n, int(ends[i]) - first)
-                numbers, codes = values(i)
+                numbers, codes, _ = values(i)
                 at = first - int(starts[i])
                 parts.append((numbers[at: at + take], codes[at: at + take]))
                 n, first = n - take, (first + take) % total
@@ -311,21 +314,23 @@ def permutation_importance(run: TrainingRun, variant: str, n_repeats: int = 5, s
                  pa.array(pairs[0]), pa.array(n)], names=["feature", "rep", "y", "proba", "n"])
 
         for batch in batches:
-            for own, y_bytes in zip(batch.column("place").to_pylist(), batch.column("y").to_pylist()):
+            for own, repeat in zip(batch.column("place").to_pylist(), batch.column("rep").to_pylist()):
                 i = int(np.searchsorted(place, own))
-                y = np.frombuffer(y_bytes, np.uint8)
-                numbers, codes = values(i)
-                yield counts("", 0, y, scorer.proba(numbers, codes))
-                for repeat, shift in enumerate(shifts):
-                    other_numbers, other_codes = donors((int(starts[i]) + shift) % total, len(y))
-                    for j, c in enumerate(columns):
-                        swapped, swapped_codes = numbers.copy(), codes.copy()
-                        swapped_codes[:, j] = other_codes[:, j]
-                        if j < numeric:
-                            swapped[:, j] = other_numbers[:, j]
-                        yield counts(c, repeat, y, scorer.proba(swapped, swapped_codes))
-
-    scored = blocks.select("place", "y").mapInArrow(task, "feature string, rep int, y int, proba double, n long")
+                numbers, codes, y = values(i)
+                if repeat < 0:  # the rows as they are
+                    yield counts("", 0, y, scorer.proba(numbers, codes))
+                    continue
+                other_numbers, other_codes = donors((int(starts[i]) + shifts[repeat]) % total, len(y))
+                for j, c in enumerate(columns):
+                    swapped, swapped_codes = numbers.copy(), codes.copy()
+                    swapped_codes[:, j] = other_codes[:, j]
+                    if j < numeric:
+                        swapped[:, j] = other_numbers[:, j]
+                    yield counts(c, repeat, y, scorer.proba(swapped, swapped_codes))
+
+    work = blocks.select("place", F.explode(F.sequence(F.lit(-1), F.lit(n_repeats - 1))).alias("rep"))
+    tasks = max(1, min(len(place) * (n_repeats + 1), 8 * blocks.sparkSession.sparkContext.defaultParallelism))
+    scored = work.repartition(tasks, "place", "rep").mapInArrow(task, "feature string, rep int, y int, proba double, n long")
     aucs = write_shared(K.roc_auc(scored, group_by=["feature", "rep"], weight="n"), "importance")
     base = aucs.where(F.col("feature") == "").first()["roc_auc"]  # one row
     return aucs.where(F.col("feature") != "").groupBy("feature").agg((F.lit(base).cast("double") - F.avg("roc_auc")).alias("importance")).orderBy(
