@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from handoff.llm import cgk_decontam, chat_windows, ctw_scoring, elias_fano, hd_langid, hilbert_shards, hyperplane_dedup, lexical_search, license_templates, simhash_blocks, source_divergence, toxicity_fst, variable_packing
+from handoff.llm import (
+    cgk_decontam,
+    chat_windows,
+    ctw_scoring,
+    elias_fano,
+    hd_langid,
+    hilbert_shards,
+    hyperplane_dedup,
+    lexical_search,
+    license_templates,
+    simhash_blocks,
+    source_divergence,
+    toxicity_fst,
+    variable_packing,
+)
 from handoff.llm.common import id_remainder, shared_path, table
 
 
