@@ -85,9 +85,15 @@ def main():
         def flagship():
             registry.f_validate_unit_change(spark, sf_dir).collect()
 
+        def training():
+            registry.j5_cross_validate(spark, sf_dir).collect()
+            registry.k9_permutation_importance(spark, sf_dir).collect()
+
         steps = [("profile", profile), ("clean", clean), ("contract", contract), ("validate", validate),
                  ("outcome", outcome), ("features", features), ("evaluation", evaluation),
                  ("run_history", run_history), ("flagship_validate_fault", flagship)]
+        if os.environ.get("BENCH_TRAINING"):  # three families, five folds and the refit, importance: full settings
+            steps.append(("training", training))
         return steps
 
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
