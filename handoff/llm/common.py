@@ -78,9 +78,14 @@ def _word_bytes(digits: bool) -> bytes:
 _WITH_DIGITS, _LETTERS = _word_bytes(True), _word_bytes(False)
 
 
+def word_table(digits: bool = True) -> bytes:
+    """The translation table by which ``ascii_words`` parts words."""
+    return _WITH_DIGITS if digits else _LETTERS
+
+
 def ascii_words(text: bytes, digits: bool = True) -> list[bytes]:
     """Words of ASCII letters (lower-cased), characters above 0x7F and, if asked, digits; all else parts them."""
-    return text.translate(_WITH_DIGITS if digits else _LETTERS).split()
+    return text.translate(word_table(digits)).split()
 
 
 def quoted(name: str) -> str:

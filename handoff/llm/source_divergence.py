@@ -9,16 +9,20 @@ source; ``term`` rows list the terms a source has more of than its language.
 Late string materialization:
 
 * one pass over the texts counts words per task and group and writes (group, 64-bit digest of the term,
-  occurrences, documents, term) once; all counting afterwards reads and shuffles the digest alone;
-* per digest the smallest and the largest string are kept. Where they differ, two terms share the
-  digest: such digests (only those) are split by their strings into numbered ones and counted anew;
+  occurrences, documents, term) once; all counting afterwards reads and shuffles the digest alone: once by
+  group and digest, once by language and digest;
+* of every digest that enough documents hold, the smallest and the largest string are kept. Where they
+  differ, two terms share the digest: such digests (only those) are split by their strings into numbered
+  ones and counted anew;
 * the strings are joined back to the rows that are kept for the report, and to nothing else.
 
 Hot groups are counted within each task before any shuffle, so a source or a word that holds a third of
 all rows is one row per task. Terms that a source lacks are never written out: a pair's sum is that of
-two empty sources, corrected by how often each count occurs in one source and in both together. The top
-of a group is found by a window whose limit is pushed below its shuffle; rows that tie at the limit are
-compared by their strings the same way.
+two empty sources, corrected by how often each count occurs in one source, and by the terms that both
+hold. These are summed within tasks: a term's counts in the sources of its language meet as arrays, and a
+task adds them up by pair of sources, in tiles of a bounded number of sources. The top of a group is found
+by a window whose limit is pushed below its shuffle; rows that tie at the limit are compared by their
+strings the same way.
 
 Defined cases: null text, lang and source are ''. Groups without any term have rows in ``pair`` like
 any other; where a language keeps no term the value is 0. A language with one source has no ``pair``
@@ -27,70 +31,100 @@ rows. Repeated rows are documents of their own. Extra columns are not read. An e
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from handoff.llm.common import ascii_words, quoted, text_bytes, write_shared
+from handoff.llm.common import quoted, runs_of_equal, text_bytes, whole_groups, write_shared
+from handoff.llm.word_hashes import BATCH_BYTES, Counts, count_long_text, count_words, merged, mixed
 
 #: Fixed number of the shares.
 SCALE = 1_000_000_000
 #: Terms a task holds before it writes its counts.
-HELD_TERMS = 300_000
+HELD_TERMS = 800_000
+#: Sources of one tile of sums, tiles a task holds, and the bit at which sums are held in two halves (no overflow).
+TILE, HELD_TILES, SPLIT = 256, 64, 20
+#: Pairs of rows that a task adds up at a time.
+PAIRS = 1_000_000
 TERM = ["digest", "part"]
-
-
-def _digest(term: bytes, bits: int) -> int:
-    """Signed 64-bit digest; fewer bits only to provoke collisions in tests."""
-    value = xxh64_intdigest(term) & ((1 << bits) - 1)
-    return value - (1 << 64) if value >> 63 else value
+NAMES = ["lang", "source", "digest", "n", "docs", "term"]
 
 
 def group_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """(lang, source, digest, n, docs, term) counted within tasks; one row without a digest per group seen."""
+    """(lang, source, digest, n, docs, term) counted within tasks; one row without a digest per group seen.
+
+    ``bits`` below 64 cuts the digests, to provoke collisions in tests.
+    """
+    mask = np.uint64((1 << bits) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        numbers: dict[tuple[str, str], int] = {}
+        held: list[Counts] = []
 
         def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, in_docs) in held.items():
-                terms = [None, *n]
-                digests = pa.array([None, *(_digest(t, bits) for t in n)], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(terms)), pa.array([source] * len(terms)), digests, pa.array([0, *n.values()], pa.int64()),
-                     pa.array([0, *(in_docs[t] for t in n)], pa.int64()), pa.array(terms, pa.binary()).cast(pa.string())],
-                    names=["lang", "source", "digest", "n", "docs", "term"])
+            c = merged(held)
+            order = np.argsort(c.group, kind="stable")  # a group's rows together: its names take no room
+            lang, source = (pa.array([g[k] for g in numbers], pa.string()).take(pa.array(c.group[order])) for k in (0, 1))
+            digest = (mixed(c.hash[order]) & mask).view(np.int64)
+            terms = c.terms().take(pa.array(order)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([lang, source, pa.array(digest), pa.array(c.n[order]), pa.array(c.docs[order]), terms], names=NAMES)
             held.clear()
 
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            texts, groups, size = [], [], 0
             for lang, source, text in zip(langs, sources, text_bytes(batch.column("text"))):
-                n, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
-                words = ascii_words(text, digits=False)
-                n.update(words)
-                in_docs.update(set(words))
-            if sum(len(n) + 1 for n, _ in held.values()) > HELD_TERMS:
-                yield from out()
-        yield from out()
+                group = numbers.setdefault((lang, source), len(numbers))
+                if len(text) > BATCH_BYTES:
+                    held.append(count_long_text(text, group))
+                else:
+                    texts.append(text)
+                    groups.append(group)
+                    size += len(text)
+                    if size > BATCH_BYTES:
+                        held.append(count_words(texts, groups))
+                        texts, groups, size = [], [], 0
+                if sum(map(len, held)) > HELD_TERMS:
+                    held[:] = [merged(held)]
+                    if len(held[0]) > HELD_TERMS // 2:
+                        yield from out()
+            if texts:
+                held.append(count_words(texts, groups))
+        if held:
+            yield from out()
+        if numbers:
+            none = [pa.nulls(len(numbers), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())]
+            yield pa.RecordBatch.from_arrays([*(pa.array([g[k] for g in numbers], pa.string()) for k in (0, 1)), *none], names=NAMES)
 
     return docs.mapInArrow(count, "lang string, source string, digest long, n long, docs long, term string")
 
 
-def _names(counted: DataFrame, possible: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(digest, part, term) of the digests that may be kept, and the split of those that two terms share."""
-    ends = counted.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    ends = write_shared(ends.join(possible, "digest", "left_semi"), "strings")
-    one = ends.where("low = high").select("digest", F.lit(0).alias("part"), F.col("low").alias("term"))
+def _kept(counted: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, digest, part, n, lang_n) of the digests that enough documents of a language hold."""
+    sums = counted.groupBy("lang", "source", *TERM).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("lang", *TERM)  # at most one row for each source of the language
+    sums = sums.select("lang", "source", *TERM, "n", F.sum("n").over(whole).alias("lang_n"), F.sum("docs").over(whole).alias("docs"))
+    return sums.where(F.col("docs") >= min_docs).drop("docs")
+
+
+def _names(counted: DataFrame, kept: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(digest, part, term) of the kept digests, and the kept rows with the digests that two terms share split."""
+    ends = counted.join(kept.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(
+        F.min("term").alias("low"), F.max("term").alias("high"))
+    ends = write_shared(ends, "strings")
+    names = ends.where("low = high").select("digest", F.lit(0).alias("part"), F.col("low").alias("term"))
     shared = ends.where("low <> high").select("digest")
     if shared.isEmpty():
-        return one, None
-    terms = counted.join(shared, "digest", "left_semi").select("digest", "term").distinct()
-    split = write_shared(terms.withColumn("part", F.row_number().over(Window.partitionBy("digest").orderBy("term"))), "split")
-    return one.unionByName(split.select("digest", "part", "term")), split
+        return names, kept
+    rows = counted.drop("part").join(shared, "digest", "left_semi")
+    number = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
+    split = write_shared(rows.select("digest", "term").distinct().withColumn("part", number), "split")
+    again = _kept(rows.join(split, ["digest", "term"]), min_docs)
+    kept = write_shared(kept.join(shared, "digest", "left_anti").unionByName(again), "kept")
+    return names.unionByName(split.select("digest", "part", "term")), kept
 
 
 def _share(count: Column | str, total: Column | str, kept: Column | str) -> Column:
@@ -116,15 +150,8 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     seen = written.select("lang", "source").distinct()
     counted = written.where(F.col("digest").isNotNull())
 
-    by_digest = counted.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    names, split = _names(counted, by_digest.select("digest").distinct())
-    digests = counted.withColumn("part", F.lit(0))
-    if split is not None:
-        digests = counted.join(split.withColumnRenamed("part", "other"), ["digest", "term"], "left").withColumn(
-            "part", F.coalesce("other", F.lit(0)))
-    sums = digests.groupBy("lang", "source", *TERM).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    kept = sums.groupBy("lang", *TERM).agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    counts = write_shared(sums.drop("docs").join(kept.drop("docs"), ["lang", *TERM]), "kept")
+    counted = counted.withColumn("part", F.lit(0))
+    names, counts = _names(counted, write_shared(_kept(counted, min_docs), "kept"), min_docs)
 
     sizes = counts.select("lang", *TERM, "lang_n").distinct().groupBy("lang").agg(
         F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
@@ -154,17 +181,78 @@ def _pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
     right = pairs.join(spread.select("lang", F.col("source").alias("item"), F.col("n").alias("y"), "terms"), ["lang", "item"]).select(
         *sides, (_big(F.col("terms")) * _big(_apart(p0, q) - _apart(p0, q0))).alias("value"))
 
-    mine = counts.select("lang", *TERM, "source", F.col("n").alias("x"))
-    theirs = counts.select("lang", *TERM, F.col("source").alias("item"), F.col("n").alias("y"))
-    both = mine.join(theirs, ["lang", *TERM]).where("source <> item").groupBy(*sides, "x", "y").agg(F.count(F.lit(1)).alias("terms"))
-    both = both.join(pairs, sides).select(
-        *sides, (_big(F.col("terms")) * (_big(_apart(p, q)) - _big(_apart(p, q0)) - _big(_apart(p0, q)) + _big(_apart(p0, q0)))).alias("value"))
-
+    both = _both(counts, groups)
     total = base.unionByName(left).unionByName(right).unionByName(both).groupBy(*sides).agg(F.sum("value").cast("long").alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     return total.select("lang", "source", F.lit("pair").alias("part"), "item", "value", rank.alias("rank"))
 
 
+def _both(counts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(lang, source, item, value): over the terms that both sources hold, what f adds to the sums that
+    take one of the two counts as 0."""
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    numbered = write_shared(groups.select("lang", "source", "total", "v", order.alias("no")), "numbered")
+    key = ["lang", *TERM]
+    rows = counts.join(numbered, ["lang", "source"]).select(*key, "no", "n", "total", "v")
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "no")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int, int], np.ndarray] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for (lang, a, b), tile in sums.items():
+                tile = tile.reshape(2, TILE, TILE)
+                x, y = np.nonzero(tile.any(axis=0))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(x)), pa.array(a * TILE + x, pa.int32()), pa.array(b * TILE + y, pa.int32()),
+                     pa.array(tile[0, x, y]), pa.array(tile[1, x, y])], names=["lang", "a", "b", "high", "low"])
+            sums.clear()
+
+        for t in whole_groups(batches, key):
+            lang = t.column("lang").combine_chunks().dictionary_encode()
+            lang, langs = lang.indices.to_numpy(), lang.dictionary.to_pylist()
+            digest, part, no, n, total, v = (t.column(c).to_numpy().astype(np.int64) for c in ("digest", "part", "no", "n", "total", "v"))
+            p, zero = 1 + SCALE * (n + 1) // (total + v), 1 + SCALE // (total + v)
+            starts = runs_of_equal(lang, digest, part)
+            size = np.diff(starts)
+            for left, right in row_pairs(np.repeat(starts[:-1], size), np.repeat(size, size)):
+                pa_, qa, pb, qb = p[left], zero[left], p[right], zero[right]
+                more = (pa_ - pb) ** 2 // pb - (pa_ - qb) ** 2 // qb - (qa - pb) ** 2 // pb + (qa - qb) ** 2 // qb
+                a, b = no[left], no[right]
+                across = int(no.max()) // TILE + 1  # tiles in a row
+                tile = (lang[left].astype(np.int64) * across + a // TILE) * across + b // TILE
+                one = tile[0] == tile[-1] and (tile == tile[0]).all()
+                for at in tile[:1].tolist() if one else np.unique(tile).tolist():
+                    own = slice(None) if one else np.flatnonzero(tile == at)
+                    name = langs[at // across // across], at // across % across, at % across
+                    if name not in sums:
+                        if len(sums) >= HELD_TILES:
+                            yield from out()
+                        sums[name] = np.zeros((2, TILE * TILE), dtype=np.int64)
+                    where = a[own] % TILE * TILE + b[own] % TILE
+                    np.add.at(sums[name][0], where, more[own] >> SPLIT)
+                    np.add.at(sums[name][1], where, more[own] & ((1 << SPLIT) - 1))
+        yield from out()
+
+    found = rows.mapInArrow(run, "lang string, a int, b int, high long, low long").where("a <> b")
+    found = found.groupBy("lang", "a", "b").agg((F.sum(_big(F.col("high"))) * F.lit(1 << SPLIT) + F.sum(_big(F.col("low")))).alias("value"))
+    named = numbered.select("lang", "source", "no")
+    found = found.join(named.withColumnRenamed("no", "a"), ["lang", "a"])
+    return found.join(named.select("lang", F.col("source").alias("item"), F.col("no").alias("b")), ["lang", "b"]).select("lang", "source", "item", _big(F.col("value")).alias("value"))
+
+
+def row_pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every row with every row of its run (which starts at ``starts`` and has ``sizes`` rows), a bounded number at a time."""
+    upto = np.cumsum(sizes)
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PAIRS, side="right")))
+        left = np.repeat(np.arange(i, j), sizes[i:j])
+        before = np.repeat(upto[i:j] - sizes[i:j], sizes[i:j]) - (upto[i - 1] if i else 0)
+        yield left, np.repeat(starts[i:j], sizes[i:j]) + np.arange(len(left)) - before
+        i = j
+
+
 def _terms(counts: DataFrame, groups: DataFrame, names: DataFrame, top: int) -> DataFrame:
     """The terms that a source has more of than its language, to rank ``top``; strings joined to these rows only."""
     group = ["lang", "source"]
