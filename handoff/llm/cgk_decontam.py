@@ -347,7 +347,7 @@ def matches(index: Index, text: Column) -> Column:
     return F.arrow_udf(run, "array<struct<item:int,edits:int,places:int>>")(text.cast("string"))
 
 
-def indexes(items: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.95,
+def indexes(items: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", recall: float = 0.98,
             design_ratio: float | None = None, max_ratio: float = 0.2) -> Iterator[tuple[list, Index]]:
     """Each block's item ids and index."""
     for block in item_blocks(items, item_id_col, item_text_col):
