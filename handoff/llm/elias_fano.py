@@ -186,17 +186,17 @@ class Encoder:
         later = self.later.__getitem__
         return [b"".join([self.first[c[0]], *map(later, c[1:]), self.end]) for c in self._cut(texts)]
 
-    def lengths(self, texts: list[str]) -> list[int]:
-        """Number of ids of each whole text, the end id counted."""
+    def lengths(self, texts: list[str], kept: int = 200_000) -> list[int]:
+        """Number of ids of each whole text, the end id counted; at most about ``kept`` words stay in memory."""
         if not self.by_word:
             return [len(ids) + 1 for ids in self._encode(texts)]
         later = self.later.__getitem__
-        return [(len(self.first[c[0]]) + sum(map(len, map(later, c[1:])))) // self.width + 1 for c in self._cut(texts)]
+        return [(len(self.first[c[0]]) + sum(map(len, map(later, c[1:])))) // self.width + 1 for c in self._cut(texts, kept)]
 
-    def _cut(self, texts: list[str]) -> list[list[str]]:
+    def _cut(self, texts: list[str], kept: int = KEPT) -> list[list[str]]:
         """The texts' words, all of them learned."""
         cut = [_CUT.split(t) if _BLANK_BEFORE_BLANK.search(t) else t.split(" ") for t in texts]
-        if len(self.first) + len(self.later) > KEPT:
+        if len(self.first) + len(self.later) > kept:
             self.first.clear()
             self.later.clear()
         self._learn([w for w in {c[0] for c in cut} if w not in self.first], "", self.first)

@@ -37,7 +37,7 @@ from handoff.llm.common import write_shared
 SIZES = (1024, 2048, 4096, 8192, 16384)
 BIN_COST = 64
 #: Characters encoded at a time.
-HELD_CHARS = 1_000_000
+HELD_CHARS = 400_000
 
 
 def byte_length(text_col: str = "text") -> Column:
