@@ -186,7 +186,7 @@ class Encoder:
         later = self.later.__getitem__
         return [b"".join([self.first[c[0]], *map(later, c[1:]), self.end]) for c in self._cut(texts)]
 
-    def lengths(self, texts: list[str], kept: int = 200_000) -> list[int]:
+    def lengths(self, texts: list[str], kept: int = KEPT) -> list[int]:
         """Number of ids of each whole text, the end id counted; at most about ``kept`` words stay in memory."""
         if not self.by_word:
             return [len(ids) + 1 for ids in self._encode(texts)]

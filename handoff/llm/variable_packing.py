@@ -37,7 +37,7 @@ from handoff.llm.common import write_shared
 SIZES = (1024, 2048, 4096, 8192, 16384)
 BIN_COST = 64
 #: Characters encoded at a time.
-HELD_CHARS = 400_000
+HELD_CHARS = 1_000_000
 
 
 def byte_length(text_col: str = "text") -> Column:
@@ -45,8 +45,11 @@ def byte_length(text_col: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long") + 1
 
 
-def token_length(tokenizer: str, text_col: str = "text") -> Column:
-    """Ids of a tokenizer of the tokenizers library, without special ones, and the end id."""
+def token_length(tokenizer: str, text_col: str = "text", kept: int = 1_000_000) -> Column:
+    """Ids of a tokenizer of the tokenizers library, without special ones, and the end id.
+
+    A task keeps the ids of about ``kept`` words: fewer take less memory and more time.
+    """
 
     def run(texts: pa.Array) -> pa.Array:
         from handoff.llm.elias_fano import encoder
@@ -56,9 +59,9 @@ def token_length(tokenizer: str, text_col: str = "text") -> Column:
             held.append(text.as_py() or "")
             chars += len(held[-1])
             if chars >= HELD_CHARS:
-                out += enc.lengths(held)
+                out += enc.lengths(held, kept)
                 held, chars = [], 0
-        return pa.array(out + enc.lengths(held), pa.int64())
+        return pa.array(out + enc.lengths(held, kept), pa.int64())
 
     return F.arrow_udf(run, "long")(F.col(text_col).cast("string"))
 
