@@ -21,9 +21,11 @@ KEPT_WORDS = 300_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; texts without letters and texts below the learned floors on the cosine go."""
-    prototypes = hd_langid.fit(docs)
-    return hd_langid.keep_identified(docs, prototypes, min_score=0.0, floors=hd_langid.fit_floors(docs, prototypes))
+    """Documents in a known language; texts without letters and texts below the learned floors on the cosine go.
+
+    Prototypes and floors are learned from all labelled rows.
+    """
+    return hd_langid.keep_above_floors(docs, hd_langid.fit(docs, fit_rows=None))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

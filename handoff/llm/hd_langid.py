@@ -8,8 +8,9 @@ the texts of its training rows. A text gets the language whose prototype has the
 Texts are lower-cased; letters are the Unicode letters, every run of other characters is one blank,
 and the text starts and ends with a blank. Whole texts count, in training and in prediction.
 
-Prototypes are a classifier, fitted on a bounded sample: ``fit_rows`` texts of each language are
-expected at most (a hash of the id decides, so the sample does not depend on order). Trigram counts
+Prototypes are a classifier, fitted on all labelled rows or on a bounded sample: ``fit_rows`` texts of each
+language are expected at most (a hash of the id decides, so the sample does not depend on order). Floors on
+the cosine are learned from all labelled rows; ``keep_above_floors`` scores each text once. Trigram counts
 are summed in Spark; because bundling is linear, a prototype is the count-weighted sum of trigram
 vectors, of which one partial sum per task and language is added up. The driver reads one vector
 per language.
@@ -21,20 +22,22 @@ wins. Repeated rows are rows; extra columns are not read; an empty table gives n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from handoff.llm.common import fresh_name, spread
+from handoff.llm.common import fresh_name, quoted, spread, write_shared
 
 DIM = 2048
 SEED = 20
 UNKNOWN = "und"
 #: Trigram vectors that a worker keeps (64 MB); more are computed again.
 KEPT = 1 << 15
+#: Trigrams, distinct within their texts, that a fitting task counts at a time.
+HELD_TRIGRAMS = 1 << 20
 #: The floors: texts of 2^FIRST independent trigrams and more are judged, in classes up to 2^LAST.
 FIRST, LAST, SHARE, FACTOR, LEAST_ROWS = 5, 15, 0.01, 0.4, 10
 _BLANK = 32
@@ -116,11 +119,13 @@ def vectors(dim: int = DIM, seed: int = SEED) -> Vectors:
     return _workers.setdefault((dim, seed), Vectors(dim, seed))
 
 
-def _sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, train: Column | None, fit_rows: int) -> DataFrame:
-    """(lang, text) of the rows where ``train`` holds and lang is not null, ``fit_rows`` of a language expected at most."""
+def _labelled(docs: DataFrame, text_col: str, lang_col: str, id_col: str, train: Column | None, fit_rows: int | None) -> DataFrame:
+    """(lang, text) of the rows where ``train`` holds and lang is not null: all, or ``fit_rows`` of a language expected at most."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"),
                        (F.lit(True) if train is None else train).alias("use")).where("use and lang is not null")
+    if fit_rows is None:
+        return rows.select("lang", "text")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.coalesce(spread(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(0.0))
     # one row for each language, as the model itself has
@@ -128,21 +133,29 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, train: C
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        train: Column | None = None, fit_rows: int = 5000) -> dict[str, np.ndarray]:
-    """Prototype of each language, learned from the rows where ``train`` holds and lang is not null."""
-    sample = _sample(docs, text_col, lang_col, id_col, train, fit_rows)
+        train: Column | None = None, fit_rows: int | None = 5000) -> dict[str, np.ndarray]:
+    """Prototype of each language, learned from the rows where ``train`` holds and lang is not null (None: from all of them)."""
+    sample = _labelled(docs, text_col, lang_col, id_col, train, fit_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1)
             seen: dict[str, list] = {}
-            for lang, text in zip(langs, texts):
-                seen.setdefault(lang, []).append(trigrams(text.as_py()))
-            for lang, parts in seen.items():
-                codes, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                n = np.bincount(inverse, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(n.astype(np.int64))],
-                                                 names=["lang", "gram", "n"])
+            held = 0
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = trigrams(text.as_py())
+                seen.setdefault(lang, []).append(found)
+                held += len(found[0])
+                if held >= HELD_TRIGRAMS:
+                    yield from sums(seen)
+                    seen, held = {}, 0
+            yield from sums(seen)
+
+    def sums(seen: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in seen.items():
+            codes, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            n = np.bincount(inverse, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(n.astype(np.int64))],
+                                             names=["lang", "gram", "n"])
 
     grams = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -199,11 +212,11 @@ def predicted(prototypes: dict[str, np.ndarray], text: Column) -> Column:
     return F.arrow_udf(run, "struct<lang_pred:string,score:double,size:int>")(text.cast("string"))
 
 
-def fit_floors(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-               train: Column | None = None, fit_rows: int = 5000) -> dict[str, list[float]]:
-    """For each language, the floor on the cosine by class of independent trigrams (0: not judged)."""
-    sample = _sample(docs, text_col, lang_col, id_col, train, fit_rows)
-    scored = sample.select("lang", predicted(prototypes, F.col("text")).alias("found"))
+def fit_floors(scored: DataFrame, names: Iterable[str]) -> dict[str, list[float]]:
+    """For each language, the floor on the cosine by class of independent trigrams (0: not judged).
+
+    ``scored`` holds every labelled row as (lang, found), found as of ``predicted``.
+    """
     scored = scored.where((F.col("found")["lang_pred"] != UNKNOWN) & (F.col("found")["size"] >= FIRST))
     steps = scored.groupBy("lang", F.col("found")["size"].alias("size"), F.floor(F.col("found")["score"] * 200).alias("step"))
     rows: dict[tuple[str, int], list[tuple[int, int]]] = {}
@@ -215,7 +228,7 @@ def fit_floors(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str
         if sum(n) >= LEAST_ROWS:
             own[key] = FACTOR * step[int(np.searchsorted(np.cumsum(n), SHARE * sum(n), "right"))] / 200
     floors = {}
-    for lang in prototypes:
+    for lang in names:
         floors[lang] = [0.0] * (LAST + 1)
         judged = sum(n for (name, _), steps_of in rows.items() if name == lang for _, n in steps_of) >= LEAST_ROWS
         for size in range(FIRST, LAST + 1) if judged else ():
@@ -230,13 +243,27 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
     return found.select("doc_id", "found.lang_pred", "found.score")
 
 
-def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text_col: str = "text",
-                    floors: dict[str, list[float]] | None = None) -> DataFrame:
-    """Rows whose text has a language: not ``und``, and a cosine of at least ``min_score`` and its language's floor."""
+def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a language: not ``und``, and a cosine of at least ``min_score``."""
     mark = fresh_name(docs, "_found")
-    found = docs.withColumn(mark, predicted(prototypes, F.col(text_col)))
+    return _known(docs.withColumn(mark, predicted(prototypes, F.col(text_col))), mark, min_score, {}).select(*map(quoted, docs.columns))
+
+
+def keep_above_floors(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float = 0.0, text_col: str = "text",
+                      lang_col: str = "lang") -> DataFrame:
+    """As ``keep_identified``, and a cosine of at least the floor that all labelled rows teach for the language.
+
+    The rows are written with what was predicted, so each text is scored once for the floors and the choice.
+    """
+    mark = fresh_name(docs, "_found")
+    found = write_shared(docs.withColumn(mark, predicted(prototypes, F.col(text_col))), "identified")
+    labelled = found.select(F.col(lang_col).cast("string").alias("lang"), F.col(mark).alias("found")).where("lang is not null")
+    return _known(found, mark, min_score, fit_floors(labelled, prototypes)).select(*map(quoted, docs.columns))
+
+
+def _known(found: DataFrame, mark: str, min_score: float, floors: dict[str, list[float]]) -> DataFrame:
     lang, score, size = (F.col(mark)[k] for k in ("lang_pred", "score", "size"))
     known = (lang != UNKNOWN) & (score >= min_score)
-    for name, floor in (floors or {}).items():
+    for name, floor in floors.items():
         known = known & ((lang != name) | (score >= F.array(*map(F.lit, floor))[size]))
-    return found.where(known).select(*docs.columns)
+    return found.where(known)
