@@ -1,8 +1,9 @@
 """A1 / A2: a sheet of a workbook (Office Open XML, .xlsx) as a batch source of rows.
 
 A sheet is one compressed XML stream inside the file, and the format bounds it (1,048,576 rows of 16,384
-cells). It is read as a stream: a task passes over the rows before its range and builds only its own, so
-memory is one row and the sheet's shared strings. Cells come as text, as they are stored: numbers in
+cells). It is read as a stream: a task passes over the bytes before its range and parses only its own rows, so
+memory is one row and the sheet's shared strings; there are at most ``MAX_RANGES`` ranges, so the bytes are
+passed over a bounded number of times. Cells come as text, as they are stored: numbers in
 their shortest form, booleans as true / false, errors and empty cells as null. Dates are stored as numbers.
 
 ``read_workbook`` names the columns by a header row and casts them to a schema, given or found: a column
@@ -28,6 +29,8 @@ from handoff.functions.columns import col_of
 
 #: Rows of one task's range, and rows of one Arrow batch.
 RANGE_ROWS, BATCH_ROWS = 50_000, 5_000
+#: Most ranges of a sheet, and bytes passed over at a time.
+MAX_RANGES, CHUNK = 64, 1 << 20
 ROW_SCHEMA = "line long, cells array<string>"
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -102,12 +105,54 @@ def _cell(node, strings: Sequence[str]) -> str | None:
     return value.text
 
 
+_ROW = re.compile(rb"<row\s(?:[^>]*?\s)?r=\"(\d+)\"")
+_ROOT = re.compile(rb"<worksheet\s[^>]*>")
+
+
+class _Rest:
+    """A stream with some bytes put back in front."""
+
+    def __init__(self, front: bytes, stream):
+        self._front, self._stream = front, stream
+
+    def read(self, n: int = -1) -> bytes:
+        front, self._front = self._front, b""
+        return front or self._stream.read(n)
+
+
+def from_row(stream, first: int):
+    """The sheet's stream without the rows before ``first``, found by the numbers in their tags.
+
+    None where the bytes alone do not tell: rows without a number, other tags than plain ``<row>``, comments or
+    quoted sections.
+    """
+    held, root = b"", None
+    while chunk := stream.read(CHUNK):
+        held += chunk
+        if root is None and (found := _ROOT.search(held)) and f'xmlns="{_MAIN}"'.encode() in found[0]:
+            root = held[: found.end()]
+        end = held.rfind(b">") + 1  # tags beyond may be cut
+        at = held.rfind(b"<row", 0, end)
+        rows = held.count(b"<row", 0, end)
+        plain = rows == held.count(b'<row r="', 0, end) or rows == sum(1 for _ in _ROW.finditer(held, 0, end))
+        if b"<!" in held or not plain or (root is None and len(held) > 4 * CHUNK) or (at < 0 and len(held) > 4 * CHUNK):
+            return None
+        if at >= 0 and root is None:
+            return None
+        if at >= 0 and int(_ROW.match(held, at)[1]) >= first:
+            at = next(m.start() for m in _ROW.finditer(held) if int(m[1]) >= first)
+            return _Rest(root + b"<sheetData>" + held[at:], stream)
+        held = held[at:] if at >= 0 else held
+    return _Rest(b"<worksheet/>", stream) if held.startswith(b"<row") else None
+
+
 def rows_of(path: str, sheet: str | None, first: int, last: int | None) -> Iterator[tuple[int, list[str | None]]]:
     """(row number from 1, cells) of the rows from ``first`` to ``last`` (excluded; None: to the end) that have cells."""
     fs, name = _open(path)
     with fs.open_input_file(name) as raw, zipfile.ZipFile(raw) as book:
-        strings, line = shared_strings(book), 0
-        with book.open(sheet_file(book, sheet)) as f:
+        strings, line, file = shared_strings(book), 0, sheet_file(book, sheet)
+        with book.open(file) as passed, book.open(file) as whole:
+            f = (from_row(passed, first) if first > 1 else None) or whole
             for _, node in ElementTree.iterparse(f):
                 if node.tag != f"{{{_MAIN}}}row":
                     continue
@@ -136,11 +181,13 @@ class WorkbookReader(DataSourceReader):
         self.range_rows = int(options.get("rangeRows", RANGE_ROWS))
 
     def partitions(self) -> list[Rows]:
-        """Ranges by the sheet's stated dimension; one to the end where it states none."""
+        """Ranges by the sheet's stated dimension, at most ``MAX_RANGES``; one to the end where it states none."""
         fs, name = _open(self.path)
         with fs.open_input_file(name) as raw, zipfile.ZipFile(raw) as book, book.open(sheet_file(book, self.sheet)) as f:
             stated = re.search(rb"<(?:\w+:)?dimension[^>]*ref=\"[A-Z]+\d+:[A-Z]+(\d+)\"", f.read(4096))
-        ends = list(range(self.range_rows + 1, int(stated[1]) + 1 if stated else 0, self.range_rows))
+        lines = int(stated[1]) if stated else 0
+        size = max(self.range_rows, -(-lines // MAX_RANGES))
+        ends = list(range(size + 1, lines + 1, size))
         return [Rows(a, b) for a, b in zip([1, *ends], [*ends, None])]
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
@@ -190,7 +237,7 @@ def read_workbook(spark: SparkSession, path: str, sheet: str | None = None, sche
                   null_tokens: Sequence[str] = (), range_rows: int = RANGE_ROWS) -> DataFrame:
     """A1/A3: the rows below the first row, named by it; ``schema`` gives the types, else they are found."""
     rows = sheet_rows(spark, path, sheet, range_rows)
-    head = rows.orderBy("line").first()
+    head = rows.first()  # ranges are in order, and so are a range's rows: the other ranges are not read
     if head is None:
         raise ValueError(f"the sheet of {path} is empty")
     names = [n if n is not None else f"column {column_letters(i)}" for i, n in enumerate(head["cells"])]
