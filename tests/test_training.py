@@ -319,3 +319,46 @@ def test_one_class_and_few_rows(spark):
     run = J.train_run(df, "k", "y", ["a"], ["c"], J.VARIANTS, 3, 42, J.Settings(trees=2, rounds=2))
     oof = J.out_of_fold(run, "k")
     assert oof.count() == 27 and oof.where("proba < 0 or proba > 0.5 or proba is null").count() == 0
+
+
+# ---------------------------------------------------------------- fast growing and scoring
+def test_questions_asked_row_by_row_agree_with_summed_ones(run):
+    """Candidates.best sorts rows, from_sums reads their counts: the same splits."""
+    rng = np.random.default_rng(5)
+    asks = forest.Candidates(run.layout, 42)
+    codes = np.stack([rng.integers(0, w, 400) for w in run.layout.widths], axis=1).astype(np.uint8)
+    slot, y, drawn = rng.integers(0, 9, 400), rng.integers(0, 2, 400), rng.integers(1, 12, 400)
+    row = (y << 4 | drawn).astype(np.uint8)
+    sums = np.bincount(32 * slot + row, minlength=9 * 32).reshape(9, 32) @ forest._COUNTED
+    weights = rng.random((9, 2))
+    for question in range(len(asks.column)):
+        column, category = int(asks.column[question]), int(asks.category[question])
+        which, code, left = asks.best(codes, np.arange(400) * codes.shape[1], slot, row, np.full((9, 1), question), weights, sums)
+        for node in range(9):
+            answer = codes[slot == node, column].astype(int) if category < 0 else (codes[slot == node, column] != category).astype(int)
+            label, n = y[slot == node], drawn[slot == node]
+            counts = np.stack([np.bincount(answer, minlength=256), np.bincount(answer, n * (1 - label), 256), np.bincount(answer, n * label, 256)])
+            held = np.flatnonzero(counts[0])
+            at = held if category < 0 else np.where(held == 0, category, -1)
+            found, want, _ = forest.Candidates.from_sums(at, counts[0, held].astype(int), counts[1:, held].astype(int), np.zeros(len(held), int),
+                                                         np.array([category]), weights[node][None])
+            assert (which[node] >= 0) == bool(len(found))
+            if len(found):
+                assert code[node] == (want[0] if category < 0 else 0)
+                goes = answer <= code[node]
+                rows, draws = forest.unpacked(left[node])
+                assert rows == goes.sum() and draws.tolist() == [(n * goes * (label == c)).sum() for c in (0, 1)]
+
+
+def test_a_root_beyond_the_counters_is_a_leaf(run):
+    """Rows that no question splits come whole to one task, however many: their value is exact."""
+    n = 1_200_000
+    asks = forest.Candidates(run.layout, 42)
+    codes = np.zeros((n + 8, len(run.layout.widths)), np.uint8)
+    codes[n: n + 4, 1] = 7
+    y = np.ones(n + 8, np.uint8)
+    y[n + 4:] = 0
+    part = np.append(np.zeros(n, np.int64), np.ones(8, np.int64))
+    got = list(forest.grow(asks, codes, y, np.full(n + 8, 2, np.uint8), part, np.ones((2, 2)), np.zeros(2, np.uint64), np.ones(2, np.uint64)))
+    assert [(a[0].tolist(), a[2].tolist(), a[6].tolist()) for a in got[:1]] == [([0], [-1], [1.0])]
+    assert [(a[0].tolist(), a[2].tolist(), a[6].tolist()) for a in got[1:]] == [([1], [1], [0.5]), ([1, 1], [-1, -1], [0.0, 1.0])]
