@@ -362,3 +362,39 @@ def test_a_root_beyond_the_counters_is_a_leaf(run):
     got = list(forest.grow(asks, codes, y, np.full(n + 8, 2, np.uint8), part, np.ones((2, 2)), np.zeros(2, np.uint64), np.ones(2, np.uint64)))
     assert [(a[0].tolist(), a[2].tolist(), a[6].tolist()) for a in got[:1]] == [([0], [-1], [1.0])]
     assert [(a[0].tolist(), a[2].tolist(), a[6].tolist()) for a in got[1:]] == [([1], [1], [0.5]), ([1, 1], [-1, -1], [0.0, 1.0])]
+
+
+@pytest.mark.parametrize("variant", ["random_forest", "hist_gb"])
+def test_a_swapped_column_is_not_scored_from_the_root(run, variant, monkeypatch):
+    from handoff.plans import models
+
+    _, _, numbers, codes, _ = plain_rows(run)
+    filled = np.where(codes == B.MISSING, run.layout.fills()[3], codes).astype(np.int64)
+    filled[::50, 2] = UNSEEN
+    order = np.random.default_rng(1).permutation(len(filled))
+    monkeypatch.setattr(models, "MASK_LEAVES", 0)  # boosted trees without masks
+    monkeypatch.setattr(models, "_held", [])
+    scorer = run.model(variant).scorer()
+    want = []
+    for j in range(filled.shape[1]):
+        one = filled.copy()
+        one[:, j] = filled[order, j]
+        want.append(scorer.proba(numbers, one))
+    monkeypatch.setattr(models.Scorer, "proba", None)
+    assert np.array_equal(np.array(want), np.array(list(scorer.swapped(numbers, filled, numbers[order], filled[order]))))
+
+
+def test_a_worker_reads_a_model_once(run, tmp_path, spark, monkeypatch):
+    from handoff.plans import models
+
+    reads, read = [], models.Scorer._read
+    monkeypatch.setattr(models, "_held", [])
+    monkeypatch.setattr(models.Scorer, "_read", lambda self, tables: reads.append(self.model) or read(self, tables))
+    _, _, numbers, codes, _ = plain_rows(run)
+    filled = np.where(codes == B.MISSING, 0, codes).astype(np.int64)
+    first, again, other = (run.model("random_forest", m).scorer().proba(numbers, filled) for m in (3, 3, 1))
+    assert reads == [3, 1] and np.array_equal(first, again) and not np.array_equal(first, other)
+    for m in (0, 2):  # a folder that is written anew is another model
+        run.model("hist_gb", m).save(spark, str(tmp_path / "m"))
+        back = J.FittedModel.load(spark, str(tmp_path / "m")).scorer().proba(numbers, filled)
+        assert np.array_equal(back, run.model("hist_gb", m).scorer().proba(numbers, filled))
