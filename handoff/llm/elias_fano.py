@@ -47,6 +47,10 @@ SAMPLE = 64
 KEPT = 1_000_000
 #: Characters of text encoded together.
 CHUNK_CHARS = 4_000_000
+#: Words that go to the library as one text.
+JOINED = 100
+#: How byte-level vocabularies write a blank.
+BLANK = "\u0120"
 _BLANK_BEFORE_BLANK = re.compile(r" (?=\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 
@@ -153,8 +157,16 @@ class Encoder:
         specials = [t for t in self.plain.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip)]
         self.mark = specials[0].content if specials and self.by_word else None
         self.mark_id = self.plain.token_to_id(self.mark) if self.mark else -1
+        added = self.plain.get_added_tokens_decoder()
+        plain_added = not any(t.lstrip or t.rstrip or t.single_word or " " in t.content for t in added.values())
+        self.starts = None  # by id: whether it starts with a blank
+        if self.by_word and plain_added:
+            vocabulary = self.plain.get_vocab()
+            self.starts = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
+            self.starts[[i for t, i in vocabulary.items() if t.startswith(BLANK) and i not in added]] = True
         self.first: dict[str, bytes] = {}  # words at a text's start
         self.later: dict[str, bytes] = {}  # words after a blank
+        self.counts: dict[str, int] = {}  # words after a blank: number of ids
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         run = getattr(self.plain, "encode_batch_fast", self.plain.encode_batch)
@@ -179,30 +191,59 @@ class Encoder:
         for w, ids in zip(words, self._encode([blank + w for w in words])):
             known[w] = ids.tobytes()
 
+    def _learn_later(self, words: list[str], known: dict[str, bytes] | dict[str, int]) -> None:
+        """Ids, or their numbers, of new words after a blank. They go to the library as a text of many words: ids that start
+        with a blank part them again."""
+        odd = words
+        if self.starts is not None:
+            odd = [w for w in words if " " in w]
+            words = [w for w in words if " " not in w]
+            groups = [words[i: i + JOINED] for i in range(0, len(words), JOINED)]
+            for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
+                cuts = np.flatnonzero(self.starts[ids])
+                if len(cuts) != len(group) or cuts[0]:
+                    odd += group
+                elif known is self.counts:
+                    known.update(zip(group, np.diff(cuts, append=len(ids)).tolist()))
+                else:
+                    raw, edges = ids.tobytes(), (cuts * self.width).tolist()
+                    known.update(zip(group, map(raw.__getitem__, map(slice, edges, [*edges[1:], len(raw)]))))
+        if known is self.counts:
+            known.update((w, len(ids)) for w, ids in zip(odd, self._encode([" " + w for w in odd])))
+        else:
+            self._learn(odd, " ", known)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Id bytes of each whole text, the end id last."""
         if not self.by_word:
             return [ids.tobytes() + self.end for ids in self._encode(texts)]
-        later = self.later.__getitem__
-        return [b"".join([self.first[c[0]], *map(later, c[1:]), self.end]) for c in self._cut(texts)]
+        return [b"".join([self.first[first], *ids, self.end]) for first, ids in self._looked_up(texts, self.later)]
 
     def lengths(self, texts: list[str], kept: int = KEPT) -> list[int]:
         """Number of ids of each whole text, the end id counted; at most about ``kept`` words stay in memory."""
         if not self.by_word:
             return [len(ids) + 1 for ids in self._encode(texts)]
-        later = self.later.__getitem__
-        return [(len(self.first[c[0]]) + sum(map(len, map(later, c[1:])))) // self.width + 1 for c in self._cut(texts, kept)]
+        return [len(self.first[first]) // self.width + sum(n) + 1 for first, n in self._looked_up(texts, self.counts, kept)]
 
-    def _cut(self, texts: list[str], kept: int = KEPT) -> list[list[str]]:
-        """The texts' words, all of them learned."""
-        cut = [_CUT.split(t) if _BLANK_BEFORE_BLANK.search(t) else t.split(" ") for t in texts]
-        if len(self.first) + len(self.later) > kept:
+    def _looked_up(self, texts: list[str], known: dict, kept: int = KEPT) -> list[tuple[str, list]]:
+        """Each text's first word, learned, and what ``known`` holds for its later ones, after learning the new ones."""
+        if len(self.first) + len(self.later) + len(self.counts) > kept:
             self.first.clear()
             self.later.clear()
-        self._learn([w for w in {c[0] for c in cut} if w not in self.first], "", self.first)
-        words = set().union(*[c[1:] for c in cut]) if cut else set()
-        self._learn([w for w in words if w not in self.later], " ", self.later)
-        return cut
+            self.counts.clear()
+        out, gaps = [], []
+        for text in texts:
+            first, *words = _CUT.split(text) if _BLANK_BEFORE_BLANK.search(text) else text.split(" ")
+            found = list(map(known.get, words))
+            out.append((first, found))
+            if None in found:
+                gaps.append((found, [(i, words[i]) for i, x in enumerate(found) if x is None]))
+        self._learn(list({first for first, _ in out}.difference(self.first)), "", self.first)
+        self._learn_later(list({w for _, new in gaps for _, w in new}), known)
+        for found, new in gaps:
+            for i, w in new:
+                found[i] = known[w]
+        return out
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}

@@ -350,3 +350,18 @@ def test_shard_query(spark):
     for r in got:
         raw = (docs[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+
+
+# ---------------------------------------------------------------- words that go to the library together
+def test_new_words_are_sent_as_text_and_counted_without_ids(monkeypatch):
+    """op3, op7: words after a blank need no special token between them, and lengths keep numbers only."""
+    texts = ["one two  three\n four <|endoftext|> x<|endoftext|>y Ġa  b it's 12", "", " ", "  lead", "tail ", "Ġ ĠĠ q", "a \t b c  d"]
+    sent, plain = [], elias_fano.Encoder._encode
+    monkeypatch.setattr(elias_fano.Encoder, "_encode", lambda self, t: sent.extend(t) or plain(self, t))
+    enc = elias_fano.Encoder(TOKENIZER, 2)
+    many = [f"w word{i} and{i % 7}" for i in range(400)]
+    want = [e.ids + [2] for e in enc.plain.encode_batch(texts + many, add_special_tokens=False)]
+    assert enc.lengths(texts + many) == [len(w) for w in want]
+    assert not enc.later and sum(enc.mark in t for t in sent) <= 4
+    assert [np.frombuffer(b, f"<u{enc.width}").tolist() for b in enc.encode(texts + many)] == want
+    assert enc.lengths(many[::-1] + texts, kept=10) == [len(w) for w in want[7:][::-1] + want[:7]]  # forgotten and learned again
